@@ -36,6 +36,7 @@ Execution plan, built for graphs much larger than memory:
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -45,6 +46,8 @@ from ..functions.weights import TELEPORT, damped
 from ..session import ensure_checkpoint_dir
 
 MODES = ("keep_uncited", "all_nodes", "cited_only")
+# Upper bound on broadcast hub rows, whatever threshold a caller passes.
+MAX_HUBS = 100_000
 
 
 @dataclass
@@ -57,22 +60,33 @@ class PageRankRun:
     converged: bool      # stopped by the total-rank test
 
 
-def _shares(edges: DataFrame) -> DataFrame:
-    """``(k, src, dst, w)`` with ``w = multiplicity / out-degree of the page line k``."""
-    m = edges.groupBy("k", "src", "dst").agg(F.count(F.lit(1)).alias("m"))
-    deg = m.groupBy("k").agg(F.sum("m").alias("deg"))
-    return m.join(deg, "k").select("k", "src", "dst", (F.col("m") / F.col("deg")).alias("w"))
-
+def _count(df: DataFrame) -> int:
+    return df.count()
 
-def _distinct_shares(edges: DataFrame) -> DataFrame:
-    """``(src, dst, w)`` over distinct edges, ``w = 1 / distinct out-degree``."""
-    e = edges.select("src", "dst").distinct()
-    deg = e.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-    return e.join(deg, "src").select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w"))
 
+@contextmanager
+def fixed_partitioning(spark, parts: int):
+    """Plan with AQE off and ``parts`` shuffle partitions inside the block.
 
-def _count(df: DataFrame) -> int:
-    return df.count()
+    A checkpoint keeps the hash partitioning (and sort order) of the plan it
+    materialises only when that plan is not adaptive; with a fixed partition
+    count the checkpointed edge shares and every round's rank vector stay
+    co-partitioned by page, so a round shuffles nothing but partial sums.
+    Skew needs no AQE here: hubs are split off and targets are summed with a
+    map-side partial aggregate.
+    """
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(parts)}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str = "all_nodes",
@@ -109,96 +123,107 @@ def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str
     # k = the page line a link comes from; a plain edge table has one line per source.
     has_lines = "line_id" in edges.columns
     e = edges.select(F.col("line_id" if has_lines else "src").alias("k"), "src", "dst")
+
+    # ---- link multiplicity per page line (distinct links for cited_only): one
+    #      pass over the raw links; everything below reads this copy.
+    if mode == "cited_only":
+        lines_m = (e.select(F.col("src").alias("k"), "src", "dst").distinct()
+                   .withColumn("m", F.lit(1).cast("long")))
+    else:
+        lines_m = e.groupBy("k", "src", "dst").agg(F.count(F.lit(1)).alias("m"))
+    lines_m = lines_m.checkpoint()
+
     if pages is None:
-        page_rows = e.select("k", F.col("src").alias("title")).distinct()
+        page_rows = lines_m.select("k", F.col("src").alias("title")).distinct()
     elif has_lines:
         page_rows = pages.select(F.col("line_id").alias("k"), "title")
     else:
         page_rows = pages.select(F.col("title").alias("k"), "title")
-
+    nodes = (page_rows.select(F.col("title").alias("page"))
+             .union(lines_m.select(F.col("dst").alias("page"))).distinct())
     stats = page_rows.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("title").alias("titles")).first()
     if n is None:
-        if mode == "all_nodes":
-            n = _count(page_rows.select(F.col("title").alias("v")).union(e.select(F.col("dst").alias("v"))).distinct())
-        else:
-            n = int(stats["titles"])
-    empty = spark.createDataFrame([], "page string, rank double")
+        n = _count(nodes) if mode == "all_nodes" else int(stats["titles"])
     if not n:
-        return PageRankRun(empty, 0, 0, False)
+        return PageRankRun(spark.createDataFrame([], "page string, rank double"), 0, 0, False)
     inv_n = 1.0 / n
 
-    # ---- shares: round 1 (every line at 1/N) and rounds >= 2 (one line per title)
-    if mode == "cited_only":
-        shares = _distinct_shares(e)
-        first_sums = shares.groupBy("dst").agg((F.sum("w") * F.lit(inv_n)).alias("s"))
-    else:
-        line_shares = _shares(e)
-        first_sums = line_shares.groupBy("dst").agg((F.sum("w") * F.lit(inv_n)).alias("s"))
-        if stats["rows"] != stats["titles"]:
-            if mode == "all_nodes":   # first line that has links
-                keep = line_shares.groupBy("src").agg(F.min("k").alias("k"))
-            else:                     # last line, with or without links
-                keep = page_rows.groupBy("title").agg(F.max("k").alias("k"))
-            line_shares = line_shares.join(keep.select("k"), "k", "left_semi")
-        shares = line_shares.select("src", "dst", "w")
-
-    # ---- round 1
+    # ---- round 1: every page line holds 1/N, so no join with a rank vector
+    line_deg = lines_m.groupBy("k").agg(F.sum("m").alias("deg"))
+    first_sums = (lines_m.join(line_deg, "k")
+                  .groupBy("dst").agg((F.sum(F.col("m") / F.col("deg")) * F.lit(inv_n)).alias("s")))
     if mode == "cited_only":
         ranks = first_sums.select(F.col("dst").alias("page"), damped(F.col("s")).alias("rank"))
     else:
-        nodes = page_rows.select(F.col("title").alias("page")).union(e.select(F.col("dst").alias("page"))).distinct()
         uncited = F.lit(TELEPORT) if mode == "all_nodes" else F.lit(inv_n)
         ranks = (nodes.join(first_sums.withColumnRenamed("dst", "page"), "page", "left")
                  .select("page", F.coalesce(damped(F.col("s")), uncited).alias("rank")))
-    ranks = ranks.repartition(parts, "page").checkpoint()
+    ranks = ranks.checkpoint()
 
-    prev_total = 0.0
-    converged = False
-    rounds = 1
+    prev_total, converged, rounds = 0.0, False, 1
     if tol is not None:
         total = _total(ranks)
-        converged = abs(total - prev_total) <= tol
-        prev_total = total
+        converged, prev_total = abs(total - prev_total) <= tol, total
     if converged or iterations == 1:
         return PageRankRun(ranks, rounds, n, converged)
 
-    # ---- materialise shares once, hubs apart
-    shares = shares.checkpoint()
-    n_edges = _count(shares)
-    threshold = hub_threshold if hub_threshold is not None else max(1, n_edges // parts)
-    degree = shares.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-    hubs = degree.filter(F.col("deg") > threshold).select("src").checkpoint()
-    n_hubs = _count(hubs)
-    if n_hubs:
-        cold = shares.join(F.broadcast(hubs), "src", "left_anti")
-        hot = (shares.join(F.broadcast(hubs), "src", "left_semi")
-               .repartition(parts, "src", "dst").checkpoint())
-    else:
-        cold, hot = shares, None
-    cold = cold.repartition(parts, "src").sortWithinPartitions("src").checkpoint()
-
-    while rounds < iterations and not converged:
-        rounds += 1
-        src_ranks = ranks.select(F.col("page").alias("src"), "rank")
-        contrib = cold.join(src_ranks, "src").select("dst", (F.col("rank") * F.col("w")).alias("c"))
-        if hot is not None:
-            hub_ranks = src_ranks.join(F.broadcast(hubs), "src", "left_semi")  # <= partitions rows
-            contrib = contrib.unionByName(
-                hot.join(F.broadcast(hub_ranks), "src").select("dst", (F.col("rank") * F.col("w")).alias("c")))
-        sums = contrib.groupBy("dst").agg(F.sum("c").alias("s")).withColumnRenamed("dst", "page")
-        if mode == "cited_only":
-            new = sums.select("page", damped(F.col("s")).alias("rank"))
-        else:
-            fallback = F.lit(TELEPORT) if mode == "all_nodes" else F.col("rank")
-            new = ranks.join(sums, "page", "left").select("page", F.coalesce(damped(F.col("s")), fallback).alias("rank"))
-        ranks = new.checkpoint()
-        if tol is not None:
-            total = _total(ranks)
-            converged = abs(total - prev_total) <= tol
-            prev_total = total
+    # ---- multiplicities of rounds >= 2: one line per title when titles repeat
+    m = lines_m
+    if mode != "cited_only" and stats["rows"] != stats["titles"]:
+        if mode == "all_nodes":   # first line that has links
+            keep = lines_m.groupBy("src").agg(F.min("k").alias("k"))
+        else:                     # last line, with or without links
+            keep = page_rows.groupBy("title").agg(F.max("k").alias("k"))
+        m = lines_m.join(keep.select("k"), "k", "left_semi")
+    m = m.select("src", "dst", "m")
+    degree = m.groupBy("src").agg(F.sum("m").alias("deg"), F.count(F.lit(1)).alias("rows")).checkpoint()
+    dstats = degree.agg(F.sum("rows").alias("edges"), F.max("rows").alias("top")).first()
+    n_edges, top = int(dstats["edges"] or 0), int(dstats["top"] or 0)
+    threshold = hub_threshold if hub_threshold is not None else n_edges // parts
+    threshold = max(threshold, n_edges // MAX_HUBS)       # caps the hub set at MAX_HUBS rows
+
+    with fixed_partitioning(spark, parts):
+        # ---- edge shares w = m / out-degree: hubs apart, the rest by src
+        hot = hubs = None
+        cold_m = m
+        if top > threshold:
+            hubs = degree.filter(F.col("rows") > threshold).select("src", "deg").checkpoint()
+            hot = (m.join(F.broadcast(hubs), "src")
+                   .select("src", "dst", (F.col("m") / F.col("deg")).alias("w"))
+                   .repartition(parts, "src", "dst").checkpoint())
+            cold_m = m.join(F.broadcast(hubs.select("src")), "src", "left_anti")
+        cold = (cold_m.repartition(parts, "src")
+                .join(degree.select("src", "deg").repartition(parts, "src"), "src")
+                .select("src", "dst", (F.col("m") / F.col("deg")).alias("w"))
+                .sortWithinPartitions("src").checkpoint())
+
+        # ---- rounds >= 2: one exchange each (the partial sums per target)
+        while rounds < iterations and not converged:
+            rounds += 1
+            new = _round(cold, hot, hubs, ranks, mode)
+            ranks = new.checkpoint()
+            if tol is not None:
+                total = _total(ranks)
+                converged, prev_total = abs(total - prev_total) <= tol, total
     return PageRankRun(ranks, rounds, n, converged)
 
 
+def _round(cold: DataFrame, hot: DataFrame | None, hubs: DataFrame | None, ranks: DataFrame,
+           mode: str) -> DataFrame:
+    """One synchronous round over materialised edge shares ``(src, dst, w)``."""
+    src_ranks = ranks.select(F.col("page").alias("src"), "rank")
+    contrib = cold.join(src_ranks, "src").select("dst", (F.col("rank") * F.col("w")).alias("c"))
+    if hot is not None:
+        hub_ranks = src_ranks.join(F.broadcast(hubs.select("src")), "src", "left_semi")  # <= MAX_HUBS rows
+        contrib = contrib.unionByName(
+            hot.join(F.broadcast(hub_ranks), "src").select("dst", (F.col("rank") * F.col("w")).alias("c")))
+    sums = contrib.groupBy("dst").agg(F.sum("c").alias("s")).withColumnRenamed("dst", "page")
+    if mode == "cited_only":
+        return sums.select("page", damped(F.col("s")).alias("rank"))
+    fallback = F.lit(TELEPORT) if mode == "all_nodes" else F.col("rank")
+    return ranks.join(sums, "page", "left").select("page", F.coalesce(damped(F.col("s")), fallback).alias("rank"))
+
+
 def _total(ranks: DataFrame) -> float:
     """Total rank, summed exactly (order-independent) as DECIMAL(38,18)."""
     v = ranks.agg(F.sum(F.col("rank").cast("decimal(38,18)")).alias("t")).first()["t"]
@@ -234,7 +259,9 @@ def pagerank_lines(lines: DataFrame, *, mode: str = "all_nodes", line: str = "li
 
 def contributions(edges: DataFrame, ranks: DataFrame) -> DataFrame:
     """``(src, dst, c)``: each link's share of its source's rank (multiplicity-weighted)."""
-    shares = _shares(edges.select(F.col("src").alias("k"), "src", "dst"))
+    m = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m"))
+    deg = m.groupBy("src").agg(F.sum("m").alias("deg"))
+    shares = m.join(deg, "src").select("src", "dst", (F.col("m") / F.col("deg")).alias("w"))
     return (shares.join(ranks.select(F.col("page").alias("src"), "rank"), "src")
             .select("src", "dst", (F.col("rank") * F.col("w")).alias("c")))
 

@@ -90,23 +90,28 @@ def doc_frequency(postings: DataFrame) -> DataFrame:
     return postings.groupBy("word").agg(F.count_if(F.col("n") > 0).alias("df"))
 
 
-def inverse_doc_frequency(docs: DataFrame, postings: DataFrame | None = None) -> DataFrame:
-    """``(word, df, n_docs, idf)`` with ``idf = log10(1 + n_docs div df)``."""
+def inverse_doc_frequency(docs: DataFrame, postings: DataFrame | None = None,
+                          all_docs: DataFrame | None = None) -> DataFrame:
+    """``(word, df, n_docs, idf)`` with ``idf = log10(1 + n_docs div df)``.
+
+    N counts ``all_docs`` (a ``(doc)`` frame, e.g. a file listing that keeps
+    empty files) when given, else the documents of ``docs``.
+    """
     postings = postings if postings is not None else term_frequency(docs)
-    n = corpus_size(docs)
+    n = corpus_size(all_docs if all_docs is not None else docs)
     return (doc_frequency(postings)
             .crossJoin(F.broadcast(n))  # one row: a global aggregate without keys
             .withColumn("idf", idf_col("n_docs", "df")))
 
 
-def tfidf(docs: DataFrame, postings: DataFrame | None = None) -> DataFrame:
+def tfidf(docs: DataFrame, postings: DataFrame | None = None, all_docs: DataFrame | None = None) -> DataFrame:
     """``(word, doc, tf, tfidf)``.
 
     ``tfidf = double(text(tf)) * idf``: TF goes through its float32 text form,
     as the reference stores it between jobs (F9).
     """
     postings = postings if postings is not None else term_frequency(docs)
-    weights = inverse_doc_frequency(docs, postings).select("word", "idf")
+    weights = inverse_doc_frequency(docs, postings, all_docs).select("word", "idf")
     return (postings.join(weights, "word")
             .select("word", "doc", "tf",
                     (float_text_to_double("tf") * F.col("idf")).alias("tfidf")))
@@ -120,7 +125,8 @@ def _score(weighted: DataFrame) -> DataFrame:
 
 
 def search(docs: DataFrame, words: Iterable[str] | str | None = None,
-           keywords: DataFrame | None = None, keyword_col: str = "word") -> DataFrame:
+           keywords: DataFrame | None = None, keyword_col: str = "word",
+           all_docs: DataFrame | None = None) -> DataFrame:
     """``(doc, score)``: sum of TF-IDF over the query words, documents with a hit only.
 
     Give the query as ``words`` (a short list, F27 rules apply) or as a
@@ -138,7 +144,7 @@ def search(docs: DataFrame, words: Iterable[str] | str | None = None,
     if q is None and kw is None:
         return _empty_scores(docs)
     postings = term_frequency(docs, words=q, keywords=kw)
-    return _score(tfidf(docs, postings))
+    return _score(tfidf(docs, postings, all_docs))
 
 
 def _empty_scores(docs: DataFrame) -> DataFrame:
@@ -147,7 +153,7 @@ def _empty_scores(docs: DataFrame) -> DataFrame:
 
 def rank_documents(docs: DataFrame, words: Iterable[str] | str | None = None,
                    keywords: DataFrame | None = None, ties: str = "all",
-                   k: int | None = None) -> DataFrame:
+                   k: int | None = None, all_docs: DataFrame | None = None) -> DataFrame:
     """P5/O1: search result in descending score order (ties broken by ascending doc).
 
     ``ties="one"`` keeps a single document per distinct score (the largest
@@ -156,7 +162,7 @@ def rank_documents(docs: DataFrame, words: Iterable[str] | str | None = None,
     """
     if ties not in ("all", "one"):
         raise ValueError("ties must be 'all' or 'one'")
-    scores = search(docs, words, keywords)
+    scores = search(docs, words, keywords, all_docs=all_docs)
     if ties == "one":
         scores = scores.groupBy("score").agg(F.max("doc").alias("doc")).select("doc", "score")
     ordered = scores.orderBy(F.desc("score"), F.asc("doc"))

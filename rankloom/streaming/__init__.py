@@ -1,0 +1,28 @@
+"""Streaming entry point.
+
+The reference has no streaming operators (no watermarks, windows or state),
+so nothing here adds semantics.  The text operators are plain DataFrame
+transformations, so ``doc_word_count`` and ``term_frequency`` also run on a
+streaming DataFrame: Spark keeps the per-(word, doc) counts in its state
+store and emits updated rows as new files land in the folder.  TF-IDF needs
+the whole corpus (N and df change with every new file), so it stays a batch
+job over the files seen so far.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def text_folder_stream(spark: SparkSession, path: str, doc_suffix: str = "",
+                       max_files_per_trigger: int | None = None) -> DataFrame:
+    """S1 as a stream: ``(doc, text)`` lines of files arriving in ``path``."""
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(path).select(F.concat(F.col("_metadata.file_name"), F.lit(doc_suffix)).alias("doc"),
+                                    F.col("value").alias("text"))
+
+
+__all__ = ["text_folder_stream"]
