@@ -91,20 +91,23 @@ def doc_frequency(postings: DataFrame) -> DataFrame:
 
 
 def inverse_doc_frequency(docs: DataFrame, postings: DataFrame | None = None,
-                          all_docs: DataFrame | None = None) -> DataFrame:
+                          all_docs: DataFrame | int | None = None) -> DataFrame:
     """``(word, df, n_docs, idf)`` with ``idf = log10(1 + n_docs div df)``.
 
-    N counts ``all_docs`` (a ``(doc)`` frame, e.g. a file listing that keeps
-    empty files) when given, else the documents of ``docs``.
+    N is the number of documents in ``docs``, or in ``all_docs`` when given:
+    a ``(doc)`` frame, or a number such as ``sources.count_files(...)``.
     """
     postings = postings if postings is not None else term_frequency(docs)
-    n = corpus_size(all_docs if all_docs is not None else docs)
+    if isinstance(all_docs, int):
+        n = docs.sparkSession.range(1).select(F.lit(all_docs).cast("long").alias("n_docs"))
+    else:
+        n = corpus_size(all_docs if all_docs is not None else docs)
     return (doc_frequency(postings)
             .crossJoin(F.broadcast(n))  # one row: a global aggregate without keys
             .withColumn("idf", idf_col("n_docs", "df")))
 
 
-def tfidf(docs: DataFrame, postings: DataFrame | None = None, all_docs: DataFrame | None = None) -> DataFrame:
+def tfidf(docs: DataFrame, postings: DataFrame | None = None, all_docs: DataFrame | int | None = None) -> DataFrame:
     """``(word, doc, tf, tfidf)``.
 
     ``tfidf = double(text(tf)) * idf``: TF goes through its float32 text form,
@@ -126,7 +129,7 @@ def _score(weighted: DataFrame) -> DataFrame:
 
 def search(docs: DataFrame, words: Iterable[str] | str | None = None,
            keywords: DataFrame | None = None, keyword_col: str = "word",
-           all_docs: DataFrame | None = None) -> DataFrame:
+           all_docs: DataFrame | int | None = None) -> DataFrame:
     """``(doc, score)``: sum of TF-IDF over the query words, documents with a hit only.
 
     Give the query as ``words`` (a short list, F27 rules apply) or as a
@@ -153,7 +156,7 @@ def _empty_scores(docs: DataFrame) -> DataFrame:
 
 def rank_documents(docs: DataFrame, words: Iterable[str] | str | None = None,
                    keywords: DataFrame | None = None, ties: str = "all",
-                   k: int | None = None, all_docs: DataFrame | None = None) -> DataFrame:
+                   k: int | None = None, all_docs: DataFrame | int | None = None) -> DataFrame:
     """P5/O1: search result in descending score order (ties broken by ascending doc).
 
     ``ties="one"`` keeps a single document per distinct score (the largest

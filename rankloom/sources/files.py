@@ -32,11 +32,11 @@ def read_text_docs(spark: SparkSession, paths: str | list[str], doc_suffix: str
 
 def list_docs(spark: SparkSession, paths: str | list[str], doc_suffix: str = "",
               recursive: bool = True) -> DataFrame:
-    """``(doc)``, one row per file below the paths, empty files included.
+    """``(doc)``, one row per non-empty file below the paths (files without tokens included).
 
     Uses the ``binaryFile`` source with only the path selected, so file
-    contents are not read.  Give it to the text operators as ``all_docs`` to
-    count N as the reference does (files, not files with tokens).
+    contents are not read.  Spark's file scans skip zero-byte files; use
+    :func:`count_files` for the reference's N, which counts those too.
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
              .load(_paths(paths)).select("path"))
@@ -44,6 +44,22 @@ def list_docs(spark: SparkSession, paths: str | list[str], doc_suffix: str = "",
     return files.select(F.concat(base, F.lit(doc_suffix)).alias("doc"))
 
 
+def count_files(spark: SparkSession, paths: str | list[str]) -> int:
+    """Number of files below the paths, zero-byte and hidden files included.
+
+    One file-system metadata call per path (``FileSystem.getContentSummary``),
+    as the reference does; give the result to the text operators as
+    ``all_docs`` to use it as N.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in _paths(paths):
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += int(path.getFileSystem(conf).getContentSummary(path).getFileCount())
+    return total
+
+
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``(line_id, line)`` for page-line files, blank lines kept."""
     return spark.read.text(_paths(paths)).select(F.monotonically_increasing_id().alias("line_id"),
@@ -54,7 +70,7 @@ def read_edge_list(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``(src, dst)`` from ``src#####dst`` lines (lines without the separator are dropped)."""
     parts = F.split(F.col("value"), EDGE_SEP)
     return (spark.read.text(_paths(paths))
-            .select(parts.getItem(0).alias("src"), parts.getItem(1).alias("dst"))
+            .select(F.get(parts, 0).alias("src"), F.get(parts, 1).alias("dst"))
             .filter(F.col("dst").isNotNull()))
 
 
@@ -76,13 +92,12 @@ def read_scores(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def read_rank_state(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``(page, rank, links)`` from ``page<TAB>##rank[##a@!#b]`` lines (lets a run resume)."""
     v = F.col("value")
-    page = F.substring_index(v, TAB, 1)
-    rest = F.expr(f"substr(value, length(substring_index(value, '{TAB}', 1)) + 2)")
-    parts = F.split(rest, STATE_SEP)
+    kv = F.split(v, TAB, 2)
+    parts = F.split(F.get(kv, 1), STATE_SEP)     # "", rank[, links]
     return (spark.read.text(_paths(paths)).filter(v != "")
-            .select(F.trim(page).alias("page"), parts.getItem(1).cast("double").alias("rank"),
-                    decode_links(F.coalesce(parts.getItem(2), F.lit(""))).alias("links")))
+            .select(F.trim(F.get(kv, 0)).alias("page"), F.get(parts, 1).cast("double").alias("rank"),
+                    decode_links(F.coalesce(F.get(parts, 2), F.lit(""))).alias("links")))
 
 
-__all__ = ["DOC_SUFFIX", "LINK_LIST_SEP", "list_docs", "read_edge_list", "read_lines", "read_rank_state",
+__all__ = ["DOC_SUFFIX", "LINK_LIST_SEP", "count_files", "list_docs", "read_edge_list", "read_lines", "read_rank_state",
            "read_scores", "read_term_weights", "read_text_docs"]

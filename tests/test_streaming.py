@@ -1,0 +1,21 @@
+"""The aggregating text operators run unchanged on a file stream."""
+
+from rankloom.operators import text as T
+from rankloom.streaming import text_folder_stream
+
+
+def test_stream_word_count(spark, tmp_path):
+    src = tmp_path / "stream"
+    src.mkdir()
+    (src / "file1").write_text("Hadoop is yellow Hadoop\n")
+    counts = T.doc_word_count(text_folder_stream(spark, str(src), doc_suffix=".txt"))
+    q = (counts.writeStream.outputMode("complete").format("memory").queryName("wc_stream")
+         .option("checkpointLocation", str(tmp_path / "ckpt")).start())
+    try:
+        q.processAllAvailable()
+        (src / "file2").write_text("yellow Hadoop is an elephant\n")
+        q.processAllAvailable()
+        rows = {(r.word, r.doc): r.n for r in spark.sql("select * from wc_stream").collect()}
+    finally:
+        q.stop()
+    assert rows[("Hadoop", "file1.txt")] == 2 and rows[("elephant", "file2.txt")] == 1 and len(rows) == 8
