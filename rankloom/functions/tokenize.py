@@ -32,9 +32,27 @@ def split_lines(text: Column | str) -> Column:
     return F.split(text, LINE_BREAK_PATTERN)
 
 
-def split_tokens(line: Column | str) -> Column:
+def split_tokens(line: Column | str, pattern: str = TOKEN_SPLIT_PATTERN) -> Column:
     """ARRAY<STRING> of the pieces of one line; may hold empty strings (drop them, C1)."""
-    return F.split(line, TOKEN_SPLIT_PATTERN)
+    return F.split(line, pattern)
+
+
+_UNICODE_BOUNDARY: dict[str, bool] = {}
+
+
+def token_split_pattern(spark) -> str:
+    r"""The fastest split pattern that gives the reference's tokens on this cluster.
+
+    ``\s*\b\s*`` itself when the executors' regex engine treats letters
+    such as 'é' as word characters (JDK 17 and older), else the spelled-out
+    boundary.  Decided once per application by splitting a probe string in a
+    one-row Spark job, so it reflects the executors, not the driver.
+    """
+    key = spark.sparkContext.applicationId
+    if key not in _UNICODE_BOUNDARY:
+        probe = spark.range(1).select(F.split(F.lit("a\u00e9 b"), REFERENCE_TOKEN_PATTERN).alias("t")).first()["t"]
+        _UNICODE_BOUNDARY[key] = [t for t in probe if t] == ["a\u00e9", "b"]
+    return REFERENCE_TOKEN_PATTERN if _UNICODE_BOUNDARY[key] else TOKEN_SPLIT_PATTERN
 
 
 def query_words(words: Iterable[str] | str, split_commas: bool = True) -> list[str]:

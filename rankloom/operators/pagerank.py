@@ -124,8 +124,8 @@ def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str
     has_lines = "line_id" in edges.columns
     e = edges.select(F.col("line_id" if has_lines else "src").alias("k"), "src", "dst")
 
-    # ---- link multiplicity per page line (distinct links for cited_only): one
-    #      pass over the raw links; everything below reads this copy.
+    # ---- link multiplicity per page line (distinct links for cited_only): the
+    #      one pass over the raw links; everything below reads this copy.
     if mode == "cited_only":
         lines_m = (e.select(F.col("src").alias("k"), "src", "dst").distinct()
                    .withColumn("m", F.lit(1).cast("long")))
@@ -139,37 +139,14 @@ def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str
         page_rows = pages.select(F.col("line_id").alias("k"), "title")
     else:
         page_rows = pages.select(F.col("title").alias("k"), "title")
-    nodes = (page_rows.select(F.col("title").alias("page"))
-             .union(lines_m.select(F.col("dst").alias("page"))).distinct())
-    stats = page_rows.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("title").alias("titles")).first()
-    if n is None:
-        n = _count(nodes) if mode == "all_nodes" else int(stats["titles"])
-    if not n:
-        return PageRankRun(spark.createDataFrame([], "page string, rank double"), 0, 0, False)
-    inv_n = 1.0 / n
-
-    # ---- round 1: every page line holds 1/N, so no join with a rank vector
-    line_deg = lines_m.groupBy("k").agg(F.sum("m").alias("deg"))
-    first_sums = (lines_m.join(line_deg, "k")
-                  .groupBy("dst").agg((F.sum(F.col("m") / F.col("deg")) * F.lit(inv_n)).alias("s")))
-    if mode == "cited_only":
-        ranks = first_sums.select(F.col("dst").alias("page"), damped(F.col("s")).alias("rank"))
-    else:
-        uncited = F.lit(TELEPORT) if mode == "all_nodes" else F.lit(inv_n)
-        ranks = (nodes.join(first_sums.withColumnRenamed("dst", "page"), "page", "left")
-                 .select("page", F.coalesce(damped(F.col("s")), uncited).alias("rank")))
-    ranks = ranks.checkpoint()
-
-    prev_total, converged, rounds = 0.0, False, 1
-    if tol is not None:
-        total = _total(ranks)
-        converged, prev_total = abs(total - prev_total) <= tol, total
-    if converged or iterations == 1:
-        return PageRankRun(ranks, rounds, n, converged)
+    n_titles, repeated = None, False
+    if has_lines or pages is not None:
+        st = page_rows.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("title").alias("titles")).first()
+        n_titles, repeated = int(st["titles"]), st["rows"] != st["titles"]
 
     # ---- multiplicities of rounds >= 2: one line per title when titles repeat
     m = lines_m
-    if mode != "cited_only" and stats["rows"] != stats["titles"]:
+    if mode != "cited_only" and repeated:
         if mode == "all_nodes":   # first line that has links
             keep = lines_m.groupBy("src").agg(F.min("k").alias("k"))
         else:                     # last line, with or without links
@@ -177,12 +154,25 @@ def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str
         m = lines_m.join(keep.select("k"), "k", "left_semi")
     m = m.select("src", "dst", "m")
     degree = m.groupBy("src").agg(F.sum("m").alias("deg"), F.count(F.lit(1)).alias("rows")).checkpoint()
-    dstats = degree.agg(F.sum("rows").alias("edges"), F.max("rows").alias("top")).first()
+    dstats = degree.agg(F.sum("rows").alias("edges"), F.max("rows").alias("top"),
+                        F.count(F.lit(1)).alias("sources")).first()
     n_edges, top = int(dstats["edges"] or 0), int(dstats["top"] or 0)
+    if n_titles is None:
+        n_titles = int(dstats["sources"])
     threshold = hub_threshold if hub_threshold is not None else n_edges // parts
     threshold = max(threshold, n_edges // MAX_HUBS)       # caps the hub set at MAX_HUBS rows
 
     with fixed_partitioning(spark, parts):
+        # ---- node set, hash-partitioned by page like every rank vector below
+        nodes = (page_rows.select(F.col("title").alias("page"))
+                 .union(lines_m.select(F.col("dst").alias("page"))).distinct()
+                 .repartition(parts, "page").checkpoint())
+        if n is None:
+            n = _count(nodes) if mode == "all_nodes" else n_titles
+        if not n:
+            return PageRankRun(spark.createDataFrame([], "page string, rank double"), 0, 0, False)
+        inv_n = 1.0 / n
+
         # ---- edge shares w = m / out-degree: hubs apart, the rest by src
         hot = hubs = None
         cold_m = m
@@ -197,17 +187,36 @@ def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str
                 .select("src", "dst", (F.col("m") / F.col("deg")).alias("w"))
                 .sortWithinPartitions("src").checkpoint())
 
+        # ---- round 1: every page holds 1/N
+        if repeated and mode != "cited_only":
+            ranks = _first_round_by_line(lines_m, nodes, inv_n, mode).checkpoint()
+        else:
+            ranks = _round(cold, hot, hubs, nodes.select("page", F.lit(inv_n).alias("rank")), mode).checkpoint()
+        prev_total, converged, rounds = 0.0, False, 1
+        if tol is not None:
+            total = _total(ranks)
+            converged, prev_total = abs(total - prev_total) <= tol, total
+
         # ---- rounds >= 2: one exchange each (the partial sums per target)
         while rounds < iterations and not converged:
             rounds += 1
-            new = _round(cold, hot, hubs, ranks, mode)
-            ranks = new.checkpoint()
+            ranks = _round(cold, hot, hubs, ranks, mode).checkpoint()
             if tol is not None:
                 total = _total(ranks)
                 converged, prev_total = abs(total - prev_total) <= tol, total
     return PageRankRun(ranks, rounds, n, converged)
 
 
+def _first_round_by_line(lines_m: DataFrame, nodes: DataFrame, inv_n: float, mode: str) -> DataFrame:
+    """Round 1 when titles repeat: each page line spends its own 1/N over its own links."""
+    line_deg = lines_m.groupBy("k").agg(F.sum("m").alias("deg"))
+    sums = (lines_m.join(line_deg, "k")
+            .groupBy("dst").agg((F.sum(F.col("m") / F.col("deg")) * F.lit(inv_n)).alias("s"))
+            .withColumnRenamed("dst", "page"))
+    uncited = F.lit(TELEPORT) if mode == "all_nodes" else F.lit(inv_n)
+    return nodes.join(sums, "page", "left").select("page", F.coalesce(damped(F.col("s")), uncited).alias("rank"))
+
+
 def _round(cold: DataFrame, hot: DataFrame | None, hubs: DataFrame | None, ranks: DataFrame,
            mode: str) -> DataFrame:
     """One synchronous round over materialised edge shares ``(src, dst, w)``."""

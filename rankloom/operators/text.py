@@ -13,11 +13,12 @@ Plan shape (see ``explain`` in the tests):
 * counts: hash aggregate on (word, doc) with a map-side partial aggregate,
   so each map task ships one row per distinct (word, doc) it saw.
 * document frequency: a second aggregate on ``word`` over those rows (partial
-  aggregation again collapses hot words before the shuffle) joined back on
-  ``word``.  A window ``count(*) OVER (PARTITION BY word)`` would put every
-  posting of a hot word into one task; the join lets AQE split hot-word
-  partitions or turn the join into a broadcast when the vocabulary turns
-  out small at runtime.
+  aggregation again collapses hot words before the shuffle), materialised
+  and measured, then joined back on ``word``: broadcast when the measured
+  vocabulary is small (no shuffle of postings at all), else a shuffle join
+  whose hot-word partitions AQE splits.  A window
+  ``count(*) OVER (PARTITION BY word)`` would put every posting of a hot word
+  into one task.
 * corpus size: one-row global aggregate over the documents (not the
   postings, so documents without tokens count), cross-joined as a
   broadcast: its size is one row by construction.
@@ -32,8 +33,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tokenize import query_words, split_lines, split_tokens
+from ..functions.tokenize import query_words, split_lines, split_tokens, token_split_pattern
 from ..functions.weights import float_text_to_double, idf as idf_col, log_tf
+from ..session import ensure_checkpoint_dir
 
 
 def documents(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -48,8 +50,9 @@ def lines(docs: DataFrame) -> DataFrame:
 
 def tokens(docs: DataFrame) -> DataFrame:
     """``(doc, word)``, one row per token occurrence."""
+    pattern = token_split_pattern(docs.sparkSession)
     return (lines(docs)
-            .select("doc", F.explode(split_tokens("line")).alias("word"))
+            .select("doc", F.explode(split_tokens("line", pattern)).alias("word"))
             .filter(F.col("word") != ""))
 
 
@@ -107,14 +110,31 @@ def inverse_doc_frequency(docs: DataFrame, postings: DataFrame | None = None,
             .withColumn("idf", idf_col("n_docs", "df")))
 
 
-def tfidf(docs: DataFrame, postings: DataFrame | None = None, all_docs: DataFrame | int | None = None) -> DataFrame:
+# Largest (word, idf) table ``tfidf`` broadcasts, in bytes (about 4M words).
+BROADCAST_VOCABULARY_BYTES = 96 << 20
+
+
+def tfidf(docs: DataFrame, postings: DataFrame | None = None, all_docs: DataFrame | int | None = None,
+          broadcast_bytes: int = BROADCAST_VOCABULARY_BYTES) -> DataFrame:
     """``(word, doc, tf, tfidf)``.
 
     ``tfidf = double(text(tf)) * idf``: TF goes through its float32 text form,
     as the reference stores it between jobs (F9).
+
+    The ``(word, idf)`` table is materialised first (a reliable checkpoint:
+    one pass with map-side partial counts, whatever the word skew) and its
+    size measured.  Under ``broadcast_bytes`` it is broadcast, so the postings
+    are never shuffled and a word in every document costs nothing extra;
+    above it the join shuffles both sides on ``word`` and AQE splits the
+    partitions of hot words.
     """
     postings = postings if postings is not None else term_frequency(docs)
     weights = inverse_doc_frequency(docs, postings, all_docs).select("word", "idf")
+    ensure_checkpoint_dir(docs.sparkSession)
+    weights = weights.checkpoint()
+    size = weights.agg(F.coalesce(F.sum(F.length("word") + F.lit(24)), F.lit(0)).alias("b")).first()["b"]
+    if size <= broadcast_bytes:
+        weights = F.broadcast(weights)
     return (postings.join(weights, "word")
             .select("word", "doc", "tf",
                     (float_text_to_double("tf") * F.col("idf")).alias("tfidf")))

@@ -17,10 +17,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.text import documents
+from ..sources.files import input_bytes
+
+
+# Key column of each table, used to spread an under-split scan.
+KEYS = {"documents": "doc_id", "pages": "page_id", "benchmark": "item_id", "lineitem": "l_orderkey",
+        "orders": "o_orderkey"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, spread over the task slots when its scan would leave them idle.
+
+    Parquet splits at row-group boundaries, so a table stored as a few
+    one-row-group files scans in a few tasks however many cores there are.
+    Only when a table has fewer files than task slots *and* is smaller than
+    slots x ``spark.sql.files.maxPartitionBytes`` (so Spark's own splitting
+    cannot use the slots either) is it hash-repartitioned by its key; larger
+    inputs keep their scan splits and are never reshuffled.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    slots = spark.sparkContext.defaultParallelism
+    key = KEYS.get(name)
+    if key is None or len(df.inputFiles()) >= slots:
+        return df
+    max_split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    if input_bytes(spark, path) >= slots * max_split:
+        return df
+    return df.repartition(2 * slots, key)
+
+
+def _bytes(v: str) -> int:
+    v = v.strip().lower().rstrip("b")
+    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    return int(float(v[:-1]) * mult[v[-1]]) if v and v[-1] in mult else int(v)
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,6 +60,17 @@ def count_files(spark: SparkSession, paths: str | list[str]) -> int:
     return total
 
 
+def input_bytes(spark: SparkSession, paths: str | list[str]) -> int:
+    """Total size in bytes of the files below the paths (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in _paths(paths):
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += int(path.getFileSystem(conf).getContentSummary(path).getLength())
+    return total
+
+
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``(line_id, line)`` for page-line files, blank lines kept."""
     return spark.read.text(_paths(paths)).select(F.monotonically_increasing_id().alias("line_id"),
@@ -99,5 +110,5 @@ def read_rank_state(spark: SparkSession, paths: str | list[str]) -> DataFrame:
                     decode_links(F.coalesce(F.get(parts, 2), F.lit(""))).alias("links")))
 
 
-__all__ = ["DOC_SUFFIX", "LINK_LIST_SEP", "count_files", "list_docs", "read_edge_list", "read_lines", "read_rank_state",
+__all__ = ["DOC_SUFFIX", "LINK_LIST_SEP", "count_files", "input_bytes", "list_docs", "read_edge_list", "read_lines", "read_rank_state",
            "read_scores", "read_term_weights", "read_text_docs"]
