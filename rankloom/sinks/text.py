@@ -23,13 +23,15 @@ def _write(col: Column, df: DataFrame, path: str, single_file: bool = False) ->
     out.write.mode("overwrite").text(path)
 
 
-def write_counts(df: DataFrame, path: str, value: str = "n") -> None:
-    """K1: ``word&#&#&doc<TAB><TAB>value`` (counts or TF)."""
+def write_counts(df: DataFrame, path: str, value: str = "n", ordered: bool = False) -> None:
+    """K1: ``word&#&#&doc<TAB><TAB>value`` (counts or TF); ``ordered`` sorts by key."""
+    df = df.orderBy("word", "doc") if ordered else df
     _write(F.concat(word_doc_key("word", "doc"), F.lit(TAB + TAB), F.col(value).cast("string")), df, path)
 
 
-def write_weights(df: DataFrame, path: str, value: str = "tfidf") -> None:
-    """K2: ``word&#&#&doc<TAB>value`` (TF-IDF)."""
+def write_weights(df: DataFrame, path: str, value: str = "tfidf", ordered: bool = False) -> None:
+    """K2: ``word&#&#&doc<TAB>value`` (TF-IDF); ``ordered`` sorts by key."""
+    df = df.orderBy("word", "doc") if ordered else df
     _write(F.concat(word_doc_key("word", "doc"), F.lit(TAB), F.col(value).cast("string")), df, path)
 
 

@@ -30,7 +30,7 @@ def write_inputs(tmp_path):
 def test_text_folder_to_reference_outputs(spark, tmp_path):
     docs = S.read_text_docs(spark, write_inputs(tmp_path), doc_suffix=".txt")
     out = str(tmp_path / "out")
-    K.write_counts(T.doc_word_count(docs).orderBy("word", "doc"), out + "/wc")
+    K.write_counts(T.doc_word_count(docs), out + "/wc", ordered=True)
     assert read_lines(out + "/wc")[:2] == ["Hadoop&#&#&file1.txt\t\t2", "Hadoop&#&#&file2.txt\t\t1"]
     K.write_counts(T.term_frequency(docs).orderBy("word", "doc"), out + "/tf", value="tf")
     assert read_lines(out + "/tf")[0] == "Hadoop&#&#&file1.txt\t\t1.30103"
