@@ -48,6 +48,9 @@ from ..session import ensure_checkpoint_dir
 MODES = ("keep_uncited", "all_nodes", "cited_only")
 # Upper bound on broadcast hub rows, whatever threshold a caller passes.
 MAX_HUBS = 100_000
+# Edge shares per partition when the partition count is derived from the data
+# (about 40 MB of (src, dst, w) rows).
+EDGES_PER_PARTITION = 1_000_000
 
 
 @dataclass
@@ -107,8 +110,8 @@ def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str
         (I3; ``0.0`` = exactly repeated total).  ``None`` never stops early.
         The total is summed as DECIMAL(38,18), so the test does not depend on
         summation order.
-    partitions: partitions of the edge and rank tables (default
-        ``spark.sql.shuffle.partitions``).
+    partitions: partitions of the edge and rank tables (default: one per
+        ``EDGES_PER_PARTITION`` edges, at least the default parallelism).
     hub_threshold: out-degree above which a source is a hub (default: the
         number of distinct edges divided by ``partitions``).
     """
@@ -118,7 +121,6 @@ def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str
         raise ValueError("iterations must be >= 1")
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
-    parts = int(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     # k = the page line a link comes from; a plain edge table has one line per source.
     has_lines = "line_id" in edges.columns
@@ -159,6 +161,7 @@ def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str
     n_edges, top = int(dstats["edges"] or 0), int(dstats["top"] or 0)
     if n_titles is None:
         n_titles = int(dstats["sources"])
+    parts = int(partitions or max(spark.sparkContext.defaultParallelism, -(-n_edges // EDGES_PER_PARTITION)))
     threshold = hub_threshold if hub_threshold is not None else n_edges // parts
     threshold = max(threshold, n_edges // MAX_HUBS)       # caps the hub set at MAX_HUBS rows
 

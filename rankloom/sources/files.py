@@ -61,14 +61,14 @@ def count_files(spark: SparkSession, paths: str | list[str]) -> int:
 
 
 def input_bytes(spark: SparkSession, paths: str | list[str]) -> int:
-    """Total size in bytes of the files below the paths (file-system metadata only)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for p in _paths(paths):
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        total += int(path.getFileSystem(conf).getContentSummary(path).getLength())
-    return total
+    """Total size in bytes of the (non-empty) files below the paths.
+
+    Reads only the ``length`` column of the ``binaryFile`` source: file
+    metadata, no contents.
+    """
+    v = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_paths(paths))
+         .agg(F.sum("length").alias("b")).first()["b"])
+    return int(v or 0)
 
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
