@@ -4,11 +4,12 @@
 * lineitem -> a link graph: every part links to its supplier, and the
   supplier of each order's first line links back to that part.  Parts never
   on a first line are cited by nobody, so the three PageRank modes differ.
-* orders + lineitem -> page lines in the wiki format, one line per order:
-  ``<title>O1</title> <text>[[P..]]..</text> [[C..]] <text>[[S..]]..</text>``;
-  parts in the first text section, the customer link outside any section,
-  suppliers in a second section.  A line holds one order's items, so its size
-  is bounded by the order, not by the table.
+* orders + lineitem -> page lines in the wiki format, one line per lineitem:
+  ``<title>O1</title> <text>[[P..]][[S..]]</text> [[C..]] <text>[[S..]]</text>``;
+  part and supplier in the first text section, the order's customer outside
+  any section, the supplier again in a second section.  Titles repeat (one
+  line per item of an order) and no rows are grouped, so no line grows with
+  the size of any key.
 """
 
 from __future__ import annotations
@@ -71,19 +72,15 @@ def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forward.unionByName(back)
 
 
-def _links(items: str, prefix: str, field: str):
-    return F.array_join(F.transform(F.col(items), lambda x: F.concat(
-        F.lit("[[" + prefix), x[field].cast("string"), F.lit("]]"))), "")
-
-
 def wiki_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(line_id, line)``: one page line per order (see module doc)."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    """``(line)``: one page line per lineitem row (see module doc)."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
     od = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    per_order = (li.join(od, "l_orderkey")
-                 .groupBy("l_orderkey", "o_custkey")
-                 .agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey"))).alias("items")))
-    line = F.concat(F.lit("<title>O"), F.col("l_orderkey").cast("string"), F.lit("</title> <text>"),
-                    _links("items", "P", "l_partkey"), F.lit("</text> [[C"), F.col("o_custkey").cast("string"),
-                    F.lit("]] <text>"), _links("items", "S", "l_suppkey"), F.lit("</text>"))
-    return per_order.select(F.col("l_orderkey").alias("line_id"), line.alias("line"))
+
+    def s(c: str):
+        return F.col(c).cast("string")
+
+    line = F.concat(F.lit("<title>O"), s("l_orderkey"), F.lit("</title> <text>[[P"), s("l_partkey"),
+                    F.lit("]][[S"), s("l_suppkey"), F.lit("]]</text> [[C"), s("o_custkey"),
+                    F.lit("]] <text>[[S"), s("l_suppkey"), F.lit("]]</text>"))
+    return li.join(od, "l_orderkey").select(line.alias("line"))

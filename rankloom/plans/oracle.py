@@ -85,14 +85,9 @@ EDGES = """edges AS (
     SELECT 'S' || l_suppkey AS src, 'P' || l_partkey AS dst FROM lineitem WHERE l_linenumber = 1)"""
 
 WIKI_LINES = """wiki_lines AS (
-    SELECT l_orderkey AS line_id,
-        '<title>O' || l_orderkey || '</title> <text>'
-        || string_agg('[[P' || l_partkey || ']]', '' ORDER BY l_linenumber, l_partkey, l_suppkey)
-        || '</text> [[C' || o_custkey || ']] <text>'
-        || string_agg('[[S' || l_suppkey || ']]', '' ORDER BY l_linenumber, l_partkey, l_suppkey)
-        || '</text>' AS line
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-    GROUP BY l_orderkey, o_custkey)"""
+    SELECT '<title>O' || l_orderkey || '</title> <text>[[P' || l_partkey || ']][[S' || l_suppkey
+        || ']]</text> [[C' || o_custkey || ']] <text>[[S' || l_suppkey || ']]</text>' AS line
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 TITLE = f"'{TITLE_PATTERN}'"
 TEXT = f"'{TEXT_PATTERN}'"
@@ -101,7 +96,7 @@ HREF = "'" + HREF_PATTERN.replace("'", "''") + "'"
 
 
 def parsed_pages(rule: str) -> str:
-    """CTE ``pages(line_id, title, links)`` for one parsing rule."""
+    """CTE ``pages(title, links)`` for one parsing rule."""
     if rule == "first_section":
         title = f"trim(regexp_extract(line, {TITLE}, 1))"
         links = f"regexp_extract_all(regexp_extract(line, {TEXT}, 1), {LINK}, 1)"
@@ -111,7 +106,7 @@ def parsed_pages(rule: str) -> str:
     else:
         title = f"array_to_string(regexp_extract_all(line, {TITLE}, 1), ',')"
         links = f"regexp_extract_all(array_to_string(regexp_extract_all(line, {TEXT}, 1), chr(10)), {LINK}, 1)"
-    return f"""pages AS (SELECT line_id, {title} AS title, {links} AS links
+    return f"""pages AS (SELECT {title} AS title, {links} AS links
     FROM wiki_lines WHERE line IS NOT NULL AND line <> '' AND regexp_matches(line, {TITLE}))"""
 
 
