@@ -110,10 +110,23 @@ def inverse_doc_frequency(docs: DataFrame, postings: DataFrame | None = None,
             .withColumn("idf", idf_col("n_docs", "df")))
 
 
-# Largest (word, idf) table ``tfidf`` broadcasts, in bytes (about 4M words).
+# Largest word table (vocabulary with idf, or keyword set) broadcast, in
+# bytes (about 4M words).
 BROADCAST_VOCABULARY_BYTES = 96 << 20
 
 
+def _materialise_words(words: DataFrame, broadcast_bytes: int) -> tuple[DataFrame, bool]:
+    """Checkpoint a word-keyed table and tell whether it is small enough to broadcast.
+
+    The size is measured on the materialised rows (word bytes plus a fixed
+    per-row overhead), not estimated, so a broadcast never depends on a guess.
+    """
+    ensure_checkpoint_dir(words.sparkSession)
+    words = words.checkpoint()
+    size = words.agg(F.coalesce(F.sum(F.length("word") + F.lit(24)), F.lit(0)).alias("b")).first()["b"]
+    return words, size <= broadcast_bytes
+
+
 def tfidf(docs: DataFrame, postings: DataFrame | None = None, all_docs: DataFrame | int | None = None,
           broadcast_bytes: int = BROADCAST_VOCABULARY_BYTES) -> DataFrame:
     """``(word, doc, tf, tfidf)``.
@@ -129,11 +142,9 @@ def tfidf(docs: DataFrame, postings: DataFrame | None = None, all_docs: DataFram
     partitions of hot words.
     """
     postings = postings if postings is not None else term_frequency(docs)
-    weights = inverse_doc_frequency(docs, postings, all_docs).select("word", "idf")
-    ensure_checkpoint_dir(docs.sparkSession)
-    weights = weights.checkpoint()
-    size = weights.agg(F.coalesce(F.sum(F.length("word") + F.lit(24)), F.lit(0)).alias("b")).first()["b"]
-    if size <= broadcast_bytes:
+    weights, small = _materialise_words(inverse_doc_frequency(docs, postings, all_docs).select("word", "idf"),
+                                        broadcast_bytes)
+    if small:
         weights = F.broadcast(weights)
     return (postings.join(weights, "word")
             .select("word", "doc", "tf",
@@ -149,25 +160,34 @@ def _score(weighted: DataFrame) -> DataFrame:
 
 def search(docs: DataFrame, words: Iterable[str] | str | None = None,
            keywords: DataFrame | None = None, keyword_col: str = "word",
-           all_docs: DataFrame | int | None = None) -> DataFrame:
+           all_docs: DataFrame | int | None = None,
+           broadcast_bytes: int = BROADCAST_VOCABULARY_BYTES) -> DataFrame:
     """``(doc, score)``: sum of TF-IDF over the query words, documents with a hit only.
 
     Give the query as ``words`` (a short list, F27 rules apply) or as a
     ``keywords`` DataFrame (semi-join, J1) for long lists.  No words means an
     empty result (Q11).
     """
-    kw = None
-    if keywords is not None:
-        kw = keywords.select(F.col(keyword_col).alias("word")).filter(F.col("word").isNotNull()).distinct()
     q = None
     if words is not None:
         q = query_words(words)
         if not q:
             return _empty_scores(docs)
-    if q is None and kw is None:
+    if q is None and keywords is None:
         return _empty_scores(docs)
-    postings = term_frequency(docs, words=q, keywords=kw)
-    return _score(tfidf(docs, postings, all_docs))
+    if keywords is None:
+        postings = term_frequency(docs, words=q)
+    else:
+        # A keyword table is data: measure it.  Small -> broadcast semi-join
+        # right on the tokens; large -> semi-join the aggregated postings, so
+        # a shuffle moves postings, not raw tokens.
+        kw = keywords.select(F.col(keyword_col).alias("word")).filter(F.col("word").isNotNull()).distinct()
+        kw, small = _materialise_words(kw, broadcast_bytes)
+        if small:
+            postings = term_frequency(docs, words=q, keywords=F.broadcast(kw))
+        else:
+            postings = term_frequency(docs, words=q).join(kw, "word", "left_semi")
+    return _score(tfidf(docs, postings, all_docs, broadcast_bytes))
 
 
 def _empty_scores(docs: DataFrame) -> DataFrame:

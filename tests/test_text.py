@@ -144,3 +144,32 @@ def test_properties_on_documents(spark):
     # permuting rows does not change results
     shuffled = docs.orderBy(F.rand(7))
     assert T.tfidf(shuffled).exceptAll(T.tfidf(docs)).count() == 0
+
+
+def test_tfidf_shuffle_join_path_equals_broadcast_path(spark):
+    from conftest import SF0001
+    docs = T.documents(spark.read.parquet(f"{SF0001}/documents.parquet"))
+    small = T.tfidf(docs)                                  # vocabulary broadcast
+    big = T.tfidf(docs, broadcast_bytes=0)                 # forced shuffle join on word
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    big_plan = big._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in big_plan or "ShuffledHashJoin" in big_plan
+    assert small.exceptAll(big).count() == 0 and big.exceptAll(small).count() == 0
+
+
+def test_search_filter_sits_on_the_token_generator(spark, sample_docs):
+    plan = T.search(sample_docs, ["Hadoop"])._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    gen = [i for i, l in enumerate(lines) if "Generate explode(split(line" in l]
+    filt = [i for i, l in enumerate(lines) if "Filter" in l and "Hadoop" in l]
+    assert gen and filt and all(f < g for f in filt for g in gen)   # filter printed above (applied right after) the generator
+
+
+def test_keyword_search_large_keyword_path(spark):
+    from conftest import SF0001
+    docs = T.documents(spark.read.parquet(f"{SF0001}/documents.parquet"))
+    kw = T.keyword_table(spark.read.parquet(f"{SF0001}/benchmark.parquet"))
+    small = T.search(docs, keywords=kw)
+    large = T.search(docs, keywords=kw, broadcast_bytes=0)   # semi-join on postings, shuffle joins
+    assert "LeftSemi" in large._jdf.queryExecution().executedPlan().toString()
+    assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0 and small.count() > 0
