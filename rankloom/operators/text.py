@@ -85,12 +85,14 @@ def corpus_size(docs: DataFrame) -> DataFrame:
 def doc_frequency(postings: DataFrame) -> DataFrame:
     """A3: ``(word, df)``: number of documents holding each word.
 
-    Counted as postings with ``n > 0``: that keeps the per-(word, doc) count
-    alive in this branch, so the aggregate below stays identical in both join
-    branches of ``tfidf`` and Spark reuses its shuffle instead of tokenising
-    the corpus a second time.
+    Counted as postings with a positive TF weight (every posting has one):
+    the aggregate then reads the same ``(word, doc, tf)`` columns as the
+    scoring side, so when both sides read one shuffled copy of the postings
+    Spark reuses that exchange instead of tokenising the corpus twice.
     """
-    return postings.groupBy("word").agg(F.count_if(F.col("n") > 0).alias("df"))
+    if "tf" in postings.columns:
+        return postings.groupBy("word").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    return postings.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
 
 
 def inverse_doc_frequency(docs: DataFrame, postings: DataFrame | None = None,
@@ -128,7 +130,7 @@ def _materialise_words(words: DataFrame, broadcast_bytes: int) -> tuple[DataFram
 
 
 def tfidf(docs: DataFrame, postings: DataFrame | None = None, all_docs: DataFrame | int | None = None,
-          broadcast_bytes: int = BROADCAST_VOCABULARY_BYTES) -> DataFrame:
+          broadcast_bytes: int = BROADCAST_VOCABULARY_BYTES, bounded_vocabulary: bool = False) -> DataFrame:
     """``(word, doc, tf, tfidf)``.
 
     ``tfidf = double(text(tf)) * idf``: TF goes through its float32 text form,
@@ -139,13 +141,18 @@ def tfidf(docs: DataFrame, postings: DataFrame | None = None, all_docs: DataFram
     size measured.  Under ``broadcast_bytes`` it is broadcast, so the postings
     are never shuffled and a word in every document costs nothing extra;
     above it the join shuffles both sides on ``word`` and AQE splits the
-    partitions of hot words.
+    partitions of hot words.  ``bounded_vocabulary`` says the postings hold
+    a word set already known to be small (query words, a measured keyword
+    table): the weights are then broadcast without materialising them.
     """
     postings = postings if postings is not None else term_frequency(docs)
-    weights, small = _materialise_words(inverse_doc_frequency(docs, postings, all_docs).select("word", "idf"),
-                                        broadcast_bytes)
-    if small:
+    weights = inverse_doc_frequency(docs, postings, all_docs).select("word", "idf")
+    if bounded_vocabulary:
         weights = F.broadcast(weights)
+    else:
+        weights, small = _materialise_words(weights, broadcast_bytes)
+        if small:
+            weights = F.broadcast(weights)
     return (postings.join(weights, "word")
             .select("word", "doc", "tf",
                     (float_text_to_double("tf") * F.col("idf")).alias("tfidf")))
@@ -175,6 +182,7 @@ def search(docs: DataFrame, words: Iterable[str] | str | None = None,
             return _empty_scores(docs)
     if q is None and keywords is None:
         return _empty_scores(docs)
+    bounded = True
     if keywords is None:
         postings = term_frequency(docs, words=q)
     else:
@@ -187,7 +195,13 @@ def search(docs: DataFrame, words: Iterable[str] | str | None = None,
             postings = term_frequency(docs, words=q, keywords=F.broadcast(kw))
         else:
             postings = term_frequency(docs, words=q).join(kw, "word", "left_semi")
-    return _score(tfidf(docs, postings, all_docs, broadcast_bytes))
+            bounded = q is not None
+    if bounded:
+        # Few words: shuffle the matching postings once, spread by (word, doc)
+        # so a query word found in every document is not one task; the idf
+        # side and the scoring side both read this one exchange.
+        postings = postings.select("word", "doc", "tf").repartition("word", "doc")
+    return _score(tfidf(docs, postings, all_docs, broadcast_bytes, bounded_vocabulary=bounded))
 
 
 def _empty_scores(docs: DataFrame) -> DataFrame:

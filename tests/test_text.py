@@ -160,9 +160,10 @@ def test_tfidf_shuffle_join_path_equals_broadcast_path(spark):
 def test_search_filter_sits_on_the_token_generator(spark, sample_docs):
     plan = T.search(sample_docs, ["Hadoop"])._jdf.queryExecution().optimizedPlan().toString()
     lines = plan.splitlines()
-    gen = [i for i, l in enumerate(lines) if "Generate explode(split(line" in l]
-    filt = [i for i, l in enumerate(lines) if "Filter" in l and "Hadoop" in l]
-    assert gen and filt and all(f < g for f in filt for g in gen)   # filter printed above (applied right after) the generator
+    gens = [i for i, l in enumerate(lines) if "Generate explode(split(line" in l]
+    assert gens
+    for g in gens:   # the line printed right above each token generator is the query-word filter
+        assert "Filter" in lines[g - 1] and "Hadoop" in lines[g - 1], "\n".join(lines[g - 2:g + 1])
 
 
 def test_keyword_search_large_keyword_path(spark):
@@ -173,3 +174,13 @@ def test_keyword_search_large_keyword_path(spark):
     large = T.search(docs, keywords=kw, broadcast_bytes=0)   # semi-join on postings, shuffle joins
     assert "LeftSemi" in large._jdf.queryExecution().executedPlan().toString()
     assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0 and small.count() > 0
+
+
+def test_word_search_tokenizes_once(spark):
+    from conftest import SF0001
+    docs = T.documents(spark.read.parquet(f"{SF0001}/documents.parquet"))
+    q = T.search(docs, ["the", "la"])
+    q.collect()
+    final = q._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("Generate explode(split(line") == 1        # one tokenizing pass
+    assert "ReusedExchange" in final                              # idf side reads the scoring side's shuffle
