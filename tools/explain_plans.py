@@ -22,9 +22,10 @@ NOTES = {
                       "doc-partitioned, so the aggregate needs no shuffle of postings.",
     "tfidf": "Postings are computed map-side and joined with the checkpointed, measured (word, idf) table by "
              "broadcast: no postings shuffle.",
-    "search": "The IN filter sits directly on the token Generate; only query-word postings reach the aggregate.",
+    "search": "The IN filter sits directly on the token Generate; the matching postings are shuffled once by "
+              "(word, doc) and the idf side reads that exchange again (ReusedExchange): one tokenizing pass.",
     "search_keyword_table": "The keyword table is checkpointed and measured first; being small it is "
-                            "broadcast into a semi-join right on the tokens, so no token is shuffled.",
+                            "broadcast into a semi-join right on the tokens; then as for search.",
     "wiki_parse_all": "Per-row regex projections over lineitem joined with orders on the order key.",
     "pagerank_round": "One PageRank round over checkpointed shares and rank vector: the only Exchange carries "
                       "partial sums per target; the edge scan is neither shuffled nor re-sorted.",
