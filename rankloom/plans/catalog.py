@@ -130,15 +130,21 @@ def q_page_links(spark, d):
     return L.html_links(I.table(spark, d, "pages"))
 
 
-def _wiki(rule: str) -> QueryFn:
+def _wiki_rows(rule: str) -> QueryFn:
     def fn(spark, d):
-        return L.adjacency(L.parse_pages(I.wiki_lines(spark, d), rule))
+        pages = L.parse_pages(I.wiki_lines(spark, d), rule)
+        return pages.select("title", F.posexplode("links").alias("pos", "dst"))
     return fn
 
 
-register("wiki_parse_first", O.adjacency_sql("first_section"))(_wiki("first_section"))
-register("wiki_parse_line", O.adjacency_sql("whole_line"))(_wiki("whole_line"))
-register("wiki_parse_all", O.adjacency_sql("all_sections"))(_wiki("all_sections"))
+register("wiki_parse_first", O.parsed_rows_sql("first_section"))(_wiki_rows("first_section"))
+register("wiki_parse_line", O.parsed_rows_sql("whole_line"))(_wiki_rows("whole_line"))
+register("wiki_parse_all", O.parsed_rows_sql("all_sections"))(_wiki_rows("all_sections"))
+
+
+@register("wiki_adjacency", O.adjacency_sql("first_section"))
+def q_wiki_adjacency(spark, d):
+    return L.adjacency(L.parse_pages(I.wiki_lines(spark, d), "first_section"))
 
 
 @register("wiki_edges", O._with(O.WIKI_LINES, O.parsed_pages("all_sections"))

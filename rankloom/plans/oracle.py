@@ -110,6 +110,12 @@ def parsed_pages(rule: str) -> str:
     FROM wiki_lines WHERE line IS NOT NULL AND line <> '' AND regexp_matches(line, {TITLE}))"""
 
 
+def parsed_rows_sql(rule: str) -> str:
+    """``(title, pos, dst)``: one row per link of each parsed page line (0-based position)."""
+    return _with(WIKI_LINES, parsed_pages(rule)) + \
+        "SELECT title, unnest(generate_series(0, len(links) - 1)) AS pos, unnest(links) AS dst FROM pages"
+
+
 def adjacency_sql(rule: str) -> str:
     return _with(WIKI_LINES, parsed_pages(rule)) + \
         "SELECT title, len(links) AS out_degree, array_to_string(links, '@!#') AS links_text FROM pages"
