@@ -48,7 +48,9 @@ def token_split_pattern(spark) -> str:
     boundary.  Decided once per application by splitting a probe string in a
     one-row Spark job, so it reflects the executors, not the driver.
     """
-    key = spark.sparkContext.applicationId
+    from ..session import application_id
+
+    key = application_id(spark)
     if key not in _UNICODE_BOUNDARY:
         probe = spark.range(1).select(F.split(F.lit("a\u00e9 b"), REFERENCE_TOKEN_PATTERN).alias("t")).first()["t"]
         _UNICODE_BOUNDARY[key] = [t for t in probe if t] == ["a\u00e9", "b"]

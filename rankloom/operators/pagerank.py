@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.weights import TELEPORT, damped
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, parallelism
 
 MODES = ("keep_uncited", "all_nodes", "cited_only")
 # Upper bound on broadcast hub rows, whatever threshold a caller passes.
@@ -61,6 +61,7 @@ class PageRankRun:
     rounds: int          # rounds actually run
     n: int               # N used for the initial rank 1/N
     converged: bool      # stopped by the total-rank test
+    hubs: int = 0        # sources joined through the broadcast hub path
 
 
 def _count(df: DataFrame) -> int:
@@ -161,7 +162,7 @@ def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str
     n_edges, top = int(dstats["edges"] or 0), int(dstats["top"] or 0)
     if n_titles is None:
         n_titles = int(dstats["sources"])
-    parts = int(partitions or max(spark.sparkContext.defaultParallelism, -(-n_edges // EDGES_PER_PARTITION)))
+    parts = int(partitions or max(parallelism(spark), -(-n_edges // EDGES_PER_PARTITION)))
     threshold = hub_threshold if hub_threshold is not None else n_edges // parts
     threshold = max(threshold, n_edges // MAX_HUBS)       # caps the hub set at MAX_HUBS rows
 
@@ -178,9 +179,11 @@ def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str
 
         # ---- edge shares w = m / out-degree: hubs apart, the rest by src
         hot = hubs = None
+        n_hubs = 0
         cold_m = m
         if top > threshold:
             hubs = degree.filter(F.col("rows") > threshold).select("src", "deg").checkpoint()
+            n_hubs = _count(hubs)
             hot = (m.join(F.broadcast(hubs), "src")
                    .select("src", "dst", (F.col("m") / F.col("deg")).alias("w"))
                    .repartition(parts, "src", "dst").checkpoint())
@@ -207,7 +210,7 @@ def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str
             if tol is not None:
                 total = _total(ranks)
                 converged, prev_total = abs(total - prev_total) <= tol, total
-    return PageRankRun(ranks, rounds, n, converged)
+    return PageRankRun(ranks, rounds, n, converged, n_hubs)
 
 
 def _first_round_by_line(lines_m: DataFrame, nodes: DataFrame, inv_n: float, mode: str) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.text import documents
+from ..session import parallelism
 from ..sources.files import input_bytes
 
 
@@ -38,7 +39,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     df = spark.read.parquet(path)
-    slots = spark.sparkContext.defaultParallelism
+    slots = parallelism(spark)
     key = KEYS.get(name)
     if key is None or len(df.inputFiles()) >= slots:
         return df

@@ -48,6 +48,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Task slots of the cluster (default parallelism), or the shuffle partition
+    count where the session exposes no SparkContext (Spark Connect)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # no SparkContext in this client
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def application_id(spark: SparkSession) -> str:
+    """Identifier of the running application (a cache key for per-application probes)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # no SparkContext in this client
+        return spark.conf.get("spark.app.id", "default")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, setting one only where none is configured.
 
@@ -57,7 +74,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A non-local session without ``spark.checkpoint.dir`` is an error: a
     machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns spark.checkpoint.dir
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -126,3 +126,20 @@ def test_round_plan_shuffles_only_partial_sums(spark):
             assert "hashpartitioning(dst" in plan
             edge_scan_sorted = [l for l in plan.splitlines() if "Sort [src" in l]
             assert len(edge_scan_sorted) <= 1   # the rank side only (page -> src rename)
+
+
+def test_default_threshold_finds_a_hub(spark):
+    """A source linking to a third of the graph is split off by the default threshold and the
+    hub path gives the same ranks as the plain path."""
+    star = [("hub", f"n{i}") for i in range(0, 3000, 3)]                       # 1000 links from one page
+    ring = [(f"n{i}", f"n{(i + 1) % 3000}") for i in range(3000)]              # everyone else: one link
+    back = [(f"n{i}", "hub") for i in range(0, 3000, 7)]
+    e = spark.createDataFrame(star + ring + back, "src string, dst string")
+    run = PR.pagerank_run(e, mode="all_nodes", iterations=5, partitions=8)
+    plain = PR.pagerank_run(e, mode="all_nodes", iterations=5, partitions=8, hub_threshold=10 ** 9)
+    # 4429 edges / 8 partitions -> threshold 553 < 1000: the hub takes the broadcast path
+    assert run.hubs == 1 and plain.hubs == 0
+    a, b = as_dict(run.ranks), as_dict(plain.ranks)
+    assert a.keys() == b.keys() and len(a) == 3001
+    for k in a:
+        assert a[k] == pytest.approx(b[k], abs=1e-12)
