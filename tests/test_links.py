@@ -1,6 +1,5 @@
 """Page-line parsing rules, node counts and HTML extraction."""
 
-from pyspark.sql import functions as F
 
 from rankloom.operators import links as L
 

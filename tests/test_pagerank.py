@@ -1,7 +1,6 @@
 """PageRank modes against the fixture values, special cases, hub path and plan shape."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from rankloom.operators import links as L
 from rankloom.operators import pagerank as PR
