@@ -184,3 +184,15 @@ def test_word_search_tokenizes_once(spark):
     final = q._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("Generate explode(split(line") == 1        # one tokenizing pass
     assert "ReusedExchange" in final                              # idf side reads the scoring side's shuffle
+
+
+def test_empty_corpus_and_null_text(spark):
+    empty = spark.createDataFrame([], "doc string, text string")
+    assert T.tfidf(empty).count() == 0
+    assert T.search(empty, ["a"]).count() == 0
+    assert T.corpus_size(empty).first().n_docs == 0
+    docs = spark.createDataFrame([("a", None), ("b", "x x y")], "doc string, text string")
+    assert T.corpus_size(docs).first().n_docs == 2          # a document without text still counts in N
+    w = {r.word: r.idf for r in T.inverse_doc_frequency(docs).collect()}
+    assert w["x"] == pytest.approx(0.47712125471966244)    # log10(1 + 2 div 1)
+    assert [(r.doc, r.n) for r in T.doc_word_count(docs).orderBy("word").collect()] == [("b", 2), ("b", 1)]
