@@ -97,3 +97,30 @@ def test_rank_outputs(spark, tmp_path):
     assert read_lines(str(tmp_path / "k6"))[0] == "3   1.3443011530882782"
     K.write_rank_report(ranks, str(tmp_path / "k7"))
     assert read_lines(str(tmp_path / "k7"))[0] == "3 has rank: 1.3443011530882782."
+
+
+def test_cli_jobs_write_reference_outputs(spark, tmp_path):
+    from rankloom.cli import run
+    d = write_inputs(tmp_path)
+    out = str(tmp_path / "cli")
+    run(["wordcount", d, out + "/wc"], spark)
+    assert read_lines(out + "/wc") == ["Hadoop&#&#&file1.txt\t\t2", "Hadoop&#&#&file2.txt\t\t1",
+                                       "an&#&#&file2.txt\t\t1", "elephant&#&#&file2.txt\t\t1",
+                                       "is&#&#&file1.txt\t\t1", "is&#&#&file2.txt\t\t1",
+                                       "yellow&#&#&file1.txt\t\t1", "yellow&#&#&file2.txt\t\t1"]
+    run(["termfrequency", d, out + "/tf"], spark)
+    assert read_lines(out + "/tf")[0] == "Hadoop&#&#&file1.txt\t\t1.30103"
+    run(["tfidf", d, out + "/tfidf"], spark)
+    assert read_lines(out + "/tfidf")[:2] == ["Hadoop&#&#&file1.txt\t0.3916490552587094",
+                                              "Hadoop&#&#&file2.txt\t0.3010299956639812"]
+    run(["rank", d, out + "/rank", "Hadoop", "yellow"], spark)
+    assert read_lines(out + "/rank") == ["file1.txt\t0.69267905", "file2.txt\t0.60206"]
+    run(["search", d, out + "/search", "Hadoop"], spark)
+    assert sorted(read_lines(out + "/search")) == ["file1.txt\t0.39164907", "file2.txt\t0.30103"]
+    pages = tmp_path / "pages"
+    pages.mkdir()
+    (pages / "input.txt").write_text("<title>1</title> <text>[[3]][[5]]</text>\n\n<title>2</title> <text>[[1]][[3]]</text>\n\n"
+                                     "<title>3</title> <text>[[2]][[4]]</text>\n\n<title>4</title> <text>[[1]][[5]]</text>\n\n"
+                                     "<title>5</title> <text>[[3]]</text>\n")
+    run(["pagerank", str(pages), out + "/pr", "--mode", "all_nodes"], spark)
+    assert read_lines(out + "/pr")[0] == "3   1.3443011530882782"
