@@ -62,9 +62,22 @@ def parse_pages(lines: DataFrame, rule: str = "whole_line", line: str = "line",
     return src.select("line_id", title.alias("title"), links.alias("links"))
 
 
+def explode_links(pages: DataFrame, *cols: str, pos: bool = False) -> DataFrame:
+    """One row per link of each page, ``cols`` kept; pages without links give none.
+
+    Written as an outer explode plus a null filter (a link target is never
+    null, so only empty lists drop out).  An inner explode makes the
+    optimizer add ``size(links) > 0`` below it, which it pushes through the
+    projection by copying the regex extraction, so the markup would be
+    parsed twice per line.
+    """
+    gen = (F.posexplode_outer("links").alias("pos", "dst") if pos else F.explode_outer("links").alias("dst"))
+    return pages.select(*cols, gen).filter(F.col("dst").isNotNull())
+
+
 def page_edges(pages: DataFrame) -> DataFrame:
     """``(line_id, src, dst)``, one row per link; pages without links give none."""
-    return pages.select("line_id", F.col("title").alias("src"), F.explode("links").alias("dst"))
+    return explode_links(pages.withColumnRenamed("title", "src"), "line_id", "src")
 
 
 def adjacency(pages: DataFrame) -> DataFrame:

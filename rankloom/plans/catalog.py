@@ -132,8 +132,7 @@ def q_page_links(spark, d):
 
 def _wiki_rows(rule: str) -> QueryFn:
     def fn(spark, d):
-        pages = L.parse_pages(I.wiki_lines(spark, d), rule)
-        return pages.select("title", F.posexplode("links").alias("pos", "dst"))
+        return L.explode_links(L.parse_pages(I.wiki_lines(spark, d), rule), "title", pos=True)
     return fn
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.text import documents
-from ..session import parallelism
+from ..session import application_id, parallelism
 from ..sources.files import input_bytes
 
 
@@ -44,11 +44,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if key is None or len(df.inputFiles()) >= slots:
         return df
     max_split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    if input_bytes(spark, path) >= slots * max_split:
+    if _size(spark, path) >= slots * max_split:
         return df
     return df.repartition(2 * slots, key)
 
 
+_SIZES: dict[tuple[str, str], int] = {}
+
+
+def _size(spark: SparkSession, path: str) -> int:
+    """Input bytes of a table, measured once per application (tables are read-only inputs)."""
+    key = (application_id(spark), path)
+    if key not in _SIZES:
+        _SIZES[key] = input_bytes(spark, path)
+    return _SIZES[key]
+
+
 def _bytes(v: str) -> int:
     v = v.strip().lower().rstrip("b")
     mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}

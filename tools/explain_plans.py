@@ -26,7 +26,8 @@ NOTES = {
               "(word, doc) and the idf side reads that exchange again (ReusedExchange): one tokenizing pass.",
     "search_keyword_table": "The keyword table is checkpointed and measured first; being small it is "
                             "broadcast into a semi-join right on the tokens; then as for search.",
-    "wiki_parse_all": "Per-row regex projections over lineitem joined with orders on the order key.",
+    "wiki_parse_all": "Per-row regex projections and a posexplode of the links, over lineitem joined with orders "
+                      "on the order key (both spread by that key, so the join needs no further shuffle).",
     "pagerank_round": "One PageRank round over checkpointed shares and rank vector: the only Exchange carries "
                       "partial sums per target; the edge scan is neither shuffled nor re-sorted.",
 }
