@@ -63,3 +63,11 @@ def test_html_titles_and_links(spark):
                                    (2, "<html>no title</html>")], "page_id long, html string")
     assert {r.page_id: r.title for r in L.html_titles(pages).collect()} == {1: "T1", 2: ""}
     assert [(r.pos, r.target) for r in L.html_links(pages).orderBy("pos").collect()] == [(0, "/x"), (1, "y")]
+
+
+def test_links_are_extracted_once_per_line(spark):
+    """No inferred size(links) > 0 filter copies the regex extraction below the explode."""
+    edges = L.page_edges(L.parse_pages(lines_df(spark, SAMPLE), "whole_line"))
+    plan = edges._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1 and "size(" not in plan
+    assert edges.count() == 9
