@@ -69,6 +69,21 @@ def _count(df: DataFrame) -> int:
 
 
 @contextmanager
+def _conf(spark, settings: dict[str, str]):
+    """Set session settings inside the block and restore them after."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def fixed_partitioning(spark, parts: int):
     """Plan with AQE off and ``parts`` shuffle partitions inside the block.
 
@@ -79,18 +94,7 @@ def fixed_partitioning(spark, parts: int):
     Skew needs no AQE here: hubs are split off and targets are summed with a
     map-side partial aggregate.
     """
-    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(parts)}
-    old = {k: spark.conf.get(k, None) for k in keys}
-    try:
-        for k, v in keys.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    return _conf(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(parts)})
 
 
 def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str = "all_nodes",
@@ -195,7 +199,9 @@ def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str
 
         # ---- round 1: every page holds 1/N
         if repeated and mode != "cited_only":
-            ranks = _first_round_by_line(lines_m, nodes, inv_n, mode).checkpoint()
+            # line-level shares join on the line key: let AQE split a hub line
+            with _conf(spark, {"spark.sql.adaptive.enabled": "true"}):
+                ranks = _first_round_by_line(lines_m, nodes, inv_n, mode).checkpoint()
         else:
             ranks = _round(cold, hot, hubs, nodes.select("page", F.lit(inv_n).alias("rank")), mode).checkpoint()
         prev_total, converged, rounds = 0.0, False, 1
