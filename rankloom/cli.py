@@ -6,9 +6,13 @@
     python -m rankloom search IN OUT WORD [WORD ...]
     python -m rankloom rank IN OUT WORD [WORD ...] [--ties one|all]
     python -m rankloom pagerank IN OUT [--mode M] [--iterations 10] [--tol T] [--format F]
+                                       [--edges] [--n N]
 
 ``IN`` is one or more comma-separated folders or files; every file is a
 document, labelled by its base name plus ``.txt``, and N counts every file.
+For ``pagerank`` the input holds page lines, or ``src#####dst`` edge lines
+with ``--edges`` (N then defaults to the mode's count over the edges; give
+``--n`` for the line count of the original page file).
 Each job is sources -> operators -> sinks on the active (or a new) Spark
 session; nothing passes through the driver.
 """
@@ -57,6 +61,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--tol", type=float, default=None)
     s.add_argument("--format", choices=tuple(PAGERANK_FORMATS), default=None)
     s.add_argument("--strip-target-spaces", action="store_true")
+    s.add_argument("--edges", action="store_true", help="input holds src#####dst edge lines")
+    s.add_argument("--n", type=int, default=None, help="N for the initial rank 1/N")
     return p
 
 
@@ -65,9 +71,13 @@ def run(argv: list[str], spark: SparkSession | None = None) -> None:
     spark = spark or SparkSession.builder.appName(f"rankloom-{args.job}").getOrCreate()
     ensure_checkpoint_dir(spark)
     if args.job == "pagerank":
-        lines = S.read_lines(spark, args.input)
-        ranks = PR.pagerank_lines(lines, mode=args.mode, iterations=args.iterations, tol=args.tol,
-                                  strip_target_spaces=args.strip_target_spaces)
+        if args.edges:
+            ranks = PR.pagerank(S.read_edge_list(spark, args.input), mode=args.mode, n=args.n,
+                                iterations=args.iterations, tol=args.tol)
+        else:
+            ranks = PR.pagerank_lines(S.read_lines(spark, args.input), mode=args.mode, n=args.n,
+                                      iterations=args.iterations, tol=args.tol,
+                                      strip_target_spaces=args.strip_target_spaces)
         PAGERANK_FORMATS[args.format or FORMAT_OF_MODE[args.mode]](ranks, args.output)
         return
     docs = S.read_text_docs(spark, args.input, doc_suffix=S.files.DOC_SUFFIX)

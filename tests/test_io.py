@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from rankloom import sinks as K
@@ -123,4 +125,12 @@ def test_cli_jobs_write_reference_outputs(spark, tmp_path):
                                      "<title>3</title> <text>[[2]][[4]]</text>\n\n<title>4</title> <text>[[1]][[5]]</text>\n\n"
                                      "<title>5</title> <text>[[3]]</text>\n")
     run(["pagerank", str(pages), out + "/pr", "--mode", "all_nodes"], spark)
-    assert read_lines(out + "/pr")[0] == "3   1.3443011530882782"
+    page, rank = read_lines(out + "/pr")[0].split("   ")
+    assert page == "3" and float(rank) == pytest.approx(1.3443011530882782, abs=1e-9)
+    edges = tmp_path / "edges"
+    edges.mkdir()
+    (edges / "e.txt").write_text("1#####3\n1#####5\n2#####1\n2#####3\n3#####2\n3#####4\n4#####1\n4#####5\n5#####3\n")
+    run(["pagerank", str(edges), out + "/pr_e", "--edges", "--mode", "cited_only", "--n", "9"], spark)
+    first = read_lines(out + "/pr_e")[0]
+    assert first.startswith("3 has rank: ") and first.endswith(".")
+    assert float(first[len("3 has rank: "):-1]) == pytest.approx(1.3153339555746044, abs=1e-9)
