@@ -29,6 +29,9 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # PageRank checkpoints one rank vector per round; delete a round's files
+    # once nothing references it, so long runs do not fill the folder.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
