@@ -11,7 +11,9 @@ Plan shape (see ``explain`` in the tests):
 * tokens: two narrow ``Generate`` steps (lines, then tokens) inside one
   codegen stage; no UDF.
 * counts: hash aggregate on (word, doc) with a map-side partial aggregate,
-  so each map task ships one row per distinct (word, doc) it saw.
+  so each map task ships one row per distinct (word, doc) it saw; when the
+  documents arrive hash-partitioned by ``doc`` the aggregate needs no
+  shuffle at all.
 * document frequency: a second aggregate on ``word`` over those rows (partial
   aggregation again collapses hot words before the shuffle), materialised
   and measured, then joined back on ``word``: broadcast when the measured
@@ -22,8 +24,10 @@ Plan shape (see ``explain`` in the tests):
 * corpus size: one-row global aggregate over the documents (not the
   postings, so documents without tokens count), cross-joined as a
   broadcast: its size is one row by construction.
-* search: the word filter sits right above the token ``Generate`` in the
-  optimised plan, so only postings of query words are aggregated/shuffled.
+* search: the word filter (or a measured, broadcast keyword semi-join) sits
+  right above the token ``Generate``; the matching postings are shuffled
+  once by (word, doc) and both the idf side and the scoring side read that
+  exchange, so the corpus is tokenized once per search.
 """
 
 from __future__ import annotations
