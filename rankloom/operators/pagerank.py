@@ -20,15 +20,20 @@ Execution plan, built for graphs much larger than memory:
 
 * edge shares ``(src, dst, w)`` are computed once (multiplicity / out-degree)
   and written to the checkpoint folder hash-partitioned by ``src`` and sorted
-  within partitions; per round the rank vector (one row per node) is the only
-  side that moves for the ``edges ⋈ ranks`` join;
+  within partitions, one partition per ``EDGES_PER_PARTITION`` edges; every
+  round's rank vector is checkpointed with the same partitioning, so the
+  ``edges ⋈ ranks`` join moves nothing and a round's only shuffle carries
+  partial sums per target (AQE is off inside the loop for that reason: an
+  adaptive plan does not report its partitioning to the checkpoint);
 * sources whose out-degree exceeds one partition's fair share of edges
   ("hubs") are kept apart, spread over all partitions by ``(src, dst)``, and
-  joined with a broadcast of just their ranks: at most ``partitions`` rows,
-  so the broadcast is bounded by construction and no task holds a hub;
+  joined with a broadcast of just their ranks: at most ``MAX_HUBS`` rows
+  whatever the threshold, so the broadcast is bounded and no task holds a hub;
 * contributions are summed per target with a map-side partial aggregate, so
   a target cited by everyone ships one partial sum per map task;
-* round 1 needs no join: every rank is 1/N;
+* round 1 is an ordinary round over a rank vector of 1/N; only when titles
+  repeat does it use line-level shares (planned with AQE, which splits a hub
+  line);
 * each round's rank vector is cut from its lineage with a reliable
   ``checkpoint()`` into ``spark.checkpoint.dir``, so a lost executor costs
   one round, not the whole history.
