@@ -142,3 +142,16 @@ def test_default_threshold_finds_a_hub(spark):
     assert a.keys() == b.keys() and len(a) == 3001
     for k in a:
         assert a[k] == pytest.approx(b[k], abs=1e-12)
+
+
+def test_session_settings_are_restored(spark):
+    """PageRank plans its loop with AQE off; the caller's settings come back afterwards, even on error."""
+    before = (spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.shuffle.partitions"))
+    e = spark.createDataFrame([("a", "b"), ("b", "a")], "src string, dst string")
+    PR.pagerank(e, mode="all_nodes", iterations=3, partitions=3).collect()
+    assert (spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.shuffle.partitions")) == before
+    with pytest.raises(RuntimeError):
+        with PR.fixed_partitioning(spark, 5):
+            assert spark.conf.get("spark.sql.adaptive.enabled") == "false"
+            raise RuntimeError("boom")
+    assert (spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.shuffle.partitions")) == before
