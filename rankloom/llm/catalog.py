@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, merkle, packing, secrets, simhash, url_filter
+from . import bpe, exact_dedup, merkle, packing, secrets, simhash, url_filter
 from .common import table
 
 
@@ -34,9 +34,14 @@ def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.document_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_secret_scan, op2_exact_dedup, op4_url_filter, op6_best_fit_packing, op8_simhash_near_dedup, op9_document_fingerprints)
+    for f in (op1_secret_scan, op2_exact_dedup, op4_url_filter, op6_best_fit_packing, op8_simhash_near_dedup, op9_document_fingerprints,
+              op10_byte_bpe)
 }
 
 # Where SQL can express the result; the others are tested against brute force.
