@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, merkle, packing, secrets, simhash, url_filter
+from . import bpe, exact_dedup, merkle, packing, quality, secrets, simhash, url_filter
 from .common import table
 
 
@@ -26,6 +27,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(table(spark, sf_dir, "documents"))
 
@@ -40,9 +45,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_secret_scan, op2_exact_dedup, op4_url_filter, op6_best_fit_packing, op8_simhash_near_dedup, op9_document_fingerprints,
-              op10_byte_bpe)
-}
+    for f in (op1_secret_scan, op2_exact_dedup, op4_url_filter, op6_best_fit_packing, op7_quality_classifier, op8_simhash_near_dedup,
+              op9_document_fingerprints, op10_byte_bpe)
+} | {"pipeline": corpus_pipeline.run}
 
 # Where SQL can express the result; the others are tested against brute force.
 SQL: dict[str, str] = {
