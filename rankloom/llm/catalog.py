@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, line_dedup, merkle, packing, quality, secrets, simhash, url_filter
+from . import bpe, exact_dedup, licenses, line_dedup, merkle, packing, quality, secrets, simhash, url_filter
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -49,7 +53,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_secret_scan, op2_exact_dedup, op3_line_dedup, op4_url_filter, op6_best_fit_packing, op7_quality_classifier, op8_simhash_near_dedup,
+    for f in (op1_secret_scan, op2_exact_dedup, op3_line_dedup, op4_url_filter, op5_license_scan, op6_best_fit_packing, op7_quality_classifier, op8_simhash_near_dedup,
               op9_document_fingerprints, op10_byte_bpe)
 } | {"pipeline": corpus_pipeline.run}
 
