@@ -64,9 +64,13 @@ def leaves(print_: Column) -> Column:
 
 def likeness(a: Column, b: Column) -> Column:
     """0 to 1; 1 exactly for fingerprints of equal texts or of texts with the same set of blocks."""
-    common = F.size(F.array_intersect(leaves(a), leaves(b)))
+    def compare(pair: Column) -> Column:
+        common = F.size(F.array_intersect(pair["a"], pair["b"]))
+        return F.when(pair["same"], F.lit(1.0)).otherwise(2.0 * common / (F.size(pair["a"]) + F.size(pair["b"])))
+
     same = F.substring_index(a, "|", 1) == F.substring_index(b, "|", 1)
-    return F.when(same, F.lit(1.0)).otherwise(2.0 * common / (F.size(leaves(a)) + F.size(leaves(b))))
+    # As an array of one, so that the lists of leaves are made once.
+    return F.transform(F.array(F.struct(leaves(a).alias("a"), leaves(b).alias("b"), same.alias("same"))), compare)[0]
 
 
 def differing(a: Column, b: Column) -> Column:
@@ -96,32 +100,29 @@ def with_next(docs: DataFrame) -> DataFrame:
     """doc_id, text, print and the next document's: ``next_text`` and ``next_print``, in order of
     descending id, the first one after the last.
 
-    One shuffle carries the texts to their slice of ids; a slice's last row takes the first row of
-    the following slice, found by an aggregate with one row per slice.
+    One shuffle carries the texts to their slice of ids.  The first row of a slice is also sent to the slice
+    before, as its last row, so every row finds the next one in its own slice.
     """
-    rows = docs.select("doc_id", whole_text().alias("text"))
-    rows = rows.withColumn("print", fingerprint(F.col("text"))).withColumn("slice", _slices(docs))
-    order = [F.col("doc_id").desc_nulls_last(), F.col("print")]
-    by_slice = Window.partitionBy("slice").orderBy(*order)
-    looked = (rows.withColumn("next", F.lead(F.struct("text", "print")).over(by_slice)))
-    # The first row of each slice: largest id, then smallest fingerprint (fixed-width hex: compared as its complement).
-    flipped = F.translate(F.substring_index("print", "|", 1), "0123456789abcdef", "fedcba9876543210")
-    heads = cut(rows.groupBy("slice").agg(F.max_by(F.struct("text", "print"), F.struct("doc_id", flipped)).alias("head")))
-    numbers = heads.select("slice").orderBy("slice")
+    slice_ = _slices(docs)
+    numbered = docs.select("doc_id", whole_text().alias("text"), slice_.alias("slice"))
+    # Numbers only, one row per slice: its first id, and the slice before it (for the first slice the last).
+    firsts = docs.select("doc_id", slice_.alias("slice")).groupBy("slice").agg(F.max("doc_id").alias("first_id"))
     one = Window.orderBy("slice")
-    following = (numbers.withColumn("after", F.coalesce(F.lead("slice").over(one), F.first("slice").over(
-        one.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))))
-    heads = following.join(heads.withColumnRenamed("slice", "after"), "after").select("slice", "head")
-    return (looked.join(F.broadcast(heads), "slice", "left")
-            .withColumn("next", F.coalesce("next", "head")).drop("head", "slice")
-            .select("doc_id", "text", "print", F.col("next.text").alias("next_text"), F.col("next.print").alias("next_print")))
+    whole = one.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    firsts = cut(firsts.withColumn("before", F.coalesce(F.lag("slice").over(one), F.last("slice").over(whole))))
+    guests = (numbered.join(F.broadcast(firsts.withColumnRenamed("slice", "at")),
+                            (F.col("slice") == F.col("at")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
+              .select("doc_id", "text", F.col("before").alias("slice"), F.lit(True).alias("guest")))
+    rows = numbered.withColumn("guest", F.lit(False)).unionByName(guests).withColumn("print", fingerprint(F.col("text")))
+    by_slice = Window.partitionBy("slice").orderBy("guest", F.col("doc_id").desc_nulls_last(), "print")
+    looked = rows.withColumn("next", F.lead(F.struct("text", "print")).over(by_slice)).where(~F.col("guest"))
+    return looked.select("doc_id", "text", "print", F.col("next.text").alias("next_text"), F.col("next.print").alias("next_print"))
 
 
 def document_fingerprints(docs: DataFrame) -> DataFrame:
     """The contract's columns: each text against its edited form and against the next document."""
-    n, third = F.length("text"), (F.length("text") / 3).cast("int")
     edited = F.concat(F.expr("left(text, length(text) - int(length(text) / 3))"), F.expr("left(next_text, int(length(text) / 3))"))
-    rows = with_next(docs).withColumn("n_chars", n.cast("long")).withColumn("edited", edited).drop("text", "next_text")
+    rows = with_next(docs).withColumn("n_chars", F.length("text").cast("long")).withColumn("edited", edited).drop("text", "next_text")
     rows = rows.withColumn("edited_fingerprint", fingerprint(F.col("edited"))).withColumnRenamed("print", "fingerprint")
     return rows.select("doc_id", "n_chars", _sha(F.col("edited")).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
                        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
