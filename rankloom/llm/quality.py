@@ -128,7 +128,7 @@ def estimate(patterns: dict[int, int], rounds: int = 200, tolerance: float = 1e-
     """
     codes = sorted(patterns)
     n = np.array([patterns[c] for c in codes], float)
-    seen = np.array([digits(c) for c in codes]).reshape(len(codes), len(LABELLERS))
+    seen = np.array([digits(c) for c in codes], int).reshape(len(codes), len(LABELLERS))
     rates = np.array([[[1.0, 0.6, 0.4], [1.0, 0.97, 0.03]]] * len(LABELLERS))  # nothing said: no evidence
     prior = 0.8
     good = np.full(len(codes), prior)

@@ -15,7 +15,7 @@ a dropped match still consumes its characters.
 Edge cases: a null or empty text has no span.  A null document id is an id like any other
 (null-safe joins).  Repeated ids share one candidate entry, which only widens the candidates;
 every input row gives one output row with the spans of its own text.  Extra columns are
-kept by ``scan`` unless they are named like an output column, which then replaces them.
+kept; ``scan`` replaces a column that has the name of its result.
 """
 
 from __future__ import annotations
@@ -150,10 +150,10 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
 
 
-def scan(docs: DataFrame, rules=RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with ``found``: all spans (start, ord, stop, kind) by start, then rule order."""
+def scan(docs: DataFrame, rules=RULES, key: str = "doc_id", text: str = "text", into: str = "found") -> DataFrame:
+    """``docs`` with the column ``into``: all spans (start, ord, stop, kind) by start, then rule order."""
     hits = candidates(docs, rules, key, text)
-    base = docs.select(*(c for c in docs.columns if c not in ("found", "__rules")))
+    base = docs.select(*(c for c in docs.columns if c not in (into, "__rules")))
     if hits is None:
         judged = base.withColumn("__rules", F.lit(0).cast("long"))
     else:
@@ -166,7 +166,7 @@ def scan(docs: DataFrame, rules=RULES, key: str = "doc_id", text: str = "text")
             none = F.expr("cast(array() as array<struct<start:int,ord:int,stop:int,kind:string>>)")
             spans = F.when(F.col("__rules").bitwiseAND(1 << n) != 0, spans).otherwise(none)
         parts.append(spans)
-    return judged.withColumn("found", F.array_sort(F.concat(*parts))).drop("__rules")
+    return judged.withColumn(into, F.array_sort(F.concat(*parts))).drop("__rules")
 
 
 def secret_spans(docs: DataFrame) -> DataFrame:
@@ -189,14 +189,14 @@ def redact(docs: DataFrame, mark: str = "[secret]", rules=RULES) -> DataFrame:
         longer = F.struct(F.greatest(state["at"], span["stop"]).alias("at"), state["out"].alias("out"))
         return F.when(span["start"] >= state["at"], fresh).otherwise(longer)
 
-    clean = F.aggregate("found", state0, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    out = scan(docs, rules).withColumn("__clean", F.when(F.size("found") > 0, clean).otherwise(F.col("text")))
+    clean = F.aggregate("__found", state0, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+    out = scan(docs, rules, into="__found").withColumn("__clean", F.when(F.size("__found") > 0, clean).otherwise(F.col("text")))
     columns = []
     for c in docs.columns:
         if c == "text":
             columns.append(F.col("__clean").alias("text"))
         elif c == "n_chars":
-            columns.append(F.when(F.size("found") > 0, F.length("__clean").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c))
+            columns.append(F.when(F.size("__found") > 0, F.length("__clean").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c))
         else:
             columns.append(F.col(c))
     return out.select(*columns)

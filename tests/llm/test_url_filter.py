@@ -1,0 +1,67 @@
+from rankloom.llm import url_filter
+from rankloom.llm.url_filter import UrlRule
+
+
+def split(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    cut = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+    path = rest[cut:]
+    end = min([path.find(c) for c in "?#" if c in path], default=len(path))
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:cut]), path[:end]
+
+
+def brute(url, rules, default="allow"):
+    host, path = split(url)
+    fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    best = max(fits, key=lambda r: (len(r.text), len(r.host), r.verdict == "block"), default=None)
+    return host, path, best.text if best else None, best.verdict if best else default
+
+
+URLS = [None, "", "no scheme", "http://", "http://NET/", "http://a.Net", "https://a.net/x?y#z", "http://net?/q", "ftp://x.example.net/en/",
+        "http://example.net/en", "http://example.net/EN/", "http://example.com/de/1#/fr/", "http://sub.example.com/de/", "http://badexample.com/de/",
+        "http://a.org/fr/", "http://org/fr/2", "http://a.org:80/fr/", "http://xnet/", "http://..net/", "http://net./", "x://y://z.net/a",
+        "http://a.net/\nb", "http://É.net/é", "http://" + "a." * 3000 + "net/" + "p/" * 3000, "http://net/", "http://net/"]
+
+
+def check(df, rows, rules=url_filter.RULES, **more):
+    got = sorted(map(repr, ((r.page_id, r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(df, rules, **more).collect())))
+    assert got == sorted(repr((i, *brute(u, rules))) for i, u in rows)
+
+
+def table(spark, urls):
+    rows = [(None if n == 3 else n // 2, u, "clash", "clash") for n, u in enumerate(urls)]
+    return spark.createDataFrame(rows, "page_id long, url string, host string, digest string"), [(r[0], r[1]) for r in rows]
+
+
+def test_awkward_urls(spark):
+    check(*table(spark, URLS))
+    assert url_filter.judge(table(spark, URLS)[0].limit(0)).count() == 0
+
+
+def test_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    check(pages, [(r.page_id, r.url) for r in pages.collect()])
+
+
+MORE = (UrlRule("block", "net", "/a"), UrlRule("allow", "b.net", "/"), UrlRule("block", "c.b.net", ""), UrlRule("allow", "x.net", "/"), UrlRule("block", "x.net", "/"))
+HOSTS = ["http://net/ab", "http://b.net/ab", "http://c.b.net", "http://c.b.net/ab", "http://z.c.b.net/", "http://x.net/", "http://q.x.net/a"]
+
+
+def test_precedence_and_partial_segments(spark):
+    check(*table(spark, HOSTS), rules=MORE)
+
+
+def test_rule_list_too_long_to_broadcast(spark):
+    check(*table(spark, URLS), broadcast_rules=0)
+    check(*table(spark, HOSTS), rules=MORE, broadcast_rules=0)
+
+
+def test_colliding_prefixes_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "PREFIX_HEX", 0)  # every expression meets every rule
+    check(*table(spark, URLS))
+
+
+def test_no_rules(spark):
+    check(*table(spark, URLS), rules=())
