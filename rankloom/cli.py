@@ -8,11 +8,14 @@
     python -m rankloom pagerank IN OUT [--mode M] [--iterations 10] [--tol T] [--format F]
                                        [--edges] [--n N]
 
+Every job refuses an output folder that exists, unless ``--overwrite`` is given.
+
 ``IN`` is one or more comma-separated folders or files; every file is a
 document, labelled by its base name plus ``.txt``, and N counts every file.
 For ``pagerank`` the input holds page lines, or ``src#####dst`` edge lines
 with ``--edges`` (N then defaults to the mode's count over the edges; give
-``--n`` for the line count of the original page file).
+``--n`` for the line count of the original page file).  ``--iterations 0`` sets no round limit; whether
+the total rank settled within ``--tol`` is said on standard error.
 Each job is sources -> operators -> sinks on the active (or a new) Spark
 session; nothing passes through the driver.
 """
@@ -23,6 +26,7 @@ import argparse
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from . import sinks as K
 from . import sources as S
@@ -44,6 +48,7 @@ def _parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="job", required=True)
     for name in ("wordcount", "termfrequency", "tfidf"):
         s = sub.add_parser(name)
+        s.add_argument("--overwrite", action="store_true")
         s.add_argument("input")
         s.add_argument("output")
     for name in ("search", "rank"):
@@ -51,6 +56,7 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("input")
         s.add_argument("output")
         s.add_argument("words", nargs="*")
+        s.add_argument("--overwrite", action="store_true")
         if name == "rank":
             s.add_argument("--ties", choices=("all", "one"), default="all")
     s = sub.add_parser("pagerank")
@@ -58,7 +64,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("output")
     s.add_argument("--mode", choices=PR.MODES, default="keep_uncited")
     s.add_argument("--iterations", type=int, default=10)
-    s.add_argument("--tol", type=float, default=None)
+    s.add_argument("--tol", type=float, default=None, help="default: 0 for cited_only, none for the others")
+    s.add_argument("--overwrite", action="store_true")
     s.add_argument("--format", choices=tuple(PAGERANK_FORMATS), default=None)
     s.add_argument("--strip-target-spaces", action="store_true")
     s.add_argument("--edges", action="store_true", help="input holds src#####dst edge lines")
@@ -70,28 +77,29 @@ def run(argv: list[str], spark: SparkSession | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"rankloom-{args.job}").getOrCreate()
     ensure_checkpoint_dir(spark)
+    new = {"overwrite": args.overwrite}
     if args.job == "pagerank":
+        settings = {"mode": args.mode, "n": args.n, "iterations": args.iterations or None, "tol": PR.BY_MODE if args.tol is None else args.tol}
         if args.edges:
-            ranks = PR.pagerank(S.read_edge_list(spark, args.input), mode=args.mode, n=args.n,
-                                iterations=args.iterations, tol=args.tol)
+            done = PR.pagerank_run(S.read_edge_list(spark, args.input), **settings)
         else:
-            ranks = PR.pagerank_lines(S.read_lines(spark, args.input), mode=args.mode, n=args.n,
-                                      iterations=args.iterations, tol=args.tol,
-                                      strip_target_spaces=args.strip_target_spaces)
-        PAGERANK_FORMATS[args.format or FORMAT_OF_MODE[args.mode]](ranks, args.output)
+            done = PR.pagerank_lines_run(S.read_lines(spark, args.input), strip_target_spaces=args.strip_target_spaces, **settings)
+        print(f"{'converged' if done.converged else 'stopped'} after {done.rounds} rounds", file=sys.stderr)
+        ranks = done.ranks.orderBy(F.desc("rank"), F.asc("page"))
+        PAGERANK_FORMATS[args.format or FORMAT_OF_MODE[args.mode]](ranks, args.output, **new)
         return
-    docs = S.read_text_docs(spark, args.input, doc_suffix=S.files.DOC_SUFFIX)
+    docs = S.read_text_docs(spark, args.input, doc_suffix=S.files.DOC_SUFFIX, key="name")
     n_files = S.count_files(spark, args.input)
     if args.job == "wordcount":
-        K.write_counts(T.doc_word_count(docs), args.output, ordered=True)
+        K.write_counts(T.doc_word_count(docs), args.output, ordered=True, **new)
     elif args.job == "termfrequency":
-        K.write_counts(T.term_frequency(docs), args.output, value="tf", ordered=True)
+        K.write_counts(T.term_frequency(docs), args.output, value="tf", ordered=True, **new)
     elif args.job == "tfidf":
-        K.write_weights(T.tfidf(docs, all_docs=n_files), args.output, ordered=True)
+        K.write_weights(T.tfidf(docs, all_docs=n_files), args.output, ordered=True, **new)
     elif args.job == "search":
-        K.write_scores(T.search(docs, args.words, all_docs=n_files), args.output)
+        K.write_scores(T.search(docs, args.words, all_docs=n_files), args.output, **new)
     else:
-        K.write_scores(T.rank_documents(docs, args.words, ties=args.ties, all_docs=n_files), args.output)
+        K.write_scores(T.rank_documents(docs, args.words, ties=args.ties, all_docs=n_files), args.output, **new)
 
 
 def main() -> None:

@@ -16,14 +16,19 @@ REFERENCE_TOKEN_PATTERN = r"\s*\b\s*"
 LINE_BREAK_PATTERN = r"\r\n|\r|\n"
 # ---------------------------------------------------------------------------
 
-# The same split with the word boundary written out.  On JDK 17 a word
-# character for \b is a letter, a decimal digit, '_' or a non-spacing mark;
-# JDK 19+ turned \b ASCII-only.  Spelling the boundary out keeps the tokens
-# the same on whatever JDK the executors run.
-WORD_CHAR = r"[\p{L}\p{Nd}\p{Mn}_]"
+# The same split with the word boundary written out.  On JDK 17 a word character for \b is a letter, a
+# decimal digit, '_', or a non-spacing mark that follows a letter or digit (with other marks between at
+# most); JDK 19+ turned \b ASCII-only.  Spelling the boundary out keeps the tokens the same on whatever
+# JDK the executors run.  Java's look-behind needs a bound on the marks in a row:
+MAX_MARKS = 8
+_BASE, _MARKS = r"[\p{L}\p{Nd}]", r"\p{Mn}{0,%d}" % MAX_MARKS
+_AFTER_BASE = f"(?<={_BASE}{_MARKS})"
 TOKEN_SPLIT_PATTERN = (
-    r"\s*(?:(?<=" + WORD_CHAR + r")(?!" + WORD_CHAR + r")"
-    r"|(?<!" + WORD_CHAR + r")(?=" + WORD_CHAR + r"))\s*"
+    r"\s*(?:"
+    + _AFTER_BASE + r"(?![\p{L}\p{Nd}_\p{Mn}])"                  # a word ends after a letter, digit or its marks
+    r"|(?<=_)(?![\p{L}\p{Nd}_])"                                 # or after '_'
+    rf"|(?<!{_BASE}{_MARKS})(?<!_)(?=[\p{{L}}\p{{Nd}}_])"          # or begins
+    r")\s*"
 )
 
 

@@ -29,8 +29,8 @@ RULE_OF_MODE = {"keep_uncited": "first_section", "all_nodes": "whole_line", "cit
 def with_line_id(lines: DataFrame, line: str = "line") -> DataFrame:
     """``(line_id, line)``; keeps an existing ``line_id`` column, else numbers lines.
 
-    ``monotonically_increasing_id`` is stable for a given input split layout,
-    which is all the duplicate-title rule needs (it prefers earlier lines).
+    ``monotonically_increasing_id`` may differ between two evaluations of one plan, so a caller
+    that joins on it has to materialise the numbered rows first (``pagerank_lines`` does).
     """
     if "line_id" in lines.columns:
         return lines.select("line_id", F.col(line).alias("line"))
@@ -93,10 +93,8 @@ def title_count(lines: DataFrame, line: str = "line") -> DataFrame:
 
 def title_target_count(lines: DataFrame, line: str = "line") -> DataFrame:
     """One row ``(n)``: distinct values of every title and every link target."""
-    src = with_line_id(lines, line)
-    titles = src.select(F.explode(M.all_titles("line")).alias("v"))
-    targets = src.select(F.explode(M.links("line")).alias("v"))
-    return titles.union(targets).agg(F.count_distinct("v").alias("n"))
+    values = F.explode(F.concat(M.all_titles(line), M.links(line))).alias("v")
+    return lines.filter(F.col(line).isNotNull()).select(values).agg(F.count_distinct("v").alias("n"))
 
 
 def line_count(lines: DataFrame) -> DataFrame:

@@ -16,27 +16,32 @@ A page line whose title repeats an earlier line's title contributes in round
 1 with its own links; from round 2 one line stands for the title
 (``all_nodes``: the first line with links; ``keep_uncited``: the last line).
 
+Stopping: after ``iterations`` rounds, or earlier once the total rank of two rounds in a row
+differs by at most ``tol``.  ``cited_only`` stops on an exactly repeated total by default, the
+other two run all rounds.  ``iterations=None`` has no round limit.  :class:`PageRankRun` says
+whether the run converged.
+
 Execution plan, built for graphs much larger than memory:
 
-* edge shares ``(src, dst, w)`` are computed once (multiplicity / out-degree)
-  and written to the checkpoint folder hash-partitioned by ``src`` and sorted
-  within partitions, one partition per ``EDGES_PER_PARTITION`` edges; every
+* edge shares ``(src, dst, w)`` are computed once (multiplicity / out-degree, one join of two
+  plain exchanges that AQE may split) and written to the checkpoint folder hash-partitioned by
+  ``src`` and sorted within partitions, one partition per ``EDGES_PER_PARTITION`` edges; every
   round's rank vector is checkpointed with the same partitioning, so the
   ``edges ⋈ ranks`` join moves nothing and a round's only shuffle carries
   partial sums per target (AQE is off inside the loop for that reason: an
   adaptive plan does not report its partitioning to the checkpoint);
-* sources whose out-degree exceeds one partition's fair share of edges
-  ("hubs") are kept apart, spread over all partitions by ``(src, dst)``, and
-  joined with a broadcast of just their ranks: at most ``MAX_HUBS`` rows
-  whatever the threshold, so the broadcast is bounded and no task holds a hub;
+* sources whose out-degree exceeds one partition's fair share of edges ("hubs") are kept apart:
+  their edges are spread by ``(src, salt)``, as many salts as they have fair shares, and in every
+  round a hub's rank is copied to its salts and shuffled there.  No task holds a hub, nothing is
+  broadcast and the number of hubs has no limit;
 * contributions are summed per target with a map-side partial aggregate, so
   a target cited by everyone ships one partial sum per map task;
 * round 1 is an ordinary round over a rank vector of 1/N; only when titles
   repeat does it use line-level shares (planned with AQE, which splits a hub
   line);
-* each round's rank vector is cut from its lineage with a reliable
-  ``checkpoint()`` into ``spark.checkpoint.dir``, so a lost executor costs
-  one round, not the whole history.
+* each round's rank vector is cut from its lineage with a reliable ``checkpoint()`` into
+  ``spark.checkpoint.dir``, so a lost executor costs one round, not the whole history; what a
+  round has superseded is deleted, and when a run ends only its rank vector is left.
 """
 
 from __future__ import annotations
@@ -48,11 +53,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.weights import TELEPORT, damped
-from ..session import ensure_checkpoint_dir, parallelism
+from ..session import Checkpoints, parallelism
 
 MODES = ("keep_uncited", "all_nodes", "cited_only")
-# Upper bound on broadcast hub rows, whatever threshold a caller passes.
-MAX_HUBS = 100_000
+# Default tolerance: the total of cited_only has to repeat exactly, the others run all rounds.
+TOL_OF_MODE = {"keep_uncited": None, "all_nodes": None, "cited_only": 0.0}
+BY_MODE = "by mode"
 # Edge shares per partition when the partition count is derived from the data
 # (about 40 MB of (src, dst, w) rows).
 EDGES_PER_PARTITION = 1_000_000
@@ -66,11 +72,7 @@ class PageRankRun:
     rounds: int          # rounds actually run
     n: int               # N used for the initial rank 1/N
     converged: bool      # stopped by the total-rank test
-    hubs: int = 0        # sources joined through the broadcast hub path
-
-
-def _count(df: DataFrame) -> int:
-    return df.count()
+    hubs: int = 0        # sources spread over salts
 
 
 @contextmanager
@@ -103,8 +105,9 @@ def fixed_partitioning(spark, parts: int):
 
 
 def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str = "all_nodes",
-                 n: int | None = None, iterations: int = 10, tol: float | None = None,
-                 partitions: int | None = None, hub_threshold: int | None = None) -> PageRankRun:
+                 n: int | None = None, iterations: int | None = 10, tol: float | None | str = BY_MODE,
+                 partitions: int | None = None, hub_threshold: int | None = None,
+                 initial_ranks: DataFrame | None = None) -> PageRankRun:
     """Run PageRank and return ranks with the round count.
 
     Parameters
@@ -115,23 +118,31 @@ def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str
         defaults to the sources of ``edges``.
     mode: one of ``keep_uncited``, ``all_nodes``, ``cited_only``.
     n: N for the initial rank 1/N (default per mode, see module doc).
-    iterations: maximum number of rounds (I1/I2).
+    iterations: maximum number of rounds (I1/I2); ``None``: no limit, which needs a ``tol``.
     tol: stop once the total rank changes by at most ``tol`` between rounds
-        (I3; ``0.0`` = exactly repeated total).  ``None`` never stops early.
+        (I3; ``0.0`` = exactly repeated total; ``None`` = never).  Default: ``TOL_OF_MODE``.
         The total is summed as DECIMAL(38,18), so the test does not depend on
         summation order.
     partitions: partitions of the edge and rank tables (default: one per
         ``EDGES_PER_PARTITION`` edges, at least the default parallelism).
     hub_threshold: out-degree above which a source is a hub (default: the
         number of distinct edges divided by ``partitions``).
+    initial_ranks: ``(page, rank)`` to go on from, such as ``read_rank_state`` gives (S8): the first
+        round is then an ordinary round over it, with one line per repeated title.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    if iterations < 1:
+    tol = TOL_OF_MODE[mode] if tol == BY_MODE else tol
+    if iterations is None and tol is None:
+        raise ValueError("a run without a round limit needs a tolerance")
+    if iterations is not None and iterations < 1:
         raise ValueError("iterations must be >= 1")
-    spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
+    with Checkpoints(edges.sparkSession) as files:
+        return _run(files, edges, pages, mode, n, iterations, tol, partitions, hub_threshold, initial_ranks)
+
 
+def _run(files: Checkpoints, edges, pages, mode, n, iterations, tol, partitions, hub_threshold, initial_ranks) -> PageRankRun:
+    spark, cut = edges.sparkSession, files.cut
     # k = the page line a link comes from; a plain edge table has one line per source.
     has_lines = "line_id" in edges.columns
     e = edges.select(F.col("line_id" if has_lines else "src").alias("k"), "src", "dst")
@@ -143,7 +154,7 @@ def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str
                    .withColumn("m", F.lit(1).cast("long")))
     else:
         lines_m = e.groupBy("k", "src", "dst").agg(F.count(F.lit(1)).alias("m"))
-    lines_m = lines_m.checkpoint()
+    lines_m = cut(lines_m)
 
     if pages is None:
         page_rows = lines_m.select("k", F.col("src").alias("title")).distinct()
@@ -163,9 +174,9 @@ def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str
             keep = lines_m.groupBy("src").agg(F.min("k").alias("k"))
         else:                     # last line, with or without links
             keep = page_rows.groupBy("title").agg(F.max("k").alias("k"))
-        m = lines_m.join(keep.select("k"), "k", "left_semi")
+        m = cut(lines_m.join(keep.select("k"), "k", "left_semi"))
     m = m.select("src", "dst", "m")
-    degree = m.groupBy("src").agg(F.sum("m").alias("deg"), F.count(F.lit(1)).alias("rows")).checkpoint()
+    degree = cut(m.groupBy("src").agg(F.sum("m").alias("deg"), F.count(F.lit(1)).alias("rows")))
     dstats = degree.agg(F.sum("rows").alias("edges"), F.max("rows").alias("top"),
                         F.count(F.lit(1)).alias("sources")).first()
     n_edges, top = int(dstats["edges"] or 0), int(dstats["top"] or 0)
@@ -173,60 +184,66 @@ def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str
         n_titles = int(dstats["sources"])
     parts = int(partitions or max(parallelism(spark), -(-n_edges // EDGES_PER_PARTITION)))
     threshold = hub_threshold if hub_threshold is not None else n_edges // parts
-    threshold = max(threshold, n_edges // MAX_HUBS)       # caps the hub set at MAX_HUBS rows
+
+    # ---- edge shares w = m / out-degree; a hub's edges get one of its salts
+    salts = F.when(F.col("rows") > threshold, F.ceil(F.col("rows") / max(1, threshold)) + 1).otherwise(1)
+    degree = degree.withColumn("salts", salts.cast("int"))
+    with _conf(spark, {"spark.sql.adaptive.enabled": "true"}):  # a hub's rows may be split in this join
+        shares = cut(m.join(degree, "src").select(
+            "src", "dst", (F.col("m") / F.col("deg")).alias("w"), "salts",
+            F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int").alias("salt")))
 
     with fixed_partitioning(spark, parts):
         # ---- node set, hash-partitioned by page like every rank vector below
-        nodes = (page_rows.select(F.col("title").alias("page"))
-                 .union(lines_m.select(F.col("dst").alias("page"))).distinct()
-                 .repartition(parts, "page").checkpoint())
+        nodes = cut(page_rows.select(F.col("title").alias("page"))
+                    .union(lines_m.select(F.col("dst").alias("page"))).distinct()
+                    .repartition(parts, "page"))
         if n is None:
-            n = _count(nodes) if mode == "all_nodes" else n_titles
+            n = nodes.count() if mode == "all_nodes" else n_titles
         if not n:
             return PageRankRun(spark.createDataFrame([], "page string, rank double"), 0, 0, False)
         inv_n = 1.0 / n
 
-        # ---- edge shares w = m / out-degree: hubs apart, the rest by src
+        cold = cut(shares.where("salts = 1").select("src", "dst", "w").repartition(parts, "src").sortWithinPartitions("src"))
         hot = hubs = None
         n_hubs = 0
-        cold_m = m
         if top > threshold:
-            hubs = degree.filter(F.col("rows") > threshold).select("src", "deg").checkpoint()
-            n_hubs = _count(hubs)
-            hot = (m.join(F.broadcast(hubs), "src")
-                   .select("src", "dst", (F.col("m") / F.col("deg")).alias("w"))
-                   .repartition(parts, "src", "dst").checkpoint())
-            cold_m = m.join(F.broadcast(hubs.select("src")), "src", "left_anti")
-        cold = (cold_m.repartition(parts, "src")
-                .join(degree.select("src", "deg").repartition(parts, "src"), "src")
-                .select("src", "dst", (F.col("m") / F.col("deg")).alias("w"))
-                .sortWithinPartitions("src").checkpoint())
-
-        # ---- round 1: every page holds 1/N
-        if repeated and mode != "cited_only":
+            hubs = cut(degree.where("salts > 1").select("src", "salts").repartition(parts, "src").sortWithinPartitions("src"))
+            n_hubs = hubs.count()
+            hot = cut(shares.where("salts > 1").select("src", "salt", "dst", "w")
+                      .repartition(parts, "src", "salt").sortWithinPartitions("src", "salt"))
+
+        # ---- round 1: every page holds 1/N, or what it is given
+        prev_total, rounds, converged = 0.0, 1, False
+        if initial_ranks is not None:
+            start = cut(initial_ranks.select("page", F.col("rank").cast("double").alias("rank")).repartition(parts, "page"))
+            prev_total = _total(start) if tol is not None else 0.0
+            ranks = cut(_round(cold, hot, hubs, start, mode))
+        elif repeated and mode != "cited_only":
             # line-level shares join on the line key: let AQE split a hub line
             with _conf(spark, {"spark.sql.adaptive.enabled": "true"}):
-                ranks = _first_round_by_line(lines_m, nodes, inv_n, mode).checkpoint()
+                ranks = cut(_first_round_by_line(cut, lines_m, nodes, inv_n, mode))
         else:
-            ranks = _round(cold, hot, hubs, nodes.select("page", F.lit(inv_n).alias("rank")), mode).checkpoint()
-        prev_total, converged, rounds = 0.0, False, 1
-        if tol is not None:
-            total = _total(ranks)
-            converged, prev_total = abs(total - prev_total) <= tol, total
-
-        # ---- rounds >= 2: one exchange each (the partial sums per target)
-        while rounds < iterations and not converged:
-            rounds += 1
-            ranks = _round(cold, hot, hubs, ranks, mode).checkpoint()
+            ranks = cut(_round(cold, hot, hubs, nodes.select("page", F.lit(inv_n).alias("rank")), mode))
+        while True:
             if tol is not None:
                 total = _total(ranks)
                 converged, prev_total = abs(total - prev_total) <= tol, total
+                if converged:
+                    break
+            if rounds == iterations:
+                break
+            # ---- rounds >= 2: one exchange each (the partial sums per target)
+            rounds += 1
+            before, ranks = ranks, cut(_round(cold, hot, hubs, ranks, mode))
+            files.drop(before)
+    files.keep(ranks)
     return PageRankRun(ranks, rounds, n, converged, n_hubs)
 
 
-def _first_round_by_line(lines_m: DataFrame, nodes: DataFrame, inv_n: float, mode: str) -> DataFrame:
+def _first_round_by_line(cut, lines_m: DataFrame, nodes: DataFrame, inv_n: float, mode: str) -> DataFrame:
     """Round 1 when titles repeat: each page line spends its own 1/N over its own links."""
-    line_deg = lines_m.groupBy("k").agg(F.sum("m").alias("deg"))
+    line_deg = cut(lines_m.groupBy("k").agg(F.sum("m").alias("deg")))
     sums = (lines_m.join(line_deg, "k")
             .groupBy("dst").agg((F.sum(F.col("m") / F.col("deg")) * F.lit(inv_n)).alias("s"))
             .withColumnRenamed("dst", "page"))
@@ -240,9 +257,10 @@ def _round(cold: DataFrame, hot: DataFrame | None, hubs: DataFrame | None, ranks
     src_ranks = ranks.select(F.col("page").alias("src"), "rank")
     contrib = cold.join(src_ranks, "src").select("dst", (F.col("rank") * F.col("w")).alias("c"))
     if hot is not None:
-        hub_ranks = src_ranks.join(F.broadcast(hubs.select("src")), "src", "left_semi")  # <= MAX_HUBS rows
+        copies = src_ranks.join(hubs, "src").select(
+            "src", "rank", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
         contrib = contrib.unionByName(
-            hot.join(F.broadcast(hub_ranks), "src").select("dst", (F.col("rank") * F.col("w")).alias("c")))
+            hot.join(copies, ["src", "salt"]).select("dst", (F.col("rank") * F.col("w")).alias("c")))
     sums = contrib.groupBy("dst").agg(F.sum("c").alias("s")).withColumnRenamed("dst", "page")
     if mode == "cited_only":
         return sums.select("page", damped(F.col("s")).alias("rank"))
@@ -250,46 +268,68 @@ def _round(cold: DataFrame, hot: DataFrame | None, hubs: DataFrame | None, ranks
     return ranks.join(sums, "page", "left").select("page", F.coalesce(damped(F.col("s")), fallback).alias("rank"))
 
 
+def total_rank(ranks: DataFrame) -> DataFrame:
+    """One row ``(total)``: total rank, summed exactly (order-independent) as DECIMAL(38,18)."""
+    return ranks.agg(F.sum(F.col("rank").cast("decimal(38,18)")).alias("total"))
+
+
 def _total(ranks: DataFrame) -> float:
-    """Total rank, summed exactly (order-independent) as DECIMAL(38,18)."""
-    v = ranks.agg(F.sum(F.col("rank").cast("decimal(38,18)")).alias("t")).first()["t"]
-    return float(v) if v is not None else 0.0
+    return float(total_rank(ranks).first()["total"] or 0.0)
 
 
 def pagerank(edges: DataFrame, pages: DataFrame | None = None, *, mode: str = "all_nodes",
-             n: int | None = None, iterations: int = 10, tol: float | None = None,
-             partitions: int | None = None, hub_threshold: int | None = None) -> DataFrame:
-    """``(page, rank)`` in descending rank order (ties by page; O2).  See :func:`pagerank_run`."""
-    run = pagerank_run(edges, pages, mode=mode, n=n, iterations=iterations, tol=tol,
-                       partitions=partitions, hub_threshold=hub_threshold)
+             n: int | None = None, iterations: int | None = 10, tol: float | None | str = BY_MODE,
+             partitions: int | None = None, hub_threshold: int | None = None,
+             initial_ranks: DataFrame | None = None, must_converge: bool = False) -> DataFrame:
+    """``(page, rank)`` in descending rank order (ties by page; O2).  See :func:`pagerank_run`, which also
+    tells whether the run converged; with ``must_converge`` a run that a round limit stopped raises."""
+    run = pagerank_run(edges, pages, mode=mode, n=n, iterations=iterations, tol=tol, partitions=partitions,
+                       hub_threshold=hub_threshold, initial_ranks=initial_ranks)
+    return _ordered(run, must_converge)
+
+
+def _ordered(run: PageRankRun, must_converge: bool) -> DataFrame:
+    if must_converge and run.n and not run.converged:
+        raise RuntimeError(f"the total rank did not settle in {run.rounds} rounds")
     return run.ranks.orderBy(F.desc("rank"), F.asc("page"))
 
 
-def pagerank_lines(lines: DataFrame, *, mode: str = "all_nodes", line: str = "line",
-                   iterations: int = 10, tol: float | None = None, n: int | None = None,
-                   strip_target_spaces: bool = False, partitions: int | None = None) -> DataFrame:
-    """PageRank straight from page lines, with the reference's N for each mode."""
+def pagerank_lines_run(lines: DataFrame, *, mode: str = "all_nodes", line: str = "line", iterations: int | None = 10,
+                       tol: float | None | str = BY_MODE, n: int | None = None, strip_target_spaces: bool = False,
+                       partitions: int | None = None) -> PageRankRun:
+    """PageRank straight from page lines, with the reference's N for each mode.
+
+    The lines are parsed once; links and pages both read the written copy, so numbers that lines
+    without a ``line_id`` are given are the same in both.
+    """
     from . import links as L
 
-    pages = L.parse_pages(lines, L.RULE_OF_MODE[mode], line, strip_target_spaces)
     if n is None:
-        if mode == "keep_uncited":
-            n = L.title_count(lines, line).first()["n"]
-        elif mode == "all_nodes":
-            n = L.title_target_count(lines, line).first()["n"]
-        else:
-            n = L.line_count(lines).first()["n"]
-    return pagerank(L.page_edges(pages), pages.select("line_id", "title"), mode=mode, n=n,
-                    iterations=iterations, tol=tol, partitions=partitions)
+        count = {"keep_uncited": lambda: L.title_count(lines, line), "all_nodes": lambda: L.title_target_count(lines, line),
+                 "cited_only": lambda: L.line_count(lines)}[mode]
+        n = count().first()["n"]
+    with Checkpoints(lines.sparkSession) as files:
+        pages = files.cut(L.parse_pages(lines, L.RULE_OF_MODE[mode], line, strip_target_spaces))
+        return pagerank_run(L.page_edges(pages), pages.select("line_id", "title"), mode=mode, n=n, iterations=iterations,
+                            tol=tol, partitions=partitions)
+
+
+def pagerank_lines(lines: DataFrame, *, must_converge: bool = False, **settings) -> DataFrame:
+    """``(page, rank)`` from page lines, in descending rank order; settings as :func:`pagerank_lines_run`."""
+    return _ordered(pagerank_lines_run(lines, **settings), must_converge)
 
 
 def contributions(edges: DataFrame, ranks: DataFrame) -> DataFrame:
-    """``(src, dst, c)``: each link's share of its source's rank (multiplicity-weighted)."""
-    m = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m"))
-    deg = m.groupBy("src").agg(F.sum("m").alias("deg"))
-    shares = m.join(deg, "src").select("src", "dst", (F.col("m") / F.col("deg")).alias("w"))
-    return (shares.join(ranks.select(F.col("page").alias("src"), "rank"), "src")
-            .select("src", "dst", (F.col("rank") * F.col("w")).alias("c")))
+    """``(src, dst, c)``: each link's share of its source's rank (multiplicity-weighted).
+
+    One join with the links, of two written tables, so AQE can split a hub's partition.
+    """
+    with Checkpoints(edges.sparkSession) as files:
+        m = files.keep(files.cut(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m"))))
+        degree = m.groupBy("src").agg(F.sum("m").alias("deg"))
+        unit = degree.join(ranks.select(F.col("page").alias("src"), "rank"), "src")
+        unit = files.keep(files.cut(unit.select("src", (F.col("rank") / F.col("deg")).alias("unit"))))
+        return m.join(unit, "src").select("src", "dst", (F.col("unit") * F.col("m")).alias("c"))
 
 
 def rank_step(edges: DataFrame, ranks: DataFrame, mode: str = "all_nodes") -> DataFrame:

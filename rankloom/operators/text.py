@@ -14,20 +14,18 @@ Plan shape (see ``explain`` in the tests):
   so each map task ships one row per distinct (word, doc) it saw; when the
   documents arrive hash-partitioned by ``doc`` the aggregate needs no
   shuffle at all.
-* document frequency: a second aggregate on ``word`` over those rows (partial
-  aggregation again collapses hot words before the shuffle), materialised
-  and measured, then joined back on ``word``: broadcast when the measured
-  vocabulary is small (no shuffle of postings at all), else a shuffle join
-  whose hot-word partitions AQE splits.  A window
-  ``count(*) OVER (PARTITION BY word)`` would put every posting of a hot word
-  into one task.
+* TF-IDF: the aggregated postings are written once (a reliable checkpoint) and everything
+  else reads that copy, so the corpus is tokenized once.  Document frequency is an
+  aggregate on ``word`` over it (partial aggregation collapses hot words before the
+  shuffle), materialised and measured in bytes, then joined back on ``word``: broadcast
+  when small (postings are not shuffled), else a join of two plain exchanges, whose
+  hot-word partitions AQE splits.  A window ``count(*) OVER (PARTITION BY word)`` would
+  put every posting of a hot word into one task.
 * corpus size: one-row global aggregate over the documents (not the
   postings, so documents without tokens count), cross-joined as a
   broadcast: its size is one row by construction.
-* search: the word filter (or a measured, broadcast keyword semi-join) sits
-  right above the token ``Generate``; the matching postings are shuffled
-  once by (word, doc) and both the idf side and the scoring side read that
-  exchange, so the corpus is tokenized once per search.
+* search: the word filter (or keyword semi-join) sits right above the token
+  ``Generate``; only matching postings are written and weighted.
 """
 
 from __future__ import annotations
@@ -70,32 +68,33 @@ def term_frequency(docs: DataFrame, words: Iterable[str] | None = None,
     """``(word, doc, n, tf)`` with ``tf = float32(1 + log10(n))``.
 
     ``words`` / ``keywords`` restrict the postings to query words before the
-    aggregation (C3, J1).
+    aggregation (C3, J1); given both, a word has to be in both.  A list of more than
+    ``MAX_IN_LIST`` words becomes a keyword table.
     """
     toks = tokens(docs)
     if words is not None:
-        toks = toks.filter(F.col("word").isin(list(words)))
+        words = sorted(set(words))
+        if len(words) <= MAX_IN_LIST:
+            toks = toks.filter(F.col("word").isin(words))
+        else:
+            toks = toks.join(_word_list(docs.sparkSession, words), "word", "left_semi")
     if keywords is not None:
         toks = toks.join(keywords, "word", "left_semi")
     counts = toks.groupBy("word", "doc").agg(F.count(F.lit(1)).alias("n"))
     return counts.withColumn("tf", log_tf("n"))
 
 
+def _word_list(spark, words: list[str]) -> DataFrame:
+    return spark.createDataFrame([(w,) for w in words], "word string")
+
+
 def corpus_size(docs: DataFrame) -> DataFrame:
     """One row ``(n_docs)``: number of distinct documents, with or without tokens."""
     return docs.agg(F.count_distinct("doc").alias("n_docs"))
 
 
 def doc_frequency(postings: DataFrame) -> DataFrame:
-    """A3: ``(word, df)``: number of documents holding each word.
-
-    Counted as postings with a positive TF weight (every posting has one):
-    the aggregate then reads the same ``(word, doc, tf)`` columns as the
-    scoring side, so when both sides read one shuffled copy of the postings
-    Spark reuses that exchange instead of tokenising the corpus twice.
-    """
-    if "tf" in postings.columns:
-        return postings.groupBy("word").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    """A3: ``(word, df)``: number of documents holding each word."""
     return postings.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
 
 
@@ -116,47 +115,44 @@ def inverse_doc_frequency(docs: DataFrame, postings: DataFrame | None = None,
             .withColumn("idf", idf_col("n_docs", "df")))
 
 
-# Largest word table (vocabulary with idf, or keyword set) broadcast, in
-# bytes (about 4M words).
+# Largest word table (vocabulary with idf, or keyword set) broadcast, in bytes.
 BROADCAST_VOCABULARY_BYTES = 96 << 20
+# Fixed part of a broadcast row: hash map slot, row header, offset and the double.
+ROW_BYTES = 48
+# Longest word list put into one IN predicate.
+MAX_IN_LIST = 1000
 
 
-def _materialise_words(words: DataFrame, broadcast_bytes: int) -> tuple[DataFrame, bool]:
-    """Checkpoint a word-keyed table and tell whether it is small enough to broadcast.
+def _materialise(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
 
-    The size is measured on the materialised rows (word bytes plus a fixed
-    per-row overhead), not estimated, so a broadcast never depends on a guess.
+
+def _measured(words: DataFrame, broadcast_bytes: int) -> tuple[DataFrame, bool]:
+    """Materialise a word-keyed table and tell whether it is small enough to broadcast.
+
+    The size is measured on the materialised rows (bytes of the words plus a fixed
+    part per row), not estimated, so a broadcast never depends on a guess.
     """
-    ensure_checkpoint_dir(words.sparkSession)
-    words = words.checkpoint()
-    size = words.agg(F.coalesce(F.sum(F.length("word") + F.lit(24)), F.lit(0)).alias("b")).first()["b"]
+    words = _materialise(words)
+    size = words.agg(F.coalesce(F.sum(F.octet_length("word") + F.lit(ROW_BYTES)), F.lit(0)).alias("b")).first()["b"]
     return words, size <= broadcast_bytes
 
 
 def tfidf(docs: DataFrame, postings: DataFrame | None = None, all_docs: DataFrame | int | None = None,
-          broadcast_bytes: int = BROADCAST_VOCABULARY_BYTES, bounded_vocabulary: bool = False) -> DataFrame:
+          broadcast_bytes: int = BROADCAST_VOCABULARY_BYTES) -> DataFrame:
     """``(word, doc, tf, tfidf)``.
 
     ``tfidf = double(text(tf)) * idf``: TF goes through its float32 text form,
     as the reference stores it between jobs (F9).
 
-    The ``(word, idf)`` table is materialised first (a reliable checkpoint:
-    one pass with map-side partial counts, whatever the word skew) and its
-    size measured.  Under ``broadcast_bytes`` it is broadcast, so the postings
-    are never shuffled and a word in every document costs nothing extra;
-    above it the join shuffles both sides on ``word`` and AQE splits the
-    partitions of hot words.  ``bounded_vocabulary`` says the postings hold
-    a word set already known to be small (query words, a measured keyword
-    table): the weights are then broadcast without materialising them.
+    ``postings`` (default: of all words) are materialised here and read twice, so the
+    corpus is tokenized once; see the module docstring for the join.
     """
-    postings = postings if postings is not None else term_frequency(docs)
-    weights = inverse_doc_frequency(docs, postings, all_docs).select("word", "idf")
-    if bounded_vocabulary:
+    postings = _materialise((postings if postings is not None else term_frequency(docs)).select("word", "doc", "tf"))
+    weights, small = _measured(inverse_doc_frequency(docs, postings, all_docs).select("word", "idf"), broadcast_bytes)
+    if small:
         weights = F.broadcast(weights)
-    else:
-        weights, small = _materialise_words(weights, broadcast_bytes)
-        if small:
-            weights = F.broadcast(weights)
     return (postings.join(weights, "word")
             .select("word", "doc", "tf",
                     (float_text_to_double("tf") * F.col("idf")).alias("tfidf")))
@@ -175,9 +171,8 @@ def search(docs: DataFrame, words: Iterable[str] | str | None = None,
            broadcast_bytes: int = BROADCAST_VOCABULARY_BYTES) -> DataFrame:
     """``(doc, score)``: sum of TF-IDF over the query words, documents with a hit only.
 
-    Give the query as ``words`` (a short list, F27 rules apply) or as a
-    ``keywords`` DataFrame (semi-join, J1) for long lists.  No words means an
-    empty result (Q11).
+    Give the query as ``words`` (a list, F27 rules apply) or as a ``keywords`` DataFrame (semi-join,
+    J1); given both, only words in both count.  No words means an empty result (Q11).
     """
     q = None
     if words is not None:
@@ -186,26 +181,18 @@ def search(docs: DataFrame, words: Iterable[str] | str | None = None,
             return _empty_scores(docs)
     if q is None and keywords is None:
         return _empty_scores(docs)
-    bounded = True
     if keywords is None:
-        postings = term_frequency(docs, words=q)
+        return _score(tfidf(docs, term_frequency(docs, words=q), all_docs, broadcast_bytes))
+    # A keyword table is data: measure it.  Small -> broadcast semi-join right on the tokens; large ->
+    # semi-join the written postings, so that a shuffle moves postings, not raw tokens, from plain
+    # exchanges whose hot words can be split.
+    kw = keywords.select(F.col(keyword_col).alias("word")).filter(F.col("word").isNotNull()).distinct()
+    kw, small = _measured(kw, broadcast_bytes)
+    if small:
+        postings = term_frequency(docs, words=q, keywords=F.broadcast(kw))
     else:
-        # A keyword table is data: measure it.  Small -> broadcast semi-join
-        # right on the tokens; large -> semi-join the aggregated postings, so
-        # a shuffle moves postings, not raw tokens.
-        kw = keywords.select(F.col(keyword_col).alias("word")).filter(F.col("word").isNotNull()).distinct()
-        kw, small = _materialise_words(kw, broadcast_bytes)
-        if small:
-            postings = term_frequency(docs, words=q, keywords=F.broadcast(kw))
-        else:
-            postings = term_frequency(docs, words=q).join(kw, "word", "left_semi")
-            bounded = q is not None
-    if bounded:
-        # Few words: shuffle the matching postings once, spread by (word, doc)
-        # so a query word found in every document is not one task; the idf
-        # side and the scoring side both read this one exchange.
-        postings = postings.select("word", "doc", "tf").repartition("word", "doc")
-    return _score(tfidf(docs, postings, all_docs, broadcast_bytes, bounded_vocabulary=bounded))
+        postings = _materialise(term_frequency(docs, words=q)).join(kw, "word", "left_semi")
+    return _score(tfidf(docs, postings, all_docs, broadcast_bytes))
 
 
 def _empty_scores(docs: DataFrame) -> DataFrame:

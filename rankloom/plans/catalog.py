@@ -3,7 +3,7 @@
 Every query reads whole tables (``documents``, ``benchmark``, ``pages``,
 ``lineitem``, ``orders``) or data Spark derives from them.  Derived doubles
 whose last bit depends on the engine's ``log10`` or summation order are
-rounded the same way on both sides (weights to 9 places, ranks to 6).
+rounded the same way on both sides (to 9 places; ranks printed as float32 to 6 before that).
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text_formats import EDGE_SEP, rank_report
+from ..functions import text_formats as X
 from ..operators import links as L
 from ..operators import pagerank as PR
 from ..operators import text as T
@@ -26,8 +26,14 @@ SEARCH_WORDS = ["the", "erthat", "la"]
 RANK_WORDS = ["de", "of", "und", "is"]
 TOP_K = 10
 WEIGHT_DIGITS = 9
-RANK_DIGITS = 6
+RANK_DIGITS = 9
+FLOAT_DIGITS = 6
 ROUNDS = 10
+# pagerank_converge stops when the total changes by this much at most.  At sf0.001 to sf0.1 that takes 27 to 55
+# rounds, and the changes there and in the round before lie 5 % or more away from it (tested), so rounding cannot
+# move the stop.
+CONVERGE_TOL = 0.5
+CONVERGE_SQL_ROUNDS = 60
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -189,9 +195,9 @@ def q_out_degree(spark, d):
     return I.graph_edges(spark, d).groupBy("src").agg(F.count(F.lit(1)).alias("out_degree"))
 
 
-@register("edge_list_text", O._with(O.EDGES) + f"SELECT DISTINCT src || '{EDGE_SEP}' || dst AS edge_line FROM edges")
+@register("edge_list_text", O._with(O.EDGES) + f"SELECT DISTINCT src || '#####' || dst AS edge_line FROM edges")
 def q_edge_list_text(spark, d):
-    return I.graph_edges(spark, d).select(F.concat_ws(EDGE_SEP, "src", "dst").alias("edge_line")).distinct()
+    return I.graph_edges(spark, d).select(X.edge_line().alias("edge_line")).distinct()
 
 
 def _initial_ranks(edges: DataFrame) -> DataFrame:
@@ -229,31 +235,182 @@ def q_rank_step(spark, d):
         "page", F.round("rank", RANK_DIGITS).alias("rank"))
 
 
+def _pagerank_run(spark, d, mode: str, **settings) -> PR.PageRankRun:
+    e = I.graph_edges(spark, d)
+    n = L.line_count(e).first()["n"] if mode == "cited_only" else None  # lines of the edge list
+    return PR.pagerank_run(e, mode=mode, n=n, **settings)
+
+
+def _round(rank, digits: int = RANK_DIGITS):
+    """As ``oracle.rounded``."""
+    return F.round(rank + F.lit(1e-12), digits)
+
+
+def _rounded(ranks: DataFrame, digits: int = RANK_DIGITS) -> DataFrame:
+    return ranks.select("page", _round(F.col("rank"), digits).alias("rank"))
+
+
 def _pagerank(mode: str) -> QueryFn:
     def fn(spark, d):
-        e = I.graph_edges(spark, d)
-        n = e.select("src").distinct().count() if mode == "cited_only" else None
-        r = PR.pagerank(e, mode=mode, n=n, iterations=ROUNDS)
-        return r.select("page", F.round("rank", RANK_DIGITS).alias("rank"))
+        return _rounded(_pagerank_run(spark, d, mode, iterations=ROUNDS).ranks.orderBy(F.desc("rank"), F.asc("page")))
+    return fn
+
+
+def _pagerank_lines(mode: str) -> QueryFn:
+    def fn(spark, d):
+        return _rounded(PR.pagerank_lines(I.wiki_lines(spark, d, numbered=True), mode=mode, iterations=ROUNDS))
     return fn
 
 
 for _mode in PR.MODES:
     register(f"pagerank_{_mode}", O.pagerank_sql(_mode, ROUNDS, RANK_DIGITS))(_pagerank(_mode))
+    register(f"pagerank_lines_{_mode}", O.pagerank_lines_sql(_mode, ROUNDS, RANK_DIGITS))(_pagerank_lines(_mode))
+
 
+def _converged(spark, d) -> PR.PageRankRun:
+    run = _pagerank_run(spark, d, "cited_only", iterations=None, tol=CONVERGE_TOL)
+    assert run.converged
+    return run
 
-@register("pagerank_converge")
+
+@register("pagerank_converge", O.converge_sql(CONVERGE_TOL, CONVERGE_SQL_ROUNDS, f"SELECT page, {O.rounded('rank', RANK_DIGITS)} AS rank FROM stopped"))
 def q_pagerank_converge(spark, d):
-    """cited_only run until the total rank repeats (capped at 100 rounds); rows-only check."""
-    e = I.graph_edges(spark, d)
-    n = e.select("src").distinct().count()
-    return PR.pagerank(e, mode="cited_only", n=n, iterations=100, tol=0.0).select(
-        "page", F.round("rank", RANK_DIGITS).alias("rank"))
+    """cited_only, no round limit, until the total changes by CONVERGE_TOL at most."""
+    return _rounded(_converged(spark, d).ranks)
+
+
+@register("total_rank", O.converge_sql(CONVERGE_TOL, CONVERGE_SQL_ROUNDS,
+                                       f"SELECT round(CAST(sum(CAST(rank AS DECIMAL(38,18))) AS DOUBLE), {RANK_DIGITS}) AS total FROM stopped"))
+def q_total_rank(spark, d):
+    return PR.total_rank(_converged(spark, d).ranks).select(F.round(F.col("total").cast("double"), RANK_DIGITS).alias("total"))
+
+
+@register("pagerank_resume", O.pagerank_sql("all_nodes", ROUNDS, RANK_DIGITS))
+def q_pagerank_resume(spark, d):
+    """Half of the rounds, the state as text lines and back, then the other half."""
+    half = _pagerank_run(spark, d, "all_nodes", iterations=ROUNDS // 2).ranks
+    state = half.select(F.concat_ws("", "page", F.lit(X.TAB + X.STATE_SEP), F.col("rank").cast("string")).alias("value"))
+    start = state.select(*X.parse_rank_state())
+    return _rounded(_pagerank_run(spark, d, "all_nodes", iterations=ROUNDS - ROUNDS // 2, initial_ranks=start).ranks)
 
 
 @register("rank_report", O.pagerank_sql("all_nodes", ROUNDS, RANK_DIGITS).replace(
-    f"SELECT page, round(rank, {RANK_DIGITS}) AS rank FROM r{ROUNDS}",
-    f"SELECT page || ' has rank: ' || CAST(round(rank, {RANK_DIGITS}) AS VARCHAR) || '.' AS report FROM r{ROUNDS}"))
+    f"SELECT page, {O.rounded('rank', RANK_DIGITS)} AS rank FROM r{ROUNDS}",
+    f"SELECT page || ' has rank: ' || CAST({O.rounded('rank', RANK_DIGITS)} AS VARCHAR) || '.' AS report FROM r{ROUNDS}"))
 def q_rank_report(spark, d):
     r = PR.pagerank(I.graph_edges(spark, d), mode="all_nodes", iterations=ROUNDS)
-    return r.select(rank_report("page", F.round("rank", RANK_DIGITS)).alias("report"))
+    return r.select(X.rank_report("page", _round(F.col("rank"))).alias("report"))
+
+
+# ---- text formats: each line as written, and read back -----------------------
+
+_TF_TEXT = f"CAST({O.java_float_to_double('tf')} AS VARCHAR)"
+
+
+@register("count_text", O._with(O.DOC_TOKENS, O.POSTINGS) + "SELECT word || '&#&#&' || doc || chr(9) || chr(9) || n AS line FROM postings")
+def q_count_text(spark, d):
+    return T.doc_word_count(I.docs(spark, d)).select(X.count_line().alias("line"))
+
+
+@register("tf_text", O._with(O.DOC_TOKENS, O.POSTINGS, O.TF) + f"SELECT word || '&#&#&' || doc || chr(9) || chr(9) || {_TF_TEXT} AS line FROM tf")
+def q_tf_text(spark, d):
+    return T.term_frequency(I.docs(spark, d)).select(X.count_line(value="tf").alias("line"))
+
+
+@register("weight_text", O.text_chain() + f"SELECT word || '&#&#&' || doc || chr(9) || CAST(round(tfidf, {WEIGHT_DIGITS}) AS VARCHAR) AS line FROM tfidf")
+def q_weight_text(spark, d):
+    w = T.tfidf(I.docs(spark, d)).select("word", "doc", F.round("tfidf", WEIGHT_DIGITS).alias("tfidf"))
+    return w.select(X.weight_line().alias("line"))
+
+
+@register("score_text", O.text_chain(O.score_cte(O.in_list(RANK_WORDS)))
+          + f"SELECT doc || chr(9) || CAST({O.java_float_to_double('score')} AS VARCHAR) AS line FROM scores")
+def q_score_text(spark, d):
+    return T.search(I.docs(spark, d), RANK_WORDS).select(X.score_line().alias("line"))
+
+
+_KEEP = O.pagerank_ctes("keep_uncited", ROUNDS)
+_FLOAT_TEXT = O.java_text(O.java_float_to_double(f"CAST({O.rounded('rank', FLOAT_DIGITS)} AS FLOAT)"))
+
+
+def _states(spark, d) -> DataFrame:
+    """(page, rank, links) after the rounds of keep_uncited; a page's distinct targets in order."""
+    ranks = _rounded(_pagerank_run(spark, d, "keep_uncited", iterations=ROUNDS).ranks, FLOAT_DIGITS)
+    links = I.graph_edges(spark, d).groupBy("src").agg(F.array_sort(F.collect_set("dst")).alias("links"))
+    return (ranks.join(links.withColumnRenamed("src", "page"), "page", "left")
+            .withColumn("links", F.coalesce("links", F.array().cast("array<string>"))))
+
+
+_STATES = ("states AS (SELECT r.page, r.rank, l.links FROM r%d r LEFT JOIN (SELECT src, "
+           "array_to_string(list_sort(list(DISTINCT dst)), '@!#') AS links FROM edges GROUP BY src) l ON r.page = l.src)" % ROUNDS)
+
+
+@register("rank_state_text", O._with(*_KEEP, _STATES) + f"""SELECT page || chr(9) || '##' || {_FLOAT_TEXT}
+    || CASE WHEN links IS NULL THEN '' ELSE '##' || links END AS line FROM states""")
+def q_rank_state_text(spark, d):
+    return _states(spark, d).select(X.rank_state_line().alias("line"))
+
+
+@register("ranked_page_text", O._with(*_KEEP) + f"SELECT page || chr(9) || chr(9) || {_FLOAT_TEXT} AS line FROM r{ROUNDS}")
+def q_ranked_page_text(spark, d):
+    ranks = _rounded(_pagerank_run(spark, d, "keep_uncited", iterations=ROUNDS).ranks, FLOAT_DIGITS)
+    return ranks.select(X.ranked_page_line().alias("line"))
+
+
+@register("rank_line_text", O._with(*O.pagerank_ctes("all_nodes", ROUNDS))
+          + f"SELECT page || '   ' || CAST({O.rounded('rank', RANK_DIGITS)} AS VARCHAR) AS line FROM r{ROUNDS}")
+def q_rank_line_text(spark, d):
+    return _rounded(_pagerank_run(spark, d, "all_nodes", iterations=ROUNDS).ranks).select(X.rank_line("page", "rank").alias("line"))
+
+
+@register("term_weights_parsed", O._with(O.DOC_TOKENS, O.POSTINGS, O.TF)
+          + f"SELECT word, CAST(doc AS VARCHAR) AS doc, {O.java_float_to_double('tf')} AS value FROM tf")
+def q_term_weights_parsed(spark, d):
+    return q_tf_text(spark, d).select(*X.parse_term_weight("line"))
+
+
+@register("scores_parsed", O.text_chain(O.score_cte(O.in_list(RANK_WORDS))) + "SELECT CAST(doc AS VARCHAR) AS doc, score FROM scores")
+def q_scores_parsed(spark, d):
+    return q_score_text(spark, d).select(*X.parse_score("line"))
+
+
+@register("rank_state_parsed", O._with(*_KEEP, _STATES)
+          + f"SELECT page, {O.java_float_to_double(f'CAST({O.rounded('rank', FLOAT_DIGITS)} AS FLOAT)')} AS rank, "
+            "coalesce(links, '') AS links_text FROM states")
+def q_rank_state_parsed(spark, d):
+    back = q_rank_state_text(spark, d).select(*X.parse_rank_state("line"))
+    return back.select("page", "rank", X.encode_links("links").alias("links_text"))
+
+
+@register("edges_parsed", O._with(O.EDGES) + "SELECT DISTINCT src, dst FROM edges")
+def q_edges_parsed(spark, d):
+    return q_edge_list_text(spark, d).select(*X.parse_edge("edge_line"))
+
+
+@register("wiki_edges_stripped", O._with(O.WIKI_LINES, O.parsed_pages("first_section"))
+          + "SELECT src, replace(dst, ' ', '') AS dst FROM (SELECT title AS src, unnest(links) AS dst FROM pages)")
+def q_wiki_edges_stripped(spark, d):
+    pages = L.parse_pages(I.wiki_lines(spark, d), "first_section", strip_target_spaces=True)
+    return L.page_edges(pages).select("src", "dst")
+
+
+@register("adjacency_decoded", O._with(O.WIKI_LINES, O.parsed_pages("whole_line"))
+          + "SELECT title, unnest(links) AS dst FROM pages")
+def q_adjacency_decoded(spark, d):
+    """links encoded as a@!#b and taken apart again."""
+    coded = L.adjacency(L.parse_pages(I.wiki_lines(spark, d), "whole_line"))
+    return coded.select("title", F.explode(X.decode_links("links_text")).alias("dst"))
+
+
+@register("search_query_words", O.text_chain(O.score_cte(O.in_list(["the", "la", "und"]))) + "SELECT doc, score FROM scores")
+def q_search_query_words(spark, d):
+    """repeated words count once, a comma separates two."""
+    return T.search(I.docs(spark, d), ["the,la", "the", "und", "", "la"])
+
+
+@register("counts_in_key_order", O._with(O.DOC_TOKENS, O.POSTINGS)
+          + "SELECT row_number() OVER (ORDER BY word, doc) AS pos, word, doc, n FROM postings ORDER BY word, doc LIMIT 50")
+def q_counts_in_key_order(spark, d):
+    """The first lines of the key-ordered output, numbered (a report of 50 lines is the query)."""
+    first = T.doc_word_count(I.docs(spark, d)).orderBy("word", "doc").limit(50)
+    return first.select(F.row_number().over(Window.orderBy("word", "doc")).alias("pos"), "word", "doc", "n")

@@ -1,69 +1,31 @@
-"""Inputs the named queries derive from the driver's Parquet tables.
+"""Inputs the named queries derive from the driver's Parquet tables: plain scans, whole tables.
 
 * documents -> ``(doc, text)``
-* lineitem -> a link graph: every part links to its supplier, and the
-  supplier of each order's first line links back to that part.  Parts never
-  on a first line are cited by nobody, so the three PageRank modes differ.
-* orders + lineitem -> page lines in the wiki format, one line per lineitem:
-  ``<title>O1</title> <text>[[P..]][[S..]]</text> [[C..]] <text>[[S..]]</text>``;
-  part and supplier in the first text section, the order's customer outside
-  any section, the supplier again in a second section.  Titles repeat (one
-  line per item of an order) and no rows are grouped, so no line grows with
-  the size of any key.
+* lineitem, orders -> a link graph: an order links to the part of each of its items and to its
+  customer, a part to its supplier, and the supplier of each order's first item back to that part.
+  Orders are cited by nobody, customers link to nothing, parts and suppliers form cycles, and links
+  repeat, so the three PageRank modes differ in N, in their pages and in their ranks.
+* lineitem, orders -> page lines in the wiki format, one line per item (``wiki_lines``), with every
+  irregularity the parsing rules treat: blank lines, lines without a title or with two, titles and
+  targets with spaces, lines without links, links outside any text section, a second section.
+  A page is a part; its title repeats, as a part is in several orders, with different links: to the
+  part numbered like the supplier, the supplier, the customer and one of the first fifty parts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.text import documents
-from ..session import application_id, parallelism
-from ..sources.files import input_bytes
 
-
-# Key column of each table, used to spread an under-split scan.
-KEYS = {"documents": "doc_id", "pages": "page_id", "benchmark": "item_id", "lineitem": "l_orderkey",
-        "orders": "o_orderkey"}
+# Lines of orders in this residue class have the irregularity named (others are regular).
+SHAPES = {"blank": 0, "untitled": 1, "two_titles": 2, "title_spaces": 3, "target_spaces": 4, "no_links": 5}
+SHAPE_CLASSES = 13
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, spread over the task slots when its scan would leave them idle.
-
-    Parquet splits at row-group boundaries, so a table stored as a few
-    one-row-group files scans in a few tasks however many cores there are.
-    Only when a table has fewer files than task slots *and* is smaller than
-    slots x ``spark.sql.files.maxPartitionBytes`` (so Spark's own splitting
-    cannot use the slots either) is it hash-repartitioned by its key; larger
-    inputs keep their scan splits and are never reshuffled.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    slots = parallelism(spark)
-    key = KEYS.get(name)
-    if key is None or len(df.inputFiles()) >= slots:
-        return df
-    max_split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    if _size(spark, path) >= slots * max_split:
-        return df
-    return df.repartition(2 * slots, key)
-
-
-_SIZES: dict[tuple[str, str], int] = {}
-
-
-def _size(spark: SparkSession, path: str) -> int:
-    """Input bytes of a table, measured once per application (tables are read-only inputs)."""
-    key = (application_id(spark), path)
-    if key not in _SIZES:
-        _SIZES[key] = input_bytes(spark, path)
-    return _SIZES[key]
-
-
-def _bytes(v: str) -> int:
-    v = v.strip().lower().rstrip("b")
-    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    return int(float(v[:-1]) * mult[v[-1]]) if v and v[-1] in mult else int(v)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,25 +36,45 @@ def benchmark_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc"), "text")
 
 
+def _node(letter: str, key: str):
+    return F.concat(F.lit(letter), F.col(key).cast("string"))
+
+
 def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(src, dst)`` bag of links built from ``lineitem``."""
-    li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_linenumber")
-    part = F.concat(F.lit("P"), F.col("l_partkey").cast("string"))
-    supp = F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
-    forward = li.select(part.alias("src"), supp.alias("dst"))
-    back = li.filter(F.col("l_linenumber") == 1).select(supp.alias("src"), part.alias("dst"))
-    return forward.unionByName(back)
-
-
-def wiki_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(line)``: one page line per lineitem row (see module doc)."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
-    od = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-
-    def s(c: str):
-        return F.col(c).cast("string")
-
-    line = F.concat(F.lit("<title>O"), s("l_orderkey"), F.lit("</title> <text>[[P"), s("l_partkey"),
-                    F.lit("]][[S"), s("l_suppkey"), F.lit("]]</text> [[C"), s("o_custkey"),
-                    F.lit("]] <text>[[S"), s("l_suppkey"), F.lit("]]</text>"))
-    return li.join(od, "l_orderkey").select(line.alias("line"))
+    """``(src, dst)`` bag of links; each table is scanned once, an item's links come from its one row."""
+    order, part, supplier = _node("O", "l_orderkey"), _node("P", "l_partkey"), _node("S", "l_suppkey")
+    link = lambda a, b: F.struct(a.alias("src"), b.alias("dst"))
+    links = F.array(link(order, part), link(part, supplier), F.when(F.col("l_linenumber") == 1, link(supplier, part)))
+    items = (table(spark, sf_dir, "lineitem").select(F.explode(links).alias("link"))
+             .filter(F.col("link").isNotNull()).select("link.src", "link.dst"))
+    orders = table(spark, sf_dir, "orders").select(_node("O", "o_orderkey").alias("src"), _node("C", "o_custkey").alias("dst"))
+    return items.unionByName(orders)
+
+
+def wiki_lines(spark: SparkSession, sf_dir: str, numbered: bool = False) -> DataFrame:
+    """``(line)``, or ``(line_id, line)``: one page line per lineitem row.
+
+    The number follows order, item number, part and supplier; rows that agree in all four have the
+    same line, so it does not matter which of them comes first.
+    """
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    rows = items.join(orders, "l_orderkey")
+    shape = F.col("l_orderkey") % SHAPE_CLASSES
+    title, order, supplier, customer = (_node(*x) for x in (("P", "l_partkey"), ("O", "l_orderkey"), ("S", "l_suppkey"), ("C", "o_custkey")))
+    text = lambda s: F.lit(s)
+    body = F.concat(text("<text>[["), _node("P", "l_suppkey"), text("]][["), supplier, text("]]</text> [["), customer,
+                    text("]] <text>[["), F.concat(text("P"), (F.col("l_orderkey") % 50 + 1).cast("string")), text("]]</text>"))
+    named = F.concat(text("<title>"), title, text("</title> "))
+    line = (F.when(shape == SHAPES["blank"], text(""))
+            .when(shape == SHAPES["untitled"], body)
+            .when(shape == SHAPES["two_titles"], F.concat(named, text("<title>"), order, text("</title> "), body))
+            .when(shape == SHAPES["title_spaces"], F.concat(text("<title> "), title, text(" </title> "), body))
+            .when(shape == SHAPES["target_spaces"], F.concat(named, text("<text>[[P "), F.col("l_suppkey").cast("string"), text("]]</text>")))
+            .when(shape == SHAPES["no_links"], F.concat(named, text("<text>plain</text>")))
+            .otherwise(F.concat(named, body)))
+    if not numbered:
+        return rows.select(line.alias("line"))
+    item = Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey")
+    number = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1000 + F.row_number().over(item)
+    return rows.select(number.alias("line_id"), line.alias("line"))

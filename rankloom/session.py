@@ -92,3 +92,53 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative jobs")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="rankloom-ckpt-"))
     return sc.getCheckpointDir()
+
+
+class Checkpoints:
+    """Checkpoints of one run: ``cut`` writes one, ``drop`` deletes it, and when the block ends all go
+    that were not given to ``keep``, whatever the session's cleaner does."""
+
+    def __init__(self, spark: SparkSession):
+        ensure_checkpoint_dir(spark)
+        self.spark, self.held = spark, []
+
+    def __enter__(self) -> "Checkpoints":
+        return self
+
+    def __exit__(self, *error) -> None:
+        for df in list(self.held):
+            self.drop(df)
+
+    def cut(self, df):
+        df = df.checkpoint()
+        self.held.append(df)
+        return df
+
+    def keep(self, df):
+        self.held = [x for x in self.held if x is not df]
+        return df
+
+    def drop(self, df) -> None:
+        self.keep(df)
+        delete_checkpoint(df)
+
+
+def delete_checkpoint(df) -> None:
+    """Delete the files of a checkpointed DataFrame.  PySpark has no public call for it; a client that
+    cannot reach the JVM (Spark Connect) leaves them to the server's cleaner."""
+    jdf = getattr(df, "_jdf", None)
+    if jdf is None:
+        return
+    file = jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if file.isDefined():
+        delete_path(df.sparkSession, file.get())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, if this client can reach it."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext in this client
+        return
+    path = sc._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

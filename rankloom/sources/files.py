@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text_formats import EDGE_SEP, LINK_LIST_SEP, STATE_SEP, TAB, WORD_DOC_SEP, decode_links
+from ..functions import text_formats as X
 
 # Suffix the reference appends to every document's file name.
 DOC_SUFFIX = ".txt"
@@ -19,19 +19,23 @@ def _paths(paths: str | list[str]) -> list[str]:
     return list(paths)
 
 
-def read_text_docs(spark: SparkSession, paths: str | list[str], doc_suffix: str = "") -> DataFrame:
-    """``(doc, text)``, one row per line; ``doc`` = file base name + ``doc_suffix``.
+DOC_KEYS = {"path": "_metadata.file_path", "name": "_metadata.file_name"}
 
+
+def read_text_docs(spark: SparkSession, paths: str | list[str], doc_suffix: str = "", key: str = "path") -> DataFrame:
+    """``(doc, text)``, one row per line; ``doc`` = the file's ``key`` + ``doc_suffix``.
+
+    ``key="path"`` keeps files of the same name in different folders apart; ``key="name"`` labels a
+    document by its base name, as the reference's files do, and merges such files.
     Comma-separated paths are accepted like the reference's input argument.
-    Pass ``doc_suffix=".txt"`` for the reference's document labels.
+    Pass ``key="name", doc_suffix=".txt"`` for the reference's document labels.
     """
     lines = spark.read.text(_paths(paths))
-    return lines.select(F.concat(F.col("_metadata.file_name"), F.lit(doc_suffix)).alias("doc"),
-                        F.col("value").alias("text"))
+    return lines.select(F.concat(F.col(DOC_KEYS[key]), F.lit(doc_suffix)).alias("doc"), F.col("value").alias("text"))
 
 
 def list_docs(spark: SparkSession, paths: str | list[str], doc_suffix: str = "",
-              recursive: bool = True) -> DataFrame:
+              recursive: bool = True, key: str = "path") -> DataFrame:
     """``(doc)``, one row per non-empty file below the paths (files without tokens included).
 
     Uses the ``binaryFile`` source with only the path selected, so file
@@ -40,8 +44,8 @@ def list_docs(spark: SparkSession, paths: str | list[str], doc_suffix: str = "",
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
              .load(_paths(paths)).select("path"))
-    base = F.element_at(F.split("path", "/"), -1)
-    return files.select(F.concat(base, F.lit(doc_suffix)).alias("doc"))
+    label = F.col("path") if key == "path" else F.element_at(F.split("path", "/"), -1)
+    return files.select(F.concat(label, F.lit(doc_suffix)).alias("doc"))
 
 
 def count_files(spark: SparkSession, paths: str | list[str]) -> int:
@@ -60,17 +64,6 @@ def count_files(spark: SparkSession, paths: str | list[str]) -> int:
     return total
 
 
-def input_bytes(spark: SparkSession, paths: str | list[str]) -> int:
-    """Total size in bytes of the (non-empty) files below the paths.
-
-    Reads only the ``length`` column of the ``binaryFile`` source: file
-    metadata, no contents.
-    """
-    v = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_paths(paths))
-         .agg(F.sum("length").alias("b")).first()["b"])
-    return int(v or 0)
-
-
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``(line_id, line)`` for page-line files, blank lines kept."""
     return spark.read.text(_paths(paths)).select(F.monotonically_increasing_id().alias("line_id"),
@@ -79,36 +72,24 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def read_edge_list(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``(src, dst)`` from ``src#####dst`` lines (lines without the separator are dropped)."""
-    parts = F.split(F.col("value"), EDGE_SEP)
-    return (spark.read.text(_paths(paths))
-            .select(F.get(parts, 0).alias("src"), F.get(parts, 1).alias("dst"))
-            .filter(F.col("dst").isNotNull()))
+    return spark.read.text(_paths(paths)).select(*X.parse_edge()).filter(F.col("dst").isNotNull())
 
 
 def read_term_weights(spark: SparkSession, paths: str | list[str], value_type: str = "double") -> DataFrame:
     """``(word, doc, value)`` from ``word&#&#&doc<TAB>[<TAB>]value`` lines."""
-    v = F.col("value")
-    sep = WORD_DOC_SEP
-    return (spark.read.text(_paths(paths)).filter(v != "")
-            .select(F.substring_index(v, sep, 1).alias("word"),
-                    F.regexp_extract(v, "&#&#&([^\t]*)\t", 1).alias("doc"),
-                    F.regexp_extract(v, "\t+([^\t]*)$", 1).cast(value_type).alias("value")))
+    return spark.read.text(_paths(paths)).filter("value != ''").select(*X.parse_term_weight(value_type=value_type))
 
 
 def read_scores(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``(doc, score)`` from ``doc<TAB>score`` lines."""
-    return spark.read.csv(_paths(paths), sep=TAB, schema="doc string, score float")
+    return spark.read.text(_paths(paths)).filter("value != ''").select(*X.parse_score())
 
 
 def read_rank_state(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``(page, rank, links)`` from ``page<TAB>##rank[##a@!#b]`` lines (lets a run resume)."""
-    v = F.col("value")
-    kv = F.split(v, TAB, 2)
-    parts = F.split(F.get(kv, 1), STATE_SEP)     # "", rank[, links]
-    return (spark.read.text(_paths(paths)).filter(v != "")
-            .select(F.trim(F.get(kv, 0)).alias("page"), F.get(parts, 1).cast("double").alias("rank"),
-                    decode_links(F.coalesce(F.get(parts, 2), F.lit(""))).alias("links")))
+    """``(page, rank, links)`` from ``page<TAB>##rank[##a@!#b]`` lines; ``pagerank_run(initial_ranks=...)``
+    goes on from it."""
+    return spark.read.text(_paths(paths)).filter("value != ''").select(*X.parse_rank_state())
 
 
-__all__ = ["DOC_SUFFIX", "LINK_LIST_SEP", "count_files", "input_bytes", "list_docs", "read_edge_list", "read_lines", "read_rank_state",
+__all__ = ["DOC_SUFFIX", "count_files", "list_docs", "read_edge_list", "read_lines", "read_rank_state",
            "read_scores", "read_term_weights", "read_text_docs"]

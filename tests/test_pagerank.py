@@ -46,7 +46,7 @@ def test_small_graph_ten_rounds(spark, mode, expected):
 
 def test_small_graph_exact_stop(spark):
     edges = L.page_edges(L.parse_pages(lines_df(spark, SAMPLE), "all_sections"))
-    run = PR.pagerank_run(edges, mode="cited_only", n=9, iterations=1000, tol=0.0)
+    run = PR.pagerank_run(edges, mode="cited_only", n=9, iterations=1000)
     assert run.converged and run.rounds < 1000
     for page, rank in as_dict(run.ranks).items():
         assert rank == pytest.approx(SMALL_CITED_STOP[page], abs=1e-6)
@@ -95,6 +95,79 @@ def test_modes_agree_without_special_cases(spark):
         assert r[0][k] == pytest.approx(r[1][k]) and r[0][k] == pytest.approx(r[2][k])
 
 
+def test_runs_until_it_converges(spark):
+    edges = L.page_edges(L.parse_pages(lines_df(spark, SAMPLE), "all_sections"))
+    run = PR.pagerank_run(edges, mode="cited_only", n=9, iterations=None)       # tol 0 by default
+    assert run.converged and run.rounds > 100
+    for page, rank in as_dict(run.ranks).items():
+        assert rank == pytest.approx(SMALL_CITED_STOP[page], abs=1e-6)
+    cut = PR.pagerank_run(edges, mode="cited_only", n=9, iterations=20)
+    assert (cut.converged, cut.rounds) == (False, 20)
+    with pytest.raises(RuntimeError, match="did not settle in 20 rounds"):
+        PR.pagerank(edges, mode="cited_only", n=9, iterations=20, must_converge=True)
+    with pytest.raises(ValueError):
+        PR.pagerank(edges, mode="all_nodes", iterations=None)
+
+
+def test_oracle_graph_tells_the_modes_apart(spark):
+    """Dangling and uncited pages, and three different N, in the graph of the driver's queries."""
+    from conftest import SF0001
+    from rankloom.plans import inputs
+    e = inputs.graph_edges(spark, SF0001)
+    sources, targets = e.select("src").distinct(), e.select("dst").distinct()
+    assert targets.subtract(sources).count() > 0 and sources.subtract(targets).count() > 0
+    n = {sources.count(), sources.union(targets).distinct().count(), e.count()}
+    assert len(n) == 3 and e.distinct().count() < e.count()
+
+
+def test_stop_of_the_converge_query_is_clear_of_its_tolerance(spark, monkeypatch):
+    from conftest import SF0001
+    from rankloom.plans import catalog
+    totals, real = [0.0], PR._total
+    monkeypatch.setattr(PR, "_total", lambda r: (totals.append(real(r)), totals[-1])[1])
+    run = catalog._converged(spark, SF0001)
+    moved = [abs(b - a) for a, b in zip(totals, totals[1:])]
+    assert run.rounds < catalog.CONVERGE_SQL_ROUNDS
+    assert moved[-1] < 0.95 * catalog.CONVERGE_TOL and moved[-2] > 1.05 * catalog.CONVERGE_TOL
+
+
+def _folders(spark):
+    import os
+    base = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    return {f for f in os.listdir(base) if f.startswith("rdd-")}
+
+
+def test_only_the_returned_ranks_are_left(spark):
+    before = _folders(spark)
+    e = spark.createDataFrame([(f"p{i}", f"p{i * 7 % 50}") for i in range(300)] + [("hub", f"p{i}") for i in range(50)], "src string, dst string")
+    run = PR.pagerank_run(e, mode="all_nodes", iterations=4, hub_threshold=10)
+    assert run.hubs == 1 and len(_folders(spark) - before) == 1 and run.ranks.count() == 301
+    lines = PR.pagerank_lines_run(hand_lines(spark), mode="keep_uncited", iterations=3)
+    assert len(_folders(spark) - before) <= 2 and lines.ranks.count() == 6
+
+
+def test_lines_without_numbers_are_numbered_once(spark):
+    """Links and pages read the same written copy, also where a shuffle below may reorder lines."""
+    from pyspark.sql import functions as F
+    lines = hand_lines(spark).select("line").repartition(4).orderBy(F.rand())
+    got = as_dict(PR.pagerank_lines(lines, mode="all_nodes"))
+    assert got == pytest.approx(HAND_EXPECTED["all_nodes"][10], abs=1e-6)
+
+
+def test_hub_partition_of_contributions_is_split(spark):
+    """A third of the edges on one source: the one join with the links splits it."""
+    star = spark.range(40000).selectExpr("'hub' as src", "concat('n', id) as dst")
+    rest = spark.range(80000).selectExpr("concat('n', id) as src", "concat('n', (id * 7) % 80000) as dst")
+    ranks = spark.range(80000).selectExpr("concat('n', id) as page", "1D as rank").union(spark.sql("select 'hub', 1D"))
+    with PR._conf(spark, {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+                          "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                          "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        df = PR.contributions(star.union(rest), ranks)
+        assert df.count() == 120000
+        df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_empty_graph(spark):
     e = spark.createDataFrame([], "src string, dst string")
     for m in PR.MODES:
@@ -136,7 +209,7 @@ def test_default_threshold_finds_a_hub(spark):
     e = spark.createDataFrame(star + ring + back, "src string, dst string")
     run = PR.pagerank_run(e, mode="all_nodes", iterations=5, partitions=8)
     plain = PR.pagerank_run(e, mode="all_nodes", iterations=5, partitions=8, hub_threshold=10 ** 9)
-    # 4429 edges / 8 partitions -> threshold 553 < 1000: the hub takes the broadcast path
+    # 4429 edges / 8 partitions -> threshold 553 < 1000: the hub is spread over salts
     assert run.hubs == 1 and plain.hubs == 0
     a, b = as_dict(run.ranks), as_dict(plain.ranks)
     assert a.keys() == b.keys() and len(a) == 3001

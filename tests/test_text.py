@@ -158,7 +158,7 @@ def test_tfidf_shuffle_join_path_equals_broadcast_path(spark):
 
 
 def test_search_filter_sits_on_the_token_generator(spark, sample_docs):
-    plan = T.search(sample_docs, ["Hadoop"])._jdf.queryExecution().optimizedPlan().toString()
+    plan = T.term_frequency(sample_docs, words=["Hadoop"])._jdf.queryExecution().optimizedPlan().toString()
     lines = plan.splitlines()
     gens = [i for i, l in enumerate(lines) if "Generate explode(split(line" in l]
     assert gens
@@ -166,26 +166,71 @@ def test_search_filter_sits_on_the_token_generator(spark, sample_docs):
         assert "Filter" in lines[g - 1] and "Hadoop" in lines[g - 1], "\n".join(lines[g - 2:g + 1])
 
 
+def _count_tokenizing(monkeypatch, call):
+    """Runs ``call`` and gives the number of token generators in all plans that it materialises or returns."""
+    seen = []
+    real = T._materialise
+    monkeypatch.setattr(T, "_materialise", lambda df: (seen.append(df), real(df))[1])
+    seen.append(call())
+    return sum(df._jdf.queryExecution().optimizedPlan().toString().count("Generate explode(split(line") for df in seen)
+
+
+def test_corpus_is_tokenized_once(spark, monkeypatch):
+    """Vocabulary and join read the written postings (plain table scan, no spreading)."""
+    from conftest import SF0001
+    docs = T.documents(spark.read.parquet(f"{SF0001}/documents.parquet"))
+    kw = spark.createDataFrame([("the",), ("la",)], "word string")
+    for call in (lambda: T.tfidf(docs), lambda: T.search(docs, ["the", "la"]), lambda: T.search(docs, keywords=kw),
+                 lambda: T.search(docs, keywords=kw, broadcast_bytes=0)):
+        with monkeypatch.context() as m:
+            assert _count_tokenizing(m, call) == 1
+
+
+def test_long_word_list_is_a_join(spark, sample_docs):
+    words = [f"w{i}" for i in range(T.MAX_IN_LIST)] + ["Hadoop"]
+    plan = T.term_frequency(sample_docs, words=words)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and " IN (" not in plan
+    assert sorted(T.search(sample_docs, words).collect()) == sorted(T.search(sample_docs, ["Hadoop"]).collect())
+
+
+def test_words_and_keywords_together(spark, sample_docs):
+    kw = spark.createDataFrame([("Hadoop",), ("an",)], "word string")
+    assert sorted(T.search(sample_docs, ["Hadoop", "yellow"], kw).collect()) == sorted(T.search(sample_docs, ["Hadoop"]).collect())
+
+
+def test_vocabulary_is_measured_in_bytes(spark):
+    words = spark.createDataFrame([("日本語日本語",)], "word string")
+    assert T._measured(words, T.ROW_BYTES + 17)[1] is False and T._measured(words, T.ROW_BYTES + 18)[1] is True
+
+
+def test_hot_word_in_every_document_is_split(spark):
+    """One word in every document: the shuffle join with the weights splits its partition."""
+    docs = spark.range(30000).selectExpr("concat('d', id) as doc", "concat('hot w', id % 5000) as text")
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = T.tfidf(docs, broadcast_bytes=0)
+        df.write.format("noop").mode("overwrite").save()
+        df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_keyword_search_large_keyword_path(spark):
     from conftest import SF0001
     docs = T.documents(spark.read.parquet(f"{SF0001}/documents.parquet"))
     kw = T.keyword_table(spark.read.parquet(f"{SF0001}/benchmark.parquet"))
     small = T.search(docs, keywords=kw)
     large = T.search(docs, keywords=kw, broadcast_bytes=0)   # semi-join on postings, shuffle joins
-    assert "LeftSemi" in large._jdf.queryExecution().executedPlan().toString()
     assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0 and small.count() > 0
 
 
-def test_word_search_tokenizes_once(spark):
-    from conftest import SF0001
-    docs = T.documents(spark.read.parquet(f"{SF0001}/documents.parquet"))
-    q = T.search(docs, ["the", "la"])
-    q.collect()
-    final = q._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert final.count("Generate explode(split(line") == 1        # one tokenizing pass
-    assert "ReusedExchange" in final                              # idf side reads the scoring side's shuffle
-
-
 def test_empty_corpus_and_null_text(spark):
     empty = spark.createDataFrame([], "doc string, text string")
     assert T.tfidf(empty).count() == 0
