@@ -30,12 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import whole_text
+from .common import map_arrow, whole_text
 from .vocabulary import ranks_path, read_ranks
 
-KEEP_WORDS = 300_000
-PORTION_BYTES = 300_000
-DUCKDB_MEMORY = "256MB"
+KEEP_WORDS = 600_000
+PORTION_BYTES = 800_000
+DUCKDB_MEMORY = "300MB"
 
 # Rows of words that can still be merged go round (live); a word's rows come out with live = false
 # once no pair of it is in the merge table. Rows stay in order of word and position: the windows over () read
@@ -143,7 +143,7 @@ class Codec:
         ids = self.byte_ids[data]
         start = pa.table({"word": word, "pos": pos, "id": ids})
         self.db.register("start", start)
-        found = self.db.execute(CONTRACT).to_arrow_table().column("ids").combine_chunks()
+        found = self.db.sql(CONTRACT).to_arrow_table().column("ids").combine_chunks()
         self.db.unregister("start")
         found = found.chunk(0) if isinstance(found, pa.ChunkedArray) else found
         out = found.flatten().to_numpy()
@@ -175,7 +175,7 @@ class Codec:
         flat = np.concatenate([*lists, np.zeros(0, np.uint32)]).astype(np.int32)
         ids = pa.table({"doc": doc, "pos": np.arange(len(flat), dtype=np.int32), "id": flat})
         self.db.register("ids", ids)
-        rows = self.db.execute(DECODE).fetchall()
+        rows = self.db.sql(DECODE).fetchall()
         self.db.unregister("ids")
         out = [b""] * len(lists)
         for n, text in rows:
@@ -188,7 +188,7 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def portions(texts: list[str], size: int = 2_000_000):
+def portions(texts: list[str], size: int = 5_000_000):
     """Index ranges of consecutive texts, at most ``size`` characters together (or one text)."""
     first, total = 0, 0
     for n, text in enumerate(texts):
@@ -220,7 +220,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
                                                  names=["doc_id", "ids"])
 
     schema = T.StructType([T.StructField("doc_id", docs.schema[key].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return docs.select(F.col(key).alias("doc_id"), whole_text(text).alias("text")).mapInArrow(run, schema)
+    return map_arrow(docs.select(F.col(key).alias("doc_id"), whole_text(text).alias("text")), run, schema)
 
 
 def decode_documents(encoded: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -234,7 +234,7 @@ def decode_documents(encoded: DataFrame, path: str | None = None, pattern: str |
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own.decode(lists), pa.binary())], names=["doc_id", "bytes"])
 
     schema = T.StructType([T.StructField("doc_id", encoded.schema["doc_id"].dataType), T.StructField("bytes", T.BinaryType())])
-    return encoded.select("doc_id", "ids").mapInArrow(run, schema)
+    return map_arrow(encoded.select("doc_id", "ids"), run, schema)
 
 
 def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -254,4 +254,4 @@ def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = N
 
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("n_tokens", T.LongType()),
                            T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
-    return docs.select("doc_id", whole_text().alias("text")).mapInArrow(run, schema)
+    return map_arrow(docs.select("doc_id", whole_text().alias("text")), run, schema)
