@@ -18,16 +18,14 @@ from rankloom.plans import catalog  # noqa: E402
 from rankloom.plans import inputs as I  # noqa: E402
 
 NOTES = {
-    "doc_word_count": "Two Generate steps and the (word, doc) aggregate run in one codegen stage; the input is "
-                      "doc-partitioned, so the aggregate needs no shuffle of postings.",
-    "tfidf": "Postings are computed map-side and joined with the checkpointed, measured (word, idf) table by "
-             "broadcast: no postings shuffle.",
-    "search": "The IN filter sits directly on the token Generate; the matching postings are shuffled once by "
-              "(word, doc) and the idf side reads that exchange again (ReusedExchange): one tokenizing pass.",
-    "search_keyword_table": "The keyword table is checkpointed and measured first; being small it is "
+    "doc_word_count": "Plain scan. Two Generate steps and the partial (word, doc) aggregate run in one codegen stage; one "
+                      "exchange carries one row per distinct (word, doc) of a map task.",
+    "tfidf": "The postings are a written copy (the corpus is tokenized once, before this plan); they are joined with the "
+             "measured (word, idf) table by broadcast and not shuffled.",
+    "search": "Only matching postings were written; they are joined with their words' weights and summed per document.",
+    "search_keyword_table": "The keyword table is written and measured first; being small it is "
                             "broadcast into a semi-join right on the tokens; then as for search.",
-    "wiki_parse_all": "Per-row regex projections and a posexplode of the links, over lineitem joined with orders "
-                      "on the order key (both spread by that key, so the join needs no further shuffle).",
+    "wiki_parse_all": "Per-row regex projections and a posexplode of the links, over lineitem joined with orders.",
     "pagerank_round": "One PageRank round over checkpointed shares and rank vector: the only Exchange carries "
                       "partial sums per target; the edge scan is neither shuffled nor re-sorted.",
 }
