@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.session import ensure_checkpoint_dir
+import rankloom
+from rankloom.session import application_id, delete_path, ensure_checkpoint_dir
 
 # A side is broadcast only after its rows were counted, and only up to this many
 # narrow rows (ids and small numbers, a few MB); beyond it the join shuffles.
@@ -19,13 +25,58 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the session's shared checkpoint folder and read from there.
+class Scratch:
+    """Written tables of one operator, in the folder that the cluster names in ``spark.checkpoint.dir``.
 
-    The reliable form: a lost executor costs a re-read, not a recomputation.
+    ``files(df)`` writes ``df`` as Parquet and gives it read back: lineage ends there, a lost executor
+    costs a re-read, and the planner sees true sizes.  (A checkpointed DataFrame would carry its plan's size
+    estimate and constraints along, and these multiply in loops until planning takes longer than the work.)
+    When the block ends the tables are deleted, but for those given to ``keep``, which a lazy result
+    still reads.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder, self.tables = spark, ensure_checkpoint_dir(spark), {}
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *error) -> None:
+        for path in self.tables:
+            delete_path(self.spark, path)
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/llm-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        self.tables[path] = out = self.spark.read.schema(df.schema).parquet(path)
+        return out
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.tables = {path: x for path, x in self.tables.items() if x is not df}
+        return df
+
+    def drop(self, df: DataFrame) -> None:
+        for path in [path for path, x in self.tables.items() if x is df]:
+            delete_path(self.spark, path)
+            del self.tables[path]
+
+
+_shipped: set[str] = set()
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)``, with this package sent to the executors once per application."""
+    spark = df.sparkSession
+    app = application_id(spark)
+    if app not in _shipped:
+        home = os.path.dirname(os.path.abspath(rankloom.__file__))
+        if not os.path.isdir(home):  # already running from a shipped archive
+            return df.mapInArrow(run, schema)
+        made = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="rankloom-"), "rankloom"), "zip",
+                                   root_dir=os.path.dirname(home), base_dir=os.path.basename(home))
+        spark.sparkContext.addPyFile(made)  # the driver serves the file; executors need no shared folder
+        _shipped.add(app)
+    return df.mapInArrow(run, schema)
 
 
 def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

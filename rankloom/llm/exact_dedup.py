@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut, whole_text, without_ids
+from .common import Scratch, ascii_lower, whole_text, without_ids
 
 SALTS = 256
 
@@ -63,28 +63,27 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 def dedup(docs: DataFrame, index: DigestIndex, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Judge a batch against the index and append its new digests.
 
-    Returns, materialised, one row per document of the batch: doc_id, keep_id (the row that stays:
+    Returns, as a written table, one row per document of the batch: doc_id, keep_id (the row that stays:
     the indexed one if the text was known), group_size (rows of the batch with that text), kept, digest.
     """
-    rows = cut(digests(docs, key, text))
-    parts = cut(rows.groupBy("digest", "salt").agg(F.max("doc_id").alias("keep_id"), F.sum("n").alias("group_size")))
-    groups = parts.groupBy("digest").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
-    if index.exists():
-        groups = cut(groups)
-        known = index.read().select("digest", F.col("keep_id").alias("known_id"), F.lit(True).alias("known"))
-        new = groups.join(index.read().hint("merge"), "digest", "left_anti")
-        verdict = cut(groups.join(known.hint("merge"), "digest", "left")
-                      .select("digest", F.when(F.col("known"), F.col("known_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-                              "group_size", F.coalesce("known", F.lit(False)).alias("known")))
-    else:
-        new, verdict = groups, cut(groups.withColumn("known", F.lit(False)))
-    judged = (rows.select("digest", "salt", "doc_id")
-              .join(parts.select("digest", "salt").join(verdict, "digest"), ["digest", "salt"])
-              .select("doc_id", "keep_id", "group_size",
-                      (~F.col("known") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), "digest"))
-    judged = cut(judged)
-    index.append(new)
-    return judged
+    with Scratch(docs.sparkSession) as files:
+        rows = files(digests(docs, key, text))
+        parts = files(rows.groupBy("digest", "salt").agg(F.max("doc_id").alias("keep_id"), F.sum("n").alias("group_size")))
+        groups = files(parts.groupBy("digest").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")))
+        new, verdict = groups, groups.withColumn("known", F.lit(False))
+        if index.exists():
+            known = index.read().select("digest", F.col("keep_id").alias("known_id"), F.lit(True).alias("known"))
+            new = groups.join(index.read().hint("merge"), "digest", "left_anti")
+            verdict = (groups.join(known.hint("merge"), "digest", "left")
+                       .select("digest", F.when(F.col("known"), F.col("known_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+                               "group_size", F.coalesce("known", F.lit(False)).alias("known")))
+        spread = files(parts.select("digest", "salt").join(verdict, "digest"))
+        judged = (rows.select("digest", "salt", "doc_id").join(spread, ["digest", "salt"])
+                  .select("doc_id", "keep_id", "group_size",
+                          (~F.col("known") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), "digest"))
+        judged = files.keep(files(judged))
+        index.append(new)  # after the verdict, which reads the index as it was
+        return judged
 
 
 def _fresh_index(spark: SparkSession) -> DigestIndex:
@@ -112,8 +111,9 @@ def keep_one(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     finally:
         if index is None:
             own.drop()
-    dropped = cut(judged.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct())
-    kept = without_ids(docs, dropped)
+    with Scratch(docs.sparkSession) as files:
+        dropped = judged.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+        kept = without_ids(docs, files.keep(files(dropped)))
     # Left over: rows that repeat an id with its text, and rows without id.
     return kept.dropDuplicates(["doc_id"]) if judged_repeats(docs, judged) else kept
 

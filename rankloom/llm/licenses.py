@@ -26,7 +26,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, whole_text
+from .common import Scratch, whole_text
 
 FEATURES = 1 << 14
 UNKNOWN_SAMPLE = 4000
@@ -168,10 +168,16 @@ def train(docs: DataFrame, sample: int = UNKNOWN_SAMPLE, key: str = "doc_id", te
     unknown = unlike.select(F.lit(0).alias("label"), "words", (F.pmod(F.xxhash64("words"), F.lit(4)) == 0).alias("held"))
     # The class must exist in an empty corpus too.
     nothing = spark.createDataFrame([(0, ["none"], False), (0, ["none"], True)], families.schema)
-    rows = cut(_vectors(families.unionByName(unknown).unionByName(nothing)).select("label", "features", "held"))
-    model = LogisticRegression(maxIter=60, regParam=1e-4, family="multinomial").fit(rows.where("not held"))
-    raw = vector_to_array("rawPrediction")
-    held = model.transform(rows.where("held")).select("label", raw.alias("raw"))
+    columns = _vectors(families.unionByName(unknown).unionByName(nothing)).select("label", "features", "held")
+    with Scratch(spark) as files:
+        rows = files(columns)
+        model = LogisticRegression(maxIter=60, regParam=1e-4, family="multinomial").fit(rows.where("not held"))
+        return model, _temperature(model.transform(rows.where("held")))
+
+
+def _temperature(held: DataFrame) -> float:
+    """The temperature that gives the held-out rows the least mean loss."""
+    held = held.select("label", vector_to_array("rawPrediction").alias("raw"))
 
     def loss(t: float) -> Column:
         scaled = F.transform("raw", lambda x: x / t)
@@ -181,7 +187,7 @@ def train(docs: DataFrame, sample: int = UNKNOWN_SAMPLE, key: str = "doc_id", te
 
     grid = [0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 8.0]
     losses = held.agg(*(loss(t).alias(str(i)) for i, t in enumerate(grid))).first()
-    return model, min(zip(losses, grid))[1]
+    return min(zip(losses, grid))[1]
 
 
 def _overlap(of: Column, family: Column) -> Column:

@@ -5,18 +5,19 @@ sets of character shingles (``SHINGLE`` code points; a shorter line is its own o
 Jaccard similarity of ``SIMILARITY`` or more.  Lines that are alike, directly or over others, form a
 component; of a component the first line (least doc_id, then line number) is kept.
 
-1. Each distinct line gets a MinHash signature of ``BANDS * ROWS`` numbers, and from it one key per band.
-   A pair at the threshold shares a key with probability 1 - (1 - 0.8 ** 3) ** 10 = 0.9992, at 0.9 with
-   0.999998.
-2. Keys that at least two different lines share are buckets.  Every bucket has a pivot, its line with the
-   most occurrences; every other member is compared with the pivot: no pairs within a bucket.
-3. Comparisons are exact: shingle sets of the two texts.  Pairs that pass go to union-find (star rounds).
-4. Buckets whose members are not all in one component yet take members outside the pivot's component,
-   ``PIVOTS`` at a time, as further pivots against the members of other components, until none is left
-   untested.  Jaccard distance is a metric, so a pair whose distances to the first pivot differ by more
-   than the distance allowed is not compared; nothing else is left out.
-
-Lines are known by their MD5 (128 bits), their texts are fetched only for members of buckets.
+1. Each distinct line gets a MinHash signature of ``BANDS * ROWS`` numbers, from it one key per band, and
+   a sketch of 4 bits of each number (two longs).  A pair at the threshold shares a key with
+   probability 1 - (1 - 0.8 ** 3) ** 10 = 0.9992, at 0.9 with 0.999998.
+2. Keys that at least two different lines share are buckets.  Every other member of a bucket is held against
+   its pivot, the line of least hash: no pairs within a bucket.  A pair whose sketches differ in more than
+   ``SKETCH_BITS`` of 120 bits is passed over: that is over 18 of 30 numbers, which a pair at the threshold has with a
+   probability under 0.000001.
+3. What is left is compared exactly, by the shingle sets of the two texts, and goes to union-find.
+4. In buckets whose members are not all in one component yet, the members outside the pivot's component,
+   ``PIVOTS`` at a time, are held against the members of other components in the same way, until
+   none is left untested.
+
+Lines are known by their MD5 (128 bits), their texts are fetched only for exact comparison.
 
 Edge cases: a null text has no lines; carriage returns belong to their line.  Repeated ids count as further
 lines with the same place; of two lines in the same place both are kept or dropped together.  A null id
@@ -32,12 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, whole_text
+from .common import Scratch, checked_broadcast, map_arrow, whole_text
 from .components import components
 
 SHINGLE, SIMILARITY = 8, 0.8
 BANDS, ROWS = 10, 3
-PIVOTS = 16
+SKETCH_BITS = 36
+PIVOTS = 512
+BROADCAST_LINES = 250_000  # ids of 16 bytes
 PORTION = 1_000_000  # code points signed at a time
 
 _rng = np.random.default_rng(7)
@@ -51,8 +54,9 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def band_keys(lines: list[str]) -> np.ndarray:
-    """``len(lines) x BANDS`` keys; lines without a full shingle get a key of their own text."""
+def signed(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``len(lines) x BANDS`` keys and ``len(lines) x 2`` longs of sketch; the only shingle of a line that is
+    shorter than one is the line."""
     sizes = np.array([len(x) for x in lines], np.int64)
     chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     ends = np.cumsum(sizes)
@@ -69,14 +73,17 @@ def band_keys(lines: list[str]) -> np.ndarray:
         for i in np.nonzero(short)[0]:
             hashed[firsts[i]:firsts[i] + n[i]] = np.uint64(int.from_bytes(hashlib.blake2b(lines[i].encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little"))
     hashed = (hashed >> np.uint64(32)).astype(np.uint32)
-    keys = np.zeros((len(lines), BANDS), np.uint64)
+    keys, sketch = np.zeros((len(lines), BANDS), np.uint64), np.zeros((len(lines), 2), np.uint64)
     for band in range(BANDS):
         key = np.full(len(lines), band + 1, np.uint64)
         for row in range(ROWS):
             least = np.minimum.reduceat(hashed * _FACTORS[band * ROWS + row], firsts)
-            key = _mixed(key * _BASE + least.astype(np.uint64))
+            least = least.astype(np.uint64)
+            key = _mixed(key * _BASE + least)
+            n = band * ROWS + row
+            sketch[:, n // 16] |= (_mixed(least) & np.uint64(15)) << np.uint64(n % 16 * 4)
         keys[:, band] = key
-    return keys.view(np.int64)
+    return keys.view(np.int64), sketch.view(np.int64)
 
 
 def similarity(a: str, b: str) -> float:
@@ -93,7 +100,7 @@ def occurrences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
 
 def signatures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(id, keys)`` of the lines; a line that several batches hold comes more than once."""
+    """``(id, keys, s1, s2)`` of the lines; a line that several batches hold comes more than once."""
     def run(batches):
         for batch in batches:
             lines = sorted({line for value in batch.column(0) for line in value.as_py().split("\n") if line.strip(" ")})
@@ -102,77 +109,99 @@ def signatures(docs: DataFrame, text: str = "text") -> DataFrame:
                 portion.append(line)
                 size += len(line)
                 if size >= PORTION or n + 1 == len(lines):
-                    keys = band_keys(portion)
+                    keys, sketch = signed(portion)
                     ids = [hashlib.md5(x.encode("utf-8", "surrogatepass")).digest() for x in portion]
                     offsets = pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32())
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], names=["id", "keys"])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel())),
+                                                      pa.array(sketch[:, 0].copy()), pa.array(sketch[:, 1].copy())], names=["id", "keys", "s1", "s2"])
                     portion, size = [], 0
 
-    return docs.select(whole_text(text).alias("text")).mapInArrow(run, "id binary, keys array<long>")
+    return map_arrow(docs.select(whole_text(text).alias("text")), run, "id binary, keys array<long>, s1 long, s2 long")
 
 
-def _compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``(a, b, similarity)`` of pairs of line ids."""
+def _alike(files: Scratch, pairs: DataFrame, docs: DataFrame, similar: float, key: str, text: str) -> DataFrame:
+    """The pairs ``(a, b)`` of line ids whose similarity is ``similar`` or more."""
     def run(batches):
         for batch in batches:
             a, b = batch.column("ta").to_pylist(), batch.column("tb").to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array([similarity(x, y) for x, y in zip(a, b)], pa.float64())],
-                                             names=["a", "b", "similarity"])
+            yield batch.select(["a", "b"]).filter(pa.array([similarity(x, y) >= similar for x, y in zip(a, b)], pa.bool_()))
 
+    wanted = files(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    lines = occurrences(docs, key, text).select("id", "line").join(checked_broadcast(wanted, BROADCAST_LINES), "id", "left_semi")
+    texts = files(lines.dropDuplicates(["id"]))
     side = lambda c: texts.select(F.col("id").alias(c), F.col("line").alias("t" + c))
     met = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
-    return cut(met.mapInArrow(run, "a binary, b binary, similarity double"))
+    return files(map_arrow(met, run, "a binary, b binary"))
+
+
+def _near(a: str, b: str):
+    """Whether the sketches (``a``1, ``a``2) and (``b``1, ``b``2) are near enough."""
+    return sum(F.bit_count(F.col(f"{a}{n}").bitwiseXOR(F.col(f"{b}{n}"))) for n in (1, 2)) <= SKETCH_BITS
 
 
 def line_components(docs: DataFrame, similar: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(id, component)`` of the lines that are alike some other line, materialised."""
-    signed = cut(signatures(docs, text))
-    rows = signed.select("id", F.explode("keys").alias("key"))
-    buckets = cut(rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key"))
-    members = cut(rows.join(buckets, "key").distinct())
-    wanted = members.select("id").distinct()
-    texts = cut(occurrences(docs, key, text).join(wanted, "id", "left_semi").groupBy("id")
-                .agg(F.first("line").alias("line"), F.count("*").alias("n")))
-    counted = members.join(texts.select("id", "n"), "id")
-    pivots = cut(counted.groupBy("key").agg(F.max_by("id", F.struct("n", "id")).alias("pivot")))
-    starred = cut(members.join(pivots, "key").select("key", "id", "pivot"))
-    pairs = starred.where("id != pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-    compared = _compare(pairs, texts)
-    edges = cut(compared.where(F.col("similarity") >= similar).select("a", "b"))
-    placed = starred.join(compared.select(F.col("a").alias("id"), F.col("b").alias("pivot"), "similarity"), ["id", "pivot"], "left")
-    placed = cut(placed.select("key", "id", "pivot", F.coalesce("similarity", F.lit(1.0)).alias("s")))
-    groups = components(edges)
-    tested = None
+    """``(id, component)`` of the lines that are alike some other line, a written table."""
+    with Scratch(docs.sparkSession) as files:
+        groups = _line_components(files, docs, similar, key, text)
+        return groups.select(F.col("node").alias("id"), "component")
+
+
+def _line_components(files: Scratch, docs: DataFrame, similar: float, key: str, text: str) -> DataFrame:
+    lines = files(signatures(docs, text))
+    # Buckets are found on a 64-bit hash of the id, half its size; should two lines share it, both become members.
+    rows = lines.select(F.xxhash64("id").alias("h"), F.explode("keys").alias("key"))
+    buckets = files(rows.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low < high").select("key", "low"))
+    placed = files(rows.join(buckets, "key").distinct())
+    known = lines.select(F.xxhash64("id").alias("h"), "id", "s1", "s2").join(placed.select("h").distinct(), "h", "left_semi")
+    known = files(known.dropDuplicates(["id"]))
+    files.drop(lines)
+    pivots = known.select(F.col("h").alias("low"), F.col("id").alias("pivot"), F.col("s1").alias("p1"), F.col("s2").alias("p2"))
+    members = placed.join(known, "h").join(pivots, "low").where("id != pivot")
+    members = files(members.select("key", "id", "s1", "s2", "pivot", _near("s", "p").alias("near")))
+    files.drop(placed)
+    pairs = files(members.where("near").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct())
+    groups = components(_alike(files, pairs, docs, similar, key, text))
+    left, tested = members.drop("near"), None
     while True:
         named = lambda c, out: groups.select(F.col("node").alias(c), F.col("component").alias(out))
-        own = (placed.join(named("id", "c"), "id", "left").join(named("pivot", "cp"), "pivot", "left")
-               .select("key", "id", "s", F.coalesce("c", "id").alias("c"), F.coalesce("cp", "pivot").alias("cp")))
+        own = (left.join(named("id", "c"), "id", "left").join(named("pivot", "cp"), "pivot", "left")
+               .withColumn("c", F.coalesce("c", "id")).withColumn("cp", F.coalesce("cp", "pivot")))
+        # Only buckets with members of two components besides the pivot can hold an untested pair.
+        several = own.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
+        own = files(own.join(several, "key", "left_semi"))
         outside = own.where("c != cp")
         if tested is not None:
             outside = outside.join(tested, ["key", "id"], "left_anti")
         ranked = outside.withColumn("k", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where(F.col("k") <= PIVOTS)
-        chosen = cut(ranked.select("key", F.col("id").alias("a"), F.col("s").alias("sa"), F.col("c").alias("ca")))
+        chosen = files(ranked.select("key", F.col("id").alias("a"), F.col("s1").alias("a1"), F.col("s2").alias("a2"), F.col("c").alias("ca")))
         if chosen.isEmpty():
-            return groups.select(F.col("node").alias("id"), "component")
-        near = F.abs(F.col("sa") - F.col("s")) <= 1 - similar + 1e-9
-        more = (chosen.join(own, "key").where(near & (F.col("ca") != F.col("c")))
+            return groups
+        more = (chosen.join(own, "key").where((F.col("ca") != F.col("c")) & _near("a", "s"))
                 .select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct())
-        compared = _compare(cut(more), texts)
-        edges = cut(edges.unionByName(compared.where(F.col("similarity") >= similar).select("a", "b")))
-        groups = components(edges)
+        found = _alike(files, files(more), docs, similar, key, text)
+        if not found.isEmpty():
+            # Components so far are stars already: only what is new joins them.
+            groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found))
         now = chosen.select("key", F.col("a").alias("id"))
-        tested = cut(now if tested is None else tested.unionByName(now))
+        tested = files(now if tested is None else tested.unionByName(now))
+        # Buckets that are done do not come back: components only grow.
+        left = own.drop("c", "cp")
 
 
 def line_dedup(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
     """One row per line that is not blank: doc_id, line_no, line_id, component_id, kept."""
     groups = line_components(docs, similar)
     lines = occurrences(docs).select("doc_id", "line_no", "id")
-    # Copies of a line are pre-aggregated; only components of two or more lines need the second step.
-    first = cut(lines.groupBy("id").agg(F.min(F.struct("doc_id", "line_no")).alias("first")))
-    labelled = cut(first.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id")))
-    best = labelled.groupBy("component").agg(F.min("first").alias("best"))
-    verdict = cut(labelled.join(best, "component").select("id", "component", "best"))
+    with Scratch(docs.sparkSession) as files:
+        # Lines alike another are few: their component and its first place are worked out first; any other line
+        # is its own component, kept where it stands first.
+        placed = lines.select("id", F.struct("doc_id", "line_no").alias("at"))
+        first = files(placed.groupBy("id").agg(F.min("at").alias("first")))
+        labelled = files(first.join(groups, "id"))
+        best = labelled.groupBy("component").agg(F.min("first").alias("best"))
+        alike = labelled.select("id", "component").join(best, "component")
+        verdict = first.join(alike, "id", "left").select("id", F.coalesce("component", "id").alias("component"), F.coalesce("best", "first").alias("best"))
+        verdict = files.keep(files(verdict))
     hexed = lambda c: F.lower(F.hex(c))
     kept = F.struct("doc_id", "line_no").eqNullSafe(F.col("best"))
     return (lines.join(verdict, "id").select("doc_id", "line_no", hexed("id").alias("line_id"), hexed("component").alias("component_id"), kept.alias("kept")))

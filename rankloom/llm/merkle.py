@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, whole_text
+from .common import Scratch, whole_text
 
 BRANCH_HEX = 8
 BLOCK = 64
@@ -109,7 +109,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     firsts = docs.select("doc_id", slice_.alias("slice")).groupBy("slice").agg(F.max("doc_id").alias("first_id"))
     one = Window.orderBy("slice")
     whole = one.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    firsts = cut(firsts.withColumn("before", F.coalesce(F.lag("slice").over(one), F.last("slice").over(whole))))
+    with Scratch(docs.sparkSession) as files:
+        firsts = files.keep(files(firsts.withColumn("before", F.coalesce(F.lag("slice").over(one), F.last("slice").over(whole)))))
     guests = (numbered.join(F.broadcast(firsts.withColumnRenamed("slice", "at")),
                             (F.col("slice") == F.col("at")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
               .select("doc_id", "text", F.col("before").alias("slice"), F.lit(True).alias("guest")))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, whole_text
+from .common import Scratch, map_arrow, whole_text
 from .vocabulary import byte_bpe_path, encoder
 
 LENGTH, END_ID = 1024, 2
@@ -57,18 +57,18 @@ def pieces(docs: DataFrame, length: int = LENGTH, end_id: int = END_ID, vocabula
 
     schema = T.StructType([T.StructField("doc_id", docs.schema[key].dataType), T.StructField("piece", T.IntegerType()),
                            *(T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32"))])
-    return docs.select(F.col(key).alias("doc_id"), whole_text(text).alias("text")).mapInArrow(run, schema)
+    return map_arrow(docs.select(F.col(key).alias("doc_id"), whole_text(text).alias("text")), run, schema)
 
 
-def ranked(rows: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray, dict[int, int]]:
-    """Range-sorted pieces, materialised, with ``part`` and ``at`` (row number in it); per (part, length)
+def ranked(files: Scratch, rows: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray, dict[int, int]]:
+    """Range-sorted pieces, a written table, with ``part`` and ``at`` (row number in it); per (part, length)
     what to add to ``at`` to get the rank among all pieces of that length; pieces per length.
 
     The counts that come back are one row per length and partition that holds it, and since the
     partitions are ranges these are at most partitions + lengths.
     """
     order = ["length", F.xxhash64("doc_id", "piece", "start")]
-    placed = cut(rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = files(rows.repartitionByRange(*order).sortWithinPartitions(*order)
                  .withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)))
     counts = sorted(tuple(r) for r in placed.groupBy("part", "length").count().collect())
     total: dict[int, int] = {}
@@ -130,7 +130,9 @@ def best_fit(counts: dict[int, int], length: int) -> list[tuple[int, int, int, i
 def pack(docs: DataFrame, length: int = LENGTH, end_id: int = END_ID, vocabulary: str | None = None,
          key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    placed, keys, adds, counts = ranked(cut(pieces(docs, length, end_id, vocabulary, key, text)))
+    with Scratch(docs.sparkSession) as files:
+        placed, keys, adds, counts = ranked(files, files(pieces(docs, length, end_id, vocabulary, key, text)))
+        files.keep(placed)
     runs = np.array(best_fit(counts, length), np.int64).reshape(-1, 5)
     # Searched by size and rank together: sizes take the high bits.
     first = runs[:, 0] << 44 | runs[:, 1]
@@ -148,4 +150,4 @@ def pack(docs: DataFrame, length: int = LENGTH, end_id: int = END_ID, vocabulary
                  pa.array(found[:, 4] + n % found[:, 2] * size, pa.int64())], names=schema.names)
 
     schema = T.StructType([*placed.schema.fields[:5], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return placed.mapInArrow(run, schema)
+    return map_arrow(placed, run, schema)

@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, cut, whole_text
+from .common import Scratch, checked_broadcast, whole_text
 
 
 @dataclass(frozen=True)
@@ -111,7 +111,7 @@ def trigram_index(docs: DataFrame, trigrams: list[str], key: str = "doc_id", tex
 def candidates(docs: DataFrame, rules=RULES, key: str = "doc_id", text: str = "text") -> DataFrame | None:
     """``(key, rules)``: for each document with a satisfied clause, the bit set of its rules.
 
-    None when no rule has a trigram query.  Materialised.
+    None when no rule has a trigram query.  A written table.
     """
     clauses = [(r, n, clause) for r, rule in enumerate(rules) for n, clause in enumerate(trigram_query(rule.pattern) or [])]
     if not clauses:
@@ -123,7 +123,8 @@ def candidates(docs: DataFrame, rules=RULES, key: str = "doc_id", text: str = "t
     postings = trigram_index(docs, trigrams, key, text).select(F.col(key), F.explode(used_by[F.col("trigram")]).alias("use"))
     satisfied = (postings.groupBy(key, "use").agg(F.count("*").alias("n")).where("n >= use.need")
                  .select(F.col(key), F.expr("shiftleft(1L, use.rule)").alias("rule")))
-    return cut(satisfied.groupBy(key).agg(F.bit_or("rule").alias("rules")))
+    with Scratch(docs.sparkSession) as files:
+        return files.keep(files(satisfied.groupBy(key).agg(F.bit_or("rule").alias("rules"))))
 
 
 def _spans(text: Column, rule: SecretRule, order: int) -> Column:

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, whole_text, without_ids
+from .common import Scratch, map_arrow, whole_text, without_ids
 from .components import components
 
 SHINGLE, BITS, SEED = 3, 2, 42
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id", t
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
 
     schema = T.StructType([T.StructField("doc_id", docs.schema[key].dataType), T.StructField("fp", T.LongType())])
-    return docs.select(F.col(key).alias("doc_id"), whole_text(text).alias("text")).mapInArrow(run, schema)
+    return map_arrow(docs.select(F.col(key).alias("doc_id"), whole_text(text).alias("text")), run, schema)
 
 
 def _signed(x: int) -> int:
@@ -105,14 +105,14 @@ def _meeting_points(fps: DataFrame, bits: int, n_refs: int) -> DataFrame:
     return table.select("fp", F.explode(rows).alias("at")).select("at.kept", "at.point", "fp")
 
 
-def links(fps: DataFrame, bits: int = BITS, n_refs: int = REFERENCES, crowd: int = CROWD) -> DataFrame:
+def links(files: Scratch, fps: DataFrame, bits: int = BITS, n_refs: int = REFERENCES, crowd: int = CROWD) -> DataFrame:
     """Edges ``(a, b)`` between distinct fingerprints with the components of all links of <= ``bits`` bits.
 
-    ``fps``: one materialised column ``fp`` without repeats.
+    ``fps``: one written column ``fp`` without repeats.
     """
-    points = cut(_meeting_points(fps, bits, n_refs))
-    sizes = cut(points.groupBy("kept", "point").agg(F.count("*").alias("members")).where("members > 1"))
-    met = cut(points.join(sizes, ["kept", "point"]))
+    points = files(_meeting_points(fps, bits, n_refs))
+    sizes = files(points.groupBy("kept", "point").agg(F.count("*").alias("members")).where("members > 1"))
+    met = files(points.join(sizes, ["kept", "point"]))
     few = met if bits != 2 else met.where(F.col("members") <= crowd)
     a, b = few.select("kept", "point", F.col("fp").alias("a")), few.select("kept", "point", F.col("fp").alias("b"))
     refs = references(n_refs)
@@ -120,11 +120,11 @@ def links(fps: DataFrame, bits: int = BITS, n_refs: int = REFERENCES, crowd: int
     differing = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     pairs = a.join(b, ["kept", "point"]).where((F.col("a") < F.col("b")) & (apart <= bits) & (differing <= bits)).select("a", "b")
     if bits != 2:
-        return cut(pairs.distinct())
-    return cut(pairs.unionByName(_crowd_links(met.where(F.col("members") > crowd), bits)).distinct())
+        return files(pairs.distinct())
+    return files(pairs.unionByName(_crowd_links(files, met.where(F.col("members") > crowd), bits)).distinct())
 
 
-def _crowd_links(members: DataFrame, bits: int) -> DataFrame:
+def _crowd_links(files: Scratch, members: DataFrame, bits: int) -> DataFrame:
     """Star edges among the members of crowded points, as described above."""
     masks = blocks(bits)
     free = []
@@ -134,21 +134,21 @@ def _crowd_links(members: DataFrame, bits: int) -> DataFrame:
     flips = reduce(lambda other, n: F.when(F.col("kept") == n, free[n]).otherwise(other), range(len(free) - 1), free[-1])
     named = members.select("kept", "point", "fp", F.explode(flips).alias("flip")).select(
         "kept", "point", "fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("value"))
-    stars = cut(named.groupBy("kept", "point", "value").agg(F.min("fp").alias("centre"), F.count("*").alias("n")).where("n > 1"))
+    stars = files(named.groupBy("kept", "point", "value").agg(F.min("fp").alias("centre"), F.count("*").alias("n")).where("n > 1"))
     return (named.join(stars, ["kept", "point", "value"]).where("fp != centre").select(F.col("centre").alias("a"), F.col("fp").alias("b")))
 
 
 def near_dedup(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, fp, component_id)`` per input row, materialised."""
-    rows = cut(fingerprints(docs, shingle, key, text))
-    nodes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    groups = components(links(nodes.select("fp"), bits))
-    # A fingerprint without a link is its own component.
-    labelled = nodes.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    labelled = cut(labelled)
-    least = cut(labelled.groupBy("component").agg(F.min("least").alias("component_id")))
-    label = cut(labelled.join(least, "component").select("fp", "component_id"))
-    return cut(rows.join(label, "fp").select("doc_id", "fp", "component_id"))
+    """``(doc_id, fp, component_id)`` per input row, a written table."""
+    with Scratch(docs.sparkSession) as files:
+        rows = files(fingerprints(docs, shingle, key, text))
+        nodes = files(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+        groups = components(links(files, nodes.select("fp"), bits))
+        # A fingerprint without a link is its own component.
+        labelled = files(nodes.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp")))
+        least = files(labelled.groupBy("component").agg(F.min("least").alias("component_id")))
+        label = files(labelled.join(least, "component").select("fp", "component_id"))
+        return files.keep(files(rows.join(label, "fp").select("doc_id", "fp", "component_id")))
 
 
 def simhash_dedup(docs: DataFrame) -> DataFrame:
@@ -158,6 +158,6 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is the least of their component; rows without id stay."""
-    judged = near_dedup(docs)
-    dropped = cut(judged.where("doc_id != component_id").select("doc_id").distinct())
-    return without_ids(docs, dropped)
+    with Scratch(docs.sparkSession) as files:
+        dropped = near_dedup(docs).where("doc_id != component_id").select("doc_id").distinct()
+        return without_ids(docs, files.keep(files(dropped)))

@@ -13,9 +13,9 @@ def rows(df):
     return sorted(map(repr, map(tuple, df.collect())))
 
 
-def test_stages(spark, documents):
+def test_stages(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact", "near", "secrets", "packing"]
-    stages, docs = dict(corpus_pipeline.STAGES), documents
+    stages, docs = dict(corpus_pipeline.STAGES), spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = stages["quality"](spark, docs, "")
     kept = {r.doc_id for r in quality.classify(docs).where("kept").collect()}
     assert out.columns == docs.columns and rows(out) == sorted(repr(tuple(r)) for r in docs.collect() if r.doc_id in kept)

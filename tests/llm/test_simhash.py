@@ -5,6 +5,7 @@ import numpy as np
 import xxhash
 
 from rankloom.llm import simhash
+from rankloom.llm.common import Scratch
 from rankloom.llm.components import components
 
 
@@ -67,7 +68,8 @@ def test_linked_texts(spark):
 
 def linked(spark, fps, **more):
     df = spark.createDataFrame([(int(np.int64(np.uint64(f))),) for f in fps], "fp long")
-    found = {r.node: r.component for r in components(simhash.links(df, **more)).collect()}
+    with Scratch(spark) as files:
+        found = {r.node: r.component for r in components(simhash.links(files, df, **more)).collect()}
     signed = [int(np.int64(np.uint64(f))) for f in fps]
     want = {}
     for s, g in zip(signed, groups(fps, more.get("bits", 2))):
