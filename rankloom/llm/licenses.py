@@ -170,7 +170,8 @@ def train(docs: DataFrame, sample: int = UNKNOWN_SAMPLE, key: str = "doc_id", te
     nothing = spark.createDataFrame([(0, ["none"], False), (0, ["none"], True)], families.schema)
     columns = _vectors(families.unionByName(unknown).unionByName(nothing)).select("label", "features", "held")
     with Scratch(spark) as files:
-        rows = files(columns)
+        # A few thousand rows whatever the corpus: few partitions, or every step would gather the gradient of each.
+        rows = files(columns).coalesce(4)
         model = LogisticRegression(maxIter=60, regParam=1e-4, family="multinomial").fit(rows.where("not held"))
         return model, _temperature(model.transform(rows.where("held")))
 
