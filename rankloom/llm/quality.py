@@ -18,6 +18,8 @@ empty table gives no rows.  Extra columns pass through ``keep_good`` untouched.
 
 from __future__ import annotations
 
+import operator
+import re
 import zlib
 from collections import Counter
 from dataclasses import dataclass
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import whole_text
+from .common import map_arrow, whole_text
 
 HASH_BITS = 18
 SAMPLE = 4096
@@ -39,6 +41,8 @@ ABSTAIN, GOOD, BAD = 0, 1, 2
 _LETTERS = bytes(b for b in range(256) if chr(b).isalpha() or b >= 128)
 _CAPITALS = bytes(range(65, 91))
 _PLAIN = _LETTERS + b"0123456789 \t\n\r\x0b\x0c.,;:!?'\"()-"
+_SHOUTED = re.compile(rb"!!(?=\s|\Z)")
+_BARS = re.compile(rb"(?<!\S)[|/\-_=*#>~+]+(?!\S)")
 # Shape of a byte: A, a (also bytes of other letters), 0, or the byte itself.
 _SHAPE = bytes(65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in range(256))
 
@@ -46,18 +50,20 @@ _SHAPE = bytes(65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48
 def measures(data: bytes, words: list[bytes]) -> tuple[float, ...]:
     """Shares, from 0 to 1, that the labellers look at."""
     n, low = len(words), data.lower().split()
+    lasts = bytes([w[-1] for w in words])
+    same, like = (list(map(operator.eq, x, x[1:])) for x in (words, low))
     letters = len(data) - len(data.translate(None, _LETTERS))
     capitals = len(data) - len(data.translate(None, _CAPITALS))
     odd = len(data.translate(None, _PLAIN))
     return (odd / len(data),
-            sum(w[-1] not in _PLAIN for w in words) / n,
+            len(lasts.translate(None, _PLAIN)) / n,
             capitals / max(1, letters),
-            sum(w.endswith(b"!!") for w in words) / n,
-            sum(not w.translate(None, b"|/-_=*#>~+") for w in words) / n,
-            sum(a == b for a, b in zip(words, words[1:])) / n,
-            sum(a == b or b == c for a, b, c in zip([b"", *low], low, [*low[1:], b""])) / n,
+            len(_SHOUTED.findall(data)) / n,
+            len(_BARS.findall(data)) / n,
+            sum(same) / n,
+            sum(map(operator.or_, [False, *like], [*like, False])) / n,
             len(set(words)) / n,
-            sum(w[-1:] in b".!?" for w in words) / n)
+            sum(map(lasts.count, b".!?")) / n)
 
 
 # Per measure: at or above the first bound bad, at or below the second good, between them no vote.  Where
@@ -154,7 +160,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, float]], rounds: int = 300, r
     if not rows:
         return weights, bias
     at = np.concatenate([r[0] for r in rows])
-    share = np.concatenate([r[1] for r in rows])
+    share = np.concatenate([r[1] for r in rows]).astype(float)
     row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
     target = np.array([r[2] for r in rows])
     used, at = np.unique(at, return_inverse=True)
@@ -186,7 +192,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, key: str = "doc_id", text: str =
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([votes(*_parsed(t.as_py())) for t in batch.column(0)], pa.int32())], names=["pattern"])
 
-    counted = _texts(docs, key, text).select("text").mapInArrow(vote, "pattern int").groupBy("pattern").count().collect()
+    counted = map_arrow(_texts(docs, key, text).select("text"), vote, "pattern int").groupBy("pattern").count().collect()
     patterns = {r["pattern"]: r["count"] for r in counted}
     posterior, rates, prior = estimate(patterns)
     share = min(1.0, sample / max(1, sum(patterns.values())))
@@ -201,10 +207,15 @@ def fit(docs: DataFrame, sample: int = SAMPLE, key: str = "doc_id", text: str =
 
     # A 32-bit draw per document; its share of them is the sample.
     draw = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 32))
-    drawn = (_texts(docs, key, text).withColumn("draw", draw).where(F.col("draw") < int(share * (1 << 32))).select("draw", "text")
-             .mapInArrow(extract, "draw long, pattern int, at array<int>, share array<float>")).toArrow().to_pydict()
-    rows = sorted(zip(drawn["draw"], drawn["pattern"], drawn["at"], drawn["share"]), key=lambda r: (r[0], r[1], len(r[2])))
-    weights, bias = train([(np.array(at, np.int64), np.array(s, float), posterior[code]) for _, code, at, s in rows])
+    sampled = _texts(docs, key, text).withColumn("draw", draw).where(F.col("draw") < int(share * (1 << 32))).select("draw", "text")
+    drawn = map_arrow(sampled, extract, "draw long, pattern int, at array<int>, share array<float>").toArrow()
+    rows = []
+    for batch in drawn.to_batches():
+        draws, codes = batch.column("draw").to_pylist(), batch.column("pattern").to_pylist()
+        at, shares = batch.column("at"), batch.column("share")
+        rows += [(draws[i], codes[i], at[i].values.to_numpy(), shares[i].values.to_numpy()) for i in range(batch.num_rows)]
+    rows.sort(key=lambda r: (r[0], r[1], len(r[2])))
+    weights, bias = train([(at, share, posterior[code]) for _, code, at, share in rows])
     return Model(posterior, rates, weights, bias, prior)
 
 
@@ -220,7 +231,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
 
     schema = T.StructType([T.StructField("doc_id", docs.schema[key].dataType), T.StructField("pattern", T.IntegerType()),
                            T.StructField("posterior", T.DoubleType()), T.StructField("score", T.DoubleType())])
-    return _texts(docs, key, text).mapInArrow(run, schema)
+    return map_arrow(_texts(docs, key, text), run, schema)
 
 
 def classify(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -240,4 +251,4 @@ def keep_good(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             good = [model.score(*_parsed(t.as_py() or "")) >= threshold for t in batch.column(at)]
             yield batch.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
