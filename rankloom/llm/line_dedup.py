@@ -9,9 +9,9 @@ component; of a component the first line (least doc_id, then line number) is kep
    a sketch of 4 bits of each number (two longs).  A pair at the threshold shares a key with
    probability 1 - (1 - 0.8 ** 3) ** 10 = 0.9992, at 0.9 with 0.999998.
 2. Keys that at least two different lines share are buckets.  Every other member of a bucket is held against
-   its pivot, the line of least hash: no pairs within a bucket.  A pair whose sketches differ in more than
-   ``SKETCH_BITS`` of 120 bits is passed over: that is over 18 of 30 numbers, which a pair at the threshold has with a
-   probability under 0.000001.
+   its pivot, the line with the most occurrences: no pairs within a bucket.  (Of edited copies the unedited
+   line is the most frequent, and nearest to all.)  A pair whose sketches differ in more than
+   ``SKETCH_BITS`` of 120 bits is passed over; a pair at the threshold does so with a probability of 0.00003.
 3. What is left is compared exactly, by the shingle sets of the two texts, and goes to union-find.
 4. In buckets whose members are not all in one component yet, the members outside the pivot's component,
    ``PIVOTS`` at a time, are held against the members of other components in the same way, until
@@ -27,6 +27,7 @@ comes before all others.  Columns other than the id and the text are not read.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -100,10 +101,12 @@ def occurrences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
 
 def signatures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(id, keys, s1, s2)`` of the lines; a line that several batches hold comes more than once."""
+    """``(id, keys, s1, s2, n)`` of the lines; a line that several batches hold comes more than once, each
+    time with its occurrences there."""
     def run(batches):
         for batch in batches:
-            lines = sorted({line for value in batch.column(0) for line in value.as_py().split("\n") if line.strip(" ")})
+            counts = Counter(line for value in batch.column(0) for line in value.as_py().split("\n") if line.strip(" "))
+            lines = sorted(counts)
             portion, size = [], 0
             for n, line in enumerate(lines):
                 portion.append(line)
@@ -113,10 +116,11 @@ def signatures(docs: DataFrame, text: str = "text") -> DataFrame:
                     ids = [hashlib.md5(x.encode("utf-8", "surrogatepass")).digest() for x in portion]
                     offsets = pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32())
                     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel())),
-                                                      pa.array(sketch[:, 0].copy()), pa.array(sketch[:, 1].copy())], names=["id", "keys", "s1", "s2"])
+                                                      pa.array(sketch[:, 0].copy()), pa.array(sketch[:, 1].copy()),
+                                                      pa.array([counts[x] for x in portion], pa.int64())], names=["id", "keys", "s1", "s2", "n"])
                     portion, size = [], 0
 
-    return map_arrow(docs.select(whole_text(text).alias("text")), run, "id binary, keys array<long>, s1 long, s2 long")
+    return map_arrow(docs.select(whole_text(text).alias("text")), run, "id binary, keys array<long>, s1 long, s2 long, n long")
 
 
 def _alike(files: Scratch, pairs: DataFrame, docs: DataFrame, similar: float, key: str, text: str) -> DataFrame:
@@ -150,15 +154,18 @@ def _line_components(files: Scratch, docs: DataFrame, similar: float, key: str,
     lines = files(signatures(docs, text))
     # Buckets are found on a 64-bit hash of the id, half its size; should two lines share it, both become members.
     rows = lines.select(F.xxhash64("id").alias("h"), F.explode("keys").alias("key"))
-    buckets = files(rows.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low < high").select("key", "low"))
+    buckets = files(rows.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low < high").select("key"))
     placed = files(rows.join(buckets, "key").distinct())
-    known = lines.select(F.xxhash64("id").alias("h"), "id", "s1", "s2").join(placed.select("h").distinct(), "h", "left_semi")
-    known = files(known.dropDuplicates(["id"]))
+    known = lines.select(F.xxhash64("id").alias("h"), "id", "s1", "s2", "n").join(placed.select("h").distinct(), "h", "left_semi")
+    known = files(known.groupBy("h", "id", "s1", "s2").agg(F.sum("n").alias("n")))
     files.drop(lines)
-    pivots = known.select(F.col("h").alias("low"), F.col("id").alias("pivot"), F.col("s1").alias("p1"), F.col("s2").alias("p2"))
-    members = placed.join(known, "h").join(pivots, "low").where("id != pivot")
-    members = files(members.select("key", "id", "s1", "s2", "pivot", _near("s", "p").alias("near")))
+    weighted = files(placed.join(known, "h"))
     files.drop(placed)
+    pivots = files(weighted.groupBy("key").agg(F.max(F.struct("n", "id", "s1", "s2")).alias("top")))
+    pivots = pivots.select("key", F.col("top.id").alias("pivot"), F.col("top.s1").alias("p1"), F.col("top.s2").alias("p2"))
+    members = weighted.join(pivots, "key").where("id != pivot")
+    members = files(members.select("key", "id", "s1", "s2", "pivot", _near("s", "p").alias("near")))
+    files.drop(weighted)
     pairs = files(members.where("near").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct())
     groups = components(_alike(files, pairs, docs, similar, key, text))
     left, tested = members.drop("near"), None
