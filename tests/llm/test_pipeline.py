@@ -1,13 +1,10 @@
 """Every stage against a brute-force version on its own input, and the whole run."""
 
 import corpus_pipeline
-import test_exact_dedup
-import test_packing
-import test_secrets
-import test_simhash
-
 from rankloom.llm import quality
 
+from . import test_exact_dedup, test_packing, test_secrets, test_simhash
+
 
 def rows(df):
     return sorted(map(repr, map(tuple, df.collect())))
