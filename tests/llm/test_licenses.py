@@ -51,3 +51,36 @@ def test_held_out_windows_of_templates(spark, documents):
 def test_native_plan(documents):
     plan = licenses.license_scan(documents)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_notices_within_long_lines(spark, documents):
+    """Alone, or at the start, in the middle or at the end of a line: a notice is found."""
+    prose = [w for r in documents.orderBy("doc_id").limit(40).collect() for line in r.text.split("\n")
+             if line not in NOTICES.values() for w in line.split()]
+    rows, want = [], {}
+    for n, (family, notice) in enumerate((f, x) for f, x in NOTICES.items() for _ in range(4)):
+        for m, others in enumerate((0, 1, 3, 10, 20, 60, 300)):
+            for k, before in enumerate((0, others // 2, others)):
+                at = (n * 997 + m * 311 + k * 53) % (len(prose) - 400)
+                key = len(rows)
+                rows.append((key, " ".join([*prose[at:at + before], notice, *prose[at + before:at + others]])))
+                want[key] = f"0:{family}"
+    for text in ("no notice here. " + " ".join(prose[:300]), "by the terms of the committee, in the public garden, he was granted free entry to the software fair"):
+        want[len(rows)] = ""
+        rows.append((len(rows), text))
+    corpus = documents.selectExpr("-1 - doc_id as doc_id", "text")
+    got = {r.doc_id: r.hits for r in licenses.license_scan(corpus.unionByName(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert {k: got[k] for k in want} == want
+
+
+def test_several_and_edited_notices_in_a_line(spark, documents):
+    tale = "and then a long tale of something else entirely follows here " * 6
+    agpl = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Afero General "
+            "Public License as published by the Free Software Foundation.")
+    texts = {f"{tale}{NOTICES['mit']} {tale}{NOTICES['apache']}\n{tale}": ("0:apache,0:mit", 2),
+             f"{NOTICES['mit']} {NOTICES['cc-by-nc']} {tale}{NOTICES['mit']}": ("0:cc-by-nc,0:mit", 1),
+             f"{tale}\n{tale}This work is licensed under a Creative Commons Attribution 3.0 International License. {tale}": ("1:cc-by", 2),
+             f"{tale}{agpl.replace('Afero', 'Affero').replace('modify', 'alter')} {tale}": ("0:agpl", 1)}
+    df = spark.createDataFrame([(100_000 + n, t) for n, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: (r.hits, r.n_paragraphs) for r in licenses.license_scan(documents.select("doc_id", "text").unionByName(df)).collect()}
+    assert [got[100_000 + n] for n in range(len(texts))] == list(texts.values())
