@@ -203,15 +203,20 @@ def paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return split.select("row", "doc_id", "paragraph", words(F.col("line")).alias("words"))
 
 
-def train(docs: DataFrame, sample: int = UNKNOWN_SAMPLE, key: str = "doc_id", text: str = "text") -> tuple[LogisticRegressionModel, float]:
-    """The classifier and its temperature."""
-    spark = docs.sparkSession
-    families = spark.createDataFrame(spans(), "label int, words array<string>, held boolean")
+def _unlike(docs: DataFrame, sample: int, text: str) -> DataFrame:
+    """``words`` of sampled paragraphs without a triple of any template."""
     lines = docs.select(F.explode(F.split(whole_text(text), "\n", -1)).alias("line")).where("line != ''")
     total = lines.count()
     draw = F.pmod(F.xxhash64("line"), F.lit(1 << 32))
     drawn = lines.where(draw < int(min(1.0, sample / max(1, total)) * (1 << 32))).select(words(F.col("line")).alias("words"))
-    unlike = drawn.where(~F.arrays_overlap(_triples_of(F.slice("words", 1, 200)), _all_triples()))
+    return drawn.where(~F.arrays_overlap(_triples_of(F.col("words")), _all_triples()))
+
+
+def train(docs: DataFrame, sample: int = UNKNOWN_SAMPLE, key: str = "doc_id", text: str = "text") -> tuple[LogisticRegressionModel, float]:
+    """The classifier and its temperature."""
+    spark = docs.sparkSession
+    families = spark.createDataFrame(spans(), "label int, words array<string>, held boolean")
+    unlike = _unlike(docs, sample, text)
     unknown = unlike.select(F.lit(0).alias("label"), "words", (F.pmod(F.xxhash64("words"), F.lit(4)) == 0).alias("held"))
     # The class must exist in an empty corpus too.
     nothing = spark.createDataFrame([(0, ["none"], False), (0, ["none"], True)], families.schema)

@@ -84,3 +84,10 @@ def test_several_and_edited_notices_in_a_line(spark, documents):
     df = spark.createDataFrame([(100_000 + n, t) for n, t in enumerate(texts)], "doc_id long, text string")
     got = {r.doc_id: (r.hits, r.n_paragraphs) for r in licenses.license_scan(documents.select("doc_id", "text").unionByName(df)).collect()}
     assert [got[100_000 + n] for n in range(len(texts))] == list(texts.values())
+
+
+def test_unknown_rows_have_no_triple_of_a_template(spark):
+    """Also where the notice stands late in a long line."""
+    tale = "a long tale of something else entirely " * 40
+    df = spark.createDataFrame([(1, tale + NOTICES["gpl"]), (2, tale)], "doc_id long, text string")
+    assert [len(r.words) for r in licenses._unlike(df, 1000, "text").collect()] == [len(tale.split())]
