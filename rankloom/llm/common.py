@@ -94,6 +94,17 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def numbered(files: Scratch, docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` as a written table with a number for each row, and that column's name (none of ``docs``).
+
+    Written, as rows that are read again from their source need not get the same numbers.
+    """
+    name = "row_number"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    return files(docs.withColumn(name, F.monotonically_increasing_id())), name
+
+
 def without_ids(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` whose ``key`` is not in ``dropped`` (one materialised column ``key``).
 

@@ -18,10 +18,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, ascii_lower, whole_text, without_ids
+from .common import Scratch, ascii_lower, numbered, whole_text, without_ids
 
 SALTS = 256
 
@@ -52,10 +52,13 @@ class DigestIndex:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
+def _digest(text: str) -> Column:
+    return F.unhex(F.sha2(F.encode(ascii_lower(whole_text(text)), "UTF-8"), 256))
+
+
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, digest, salt, n)``: one row per distinct id and digest, ``n`` input rows."""
-    digest = F.unhex(F.sha2(F.encode(ascii_lower(whole_text(text)), "UTF-8"), 256))
-    rows = docs.select(F.col(key).alias("doc_id"), digest.alias("digest"))
+    rows = docs.select(F.col(key).alias("doc_id"), _digest(text).alias("digest"))
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
     return salted.groupBy("digest", "salt", "doc_id").agg(F.count("*").alias("n"))
 
@@ -101,27 +104,27 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; repeated documents once.
+    """The rows of ``docs`` that stay, with all their columns: one for each text.
 
-    Needs distinct ids for distinct texts. Pass an index to go on from earlier batches.
+    Rows are judged by number, so ids may be null or repeated: of equal texts the row with the largest id
+    stays, of these the first.  Pass an index to go on from earlier batches: texts that it has go.
     """
     own = index or _fresh_index(docs.sparkSession)
     try:
-        judged = dedup(docs, own)
+        with Scratch(docs.sparkSession) as files:
+            table, row = numbered(files, docs)
+            rows = files(table.select(F.col(row).alias("row"), "doc_id", _digest("text").alias("digest")))
+            # Copies meet as one row per task that reads them, however many they are.
+            best = F.max(F.struct("doc_id", (-F.col("row")).alias("first"))).alias("best")
+            new = files(rows.groupBy("digest").agg(best).select("digest", F.col("best.doc_id").alias("keep_id"), (-F.col("best.first")).alias("row")))
+            if own.exists():
+                new = files(new.join(own.read().select("digest").hint("merge"), "digest", "left_anti"))
+            own.append(new)
+            dropped = files(rows.select("row").join(new.select("row"), "row", "left_anti").withColumnRenamed("row", row))
+            return without_ids(files.keep(table), files.keep(dropped), row).select(*docs.columns)
     finally:
         if index is None:
             own.drop()
-    with Scratch(docs.sparkSession) as files:
-        dropped = judged.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-        kept = without_ids(docs, files.keep(files(dropped)))
-    # Left over: rows that repeat an id with its text, and rows without id.
-    return kept.dropDuplicates(["doc_id"]) if judged_repeats(docs, judged) else kept
-
-
-def judged_repeats(docs: DataFrame, judged: DataFrame) -> bool:
-    """Whether some row of ``docs`` repeats another's id and text, or has no id."""
-    plain = docs.agg(F.count("*").alias("n"), F.count("doc_id").alias("ids")).first()
-    return plain.n != plain.ids or plain.n != judged.count()
 
 
 SQL = """

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, map_arrow, whole_text, without_ids
+from .common import Scratch, map_arrow, numbered, whole_text, without_ids
 from .components import components
 
 SHINGLE, BITS, SEED = 3, 2, 42
@@ -157,7 +157,13 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of their component; rows without id stay."""
+    """One row of each component, with all its columns: that with the least id (null after any), of these the first.
+
+    Rows are judged by number, so ids may be null or repeated.
+    """
     with Scratch(docs.sparkSession) as files:
-        dropped = near_dedup(docs).where("doc_id != component_id").select("doc_id").distinct()
-        return without_ids(docs, files.keep(files(dropped)))
+        table, row = numbered(files, docs)
+        order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
+        judged = near_dedup(table.select(order.alias("place"), "text"), key="place")
+        dropped = files(judged.where("doc_id.row != component_id.row").select(F.col("doc_id.row").alias(row)))
+        return without_ids(files.keep(table), files.keep(dropped), row).select(*docs.columns)

@@ -69,3 +69,18 @@ def test_hot_group_is_spread(spark):
     df = spark.range(6000).selectExpr("id as doc_id", "if(id % 3 = 0, 'same', concat('t', id)) as text")
     out = exact_dedup.exact_dedup(df)
     assert out.where("group_size = 2000").count() == 2000 and out.where("kept").count() == 4001
+
+
+def test_keep_one_with_null_and_repeated_ids(spark):
+    rows = [(None, "a"), (None, "b"), (None, "A"), (5, "c"), (5, "d"), (5, "C"), (6, "d"), (None, "d"), (7, "e"), (None, None), (None, "")]
+    out = exact_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((lowered(r.text), r.doc_id) for r in out if r.doc_id is not None) == [("c", 5), ("d", 6), ("e", 7)]
+    assert sorted(lowered(r.text) for r in out if r.doc_id is None) == ["", "a", "b"]
+    index = exact_dedup._fresh_index(spark)
+    try:
+        def batch(*rows):
+            return {tuple(r) for r in exact_dedup.keep_one(spark.createDataFrame(list(rows), "doc_id long, text string"), index).collect()}
+        assert batch((1, "a"), (None, "b")) == {(1, "a"), (None, "b")}
+        assert batch((None, "A"), (1, "c"), (2, "b"), (None, "d")) == {(1, "c"), (None, "d")}
+    finally:
+        index.drop()

@@ -130,3 +130,13 @@ def test_components_of_a_path_a_hub_and_a_loop(spark):
     want = {i: 100 for i in range(100, 161)} | {1000 + i: 5 for i in range(500)} | {5: 5, 8: 8, 9: 8}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_keep_one_with_null_and_repeated_ids(spark):
+    words = [random.Random(k).choices([f"w{i}" for i in range(400)], k=60) for k in range(6)]
+    a, b, c, d, e, f = map(" ".join, words)
+    rows = [(None, a), (None, a.upper()), (None, b), (1, c), (1, d), (1, c + " "), (2, d), (None, d), (3, e), (None, f)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = simhash.keep_one(df).collect()
+    assert sorted((r.text.lower().strip(), r.doc_id) for r in out if r.doc_id is not None) == sorted([(c, 1), (d, 1), (e, 3)])
+    assert sorted(r.text.lower() for r in out if r.doc_id is None) == sorted([a, b, f])
