@@ -128,6 +128,22 @@ def _materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def in_key_order(counts: DataFrame) -> DataFrame:
+    """``(pos, word, doc, ...)``: all rows by (word, doc) in byte order, numbered from 1.
+
+    Range-partitioned and materialised; only the number of rows of each partition comes to the driver.
+    """
+    columns = counts.columns
+    placed = _materialise(counts.orderBy("word", "doc").withColumn("part", F.spark_partition_id())
+                          .withColumn("at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)))
+    starts, total = [], 0
+    for part, n in sorted(tuple(r) for r in placed.groupBy("part").count().collect()):
+        starts.append((part, total))
+        total += n
+    starts = counts.sparkSession.createDataFrame(starts, "part int, start long")
+    return placed.join(F.broadcast(starts), "part").select((F.col("start") + F.col("at") + 1).alias("pos"), *columns)
+
+
 def _measured(words: DataFrame, broadcast_bytes: int) -> tuple[DataFrame, bool]:
     """Materialise a word-keyed table and tell whether it is small enough to broadcast.
 

@@ -409,8 +409,7 @@ def q_search_query_words(spark, d):
 
 
 @register("counts_in_key_order", O._with(O.DOC_TOKENS, O.POSTINGS)
-          + "SELECT row_number() OVER (ORDER BY word, doc) AS pos, word, doc, n FROM postings ORDER BY word, doc LIMIT 50")
+          + "SELECT row_number() OVER (ORDER BY word, doc) AS pos, word, doc, n FROM postings ORDER BY word, doc")
 def q_counts_in_key_order(spark, d):
-    """The first lines of the key-ordered output, numbered (a report of 50 lines is the query)."""
-    first = T.doc_word_count(I.docs(spark, d)).orderBy("word", "doc").limit(50)
-    return first.select(F.row_number().over(Window.orderBy("word", "doc")).alias("pos"), "word", "doc", "n")
+    """The whole key-ordered output, numbered."""
+    return T.in_key_order(T.doc_word_count(I.docs(spark, d)))

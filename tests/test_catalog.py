@@ -48,3 +48,9 @@ def test_query_matches_oracle(spark, duck, name):
     idx = [rel.columns.index(c) for c in df.columns]
     drows = [tuple(r[i] for i in idx) for r in rel.fetchall()]
     assert _norm(df.collect()) == _norm(drows)
+
+
+def test_counts_in_key_order_are_whole(spark, duck):
+    rows = [tuple(r) for r in E.queries()["counts_in_key_order"](spark, SF0001).collect()]
+    assert len(rows) == E.queries()["doc_word_count"](spark, SF0001).count() > 50
+    assert rows == sorted(rows) == sorted(duck.sql(E.oracle_sql()["counts_in_key_order"]).fetchall())
