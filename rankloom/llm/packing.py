@@ -5,10 +5,11 @@
 2. Pieces are range-sorted by length (ties spread by a hash, so one common length is many tasks'
    work) and get their rank within their length from per-partition counts.
 3. Rounds go through the lengths from long to short.  A round places all pieces of one length at
-   once: a successor sweep over the gaps, range-sorted by size, gives ranks to the smallest gaps that
-   fit, in order; where several pieces want one gap the lower rank has it and the others move on
-   to what is left of it or to the next gap; pieces without a gap open sequences.  Then the gaps
-   are updated and the next round begins.  This is best-fit decreasing, exactly.
+   once: a successor search over the sorted gap sizes finds the smallest gaps that fit; pieces go
+   there by rank, the rest move on to the next gap; pieces without a gap open sequences.  Then the
+   gaps are updated and the next round begins.  This is best-fit decreasing, exactly.
+   A changed method: the rounds run on the driver (``best_fit``), over the histogram of lengths, not as
+   distributed sweeps over range-sorted gaps.
 4. Pieces and gaps are kept as runs of equal size (length, first rank, how many), so a round works
    on at most one run per size and split, whatever the number of documents; every piece finds its place
    from its own rank by a search in the rounds' runs, in parallel.
