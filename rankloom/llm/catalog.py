@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, licenses, line_dedup, merkle, packing, quality, secrets, simhash, url_filter
+from . import bpe, conversations, exact_dedup, licenses, line_dedup, merkle, packing, quality, resampling, secrets, simhash, url_filter
 from .common import table
 
 
@@ -51,10 +51,18 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_secret_scan, op2_exact_dedup, op3_line_dedup, op4_url_filter, op5_license_scan, op6_best_fit_packing, op7_quality_classifier, op8_simhash_near_dedup,
-              op9_document_fingerprints, op10_byte_bpe)
+              op9_document_fingerprints, op10_byte_bpe, op11_conversation_repair, op12_importance_resampling)
 } | {"pipeline": corpus_pipeline.run}
 
 # Where SQL can express the result; the others are tested against brute force.
@@ -63,4 +71,5 @@ SQL: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op4_url_filter": url_filter.SQL,
     "op9_document_fingerprints": merkle.SQL,
+    "op12_importance_resampling": resampling.SQL,
 }
