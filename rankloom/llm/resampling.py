@@ -15,8 +15,8 @@ to the driver, at most ``BUCKETS`` numbers for each side.  Ranks come from one r
 and the row counts of its partitions.
 
 Edge cases.  A null or empty text, or one without words, has no features and weight 0; it is scored, but as it has under
-``MIN_WORDS`` words never drawn.  Very long texts are interned in portions of ``PORTION`` words, which changes no
-count.  Ties in the score go to the smaller id (null first), then to either row.  Repeated rows are documents of their own.
+``MIN_WORDS`` words never drawn.  Very long texts are cut between words into pieces of ``PIECE`` bytes, which
+changes no count.  Ties in the score go to the smaller id (null first), then to either row.  Repeated rows are documents of their own.
 A null id draws noise as an empty one.  An empty table gives no rows, an empty target table zero target counts.  Columns
 other than the id and the text are not read, whatever their names (``resampled`` hands them through).
 """
@@ -36,6 +36,7 @@ from .common import Scratch, map_arrow, numbered, whole_text
 
 NGRAM, BUCKETS, MIN_WORDS, PERCENT, SEED = 2, 10_000, 20, 25, 7
 PORTION = 200_000  # words interned at a time
+PIECE = 2 << 20  # bytes whose words are looked for at a time
 
 # Bytes of a word: digits, a-z (A-Z are lowered first), and all bytes of characters beyond ASCII.
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -54,36 +55,64 @@ def _rotated(x: np.ndarray, by: int) -> np.ndarray:
 
 
 class Words:
-    """The words of texts in one buffer, lowered and one space apart."""
+    """The words of a piece of texts in one buffer, lowered and one space apart."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        """``data``: the texts' UTF-8 bytes one after another; text n is ``offsets[n]:offsets[n + 1]``."""
-        lowered = _LOWER[data]
-        inside = _IN_WORD[lowered]
-        edge = np.zeros(len(data) + 1, bool)  # a text begins here
+    def __init__(self, lowered: np.ndarray, inside: np.ndarray, offsets: np.ndarray, first: int = 0, skip: int = 0):
+        """``lowered``: bytes of texts one after another, text ``first + n`` from ``offsets[n]`` on; ``inside``: whether they
+        are a word's; the first ``skip`` words are only the context of those that follow."""
+        edge = np.zeros(len(lowered) + 1, bool)  # a text begins here
         edge[offsets] = True
-        before = np.concatenate([[False], inside[:-1]])[:len(data)]
-        starts = np.flatnonzero(inside & (~before | edge[:-1]))
-        after = np.concatenate([inside[1:], [False]])[:len(data)]
-        ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
-        self.sizes = ends - starts
-        self.text = np.searchsorted(offsets[1:], starts, "right")
-        self.starts = np.cumsum(self.sizes + 1) - self.sizes - 1
-        self.buffer = np.full(int((self.sizes + 1).sum()) + 8, 32, np.uint8)
-        kept = lowered[inside]
-        self.buffer[np.arange(len(kept)) + np.repeat(np.arange(len(starts)), self.sizes)] = kept
+        edge[-1] = True
+        starts = np.flatnonzero(inside & np.concatenate([[True], ~inside[:-1] | edge[1:-1]])[:len(inside)])
+        ends = np.flatnonzero(inside & (np.concatenate([~inside[1:], [True]])[:len(inside)] | edge[1:])) + 1
+        self.skip, self.sizes, self.firsts = skip, ends - starts, starts
+        self.text = first + np.searchsorted(offsets[1:], starts, "right")
+        # What stays in the buffer: words, and the byte after each (a blank then) unless another text's word is there.
+        blank = np.zeros(len(lowered) + 1, bool)
+        blank[ends] = True
+        blank = blank[:-1] & ~inside
+        self.buffer = np.where(inside, lowered, np.uint8(32))[inside | blank]
+        taken = self.sizes + np.concatenate([blank, [False]])[ends]
+        self.starts = np.cumsum(taken) - taken
 
     def features(self, first: int, last: int, ngram: int = NGRAM):
-        """Start, size and text of every feature that begins with a word of ``first:last``."""
+        """Start, size and text of every feature that ends with a word of ``first:last``."""
         parts = []
         for n in range(1, ngram + 1):
-            heads = np.arange(first, min(last, len(self.starts) - n + 1))
-            heads = heads[self.text[heads] == self.text[heads + n - 1]]
-            tails = heads + n - 1
+            tails = np.arange(max(first, n - 1), min(last, len(self.starts)))
+            heads = tails - n + 1
+            same = self.text[heads] == self.text[tails]
+            heads, tails = heads[same], tails[same]
             parts.append((self.starts[heads], self.starts[tails] + self.sizes[tails] - self.starts[heads], self.text[heads]))
         return tuple(np.concatenate(p) for p in zip(*parts))
 
 
+def pieces(column: pa.Array, ngram: int = NGRAM):
+    """The words of an Arrow column of texts without nulls: whole texts of ``PIECE`` bytes together, longer texts cut between words."""
+    column = column.cast(pa.large_string())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    first = 0
+    while first < len(column):
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + PIECE, "right")) - 1)
+        lowered = _LOWER[data[offsets[first]:offsets[last]]]
+        inside = _IN_WORD[lowered]
+        if last > first + 1 or len(lowered) <= PIECE:
+            yield Words(lowered, inside, offsets[first:last + 1] - offsets[first], first)
+        else:
+            at, begin, skip = 0, 0, 0
+            while at < len(lowered):
+                end = min(at + PIECE, len(lowered))
+                while end < len(lowered) and inside[end]:  # to the end of the word
+                    tail = inside[end:end + PIECE]
+                    end += len(tail) if tail.all() else int(np.argmin(tail))
+                words = Words(lowered[begin:end], inside[begin:end], np.array([0, end - begin]), first, skip)
+                yield words
+                skip = min(ngram - 1, len(words.firsts))
+                begin, at = (begin + int(words.firsts[-skip]) if skip else end), end
+        first = last
+
+
 class Interned:
     """Features of a portion in an open-addressed table: ``slot`` per feature; per slot ``owner``, ``bucket`` and ``count``."""
 
@@ -170,19 +199,14 @@ class Interned:
             self.slot[looking] = (self.slot[looking] + 1) & mask
 
 
-def _words(column: pa.Array) -> Words:
-    """Of an Arrow column of texts without nulls."""
-    column = column.cast(pa.large_string())
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
-    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
-    return Words(data, offsets - offsets[0])
-
-
-def _portions(words: Words, ngram: int, buckets: int):
+def _portions(column: pa.Array, ngram: int, buckets: int):
     """``(text of each feature, interned features)``, a portion at a time."""
-    for first in range(0, len(words.starts), PORTION):
-        starts, sizes, text = words.features(first, first + PORTION, ngram)
-        yield text, Interned(words.buffer, starts, sizes, buckets)
+    for words in pieces(column, ngram):
+        for first in range(words.skip, len(words.starts), PORTION):
+            starts, sizes, text = words.features(first, first + PORTION, ngram)
+            interned = Interned(words.buffer, starts, sizes, buckets)
+            interned.single = min(PORTION, len(words.starts) - first)  # the features of one word come first
+            yield text, interned
 
 
 def bucket_counts(texts: DataFrame, ngram: int = NGRAM, buckets: int = BUCKETS, text: str = "text") -> DataFrame:
@@ -190,7 +214,7 @@ def bucket_counts(texts: DataFrame, ngram: int = NGRAM, buckets: int = BUCKETS,
     def run(batches):
         totals = np.zeros(buckets, np.int64)
         for batch in batches:
-            for _, interned in _portions(_words(batch.column(0)), ngram, buckets):
+            for _, interned in _portions(batch.column(0), ngram, buckets):
                 totals += np.bincount(interned.bucket[interned.taken], interned.count[interned.taken], buckets).astype(np.int64)
         used = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(totals[used])], names=["bucket", "n"])
@@ -220,12 +244,13 @@ def weights(docs: DataFrame, gain: np.ndarray, ngram: int = NGRAM, text: str = "
     def run(batches):
         for batch in batches:
             rows = batch.num_rows
-            words, total, n = _words(batch.column(len(others))), np.zeros(rows, np.int64), np.zeros(rows, np.int64)
-            for at, interned in _portions(words, ngram, buckets):
+            total, n, words = (np.zeros(rows, np.int64) for _ in range(3))
+            for at, interned in _portions(batch.column(len(others)), ngram, buckets):
                 by_slot = gain[interned.bucket].astype(np.float64)  # sums stay whole below 2 ** 53
                 total += np.bincount(at, by_slot[interned.slot], rows).astype(np.int64)
                 n += np.bincount(at, minlength=rows)
-            found = [np.bincount(words.text, minlength=rows), n, np.where(n > 0, total // np.maximum(n, 1), 0)]
+                words += np.bincount(at[:interned.single], minlength=rows)
+            found = [words, n, np.where(n > 0, total // np.maximum(n, 1), 0)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(x) for x in found)], names=schema.names)
 
     return map_arrow(docs.select(*others, whole_text(text).alias("text")), run, schema)
@@ -283,7 +308,7 @@ texts AS (
   SELECT 'd' AS side, doc_id AS id, row_number() OVER () AS n, coalesce(text, '') AS text FROM documents
   UNION ALL SELECT 'b', item_id, row_number() OVER (), coalesce(text, '') FROM benchmark),
 worded AS MATERIALIZED (
-  SELECT side, id, n, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+  SELECT side, id, n, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM texts),
 features AS MATERIALIZED (
   SELECT side, n, feature, count(*) AS times FROM (
     SELECT side, n, unnest(w) AS feature FROM worded

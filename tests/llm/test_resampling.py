@@ -39,8 +39,11 @@ def brute(docs, target, percent=25):
 
 
 def interned(texts):
-    words = R._words(pa.array(texts, pa.string()))
-    return [(words, at, i) for at, i in R._portions(words, R.NGRAM, R.BUCKETS)]
+    return list(R._portions(pa.array(texts, pa.string()), R.NGRAM, R.BUCKETS))
+
+
+def spelled(found, n):
+    return found.buffer[found.at[n]:found.at[n] + found.sizes[n]].tobytes().decode()
 
 
 def test_documents(spark, documents):
@@ -73,10 +76,10 @@ def test_drawn_documents_keep_their_columns(spark, documents):
 
 def test_features_of_all_characters():
     texts = ["".join(chr(c) + random.Random(c).choice(" a.") for c in range(k, k + 300) if not 0xD800 <= c < 0xE000) for k in range(0, 0x3000, 300)] + ["", "A", "x" * 99 + " y"]
-    (words, at, found), = interned(texts)
+    (at, found), = interned(texts)
     got = [[] for _ in texts]
-    for n, start, size in zip(at, found.at, found.sizes):
-        got[n].append(found.buffer[start:start + size].tobytes().decode())
+    for n, text in enumerate(at):
+        got[text].append(spelled(found, n))
     assert [Counter(g) for g in got] == [Counter(features(t)[1]) for t in texts]
 
 
@@ -93,31 +96,37 @@ def test_hashes_are_xxh64():
 def test_counts_even_if_keys_collide(key):
     """All features with one key: only the bytes tell them apart."""
     texts = ["a b a b c " * 5, "prefix prefixes prefix " + "z" * 40 + " " + "z" * 41 + " " + "z" * 40, "b a"]
-    (words, at, found), = interned(texts)
+    (at, found), = interned(texts)
     if key is not None:
-        found = R.Interned(words.buffer, found.starts, found.sizes, hashes=np.full(len(found.starts), key, np.uint64))
+        found = R.Interned(found.buffer, found.at, found.sizes, hashes=np.full(len(found.starts), key, np.uint64))
     got = Counter()
     for slot in found.taken:
-        owner = found.owner[slot]
-        spelled = found.buffer[found.at[owner]:found.at[owner] + found.sizes[owner]].tobytes().decode()
-        got[spelled] += found.count[slot]
-        assert found.bucket[slot] == zlib.crc32(spelled.encode()) % R.BUCKETS
+        text = spelled(found, found.owner[slot])
+        got[text] += found.count[slot]
+        assert found.bucket[slot] == zlib.crc32(text.encode()) % R.BUCKETS
     assert got == sum((Counter(features(t)[1]) for t in texts), Counter())
 
 
-def test_portions_change_nothing(monkeypatch):
-    texts = ["one two three. Two three four", "", "five", "a " * 50]
-    whole = Counter()
-    for size in (200_000, 1, 7):
-        monkeypatch.setattr(R, "PORTION", size)
+@pytest.mark.parametrize("ngram", [1, 2, 3])
+def test_pieces_and_portions_change_nothing(monkeypatch, ngram):
+    rng = random.Random(3)
+    texts = ["one two three. Two three four", "", "five", "a " * 50, "x" * 100, "é" * 70 + " " + "b" * 30 + "\n\n" + "c d. " * 9, "  ", "tail"]
+    texts += ["".join(rng.choice("ab, ") for _ in range(rng.randrange(90))) for _ in range(60)]
+    want = None
+    for piece, portion in ((2 << 20, 200_000), (1, 200_000), (7, 200_000), (64, 1), (30, 7)):
+        monkeypatch.setattr(R, "PIECE", piece)
+        monkeypatch.setattr(R, "PORTION", portion)
         got = Counter()
-        for _, at, found in interned(texts):
-            got.update(zip(at.tolist(), found.bucket[found.slot].tolist()))
-        whole = whole or got
-        assert got == whole
+        single = Counter()
+        for at, found in R._portions(pa.array(texts), ngram, R.BUCKETS):
+            got.update((text, spelled(found, n)) for n, text in enumerate(at.tolist()))
+            single.update(at[:found.single].tolist())
+        want = want or got
+        assert got == want
+        assert single == Counter({n: len(WORD.findall(t)) for n, t in enumerate(texts) if WORD.findall(t)})
 
 
-def test_long_text_in_portions():
+def test_long_text_in_pieces():
     text = " ".join(str(n % 5000) for n in range(900_000))
     found = interned([text])
-    assert len(found) == 5 and sum(len(at) for _, at, _ in found) == 2 * 900_000 - 1
+    assert len(found) > 2 and sum(len(at) for at, _ in found) == 2 * 900_000 - 1
