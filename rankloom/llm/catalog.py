@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, conversations, exact_dedup, licenses, line_dedup, merkle, packing, quality, resampling, secrets, simhash, url_filter
+from . import bpe, conversations, exact_dedup, licenses, line_dedup, merkle, minhash, packing, quality, resampling, secrets, simhash, url_filter
 from .common import table
 
 
@@ -59,10 +59,14 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.minhash_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_secret_scan, op2_exact_dedup, op3_line_dedup, op4_url_filter, op5_license_scan, op6_best_fit_packing, op7_quality_classifier, op8_simhash_near_dedup,
-              op9_document_fingerprints, op10_byte_bpe, op11_conversation_repair, op12_importance_resampling)
+              op9_document_fingerprints, op10_byte_bpe, op11_conversation_repair, op12_importance_resampling, op13_minhash_near_dedup)
 } | {"pipeline": corpus_pipeline.run}
 
 # Where SQL can express the result; the others are tested against brute force.
@@ -72,4 +76,5 @@ SQL: dict[str, str] = {
     "op4_url_filter": url_filter.SQL,
     "op9_document_fingerprints": merkle.SQL,
     "op12_importance_resampling": resampling.SQL,
+    "op13_minhash_near_dedup": minhash.SQL,
 }
