@@ -23,6 +23,9 @@ whether the run converged.
 
 Execution plan, built for graphs much larger than memory:
 
+* pages get dense integer ids (``dictionary.Dictionary``): the links are encoded once, after
+  equal links were counted; rounds join, shuffle and sum longs, and only the final ranks are
+  joined with the pages' names again (``page_ids=False`` keeps the names throughout);
 * edge shares ``(src, dst, w)`` are computed once (multiplicity / out-degree, one join of two
   plain exchanges that AQE may split) and written to the checkpoint folder hash-partitioned by
   ``src`` and sorted within partitions, one partition per ``EDGES_PER_PARTITION`` edges; every
@@ -54,6 +57,8 @@ from pyspark.sql import functions as F
 
 from ..functions.weights import TELEPORT, damped
 from ..session import Checkpoints, parallelism
+from ..tables import Tables
+from .dictionary import Dictionary
 
 MODES = ("keep_uncited", "all_nodes", "cited_only")
 # Default tolerance: the total of cited_only has to repeat exactly, the others run all rounds.
@@ -107,9 +112,12 @@ def fixed_partitioning(spark, parts: int):
 def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str = "all_nodes",
                  n: int | None = None, iterations: int | None = 10, tol: float | None | str = BY_MODE,
                  partitions: int | None = None, hub_threshold: int | None = None,
-                 initial_ranks: DataFrame | None = None) -> PageRankRun:
+                 initial_ranks: DataFrame | None = None, page_ids: bool = True) -> PageRankRun:
     """Run PageRank and return ranks with the round count.
 
+    While it runs it plans with AQE off, in the caller's session: other threads must not plan queries of
+    that session meanwhile.
+
     Parameters
     ----------
     edges: ``(src, dst)`` links, duplicates meaningful; an optional
@@ -129,6 +137,7 @@ def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str
         number of distinct edges divided by ``partitions``).
     initial_ranks: ``(page, rank)`` to go on from, such as ``read_rank_state`` gives (S8): the first
         round is then an ordinary round over it, with one line per repeated title.
+    page_ids: whether rounds work on integer ids of the pages.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -137,11 +146,30 @@ def pagerank_run(edges: DataFrame, pages: DataFrame | None = None, *, mode: str
         raise ValueError("a run without a round limit needs a tolerance")
     if iterations is not None and iterations < 1:
         raise ValueError("iterations must be >= 1")
-    with Checkpoints(edges.sparkSession) as files:
-        return _run(files, edges, pages, mode, n, iterations, tol, partitions, hub_threshold, initial_ranks)
-
-
-def _run(files: Checkpoints, edges, pages, mode, n, iterations, tol, partitions, hub_threshold, initial_ranks) -> PageRankRun:
+    with Checkpoints(edges.sparkSession) as files, Tables(edges.sparkSession) as tables:
+        return _run(files, tables, edges, pages, mode, n, iterations, tol, partitions, hub_threshold, initial_ranks, page_ids)
+
+
+def _encoded(tables: Tables, lines_m: DataFrame, page_rows: DataFrame | None, initial_ranks: DataFrame | None, has_lines: bool):
+    """The dictionary of all pages, and the three tables with ids in place of names, written."""
+    names = lines_m.select(F.col("src").alias("page")).union(lines_m.select("dst"))
+    if page_rows is not None:
+        names = names.union(page_rows.select("title"))
+    if initial_ranks is not None:
+        names = names.union(initial_ranks.select("page"))
+    book = Dictionary.of(tables, names)
+    lines_m = book.encode(lines_m, "src", "dst")
+    if not has_lines:  # one line per source, known by it
+        lines_m = lines_m.withColumn("k", F.col("src"))
+    if page_rows is not None:
+        page_rows = book.encode(page_rows, "title")
+        page_rows = tables(page_rows if has_lines else page_rows.withColumn("k", F.col("title")))
+    if initial_ranks is not None:
+        initial_ranks = tables(book.encode(initial_ranks.select("page", "rank"), "page"))
+    return book, tables(lines_m), page_rows, initial_ranks
+
+
+def _run(files: Checkpoints, tables: Tables, edges, pages, mode, n, iterations, tol, partitions, hub_threshold, initial_ranks, page_ids) -> PageRankRun:
     spark, cut = edges.sparkSession, files.cut
     # k = the page line a link comes from; a plain edge table has one line per source.
     has_lines = "line_id" in edges.columns
@@ -156,12 +184,13 @@ def _run(files: Checkpoints, edges, pages, mode, n, iterations, tol, partitions,
         lines_m = e.groupBy("k", "src", "dst").agg(F.count(F.lit(1)).alias("m"))
     lines_m = cut(lines_m)
 
-    if pages is None:
+    page_rows = book = None
+    if pages is not None:
+        page_rows = pages.select(F.col("line_id" if has_lines else "title").alias("k"), "title")
+    if page_ids:
+        book, lines_m, page_rows, initial_ranks = _encoded(tables, lines_m, page_rows, initial_ranks, has_lines)
+    if page_rows is None:
         page_rows = lines_m.select("k", F.col("src").alias("title")).distinct()
-    elif has_lines:
-        page_rows = pages.select(F.col("line_id").alias("k"), "title")
-    else:
-        page_rows = pages.select(F.col("title").alias("k"), "title")
     n_titles, repeated = None, False
     if has_lines or pages is not None:
         st = page_rows.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("title").alias("titles")).first()
@@ -237,6 +266,9 @@ def _run(files: Checkpoints, edges, pages, mode, n, iterations, tol, partitions,
             rounds += 1
             before, ranks = ranks, cut(_round(cold, hot, hubs, ranks, mode))
             files.drop(before)
+    if book is not None:
+        before, ranks = ranks, cut(book.decode(ranks, "page"))
+        files.drop(before)
     files.keep(ranks)
     return PageRankRun(ranks, rounds, n, converged, n_hubs)
 
@@ -296,7 +328,7 @@ def _ordered(run: PageRankRun, must_converge: bool) -> DataFrame:
 
 def pagerank_lines_run(lines: DataFrame, *, mode: str = "all_nodes", line: str = "line", iterations: int | None = 10,
                        tol: float | None | str = BY_MODE, n: int | None = None, strip_target_spaces: bool = False,
-                       partitions: int | None = None) -> PageRankRun:
+                       partitions: int | None = None, page_ids: bool = True) -> PageRankRun:
     """PageRank straight from page lines, with the reference's N for each mode.
 
     The lines are parsed once; links and pages both read the written copy, so numbers that lines
@@ -311,7 +343,7 @@ def pagerank_lines_run(lines: DataFrame, *, mode: str = "all_nodes", line: str =
     with Checkpoints(lines.sparkSession) as files:
         pages = files.cut(L.parse_pages(lines, L.RULE_OF_MODE[mode], line, strip_target_spaces))
         return pagerank_run(L.page_edges(pages), pages.select("line_id", "title"), mode=mode, n=n, iterations=iterations,
-                            tol=tol, partitions=partitions)
+                            tol=tol, partitions=partitions, page_ids=page_ids)
 
 
 def pagerank_lines(lines: DataFrame, *, must_converge: bool = False, **settings) -> DataFrame:

@@ -142,3 +142,10 @@ def delete_path(spark: SparkSession, path: str) -> None:
         return
     path = sc._jvm.org.apache.hadoop.fs.Path(path)
     path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file of the shared file system exists."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(path.getFileSystem(sc._jsc.hadoopConfiguration()).exists(path))

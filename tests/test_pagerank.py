@@ -228,3 +228,43 @@ def test_session_settings_are_restored(spark):
             assert spark.conf.get("spark.sql.adaptive.enabled") == "false"
             raise RuntimeError("boom")
     assert (spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.shuffle.partitions")) == before
+
+
+@pytest.mark.parametrize("mode", PR.MODES)
+def test_page_ids_give_the_same_ranks(spark, mode):
+    lines = [f"<title>P{i % 40}</title> <text>[[P{i * 7 % 45}]][[Q{i % 3}]][[P{i * 7 % 45}]]</text>" for i in range(60)]
+    lines = lines_df(spark, lines + ["<title>lonely</title> <text></text>", "no title [[P1]]"])
+    plain, ids = (as_dict(PR.pagerank_lines_run(lines, mode=mode, iterations=6, page_ids=x).ranks) for x in (False, True))
+    assert ids.keys() == plain.keys() and ids == pytest.approx(plain, abs=1e-12)
+    edges = L.page_edges(L.parse_pages(lines, L.RULE_OF_MODE[mode])).select("src", "dst")
+    start = spark.createDataFrame([("P1", 0.5), ("unknown", 0.25), ("Q1", 0.1)], "page string, rank double")
+    plain, ids = (as_dict(PR.pagerank_run(edges, mode=mode, n=50, iterations=3, initial_ranks=start, page_ids=x).ranks) for x in (False, True))
+    assert ids.keys() == plain.keys() and ids == pytest.approx(plain, abs=1e-12)
+
+
+@pytest.mark.parametrize("mode", PR.MODES)
+def test_rounds_exchange_no_names(spark, monkeypatch, mode):
+    """With page ids every exchange of a round is keyed by longs, and no string column is read in it."""
+    plans, real = [], PR._round
+
+    def seen(*args):
+        df = real(*args)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(PR, "_round", seen)
+    e = spark.createDataFrame([(f"p{i}", f"p{i * 7 % 50}") for i in range(300)] + [("hub", f"p{i}") for i in range(50)], "src string, dst string")
+    run = PR.pagerank_run(e, mode=mode, n=400, iterations=3, hub_threshold=10)
+    assert len(plans) == 3 and run.hubs == 1 and run.ranks.schema["page"].dataType.simpleString() == "string"
+    import re
+    for p in plans:
+        keys = re.findall(r"hashpartitioning\(([^)]*)\)", p)
+        assert keys and all(re.match(r"(src|dst|page)#\d+L\b", k) for k in keys), p
+        scanned = " ".join(re.findall(r"Scan ExistingRDD\[([^\]]*)\]", p))
+        assert scanned and all(re.fullmatch(r"(src|dst|page)#\d+L|(w|rank)#\d+|(salt|salts)#\d+", c) for c in re.split("[, ]+", scanned)), scanned
+
+
+def test_null_pages_keep_their_place(spark):
+    e = spark.createDataFrame([("a", None), ("a", "b"), (None, "a"), ("b", "a")], "src string, dst string")
+    with_ids, without = (as_dict(PR.pagerank_run(e, mode="cited_only", n=4, iterations=3, page_ids=x).ranks) for x in (True, False))
+    assert set(without) <= set(with_ids) and with_ids["a"] >= without["a"]
