@@ -46,7 +46,7 @@ PERMUTATIONS, BANDS, ROWS = 96, 32, 6  # 2 * PERMUTATIONS = BANDS * ROWS
 SKETCH = 1024  # bits, as longs of 64
 SIGMAS = 7
 PORTION = 200_000  # shingles signed at a time, but a text is never cut
-KEEP_WORDS = 1_000_000
+KEEP_WORDS = 100_000  # hashes of words that a worker keeps
 
 _rng = np.random.default_rng(13)
 _PLACES = _rng.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)  # shingles of 64 words at most
