@@ -54,20 +54,19 @@ _BUCKETED = {"documents": (["doc_no"], "doc_no long, doc {doc}, n_tokens long"),
 
 
 def top_rows(tables: Tables, rows: DataFrame, key: str, score: str, then: str, k: int, chunk: int = CHUNK) -> DataFrame:
-    """The first k rows ``(key, score, then)`` of each key, by descending score and ascending ``then``; a written table.
+    """The first k rows ``(key, pos, score, then)`` of each key, by descending score and ascending ``then``; a written table.
 
     ``rows`` is a written table, unique in (key, then).  Each round deals a key's rows out into groups of about
     ``chunk`` rows and keeps k of each group, until no key has more than one group.
     """
     chunk = max(chunk, 8 * k)
-    rows = rows.select(key, score, then)
     while True:
         most = rows.groupBy(key).count().agg(F.max("count")).first()[0] or 0
         groups = -(-most // chunk)
         place = F.struct((-F.col(score)).alias("down"), F.col(then).alias("then"))
         best = rows.groupBy(key, F.pmod(F.xxhash64(then), F.lit(max(1, groups))).alias("part")).agg(
             F.slice(F.array_sort(F.collect_list(place)), 1, k).alias("best"))
-        rows = tables(best.select(key, F.explode("best").alias("x")).select(key, (-F.col("x.down")).alias(score), F.col("x.then").alias(then)))
+        rows = tables(best.select(key, F.posexplode("best").alias("pos", "x")).select(key, (F.col("pos") + 1).alias("pos"), (-F.col("x.down")).alias(score), F.col("x.then").alias(then)))
         if groups <= 1:
             return rows
 
@@ -76,7 +75,7 @@ def top_rows(tables: Tables, rows: DataFrame, key: str, score: str, then: str, k
 class TopK:
     """Result of :meth:`SearchIndex.top_k`."""
 
-    rows: DataFrame    # (query_id, doc, score), a written table
+    rows: DataFrame    # (query_id, pos, doc, score), pos from 1; a written table
     blocks: int        # blocks that hold a word of a query, over all queries
     blocks_read: int   # of these, those that were scored
 
@@ -199,7 +198,7 @@ class SearchIndex:
             near = scored.join(threshold, "query_id", "left").where("threshold IS NULL OR score >= threshold").select("query_id", "doc_no", "score")
             named = tables(near.join(self.table("documents"), "doc_no").select("query_id", "score", "doc"))
             rows = tables.keep(top_rows(tables, named, "query_id", "score", "doc", k))
-            return TopK(rows.select("query_id", "doc", "score"), bounds.count(), seeds.count() + rest.count())
+            return TopK(rows.select("query_id", "pos", "doc", "score"), bounds.count(), seeds.count() + rest.count())
 
     def _threshold(self, tables: Tables, scores: DataFrame, k: int) -> DataFrame:
         """``(query_id, threshold)``: the k-th best score, of queries that have k."""

@@ -46,8 +46,7 @@ def parse_pages(lines: DataFrame, rule: str = "whole_line", line: str = "line",
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
-    src = with_line_id(lines, line).filter(F.col("line").isNotNull() & (F.col("line") != ""))
-    src = src.filter(M.has_title("line"))
+    src = with_line_id(lines, line).filter(M.has_title("line"))  # no title, so null and blank lines go too
     if rule == "first_section":
         title = M.trim_key(M.first_title("line"))
         links = M.links(M.first_text("line"))

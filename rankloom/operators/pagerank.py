@@ -169,7 +169,24 @@ def _encoded(tables: Tables, lines_m: DataFrame, page_rows: DataFrame | None, in
     return book, tables(lines_m), page_rows, initial_ranks
 
 
-def _run(files: Checkpoints, tables: Tables, edges, pages, mode, n, iterations, tol, partitions, hub_threshold, initial_ranks, page_ids) -> PageRankRun:
+@dataclass
+class _Graph:
+    """Written tables that all rounds read; pages are ids where ``book`` is given."""
+
+    nodes: DataFrame            # (page), by page
+    cold: DataFrame | None      # (src, dst, w) of ordinary sources, by src
+    hot: DataFrame | None       # (src, salt, dst, w) of hubs, by src and salt
+    hubs: DataFrame | None      # (src, salts), by src
+    lines_m: DataFrame          # (k, src, dst, m) of all lines
+    start: DataFrame | None     # (page, rank) to go on from, by page
+    n: int
+    parts: int
+    repeated: bool              # whether titles repeat
+    n_hubs: int = 0
+    book: Dictionary | None = None
+
+
+def _prepare(files: Checkpoints, tables: Tables, edges, pages, mode, n, partitions, hub_threshold, initial_ranks, page_ids) -> _Graph:
     spark, cut = edges.sparkSession, files.cut
     # k = the page line a link comes from; a plain edge table has one line per source.
     has_lines = "line_id" in edges.columns
@@ -229,31 +246,32 @@ def _run(files: Checkpoints, tables: Tables, edges, pages, mode, n, iterations,
                     .repartition(parts, "page"))
         if n is None:
             n = nodes.count() if mode == "all_nodes" else n_titles
+        start = None
+        if initial_ranks is not None:
+            start = cut(initial_ranks.select("page", F.col("rank").cast("double").alias("rank")).repartition(parts, "page"))
+        graph = _Graph(nodes, None, None, None, lines_m, start, n, parts, repeated, book=book)
         if not n:
-            return PageRankRun(spark.createDataFrame([], "page string, rank double"), 0, 0, False)
-        inv_n = 1.0 / n
-
-        cold = cut(shares.where("salts = 1").select("src", "dst", "w").repartition(parts, "src").sortWithinPartitions("src"))
-        hot = hubs = None
-        n_hubs = 0
+            return graph
+        graph.cold = cut(shares.where("salts = 1").select("src", "dst", "w").repartition(parts, "src").sortWithinPartitions("src"))
         if top > threshold:
-            hubs = cut(degree.where("salts > 1").select("src", "salts").repartition(parts, "src").sortWithinPartitions("src"))
-            n_hubs = hubs.count()
-            hot = cut(shares.where("salts > 1").select("src", "salt", "dst", "w")
-                      .repartition(parts, "src", "salt").sortWithinPartitions("src", "salt"))
+            graph.hubs = cut(degree.where("salts > 1").select("src", "salts").repartition(parts, "src").sortWithinPartitions("src"))
+            graph.n_hubs = graph.hubs.count()
+            graph.hot = cut(shares.where("salts > 1").select("src", "salt", "dst", "w")
+                            .repartition(parts, "src", "salt").sortWithinPartitions("src", "salt"))
+    return graph
+
 
+def _run(files: Checkpoints, tables: Tables, edges, pages, mode, n, iterations, tol, partitions, hub_threshold, initial_ranks, page_ids) -> PageRankRun:
+    spark, cut = edges.sparkSession, files.cut
+    g = _prepare(files, tables, edges, pages, mode, n, partitions, hub_threshold, initial_ranks, page_ids)
+    if not g.n:
+        return PageRankRun(spark.createDataFrame([], "page string, rank double"), 0, 0, False)
+    with fixed_partitioning(spark, g.parts):
         # ---- round 1: every page holds 1/N, or what it is given
         prev_total, rounds, converged = 0.0, 1, False
-        if initial_ranks is not None:
-            start = cut(initial_ranks.select("page", F.col("rank").cast("double").alias("rank")).repartition(parts, "page"))
-            prev_total = _total(start) if tol is not None else 0.0
-            ranks = cut(_round(cold, hot, hubs, start, mode))
-        elif repeated and mode != "cited_only":
-            # line-level shares join on the line key: let AQE split a hub line
-            with _conf(spark, {"spark.sql.adaptive.enabled": "true"}):
-                ranks = cut(_first_round_by_line(cut, lines_m, nodes, inv_n, mode))
-        else:
-            ranks = cut(_round(cold, hot, hubs, nodes.select("page", F.lit(inv_n).alias("rank")), mode))
+        if g.start is not None:
+            prev_total = _total(g.start) if tol is not None else 0.0
+        ranks = _first_round(cut, g, mode)
         while True:
             if tol is not None:
                 total = _total(ranks)
@@ -264,13 +282,27 @@ def _run(files: Checkpoints, tables: Tables, edges, pages, mode, n, iterations,
                 break
             # ---- rounds >= 2: one exchange each (the partial sums per target)
             rounds += 1
-            before, ranks = ranks, cut(_round(cold, hot, hubs, ranks, mode))
+            before, ranks = ranks, cut(_round(g.cold, g.hot, g.hubs, ranks, mode))
             files.drop(before)
-    if book is not None:
-        before, ranks = ranks, cut(book.decode(ranks, "page"))
+    return PageRankRun(_named(files, g, ranks), rounds, g.n, converged, g.n_hubs)
+
+
+def _named(files: Checkpoints, g: _Graph, ranks: DataFrame) -> DataFrame:
+    """A run's last table, with the pages' names; it outlives the run."""
+    if g.book is not None:
+        before, ranks = ranks, files.cut(g.book.decode(ranks, "page"))
         files.drop(before)
-    files.keep(ranks)
-    return PageRankRun(ranks, rounds, n, converged, n_hubs)
+    return files.keep(ranks)
+
+
+def _first_round(cut, g: _Graph, mode: str) -> DataFrame:
+    if g.start is not None:
+        return cut(_round(g.cold, g.hot, g.hubs, g.start, mode))
+    if g.repeated and mode != "cited_only":
+        # line-level shares join on the line key: let AQE split a hub line
+        with _conf(g.nodes.sparkSession, {"spark.sql.adaptive.enabled": "true"}):
+            return cut(_first_round_by_line(cut, g.lines_m, g.nodes, 1.0 / g.n, mode))
+    return cut(_round(g.cold, g.hot, g.hubs, g.nodes.select("page", F.lit(1.0 / g.n).alias("rank")), mode))
 
 
 def _first_round_by_line(cut, lines_m: DataFrame, nodes: DataFrame, inv_n: float, mode: str) -> DataFrame:
@@ -286,18 +318,22 @@ def _first_round_by_line(cut, lines_m: DataFrame, nodes: DataFrame, inv_n: float
 def _round(cold: DataFrame, hot: DataFrame | None, hubs: DataFrame | None, ranks: DataFrame,
            mode: str) -> DataFrame:
     """One synchronous round over materialised edge shares ``(src, dst, w)``."""
-    src_ranks = ranks.select(F.col("page").alias("src"), "rank")
+    sums = _sums(cold, hot, hubs, ranks.select(F.col("page").alias("src"), "rank"))
+    if mode == "cited_only":
+        return sums.select("page", damped(F.col("s")).alias("rank"))
+    fallback = F.lit(TELEPORT) if mode == "all_nodes" else F.col("rank")
+    return ranks.join(sums, "page", "left").select("page", F.coalesce(damped(F.col("s")), fallback).alias("rank"))
+
+
+def _sums(cold: DataFrame, hot: DataFrame | None, hubs: DataFrame | None, src_ranks: DataFrame) -> DataFrame:
+    """``(page, s)``: sums of the shares that ``src_ranks(src, rank)`` give to their targets."""
     contrib = cold.join(src_ranks, "src").select("dst", (F.col("rank") * F.col("w")).alias("c"))
     if hot is not None:
         copies = src_ranks.join(hubs, "src").select(
             "src", "rank", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
         contrib = contrib.unionByName(
             hot.join(copies, ["src", "salt"]).select("dst", (F.col("rank") * F.col("w")).alias("c")))
-    sums = contrib.groupBy("dst").agg(F.sum("c").alias("s")).withColumnRenamed("dst", "page")
-    if mode == "cited_only":
-        return sums.select("page", damped(F.col("s")).alias("rank"))
-    fallback = F.lit(TELEPORT) if mode == "all_nodes" else F.col("rank")
-    return ranks.join(sums, "page", "left").select("page", F.coalesce(damped(F.col("s")), fallback).alias("rank"))
+    return contrib.groupBy("dst").agg(F.sum("c").alias("s")).withColumnRenamed("dst", "page")
 
 
 def total_rank(ranks: DataFrame) -> DataFrame:
@@ -351,22 +387,23 @@ def pagerank_lines(lines: DataFrame, *, must_converge: bool = False, **settings)
     return _ordered(pagerank_lines_run(lines, **settings), must_converge)
 
 
-def contributions(edges: DataFrame, ranks: DataFrame) -> DataFrame:
+def contributions(edges: DataFrame, ranks: DataFrame, tables: Tables | None = None) -> DataFrame:
     """``(src, dst, c)``: each link's share of its source's rank (multiplicity-weighted).
 
-    One join with the links, of two written tables, so AQE can split a hub's partition.
+    One join with the links, of two written tables (the caller's ``tables``, else deleted when the application
+    ends), so AQE can split a hub's partition.
     """
-    with Checkpoints(edges.sparkSession) as files:
-        m = files.keep(files.cut(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m"))))
-        degree = m.groupBy("src").agg(F.sum("m").alias("deg"))
-        unit = degree.join(ranks.select(F.col("page").alias("src"), "rank"), "src")
-        unit = files.keep(files.cut(unit.select("src", (F.col("rank") / F.col("deg")).alias("unit"))))
-        return m.join(unit, "src").select("src", "dst", (F.col("unit") * F.col("m")).alias("c"))
+    tables = tables or Tables(edges.sparkSession)
+    m = tables(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m")))
+    degree = m.groupBy("src").agg(F.sum("m").alias("deg"))
+    unit = degree.join(ranks.select(F.col("page").alias("src"), "rank"), "src")
+    unit = tables(unit.select("src", (F.col("rank") / F.col("deg")).alias("unit")))
+    return m.join(unit, "src").select("src", "dst", (F.col("unit") * F.col("m")).alias("c"))
 
 
-def rank_step(edges: DataFrame, ranks: DataFrame, mode: str = "all_nodes") -> DataFrame:
+def rank_step(edges: DataFrame, ranks: DataFrame, mode: str = "all_nodes", tables: Tables | None = None) -> DataFrame:
     """One synchronous round from a given rank vector ``(page, rank)``."""
-    sums = (contributions(edges, ranks).groupBy("dst").agg(F.sum("c").alias("s"))
+    sums = (contributions(edges, ranks, tables).groupBy("dst").agg(F.sum("c").alias("s"))
             .withColumnRenamed("dst", "page"))
     if mode == "cited_only":
         return sums.select("page", damped(F.col("s")).alias("rank"))

@@ -14,7 +14,7 @@ Plan shape (see ``explain`` in the tests):
   so each map task ships one row per distinct (word, doc) it saw; when the
   documents arrive hash-partitioned by ``doc`` the aggregate needs no
   shuffle at all.
-* TF-IDF: the aggregated postings are written once (a reliable checkpoint) and everything
+* TF-IDF: the aggregated postings are written once (Parquet, see ``tables``) and everything
   else reads that copy, so the corpus is tokenized once.  Document frequency is an
   aggregate on ``word`` over it (partial aggregation collapses hot words before the
   shuffle), materialised and measured in bytes, then joined back on ``word``: broadcast
@@ -26,6 +26,9 @@ Plan shape (see ``explain`` in the tests):
   broadcast: its size is one row by construction.
 * search: the word filter (or keyword semi-join) sits right above the token
   ``Generate``; only matching postings are written and weighted.
+
+What an operator writes goes into the caller's ``tables`` (a :class:`rankloom.tables.Tables` block, which deletes
+it), or, where none is given, is deleted when the application ends: the lazy result reads it.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ..functions.tokenize import query_words, split_lines, split_tokens, token_split_pattern
 from ..functions.weights import float_text_to_double, idf as idf_col, log_tf
-from ..session import ensure_checkpoint_dir
+from ..tables import Tables, in_order
 
 
 def documents(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -123,40 +126,35 @@ ROW_BYTES = 48
 MAX_IN_LIST = 1000
 
 
-def _materialise(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+def _materialise(df: DataFrame, tables: Tables | None = None) -> DataFrame:
+    """``df`` written and read back."""
+    if tables is not None:
+        return tables(df)
+    tables = Tables(df.sparkSession)
+    return tables.keep(tables(df))
 
 
-def in_key_order(counts: DataFrame) -> DataFrame:
+def in_key_order(counts: DataFrame, tables: Tables | None = None) -> DataFrame:
     """``(pos, word, doc, ...)``: all rows by (word, doc) in byte order, numbered from 1.
 
-    Range-partitioned and materialised; only the number of rows of each partition comes to the driver.
+    Range-partitioned and written; only the number of rows of each partition comes to the driver.
     """
-    columns = counts.columns
-    placed = _materialise(counts.orderBy("word", "doc").withColumn("part", F.spark_partition_id())
-                          .withColumn("at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)))
-    starts, total = [], 0
-    for part, n in sorted(tuple(r) for r in placed.groupBy("part").count().collect()):
-        starts.append((part, total))
-        total += n
-    starts = counts.sparkSession.createDataFrame(starts, "part int, start long")
-    return placed.join(F.broadcast(starts), "part").select((F.col("start") + F.col("at") + 1).alias("pos"), *columns)
-
-
-def _measured(words: DataFrame, broadcast_bytes: int) -> tuple[DataFrame, bool]:
+    return in_order(tables or Tables(counts.sparkSession), counts, ["word", "doc"], "pos", first=1)[0]
+
+
+def _measured(words: DataFrame, broadcast_bytes: int, tables: Tables | None = None) -> tuple[DataFrame, bool]:
     """Materialise a word-keyed table and tell whether it is small enough to broadcast.
 
     The size is measured on the materialised rows (bytes of the words plus a fixed
     part per row), not estimated, so a broadcast never depends on a guess.
     """
-    words = _materialise(words)
+    words = _materialise(words, tables)
     size = words.agg(F.coalesce(F.sum(F.octet_length("word") + F.lit(ROW_BYTES)), F.lit(0)).alias("b")).first()["b"]
     return words, size <= broadcast_bytes
 
 
 def tfidf(docs: DataFrame, postings: DataFrame | None = None, all_docs: DataFrame | int | None = None,
-          broadcast_bytes: int = BROADCAST_VOCABULARY_BYTES) -> DataFrame:
+          broadcast_bytes: int = BROADCAST_VOCABULARY_BYTES, tables: Tables | None = None) -> DataFrame:
     """``(word, doc, tf, tfidf)``.
 
     ``tfidf = double(text(tf)) * idf``: TF goes through its float32 text form,
@@ -165,8 +163,8 @@ def tfidf(docs: DataFrame, postings: DataFrame | None = None, all_docs: DataFram
     ``postings`` (default: of all words) are materialised here and read twice, so the
     corpus is tokenized once; see the module docstring for the join.
     """
-    postings = _materialise((postings if postings is not None else term_frequency(docs)).select("word", "doc", "tf"))
-    weights, small = _measured(inverse_doc_frequency(docs, postings, all_docs).select("word", "idf"), broadcast_bytes)
+    postings = _materialise((postings if postings is not None else term_frequency(docs)).select("word", "doc", "tf"), tables)
+    weights, small = _measured(inverse_doc_frequency(docs, postings, all_docs).select("word", "idf"), broadcast_bytes, tables)
     if small:
         weights = F.broadcast(weights)
     return (postings.join(weights, "word")
@@ -184,7 +182,7 @@ def _score(weighted: DataFrame) -> DataFrame:
 def search(docs: DataFrame, words: Iterable[str] | str | None = None,
            keywords: DataFrame | None = None, keyword_col: str = "word",
            all_docs: DataFrame | int | None = None,
-           broadcast_bytes: int = BROADCAST_VOCABULARY_BYTES) -> DataFrame:
+           broadcast_bytes: int = BROADCAST_VOCABULARY_BYTES, tables: Tables | None = None) -> DataFrame:
     """``(doc, score)``: sum of TF-IDF over the query words, documents with a hit only.
 
     Give the query as ``words`` (a list, F27 rules apply) or as a ``keywords`` DataFrame (semi-join,
@@ -198,17 +196,17 @@ def search(docs: DataFrame, words: Iterable[str] | str | None = None,
     if q is None and keywords is None:
         return _empty_scores(docs)
     if keywords is None:
-        return _score(tfidf(docs, term_frequency(docs, words=q), all_docs, broadcast_bytes))
+        return _score(tfidf(docs, term_frequency(docs, words=q), all_docs, broadcast_bytes, tables))
     # A keyword table is data: measure it.  Small -> broadcast semi-join right on the tokens; large ->
     # semi-join the written postings, so that a shuffle moves postings, not raw tokens, from plain
     # exchanges whose hot words can be split.
     kw = keywords.select(F.col(keyword_col).alias("word")).filter(F.col("word").isNotNull()).distinct()
-    kw, small = _measured(kw, broadcast_bytes)
+    kw, small = _measured(kw, broadcast_bytes, tables)
     if small:
         postings = term_frequency(docs, words=q, keywords=F.broadcast(kw))
     else:
-        postings = _materialise(term_frequency(docs, words=q)).join(kw, "word", "left_semi")
-    return _score(tfidf(docs, postings, all_docs, broadcast_bytes))
+        postings = _materialise(term_frequency(docs, words=q), tables).join(kw, "word", "left_semi")
+    return _score(tfidf(docs, postings, all_docs, broadcast_bytes, tables))
 
 
 def _empty_scores(docs: DataFrame) -> DataFrame:
@@ -217,7 +215,8 @@ def _empty_scores(docs: DataFrame) -> DataFrame:
 
 def rank_documents(docs: DataFrame, words: Iterable[str] | str | None = None,
                    keywords: DataFrame | None = None, ties: str = "all",
-                   k: int | None = None, all_docs: DataFrame | int | None = None) -> DataFrame:
+                   k: int | None = None, all_docs: DataFrame | int | None = None,
+                   tables: Tables | None = None) -> DataFrame:
     """P5/O1: search result in descending score order (ties broken by ascending doc).
 
     ``ties="one"`` keeps a single document per distinct score (the largest
@@ -226,7 +225,7 @@ def rank_documents(docs: DataFrame, words: Iterable[str] | str | None = None,
     """
     if ties not in ("all", "one"):
         raise ValueError("ties must be 'all' or 'one'")
-    scores = search(docs, words, keywords, all_docs=all_docs)
+    scores = search(docs, words, keywords, all_docs=all_docs, tables=tables)
     if ties == "one":
         scores = scores.groupBy("score").agg(F.max("doc").alias("doc")).select("doc", "score")
     ordered = scores.orderBy(F.desc("score"), F.asc("doc"))

@@ -16,7 +16,12 @@ from pyspark.sql import functions as F
 from ..functions import text_formats as X
 from ..operators import links as L
 from ..operators import pagerank as PR
+from ..operators import residual as RR
 from ..operators import text as T
+from ..operators.dictionary import Dictionary
+from ..operators.index import SPAN_BITS, SearchIndex
+from ..operators.text import documents
+from ..tables import Tables
 from . import inputs as I
 from . import oracle as O
 
@@ -33,7 +38,6 @@ ROUNDS = 10
 # rounds, and the changes there and in the round before lie 5 % or more away from it (tested), so rounding cannot
 # move the stop.
 CONVERGE_TOL = 0.5
-CONVERGE_SQL_ROUNDS = 60
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -273,18 +277,29 @@ def _converged(spark, d) -> PR.PageRankRun:
     return run
 
 
-@register("pagerank_converge", O.converge_sql(CONVERGE_TOL, CONVERGE_SQL_ROUNDS, f"SELECT page, {O.rounded('rank', RANK_DIGITS)} AS rank FROM stopped"))
+@register("pagerank_converge", O.converge_sql(CONVERGE_TOL, f"SELECT page, {O.rounded('rank', RANK_DIGITS)} AS rank FROM stopped"))
 def q_pagerank_converge(spark, d):
     """cited_only, no round limit, until the total changes by CONVERGE_TOL at most."""
     return _rounded(_converged(spark, d).ranks)
 
 
-@register("total_rank", O.converge_sql(CONVERGE_TOL, CONVERGE_SQL_ROUNDS,
-                                       f"SELECT round(CAST(sum(CAST(rank AS DECIMAL(38,18))) AS DOUBLE), {RANK_DIGITS}) AS total FROM stopped"))
+@register("total_rank", O.converge_sql(CONVERGE_TOL, f"SELECT round(CAST(sum(CAST(rank AS DECIMAL(38,18))) AS DOUBLE), {RANK_DIGITS}) AS total FROM stopped"))
 def q_total_rank(spark, d):
     return PR.total_rank(_converged(spark, d).ranks).select(F.round(F.col("total").cast("double"), RANK_DIGITS).alias("total"))
 
 
+RESIDUAL_ERROR = 1e-7
+RESIDUAL_DIGITS = 3
+
+
+@register("pagerank_residual", O.fixed_point_sql(1e-11, f"SELECT page, round(rank + 1e-7, {RESIDUAL_DIGITS}) AS rank FROM stopped"))
+def q_pagerank_residual(spark, d):
+    """all_nodes to its fixed point, pushing only pages that still move."""
+    run = RR.residual_pagerank(I.graph_edges(spark, d), mode="all_nodes", error=RESIDUAL_ERROR)
+    assert run.missing <= RESIDUAL_ERROR
+    return run.ranks.select("page", F.round(F.col("rank") + F.lit(1e-7), RESIDUAL_DIGITS).alias("rank"))
+
+
 @register("pagerank_resume", O.pagerank_sql("all_nodes", ROUNDS, RANK_DIGITS))
 def q_pagerank_resume(spark, d):
     """Half of the rounds, the state as text lines and back, then the other half."""
@@ -413,3 +428,111 @@ def q_search_query_words(spark, d):
 def q_counts_in_key_order(spark, d):
     """The whole key-ordered output, numbered."""
     return T.in_key_order(T.doc_word_count(I.docs(spark, d)))
+
+
+# ---- text folders: written, and read back ------------------------------------
+
+@register("text_folder_counts", O._with(O.SOURCE_TOKENS) + "SELECT word, doc, count(*) AS n FROM source_tokens GROUP BY word, doc")
+def q_text_folder_counts(spark, d):
+    """Word counts of folders of text files, one folder per source, by a label made of the file's path."""
+    from ..sources.files import DOC_SUFFIX, read_text_docs
+
+    path = Tables(spark).path("texts")
+    lines = T.lines(documents(I.table(spark, d, "documents"), "source"))
+    lines.select(F.col("doc").alias("source"), F.col("line").alias("value")).write.partitionBy("source").text(path)
+    files = read_text_docs(spark, f"{path}/*", doc_suffix=DOC_SUFFIX)
+    label = F.regexp_extract("doc", r"/source=([^/]*)/[^/]*(\.txt)$", 1)
+    return T.doc_word_count(files.select(label.alias("doc"), "text"))
+
+
+@register("text_folder_files", "SELECT count(DISTINCT c_nationkey) AS files, count(DISTINCT c_nationkey) AS docs FROM customer")
+def q_text_folder_files(spark, d):
+    """N of a folder with one file of customers per nation, counted by the scan and by the file system."""
+    from ..sources import count_files, list_docs
+
+    path = Tables(spark).path("files")
+    customers = I.table(spark, d, "customer").select("c_nationkey", F.col("c_name").alias("value"))
+    customers.repartition("c_nationkey").write.partitionBy("c_nationkey").text(path)
+    docs = list_docs(spark, path).where(F.col("doc").like("%/part-%"))
+    files = count_files(spark, path, pattern="part-*")
+    return docs.agg(F.count_distinct("doc").alias("docs")).select(F.lit(files).cast("long").alias("files"), "docs")
+
+
+@register("page_line_files", O._with(O.WIKI_LINES) + "SELECT line, count(*) AS n FROM wiki_lines GROUP BY line")
+def q_page_line_files(spark, d):
+    """Page lines from text files, blank lines kept, every line with a number of its own."""
+    from ..sources import read_lines
+
+    path = Tables(spark).path("lines")
+    I.wiki_lines(spark, d).select(F.col("line").alias("value")).write.text(path)
+    return read_lines(spark, path).groupBy("line").agg(F.count_distinct("line_id").alias("n"))
+
+
+@register("single_file_report", O._with(*O.pagerank_ctes("all_nodes", ROUNDS))
+          + f"SELECT page || ' has rank: ' || CAST({O.rounded('rank', RANK_DIGITS)} AS VARCHAR) || '.' AS report, 1 AS files FROM r{ROUNDS}")
+def q_single_file_report(spark, d):
+    """The report as one file, read back with the number of files it came from."""
+    from ..sinks import write_rank_report
+
+    path = Tables(spark).path("report")
+    write_rank_report(_rounded(_pagerank_run(spark, d, "all_nodes", iterations=ROUNDS).ranks), path, single_file=True)
+    lines = spark.read.text(path).select(F.col("value").alias("report"), F.col("_metadata.file_name").alias("file"))
+    files = lines.agg(F.count_distinct("file").alias("files"))
+    return lines.select("report").crossJoin(F.broadcast(files))  # one row
+
+
+# ---- integer ids and the persistent index ------------------------------------
+
+_NODES = "nodes AS (SELECT src AS page FROM edges UNION SELECT dst AS page FROM edges)"
+
+
+@register("page_ids", O._with(O.EDGES, _NODES) + "SELECT row_number() OVER (ORDER BY page) - 1 AS id, page FROM nodes")
+def q_page_ids(spark, d):
+    """The dictionary that PageRank's rounds work on."""
+    e = I.graph_edges(spark, d)
+    return Dictionary.of(Tables(spark), e.select("src").union(e.select("dst"))).table.withColumnRenamed("value", "page")
+
+
+def _index(spark, d) -> SearchIndex:
+    """An index of all documents in the shared folder; it goes when the application ends."""
+    return SearchIndex.build(I.docs(spark, d), Tables(spark).path("index"))
+
+
+@register("index_postings", O._with(O.DOC_TOKENS, O.POSTINGS, O.TF, O.DF,
+                                    "lexicon AS (SELECT word, df, row_number() OVER (ORDER BY word) - 1 AS word_id FROM dfreq)",
+                                    "lengths AS (SELECT doc_id AS doc, coalesce(n, 0) AS n FROM documents LEFT JOIN (SELECT doc, count(*) AS n FROM doc_tokens GROUP BY doc) l ON l.doc = doc_id)",
+                                    "numbers AS (SELECT doc, row_number() OVER (ORDER BY n DESC, doc) - 1 AS doc_no FROM lengths)")
+          + "SELECT word_id, doc_no, word, df, doc, tf FROM tf JOIN lexicon USING (word) JOIN numbers USING (doc)")
+def q_index_postings(spark, d):
+    """The index's tables, joined by their ids."""
+    index = _index(spark, d)
+    postings = index.table("postings").select(F.shiftright("slot", SPAN_BITS).alias("word_id"), "doc_no", "tf")
+    return postings.join(index.table("lexicon"), "word_id").join(index.table("documents"), "doc_no").select("word_id", "doc_no", "word", "df", "doc", "tf")
+
+
+@register("index_search", SQL["search"])
+def q_index_search(spark, d):
+    return _index(spark, d).search(SEARCH_WORDS)
+
+
+@register("index_search_keywords", SQL["search_keyword_table"])
+def q_index_search_keywords(spark, d):
+    return _index(spark, d).search(keywords=T.keyword_table(I.benchmark_texts(spark, d)))
+
+
+@register("index_top_k", SQL["top_k_documents"])
+def q_index_top_k(spark, d):
+    """O3: blocks that cannot hold one of the first k are not read."""
+    queries = spark.createDataFrame([(0, w) for w in RANK_WORDS], "query_id int, word string")
+    return _index(spark, d).top_k(queries, TOP_K).rows.select("pos", "doc", "score")
+
+
+@register("index_batch_top_k", O.text_chain(
+    O.BENCH_TOKENS, "asked AS (SELECT DISTINCT doc AS query_id, word FROM bench_tokens)",
+    "batch AS (SELECT query_id, tfidf.doc, CAST(sum(CAST(CAST(tfidf AS FLOAT) AS DOUBLE)) AS FLOAT) AS score FROM tfidf JOIN asked USING (word) GROUP BY ALL)",
+    "placed AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc) AS pos FROM batch)")
+    + f"SELECT query_id, pos, doc, score FROM placed WHERE pos <= {TOP_K}")
+def q_index_batch_top_k(spark, d):
+    """Every benchmark item as a query, all at once."""
+    queries = T.tokens(I.benchmark_texts(spark, d)).withColumnRenamed("doc", "query_id")
+    return _index(spark, d).top_k(queries, TOP_K).rows

@@ -73,6 +73,8 @@ def wiki_lines(spark: SparkSession, sf_dir: str, numbered: bool = False) -> Data
             .when(shape == SHAPES["target_spaces"], F.concat(named, text("<text>[[P "), F.col("l_suppkey").cast("string"), text("]]</text>")))
             .when(shape == SHAPES["no_links"], F.concat(named, text("<text>plain</text>")))
             .otherwise(F.concat(named, body)))
+    # Behind a generator the line is made once: the optimizer copies no expression through it.
+    line = F.explode_outer(F.array(line))
     if not numbered:
         return rows.select(line.alias("line"))
     item = Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey")

@@ -72,6 +72,8 @@ def in_list(words) -> str:
     return "word IN (" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + ")"
 
 
+SOURCE_TOKENS = token_ctes("documents", "source", "text", "source")
+BENCH_TOKENS = token_ctes("benchmark", "item_id", "text", "bench")
 BENCH_KEYWORDS = token_ctes("benchmark", "item_id", "text", "bench") + \
     ",\nkeywords AS (SELECT DISTINCT word FROM bench_tokens)"
 
@@ -190,17 +192,32 @@ def pagerank_sql(mode: str, rounds: int = 10, digits: int = 6) -> str:
     return _with(*pagerank_ctes(mode, rounds)) + f"SELECT page, {rounded('rank', digits)} AS rank FROM r{rounds}"
 
 
-def converge_sql(tol: float, rounds: int, select: str) -> str:
-    """``select`` from ``stopped(page, rank)``: cited_only until the total changes by ``tol`` at most.
-
-    ``rounds`` are unrolled; the first one that settles is taken, and none later is used.
-    """
-    totals = " UNION ALL ".join(f"SELECT {k} AS k, sum(CAST(rank AS DECIMAL(38,18))) AS t FROM r{k}" for k in range(1, rounds + 1))
-    ranks = " UNION ALL ".join(f"SELECT {k} AS k, page, rank FROM r{k}" for k in range(1, rounds + 1))
-    return _with(*pagerank_ctes("cited_only", rounds), f"totals AS ({totals})",
-                 "moved AS (SELECT k, t, abs(t - coalesce(lag(t) OVER (ORDER BY k), 0)) AS d FROM totals)",
-                 f"stop AS (SELECT min(k) AS k FROM moved WHERE d <= {tol})",
-                 f"stopped AS (SELECT page, rank FROM ({ranks}) JOIN stop USING (k))") + select
+def converge_sql(tol: float, select: str) -> str:
+    """``select`` from ``stopped(page, rank)``: cited_only until the total changes by ``tol`` at most, however many rounds that takes."""
+    total = "sum(CAST(rank AS DECIMAL(38,18))) OVER ()"
+    ctes = pagerank_ctes("cited_only", 1)
+    ctes.append(f"""rounds AS (
+    SELECT 1 AS k, page, rank, total, CAST(total AS DOUBLE) AS moved FROM (SELECT page, rank, {total} AS total FROM r1)
+    UNION ALL
+    SELECT k, page, rank, total, CAST(abs(total - before) AS DOUBLE) AS moved FROM (SELECT k, page, rank, before, {total} AS total FROM (
+        SELECT max(p.k) + 1 AS k, w.dst AS page, {TELE} + {DAMP} * sum(p.rank * w.w) AS rank, max(p.total) AS before
+        FROM rounds p JOIN w ON w.src = p.page WHERE p.moved > {tol} GROUP BY w.dst)))""")
+    ctes.append("stopped AS (SELECT page, rank FROM rounds WHERE k = (SELECT max(k) FROM rounds))")
+    return _with(*ctes).replace("WITH ", "WITH RECURSIVE ", 1) + select
+
+
+def fixed_point_sql(tol: float, select: str) -> str:
+    """``select`` from ``stopped(page, rank)``: all_nodes until no page's rank changes by more than ``tol``."""
+    ctes = pagerank_ctes("all_nodes", 1)
+    ctes.append(f"""rounds AS (
+    SELECT 1 AS k, page, rank, {_double(1)} AS moved FROM r1
+    UNION ALL
+    SELECT k, page, rank, max(abs(rank - before)) OVER () AS moved FROM (
+        SELECT r.k + 1 AS k, r.page, coalesce({TELE} + {DAMP} * s.s, {TELE}) AS rank, r.rank AS before
+        FROM (SELECT * FROM rounds WHERE moved > {tol}) r
+        LEFT JOIN (SELECT w.dst, sum(p.rank * w.w) AS s FROM w JOIN rounds p ON w.src = p.page GROUP BY w.dst) s ON r.page = s.dst))""")
+    ctes.append("stopped AS (SELECT page, rank FROM rounds WHERE k = (SELECT max(k) FROM rounds))")
+    return _with(*ctes).replace("WITH ", "WITH RECURSIVE ", 1) + select
 
 
 def pagerank_lines_sql(mode: str, rounds: int = 10, digits: int = 6) -> str:

@@ -48,17 +48,29 @@ def list_docs(spark: SparkSession, paths: str | list[str], doc_suffix: str = "",
     return files.select(F.concat(label, F.lit(doc_suffix)).alias("doc"))
 
 
-def count_files(spark: SparkSession, paths: str | list[str]) -> int:
-    """Number of files below the paths, zero-byte and hidden files included.
+def count_files(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> int:
+    """Number of files below the paths whose names match ``pattern``, zero-byte ones included.
 
-    One file-system metadata call per path (``FileSystem.getContentSummary``),
-    as the reference does; give the result to the text operators as
-    ``all_docs`` to use it as N.
+    A scan of the names alone (a document is a file, so they are data and stay distributed).  Spark's scans pass over
+    zero-byte files and names that begin with ``.`` or ``_``; the file system's own summary, one call per path, counts
+    them too, and is used where this client reaches it and every name is asked for, as the reference does.  Give the
+    result to the text operators as ``all_docs`` to use it as N.
     """
+    if pattern == "*":
+        try:
+            return _summary_count(spark, _paths(paths))
+        except Exception:  # no JVM in this client (Spark Connect)
+            pass
+    names = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+             .load(_paths(paths)).select("path"))
+    return names.count()
+
+
+def _summary_count(spark: SparkSession, paths: list[str]) -> int:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     total = 0
-    for p in _paths(paths):
+    for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
         total += int(path.getFileSystem(conf).getContentSummary(path).getFileCount())
     return total

@@ -14,14 +14,16 @@ from pyspark.sql import functions as F
 from .session import delete_path, ensure_checkpoint_dir
 
 
-def delete_on_exit(spark: SparkSession, path: str) -> None:
-    """Delete a folder when the application ends, whatever the session's cleaner does."""
+def _folder_until_exit(spark: SparkSession, path: str) -> None:
+    """Make a folder that is deleted when the application ends, whatever the session's cleaner does."""
     try:
         sc = spark.sparkContext
     except Exception:  # no SparkContext in this client
         return
     path = sc._jvm.org.apache.hadoop.fs.Path(path)
-    path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(path)
+    files = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)  # has no effect on a folder that does not exist yet
 
 
 class Tables:
@@ -32,29 +34,37 @@ class Tables:
     """
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.folder, self.held = spark, ensure_checkpoint_dir(spark), {}
+        self.spark, self.folder, self.held, self.kept = spark, None, {}, False
 
     def __enter__(self) -> "Tables":
         return self
 
     def __exit__(self, *error) -> None:
+        if self.folder and not self.kept:
+            delete_path(self.spark, self.folder)
+            return
         for path in self.held:
             delete_path(self.spark, path)
 
     def path(self, kind: str = "table") -> str:
-        """A new folder's name."""
-        path = f"{self.folder}/{kind}-{uuid.uuid4().hex}"
-        delete_on_exit(self.spark, path)
-        return path
+        """The name of a folder for the caller to write; it is not deleted before the application ends."""
+        self.kept = True
+        return self._path(kind)
+
+    def _path(self, kind: str) -> str:
+        if self.folder is None:
+            self.folder = f"{ensure_checkpoint_dir(self.spark)}/tables-{uuid.uuid4().hex}"
+            _folder_until_exit(self.spark, self.folder)
+        return f"{self.folder}/{kind}-{uuid.uuid4().hex}"
 
     def __call__(self, df: DataFrame) -> DataFrame:
-        path = self.path()
+        path = self._path("table")
         df.write.parquet(path)
         self.held[path] = out = self.spark.read.schema(df.schema).parquet(path)
         return out
 
     def keep(self, df: DataFrame) -> DataFrame:
-        self.held = {path: x for path, x in self.held.items() if x is not df}
+        self.held, self.kept = {path: x for path, x in self.held.items() if x is not df}, True
         return df
 
     def drop(self, df: DataFrame) -> None:

@@ -26,7 +26,7 @@ def test_every_query_has_an_oracle():
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ["documents", "benchmark", "pages", "lineitem", "orders"]:
+    for t in ["documents", "benchmark", "pages", "lineitem", "orders", "customer"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF0001}/{t}.parquet')")
     return con
 
@@ -40,7 +40,9 @@ def _norm(rows):
                                   "pagerank_keep_uncited", "pagerank_cited_only", "pagerank_lines_keep_uncited",
                                   "pagerank_lines_all_nodes", "pagerank_lines_cited_only", "pagerank_converge", "total_rank",
                                   "pagerank_resume", "rank_state_text", "ranked_page_text", "rank_state_parsed", "score_text",
-                                  "term_weights_parsed", "wiki_edges_stripped", "adjacency_decoded", "search_query_words"])
+                                  "term_weights_parsed", "wiki_edges_stripped", "adjacency_decoded", "search_query_words",
+                                  "page_ids", "index_postings", "index_search_keywords", "index_top_k", "index_batch_top_k",
+                                  "text_folder_counts", "text_folder_files", "page_line_files", "single_file_report"])
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF0001)
     rel = duck.sql(E.oracle_sql()[name])

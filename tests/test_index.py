@@ -57,7 +57,12 @@ def test_written_tables_are_deleted(spark, tmp_path):
         tables.drop(a)
         kept = tables.keep(b)
         assert c.count() == 3
-    assert len(set(os.listdir(base)) - before) == 1 and kept.count() == 3
+    new = set(os.listdir(base)) - before
+    assert len(new) == 1 and len(os.listdir(f"{base}/{new.pop()}")) == 1 and kept.count() == 3
+    before = set(os.listdir(base))
+    with Tables(spark) as tables:
+        assert tables(spark.range(2)).count() == 2
+    assert set(os.listdir(base)) == before
 
 
 def test_search_equals_the_search_over_texts(spark, docs, index):
@@ -116,8 +121,8 @@ def ranked(docs, words, k):
     return [tuple(r) for r in T.rank_documents(docs, words, k=k).collect()]
 
 
-@pytest.mark.parametrize("words", [["the"], ["de", "of", "und", "is"], ["erthat", "the", "la"], ["nothere"], []])
-@pytest.mark.parametrize("k", [1, 10, 1000])
+@pytest.mark.parametrize("words", [["de", "of", "und", "is"], ["erthat", "the", "la"], ["nothere"]])
+@pytest.mark.parametrize("k", [1, 1000])
 def test_top_k_equals_the_full_ranking(docs, index, words, k):
     assert [tuple(r) for r in index.rank(words, k).collect()] == ranked(docs, words, k)
 

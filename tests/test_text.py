@@ -170,7 +170,7 @@ def _count_tokenizing(monkeypatch, call):
     """Runs ``call`` and gives the number of token generators in all plans that it materialises or returns."""
     seen = []
     real = T._materialise
-    monkeypatch.setattr(T, "_materialise", lambda df: (seen.append(df), real(df))[1])
+    monkeypatch.setattr(T, "_materialise", lambda df, tables=None: (seen.append(df), real(df, tables))[1])
     seen.append(call())
     return sum(df._jdf.queryExecution().optimizedPlan().toString().count("Generate explode(split(line") for df in seen)
 
@@ -241,3 +241,42 @@ def test_empty_corpus_and_null_text(spark):
     w = {r.word: r.idf for r in T.inverse_doc_frequency(docs).collect()}
     assert w["x"] == pytest.approx(0.47712125471966244)    # log10(1 + 2 div 1)
     assert [(r.doc, r.n) for r in T.doc_word_count(docs).orderBy("word").collect()] == [("b", 2), ("b", 1)]
+
+
+def test_written_tables_go_with_the_callers_block(spark, sample_docs):
+    import os
+    from rankloom.tables import Tables
+    base = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(os.listdir(base))
+    with Tables(spark) as tables:
+        kw = spark.createDataFrame([("Hadoop",), ("yellow",)], "word string")
+        assert T.tfidf(sample_docs, tables=tables).count() == 8
+        assert T.search(sample_docs, keywords=kw, broadcast_bytes=0, tables=tables).count() == 2
+        assert T.rank_documents(sample_docs, ["Hadoop"], tables=tables).count() == 2
+        assert T.in_key_order(T.doc_word_count(sample_docs), tables).count() == 8
+        assert len(os.listdir(tables.folder.removeprefix("file:"))) >= 6
+    assert set(os.listdir(base)) == before
+
+
+def test_a_session_without_the_cleaner_leaves_nothing(tmp_path):
+    """Tables that lazy results still read go when the application ends."""
+    import os
+    import subprocess
+    import sys
+    import time
+    code = f"""
+import sys; sys.path.insert(0, {os.getcwd()!r})
+from rankloom import local_session
+from rankloom.operators import text as T
+spark = local_session(2, extra={{"spark.checkpoint.dir": {str(tmp_path)!r}, "spark.cleaner.referenceTracking.cleanCheckpoints": "false"}})
+docs = spark.createDataFrame([("a", "x y"), ("b", "x")], "doc string, text string")
+import os
+assert T.rank_documents(docs, ["x"]).count() == 2
+assert [f for _, _, names in os.walk({str(tmp_path)!r}) for f in names]
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=300)
+    until = time.time() + 60  # the JVM ends shortly after the client
+    while (left := [f for _, _, names in os.walk(tmp_path) for f in names]) and time.time() < until:
+        time.sleep(1)
+    assert left == []
