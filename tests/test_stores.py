@@ -1,0 +1,116 @@
+"""Stores that outlive the application: rank state and corpus statistics."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF0001
+from rankloom.bucketed import table_name
+from rankloom.operators import pagerank as PR
+from rankloom.operators import rank_store as R
+from rankloom.operators import text as T
+from rankloom.operators.statistics import STANDARD_ERROR, CorpusStatistics, distinct_sketch, merged_estimate
+from rankloom.plans import inputs
+
+
+def as_dict(df):
+    return {r.page: r.rank for r in df.collect()}
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+@pytest.fixture(scope="module")
+def edges(spark):
+    return spark.createDataFrame([(f"p{i}", f"p{i * 7 % 50}") for i in range(300)] + [("hub", f"p{i}") for i in range(50)] + [("p1", "hub")] * 2, "src string, dst string")
+
+
+def forget(spark, store):
+    """A new application's catalog knows nothing of the store."""
+    for t in spark.catalog.listTables():
+        if t.name.startswith("rankloom_"):
+            spark.sql(f"DROP TABLE {t.name}")
+
+
+@pytest.mark.parametrize("mode", PR.MODES)
+def test_ended_run_goes_on(spark, edges, tmp_path, monkeypatch, mode):
+    folder = str(tmp_path / "store")
+    store = R.RankStore.create(edges, folder, mode=mode, n=400, partitions=4, hub_threshold=10)
+    assert store.meta.hubs == 1 and store.advance(3) == 3
+    written, real = [], R._total
+
+    def ends(df):  # the round's ranks are written, the round is not complete
+        written.append(1)
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(R, "_total", ends)
+    with pytest.raises(RuntimeError):
+        store.advance(5)
+    monkeypatch.setattr(R, "_total", real)
+    forget(spark, store)
+    again = R.RankStore(spark, folder)
+    assert [n for n, _ in again.rounds()][-1] == 3 and again.advance(7) == 7 and again.advance(5) == 7
+    want = as_dict(PR.pagerank_run(edges, mode=mode, n=400, iterations=7, tol=None).ranks)
+    assert as_dict(again.ranks()) == pytest.approx(want, abs=1e-12)
+    assert len(list((tmp_path / "store" / "ranks").iterdir())) == 2
+    with pytest.raises(FileExistsError):
+        R.RankStore.create(edges, folder)
+
+
+def test_rounds_join_the_stored_edges_without_an_exchange(spark, edges, tmp_path):
+    R.RankStore.create(edges, str(tmp_path / "s"), n=400, partitions=4, hub_threshold=10**6)
+    store = R.RankStore(spark, str(tmp_path / "s"))
+    with PR.fixed_partitioning(spark, 4):
+        plan = store.step(store._ids(1))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "hashpartitioning(dst" in plan and "SortMergeJoin [src" in plan, plan
+    assert plan.count("SelectedBucketsCount: 4 out of 4") >= 3
+
+
+def test_until_the_total_settles(spark, edges, tmp_path):
+    store = R.RankStore.create(edges, str(tmp_path / "s"), mode="cited_only", n=400, partitions=3)
+    run = PR.pagerank_run(edges, mode="cited_only", n=400, iterations=None, tol=1e-3)
+    assert store.advance(10_000, tol=1e-3) == run.rounds
+    assert as_dict(store.ranks()) == pytest.approx(as_dict(run.ranks), abs=1e-12)
+    with pytest.raises(ValueError):
+        R.RankStore.create(edges.limit(0), str(tmp_path / "e"))
+
+
+def test_batches_equal_one_run(spark, tmp_path):
+    docs = T.documents(spark.read.parquet(f"{SF0001}/documents.parquet"))
+    store = CorpusStatistics(spark, str(tmp_path / "s"))
+    assert store.n_docs() == 0 and store.doc_frequency().count() == 0 and store.estimated_words() == 0
+    first, second = docs.where("doc % 3 = 0"), docs.where("doc % 3 != 0")
+    assert store.add(first) == first.count()
+    store = CorpusStatistics(spark, str(tmp_path / "s"))
+    assert store.add(second.union(first.limit(20))) == second.count()  # what is known already counts once
+    assert store.add(first) == 0
+    assert store.n_docs() == docs.count()
+    assert rows(store.doc_frequency()) == rows(T.doc_frequency(T.term_frequency(docs)))
+    assert rows(store.tfidf(second)) == rows(T.tfidf(docs).join(second.select("doc"), "doc", "left_semi").select("word", "doc", "tf", "tfidf"))
+    exact = store.doc_frequency().count()
+    assert abs(store.estimated_words() - exact) <= 4 * STANDARD_ERROR * exact
+
+
+def test_a_batch_that_was_ended_counts_not_at_all(spark, tmp_path, monkeypatch):
+    from rankloom.operators import statistics as S
+    docs = spark.createDataFrame([("a", "x y"), ("b", "x"), (None, "x"), ("c", None), ("a", "z x")], "doc string, text string")
+    store = CorpusStatistics(spark, str(tmp_path / "s"))
+
+    def ends(*args):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(S, "distinct_sketch", ends)
+        with pytest.raises(RuntimeError):
+            store.add(docs)
+    assert store.n_docs() == 0 and store.add(docs) == 3
+    assert rows(store.doc_frequency()) == [("x", 2), ("y", 1), ("z", 1)]
+
+
+def test_sketches_merge(spark):
+    values = spark.range(60_000).selectExpr("concat('v', id % 20000) AS v", "id % 2 AS part", "id % 7 AS batch")
+    sketches = distinct_sketch(values, "v", "part", "batch")
+    whole = merged_estimate(sketches).first()["n"]
+    assert abs(whole - 20_000) <= 4 * STANDARD_ERROR * 20_000
+    by = {r.part: r.n for r in merged_estimate(sketches, "part").collect()}
+    assert set(by) == {0, 1} and all(abs(n - 10_000) <= 4 * STANDARD_ERROR * 10_000 for n in by.values())
