@@ -11,18 +11,22 @@ copies does not matter (tests compare with the library).  A step's rows of finis
 Decoding.  Id-position rows join the vocabulary, and an ordered aggregation by position concatenates
 their bytes; bytes are carried as the characters U+0100 to U+01FF.
 
-DuckDB runs inside the Python worker, on one thread and in bounded memory; a word list is
-handed over in portions of bounded bytes.  A worker keeps the words it has encoded (at most
-``KEEP_WORDS``, then it starts anew), which only saves time.
-
-Edge cases: a null or empty text has no ids and decodes to no bytes.  Every input row gives one output
-row, whatever its id.  Columns other than the id and the text are not read.
+DuckDB runs inside the Python worker, on one thread and in bounded memory: texts are read in runs of at
+most ``RUN_CHARS`` characters (a longer text is split into words as it is read, run by run), new words are handed
+over in portions of ``PORTION_BYTES``, ids are decoded ``DECODE_IDS`` at a time, and digests grow as the runs
+come.  A worker keeps the words it has encoded (at most ``KEEP_WORDS``, then it starts anew), which only saves time.
+
+Edge cases: a null or empty text has no ids and decodes to no bytes.  Very long texts are read in runs; a
+single unbroken word is one portion, whose steps grow with its distinct pairs.  No ties arise: ranks are distinct.
+Every input row gives one output row, whatever its id, repeated rows too; an empty table gives none.  Columns other than
+the id and the text are not read, whatever their names.  Vocabularies of up to 65,536 ids (a pair is one 32-bit key).
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +40,7 @@ from .vocabulary import ranks_path, read_ranks
 KEEP_WORDS = 600_000
 PORTION_BYTES = 800_000
 DUCKDB_MEMORY = "300MB"
+RUN_CHARS, RUN_WORDS, DECODE_IDS = 2_000_000, 100_000, 300_000
 
 # Rows of words that can still be merged go round (live); a word's rows come out with live = false
 # once no pair of it is in the merge table. Rows stay in order of word and position: the windows over () read
@@ -99,7 +104,7 @@ class Codec:
         ranks = read_ranks(path)
         if max(ranks.values()) >= 1 << 16:
             raise ValueError("ids of 16 bits at most")
-        self.split = regex.compile(pattern).findall
+        self.split, self.matches = regex.compile(pattern).findall, regex.compile(pattern).finditer
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY, "temp_directory": "", "preserve_insertion_order": True})
         self.db.execute("SET disabled_optimizers = 'join_order,build_side_probe_side'")
         pair, rank = merge_pairs(ranks)
@@ -154,33 +159,59 @@ class Codec:
         self.starts = np.concatenate([self.starts, self.starts[-1] + found.offsets.to_numpy()[1:] - found.offsets[0].as_py()])
         self.ids = np.concatenate([self.ids, out.astype(np.uint32)])
 
+    def _runs(self, texts: list[str]):
+        """Lists of (number of the text, words), at most about ``RUN_CHARS`` characters together, in order."""
+        held, size = [], 0
+        for n, text in enumerate(texts):
+            if held and size + len(text) > RUN_CHARS:
+                yield held
+                held, size = [], 0
+            if len(text) <= RUN_CHARS:
+                held.append((n, self.split(text)))
+                size += len(text)
+                continue
+            words = (m.group() for m in self.matches(text))
+            while part := list(islice(words, RUN_WORDS)):
+                yield [(n, part)]
+        if held:
+            yield held
+
+    def runs(self, texts: list[str]):
+        """Lists of (number of the text, ids), a run at a time; a long text's ids come over several runs."""
+        for run in self._runs(texts):
+            new = set().union(*(words for _, words in run)).difference(self.known)
+            if new and len(self.known) + len(new) > KEEP_WORDS:
+                self.forget()
+                new = set().union(*(words for _, words in run))
+            self.learn(sorted(new))
+            out = []
+            for n, words in run:
+                at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+                out.append((n, gather(self.ids, self.starts[at], self.starts[at + 1] - self.starts[at])))
+            yield out
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        splits = [self.split(text) for text in texts]
-        new = set().union(*splits).difference(self.known)
-        if new and len(self.known) + len(new) > KEEP_WORDS:
-            self.forget()
-            new = set().union(*splits)
-        self.learn(sorted(new))
-        out = []
-        for words in splits:
-            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-            out.append(gather(self.ids, self.starts[at], self.starts[at + 1] - self.starts[at]))
-        return out
+        parts = [[] for _ in texts]
+        for run in self.runs(texts):
+            for n, ids in run:
+                parts[n].append(ids)
+        return [np.concatenate([np.zeros(0, np.uint32), *p]) for p in parts]
 
     def decode(self, lists: list[np.ndarray]) -> list[bytes]:
         """The bytes of each list of ids."""
         sizes = np.array([len(x) for x in lists], np.int64)
         doc = np.repeat(np.arange(len(lists), dtype=np.int32), sizes)
         flat = np.concatenate([*lists, np.zeros(0, np.uint32)]).astype(np.int32)
-        ids = pa.table({"doc": doc, "pos": np.arange(len(flat), dtype=np.int32), "id": flat})
-        self.db.register("ids", ids)
-        rows = self.db.sql(DECODE).fetchall()
-        self.db.unregister("ids")
-        out = [b""] * len(lists)
-        for n, text in rows:
-            out[n] = (np.frombuffer(text.encode("utf-16-le"), "<u2") - 256).astype(np.uint8).tobytes()
-        return out
+        out = [[] for _ in lists]
+        for first in range(0, len(flat), DECODE_IDS):
+            part = slice(first, first + DECODE_IDS)
+            ids = pa.table({"doc": doc[part], "pos": np.arange(len(flat[part]), dtype=np.int32), "id": flat[part]})
+            self.db.register("ids", ids)
+            for n, text in self.db.sql(DECODE).fetchall():
+                out[n].append((np.frombuffer(text.encode("utf-16-le"), "<u2") - 256).astype(np.uint8).tobytes())
+            self.db.unregister("ids")
+        return [b"".join(x) for x in out]
 
 
 @functools.lru_cache(maxsize=1)
@@ -188,18 +219,6 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def portions(texts: list[str], size: int = 5_000_000):
-    """Index ranges of consecutive texts, at most ``size`` characters together (or one text)."""
-    first, total = 0, 0
-    for n, text in enumerate(texts):
-        if n > first and total + len(text) > size:
-            yield first, n
-            first, total = n, 0
-        total += len(text)
-    if first < len(texts):
-        yield first, len(texts)
-
-
 def _pattern() -> str:
     import public_tokenizers
 
@@ -213,11 +232,8 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
     def run(batches):
         own = codec(path, pattern)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in portions(texts):
-                lists = own.encode(texts[a:b])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([x.astype(np.int32) for x in lists], pa.list_(pa.int32()))],
-                                                 names=["doc_id", "ids"])
+            lists = own.encode(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.astype(np.int32) for x in lists], pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     schema = T.StructType([T.StructField("doc_id", docs.schema[key].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return map_arrow(docs.select(F.col(key).alias("doc_id"), whole_text(text).alias("text")), run, schema)
@@ -244,13 +260,14 @@ def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = N
     def run(batches):
         own = codec(path, pattern)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in portions(texts):
-                lists = own.encode(texts[a:b])
-                digests = [hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in lists]
-                decoded = [hashlib.sha256(x).hexdigest() for x in own.decode(lists)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([len(x) for x in lists], pa.int64()),
-                                                  pa.array(digests), pa.array(decoded)], names=schema.names)
+            tokens = [0] * batch.num_rows
+            encoded, decoded = ([hashlib.sha256() for _ in tokens] for _ in range(2))
+            for part in own.runs(batch.column(1).to_pylist()):
+                for (n, ids), data in zip(part, own.decode([ids for _, ids in part])):
+                    tokens[n] += len(ids)
+                    encoded[n].update(ids.astype("<u4").tobytes())
+                    decoded[n].update(data)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.int64()), *(pa.array([h.hexdigest() for h in x]) for x in (encoded, decoded))], names=schema.names)
 
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("n_tokens", T.LongType()),
                            T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])

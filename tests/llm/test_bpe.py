@@ -65,6 +65,43 @@ def test_encode_then_decode_as_tables(spark, awkward):
     assert got == sorted((str(r.doc_id), (r.text or "").encode()) for r in awkward.collect())
 
 
+def round_trips(codec, texts):
+    """Ids as the library's and bytes as the texts', taken run by run as the query does."""
+    ids, data = [[] for _ in texts], [[] for _ in texts]
+    for run in codec.runs(texts):
+        for (n, x), b in zip(run, codec.decode([x for _, x in run])):
+            ids[n].append(x)
+            data[n].append(b)
+    for text, x, b in zip(texts, ids, data):
+        assert b"".join(b) == text.encode()
+        assert np.array_equal(np.concatenate([np.zeros(0, np.uint32), *x]), np.array(LIBRARY.encode_ordinary(text), np.uint32))
+
+
+def test_runs_change_nothing(monkeypatch):
+    monkeypatch.setattr(bpe, "RUN_CHARS", 40)
+    monkeypatch.setattr(bpe, "RUN_WORDS", 3)
+    monkeypatch.setattr(bpe, "DECODE_IDS", 5)
+    own = bpe.Codec(vocabulary.ranks_path(), public_tokenizers.PATTERN)
+    round_trips(own, ["", "short", "a text of more than forty characters, read a few words at a time é中", "", "x" * 100, "one two three four five", " "])
+
+
+def test_a_very_long_text(codec):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(1, 9))) for _ in range(3000)]
+    round_trips(codec, [" ".join(rng.choice(words) for _ in range(4_000_000))])  # 22 MB
+
+
+def test_a_batch_dense_in_tokens(codec):
+    """Every character is several tokens."""
+    rng = random.Random(10)
+    round_trips(codec, ["".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(2000)) for _ in range(2500)])
+
+
+def test_a_long_varied_word(codec):
+    rng = random.Random(11)
+    round_trips(codec, ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20_000))])
+
+
 def test_decode_any_ids(codec):
     rng = random.Random(1)
     lists = [np.array([rng.randrange(50256) for _ in range(n)], np.uint32) for n in (0, 1, 50, 3000)]
