@@ -1,18 +1,23 @@
 """A persistent inverted index for search (P4, P5, J1, A5, O3): written once, read by many searches.
 
-Words and documents have dense integer ids.  Documents are numbered by descending length, so that those with high
-term frequencies stand together, and cut into blocks of ``block_docs``; ``span_blocks`` blocks form a span.  Tables:
+Documents are dealt out by a hash of their key into groups of about ``GROUP_DOCS``; within a group they are numbered by
+descending length, so that those with high term frequencies stand together, and cut into blocks of
+``1 << BLOCK_BITS``.  Words have dense ids.  Tables, all bucketed and sorted:
 
-=========  =========================================  ====================================================
-documents  doc_no, doc, n_tokens                      bucketed and sorted by doc_no
-lexicon    word_id, word, df                          bucketed and sorted by word
-postings   slot, block, doc_no, tf                    bucketed by slot, sorted by slot, block
-blocks     slot, block, max_tf, n                     bucketed by slot, sorted by slot, block
-meta       one row of sizes
-=========  =========================================  ====================================================
+=========  ===================================  ==========================================
+documents  doc_no, doc                          by doc_no
+lexicon    word_id, word, df                    by word
+postings   slot, doc_no, tf                     by slot; sorted by slot, doc_no
+blocks     slot, block, max_tf, n               by slot; sorted by slot, block
+meta       one row of sizes                     (plain)
+=========  ===================================  ==========================================
 
-A slot is a word's part in one span: a search reads only the buckets of its slots and does not shuffle postings (only
-sums per document), while the postings of a word found in every document are spread over as many buckets as it has slots.
+A slot is a word's part in one span of ``SPAN_GROUPS`` groups: a search reads only the buckets of its slots and does not
+shuffle postings (only sums per document), while the postings of a word found in every document are spread over as many
+buckets as it has slots.
+
+Building shuffles the texts once, by group (and part of it, where a group has very much text), and counts words where the
+texts are.  The counts are written, joined with the lexicon by word, and dealt out by slot.
 
 ``top_k`` answers any number of queries at once without scoring every document: a block's bound for a query is
 what a document with the block's greatest term frequencies would score.  The blocks with the greatest bounds are
@@ -25,31 +30,33 @@ share a key are one document, as in ``search``.  Words not in the index are igno
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable
 from contextlib import nullcontext
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..bucketed import open_bucketed, write_bucketed
 from ..functions.tokenize import query_words
 from ..functions.weights import float_text_to_double, idf as idf_col, log_tf
 from ..session import parallelism, path_exists
 from ..tables import Tables, in_order
 from .pagerank import _conf
-from .text import MAX_IN_LIST, doc_word_count
+from .text import MAX_IN_LIST, doc_frequency, tokens
 
-BLOCK_DOCS, SPAN_BLOCKS = 1024, 1024
-POSTINGS_PER_BUCKET = 4_000_000
-ROWS_PER_BUCKET = 2_000_000  # of documents and words
+BLOCK_BITS = 8               # a block holds 256 documents at most
+RANK_BITS = 16               # a group holds 65,536 documents at most: many times GROUP_DOCS
+GROUP_DOCS, SPAN_GROUPS = 4096, 256
+GROUP_BYTES = 256 << 20      # of text that one task reads
+ROWS_PER_BUCKET = 4_000_000  # of documents, words and postings
 SPAN_BITS = 20               # slot = word_id << SPAN_BITS | span
 BROADCAST_ROWS = 100_000     # measured (slot, block, query) rows of a few numbers
 CHUNK = 4096                 # rows of one key that are gathered and cut to k at a time
 
-_BUCKETED = {"documents": (["doc_no"], "doc_no long, doc {doc}, n_tokens long"),
+_BUCKETED = {"documents": (["doc_no"], "doc_no long, doc {doc}"),
              "lexicon": (["word"], "word_id long, word string, df long"),
-             "postings": (["slot", "block"], "slot long, block long, doc_no long, tf float"),
+             "postings": (["slot", "doc_no"], "slot long, doc_no long, tf float"),
              "blocks": (["slot", "block"], "slot long, block long, max_tf float, n long")}
 
 
@@ -85,51 +92,54 @@ class SearchIndex:
         """Open the index in ``folder``, also one that another application wrote."""
         self.spark, self.folder = spark, folder.rstrip("/")
         self.meta = spark.read.parquet(f"{self.folder}/meta").first()
-        for table, (order, schema) in _BUCKETED.items():
-            if not spark.catalog.tableExists(self._name(table)):
-                spark.sql(f"CREATE TABLE {self._name(table)} ({schema.format(doc=self.meta.doc_type)}) USING parquet CLUSTERED BY ({order[0]}) "
-                          f"SORTED BY ({', '.join(order)}) INTO {self.meta[table + '_buckets']} BUCKETS LOCATION '{self.folder}/{table}'")
-
-    def _name(self, table: str) -> str:
-        return _table_name(self.folder, table)
 
     def table(self, table: str) -> DataFrame:
-        return self.spark.table(self._name(table))
+        order, schema = _BUCKETED[table]
+        return open_bucketed(self.spark, f"{self.folder}/{table}", schema.format(doc=self.meta.doc_type), self.meta[table + "_buckets"], order[:1], order)
 
     # ---- building -------------------------------------------------------------
 
     @classmethod
-    def build(cls, docs: DataFrame, folder: str, block_docs: int = BLOCK_DOCS, span_blocks: int = SPAN_BLOCKS, buckets: int | None = None) -> "SearchIndex":
+    def build(cls, docs: DataFrame, folder: str, group_docs: int = GROUP_DOCS, span_groups: int = SPAN_GROUPS, group_bytes: int = GROUP_BYTES,
+              buckets: int | None = None) -> "SearchIndex":
         """Index ``docs(doc, text)`` into ``folder``, a folder of the shared file system that does not exist yet.
 
-        The corpus is tokenized once.  ``buckets``: of the postings (default: one per ``POSTINGS_PER_BUCKET``, at
+        The corpus is tokenized once.  ``buckets``: of the postings (default: one per ``ROWS_PER_BUCKET``, at
         least the default parallelism).
         """
         spark, folder = docs.sparkSession, folder.rstrip("/")
         if path_exists(spark, folder):
             raise FileExistsError(folder)
         docs = docs.where("doc IS NOT NULL")
+        several = lambda rows: max(1, -(-rows // ROWS_PER_BUCKET))
         with Tables(spark) as tables:
-            counts = tables(doc_word_count(docs))
-            sizes = counts.groupBy("doc").agg(F.sum("n").alias("n_tokens"))
-            known = docs.select("doc").distinct().join(sizes, "doc", "left").select("doc", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"))
-            documents, n_docs = in_order(tables, known, [F.desc("n_tokens"), F.asc("doc")], "doc_no")
-            lexicon, n_words = in_order(tables, counts.groupBy("word").agg(F.count(F.lit(1)).alias("df")), ["word"], "word_id")
-            n_buckets = buckets or max(parallelism(spark), -(-counts.count() // POSTINGS_PER_BUCKET))
-            several = lambda rows: max(1, -(-rows // ROWS_PER_BUCKET))
-            _write(documents, folder, "documents", several(n_docs))
+            lengths = tables(docs.groupBy("doc").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("length")))
+            n_docs = lengths.count()
+            groups = max(1, -(-n_docs // group_docs))
+            spans = -(-groups // span_groups)
+            if spans >= 1 << SPAN_BITS:
+                raise ValueError("too many spans: larger groups or spans are needed")
+            group = F.pmod(F.xxhash64("doc"), F.lit(groups)).alias("group")
+            rank = F.row_number().over(Window.partitionBy("group").orderBy(F.desc("length"), F.asc("doc"))) - 1
+            placed = tables(lengths.select("doc", "length", group).select("group", "doc", "length", rank.alias("rank")))
+            if (placed.agg(F.max("rank")).first()[0] or 0) >= 1 << RANK_BITS:
+                raise ValueError("groups are too large: lower group_docs")
+            doc_no = F.shiftleft("group", RANK_BITS).bitwiseOR(F.col("rank"))
+            _write(placed.select(doc_no.alias("doc_no"), "doc"), folder, "documents", several(n_docs))
+            parts = F.ceil(F.sum("length") / group_bytes).cast("int")
+            large = tables(placed.groupBy("group").agg(parts.alias("parts")).where("parts > 1"))
+            with _conf(spark, _BY_GROUP):
+                counts = tables(_counts(docs.select("doc", "text", group), placed.select("group", "doc", doc_no.alias("doc_no")),
+                                        F.broadcast(large) if large.count() <= BROADCAST_ROWS else large))
+            lexicon, n_words = in_order(tables, doc_frequency(counts), ["word"], "word_id")
             _write(lexicon, folder, "lexicon", several(n_words))
-            block = F.floor(F.col("doc_no") / block_docs)
-            postings = (counts.join(lexicon.select("word", "word_id"), "word").join(documents.select("doc", "doc_no"), "doc")
-                        .select("word_id", block.alias("block"), "doc_no", log_tf("n").alias("tf")))
-            slot = F.shiftleft("word_id", SPAN_BITS).bitwiseOR(F.floor(F.col("block") / span_blocks))
-            _write(postings.select(slot.alias("slot"), "block", "doc_no", "tf"), folder, "postings", n_buckets)
-            bounds = spark.table(_table_name(folder, "postings")).groupBy("slot", "block").agg(F.max("tf").alias("max_tf"), F.count(F.lit(1)).alias("n"))
+            n_buckets = buckets or max(parallelism(spark), several(counts.count()))
+            slot = F.shiftleft("word_id", SPAN_BITS).bitwiseOR(F.floor(F.shiftright("doc_no", RANK_BITS) / span_groups))
+            postings = counts.join(lexicon.select("word", "word_id"), "word").select(slot.alias("slot"), "doc_no", log_tf("n").alias("tf"))
+            postings = _write(postings, folder, "postings", n_buckets)
+            bounds = postings.groupBy("slot", F.shiftright("doc_no", BLOCK_BITS).alias("block")).agg(F.max("tf").alias("max_tf"), F.count(F.lit(1)).alias("n"))
             _write(bounds, folder, "blocks", n_buckets, dealt=True)
-            spans = max(1, -(-n_docs // (block_docs * span_blocks)))
-            if spans >= 1 << SPAN_BITS:
-                raise ValueError("too many spans: larger blocks or spans are needed")
-            sizes = {"n_docs": n_docs, "n_words": n_words, "block_docs": block_docs, "span_blocks": span_blocks, "spans": spans, "documents_buckets": several(n_docs),
+            sizes = {"n_docs": n_docs, "n_words": n_words, "span_groups": span_groups, "spans": spans, "documents_buckets": several(n_docs),
                      "lexicon_buckets": several(n_words), "postings_buckets": n_buckets, "blocks_buckets": n_buckets, "doc_type": docs.schema["doc"].dataType.simpleString()}
             spark.createDataFrame([tuple(sizes.values())], ", ".join(f"{c} {'string' if c == 'doc_type' else 'long'}" for c in sizes)).coalesce(1).write.parquet(f"{folder}/meta")
         return cls(spark, folder)
@@ -145,6 +155,10 @@ class SearchIndex:
         spans = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(self.meta.spans - 1).cast("long")))
         return words.withColumn("span", spans).withColumn("slot", F.shiftleft("word_id", SPAN_BITS).bitwiseOR(F.col("span"))).drop("span")
 
+    def _span(self) -> Column:
+        """The span of a block."""
+        return F.floor(F.shiftright("block", RANK_BITS - BLOCK_BITS) / self.meta.span_groups)
+
     def search(self, words: Iterable[str] | str | None = None, keywords: DataFrame | None = None, keyword_col: str = "word") -> DataFrame:
         """``(doc, score)`` as :func:`rankloom.operators.text.search` gives it, from the index.
 
@@ -179,7 +193,7 @@ class SearchIndex:
 
         ``seed_blocks``: blocks of a query that are scored to find its threshold (default: enough for 4 k documents, at least 2).
         """
-        seed_blocks = seed_blocks or max(2, -(-4 * k // self.meta.block_docs))
+        seed_blocks = seed_blocks or max(2, -(-4 * k >> BLOCK_BITS))
         with Tables(self.spark) as tables:
             asked = queries.select("query_id", "word").where("query_id IS NOT NULL").distinct()
             words = tables(self._idf(asked.join(self.table("lexicon"), "word").select("query_id", "word_id", "df")))
@@ -207,12 +221,11 @@ class SearchIndex:
 
     def _scores(self, tables: Tables, words: DataFrame, chosen: DataFrame) -> DataFrame:
         """``(query_id, doc_no, score)`` of the documents in the chosen ``(query_id, block)``; a written table."""
-        span = F.floor(F.col("block") / self.meta.span_blocks)
         wanted = chosen.select("query_id", "block").join(words, "query_id").select(
-            "query_id", F.shiftleft("word_id", SPAN_BITS).bitwiseOR(span).alias("slot"), "block", "idf")
+            "query_id", F.shiftleft("word_id", SPAN_BITS).bitwiseOR(self._span()).alias("slot"), "block", "idf")
         wanted = tables(wanted.join(self.table("blocks").select("slot", "block"), ["slot", "block"], "left_semi"))
         size = wanted.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("slot").alias("slots")).first()
-        postings = self.table("postings")
+        postings = self.table("postings").withColumn("block", F.shiftright("doc_no", BLOCK_BITS))
         if size.slots <= MAX_IN_LIST:  # then their buckets alone are read
             postings = postings.where(F.col("slot").isin([r.slot for r in wanted.select("slot").distinct().collect()]))
         small = size.rows <= BROADCAST_ROWS
@@ -227,18 +240,35 @@ class SearchIndex:
         return self.top_k(queries, k).rows.select("doc", "score").orderBy(F.desc("score"), F.asc("doc"))
 
 
+def _counts(docs: DataFrame, numbers: DataFrame, large: DataFrame) -> DataFrame:
+    """``(word, doc_no, n)`` of ``docs(group, doc, text)``, numbered by ``numbers(group, doc, doc_no)``.
+
+    Texts and numbers are dealt out by group, and that is enough for the join and for counting after it (plan it
+    under ``_BY_GROUP``).  Groups with very much text, ``large(group, parts)``, are dealt out over several parts; the
+    counts of a document's parts are added up by an exchange of their own.
+    """
+    known = docs.join(large, "group", "left")
+    part = F.coalesce(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("parts")).cast("int"), F.lit(0))
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts"), F.lit(1)) - 1)).alias("part")
+    texts = known.select("group", part.alias("part"), "parts", "doc", "text").repartition("group", "part")
+    numbers = numbers.join(large, "group", "left").select("group", copies, "doc", "doc_no").repartition("group", "part")
+    dealt = ["group", "part", "parts"]
+    numbered = texts.join(numbers, ["group", "part", "doc"]).select(*dealt, F.col("doc_no").alias("doc"), "text")
+    counts = tokens(numbered, *dealt).withColumnRenamed("doc", "doc_no").groupBy(*dealt, "word", "doc_no").agg(F.count(F.lit(1)).alias("n"))
+    if large.isEmpty():
+        return counts.select("word", "doc_no", "n")
+    added = counts.where("parts IS NOT NULL").groupBy("word", "doc_no").agg(F.sum("n").alias("n"))
+    return counts.where("parts IS NULL").select("word", "doc_no", "n").unionByName(added)
+
+
+_BY_GROUP = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
 def _score() -> Column:
     """A5, from columns tf and idf; see ``text._score`` on the summation."""
     return F.sum((float_text_to_double("tf") * F.col("idf")).cast("float")).cast("float")
 
 
-def _table_name(folder: str, table: str) -> str:
-    return f"rankloom_{hashlib.md5(folder.encode()).hexdigest()[:16]}_{table}"
-
-
-def _write(df: DataFrame, folder: str, table: str, buckets: int, dealt: bool = False) -> None:
-    """Write a bucketed table; each bucket is one file, as the rows are dealt out by it first (or were already)."""
-    spark, order = df.sparkSession, _BUCKETED[table][0]
-    spark.sql(f"DROP TABLE IF EXISTS {_table_name(folder, table)}")  # a name left by a folder that is gone
-    rows = df if dealt else df.repartition(buckets, order[0])
-    rows.write.format("parquet").bucketBy(buckets, order[0]).sortBy(*order).option("path", f"{folder}/{table}").mode("error").saveAsTable(_table_name(folder, table))
+def _write(df: DataFrame, folder: str, table: str, buckets: int, dealt: bool = False) -> DataFrame:
+    order = _BUCKETED[table][0]
+    return write_bucketed(df, f"{folder}/{table}", buckets, order[:1], order, dealt)

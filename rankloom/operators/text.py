@@ -48,16 +48,16 @@ def documents(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFra
     return df.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """``(doc, line)``: one row per line of every document."""
-    return docs.select("doc", F.explode(split_lines("text")).alias("line"))
+def lines(docs: DataFrame, *more: str) -> DataFrame:
+    """``(doc, line)``: one row per line of every document; columns ``more`` are kept."""
+    return docs.select("doc", *more, F.explode(split_lines("text")).alias("line"))
 
 
-def tokens(docs: DataFrame) -> DataFrame:
-    """``(doc, word)``, one row per token occurrence."""
+def tokens(docs: DataFrame, *more: str) -> DataFrame:
+    """``(doc, word)``, one row per token occurrence; columns ``more`` are kept."""
     pattern = token_split_pattern(docs.sparkSession)
-    return (lines(docs)
-            .select("doc", F.explode(split_tokens("line", pattern)).alias("word"))
+    return (lines(docs, *more)
+            .select("doc", *more, F.explode(split_tokens("line", pattern)).alias("word"))
             .filter(F.col("word") != ""))
 
 

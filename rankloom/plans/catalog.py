@@ -20,6 +20,8 @@ from ..operators import residual as RR
 from ..operators import text as T
 from ..operators.dictionary import Dictionary
 from ..operators.index import SPAN_BITS, SearchIndex
+from ..operators.rank_store import RankStore
+from ..operators.statistics import STANDARD_ERROR, CorpusStatistics, distinct_sketch, merged_estimate
 from ..operators.text import documents
 from ..tables import Tables
 from . import inputs as I
@@ -499,15 +501,13 @@ def _index(spark, d) -> SearchIndex:
 
 
 @register("index_postings", O._with(O.DOC_TOKENS, O.POSTINGS, O.TF, O.DF,
-                                    "lexicon AS (SELECT word, df, row_number() OVER (ORDER BY word) - 1 AS word_id FROM dfreq)",
-                                    "lengths AS (SELECT doc_id AS doc, coalesce(n, 0) AS n FROM documents LEFT JOIN (SELECT doc, count(*) AS n FROM doc_tokens GROUP BY doc) l ON l.doc = doc_id)",
-                                    "numbers AS (SELECT doc, row_number() OVER (ORDER BY n DESC, doc) - 1 AS doc_no FROM lengths)")
-          + "SELECT word_id, doc_no, word, df, doc, tf FROM tf JOIN lexicon USING (word) JOIN numbers USING (doc)")
+                                    "lexicon AS (SELECT word, df, row_number() OVER (ORDER BY word) - 1 AS word_id FROM dfreq)")
+          + "SELECT word_id, word, df, doc, tf FROM tf JOIN lexicon USING (word)")
 def q_index_postings(spark, d):
     """The index's tables, joined by their ids."""
     index = _index(spark, d)
-    postings = index.table("postings").select(F.shiftright("slot", SPAN_BITS).alias("word_id"), "doc_no", "tf")
-    return postings.join(index.table("lexicon"), "word_id").join(index.table("documents"), "doc_no").select("word_id", "doc_no", "word", "df", "doc", "tf")
+    postings = index.table("postings").withColumn("word_id", F.shiftright("slot", SPAN_BITS))
+    return postings.join(index.table("lexicon"), "word_id").join(index.table("documents"), "doc_no").select("word_id", "word", "df", "doc", "tf")
 
 
 @register("index_search", SQL["search"])
@@ -536,3 +536,40 @@ def q_index_batch_top_k(spark, d):
     """Every benchmark item as a query, all at once."""
     queries = T.tokens(I.benchmark_texts(spark, d)).withColumnRenamed("doc", "query_id")
     return _index(spark, d).top_k(queries, TOP_K).rows
+
+
+# ---- stores that outlive the application --------------------------------------
+
+@register("pagerank_stored", O.pagerank_sql("all_nodes", ROUNDS, RANK_DIGITS))
+def q_pagerank_stored(spark, d):
+    """Half of the rounds, the store opened anew, then the other half."""
+    path = Tables(spark).path("ranks")
+    RankStore.create(I.graph_edges(spark, d), path, mode="all_nodes").advance(ROUNDS // 2)
+    again = RankStore(spark, path)
+    again.advance(ROUNDS)
+    return _rounded(again.ranks())
+
+
+@register("statistics_in_batches", O._with(O.DOC_TOKENS, O.POSTINGS, O.DF, O.NDOCS) + "SELECT word, df, n_docs FROM dfreq, ndocs")
+def q_statistics_in_batches(spark, d):
+    """Two batches, the second of which brings the first one again."""
+    docs = I.docs(spark, d)
+    store = CorpusStatistics(spark, Tables(spark).path("statistics"))
+    store.add(docs.where(F.xxhash64("doc") % 2 == 0))
+    store.add(docs)
+    return store.inverse_doc_frequency().select("word", "df", "n_docs")
+
+
+@register("approx_distinct", O._with(O.WIKI_LINES, O.EDGES) + f"""SELECT 'titles' AS what, count(DISTINCT regexp_extract(line, {O.TITLE}, 1)) AS n, TRUE AS near
+    FROM wiki_lines WHERE regexp_matches(line, {O.TITLE})
+UNION ALL SELECT 'documents', count(DISTINCT doc_id), TRUE FROM documents
+UNION ALL SELECT 'targets', count(DISTINCT dst), TRUE FROM edges""")
+def q_approx_distinct(spark, d):
+    """Distinct counts from mergeable sketches, one per tenth of the values, beside the exact ones."""
+    titles = L.parse_pages(I.wiki_lines(spark, d), "whole_line").select(F.lit("titles").alias("what"), F.col("title").alias("v"))
+    values = titles.union(I.docs(spark, d).select(F.lit("documents"), F.col("doc").cast("string"))).union(
+        I.graph_edges(spark, d).select(F.lit("targets"), "dst"))
+    part = F.pmod(F.xxhash64("v"), F.lit(10)).alias("part")
+    estimate = merged_estimate(distinct_sketch(values.select("*", part), "v", "what", "part"), "what").withColumnRenamed("n", "estimate")
+    exact = values.groupBy("what").agg(F.count_distinct("v").alias("n"))
+    return exact.join(estimate, "what").select("what", "n", (F.abs(F.col("estimate") - F.col("n")) <= F.col("n") * 4 * STANDARD_ERROR).alias("near"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF0001
 from rankloom.operators import text as T
 from rankloom.operators.dictionary import NO_ID, Dictionary
-from rankloom.operators.index import SPAN_BITS, SearchIndex, top_rows
+from rankloom.operators.index import BLOCK_BITS, RANK_BITS, SPAN_BITS, SearchIndex, top_rows
 from rankloom.tables import Tables, in_order
 
 
@@ -25,8 +25,8 @@ def docs(spark):
 
 @pytest.fixture(scope="module")
 def index(spark, docs, tmp_path_factory):
-    """Small blocks and spans, so that words have several of each."""
-    return SearchIndex.build(docs, str(tmp_path_factory.mktemp("index") / "i"), block_docs=8, span_blocks=4, buckets=16)
+    """Small groups and spans, so that words have several of each."""
+    return SearchIndex.build(docs, str(tmp_path_factory.mktemp("index") / "i"), group_docs=16, span_groups=4, buckets=16)
 
 
 def test_numbers_in_order_are_dense(spark):
@@ -74,18 +74,43 @@ def test_search_equals_the_search_over_texts(spark, docs, index):
     assert rows(index.search(["the", "la"], keywords=kw)) == rows(T.search(docs, ["the", "la"], kw))
 
 
-def test_index_tables(docs, index):
+def check_tables(docs, index, group_docs, span_groups):
     counts = T.doc_word_count(docs)
     lexicon = index.table("lexicon")
     assert rows(lexicon.select("word", "df")) == rows(T.doc_frequency(counts))
     assert [r.word for r in lexicon.orderBy("word_id").collect()] == sorted(r.word for r in lexicon.collect())
-    ids = index.table("documents").orderBy("doc_no").collect()
-    assert [r.doc_no for r in ids] == list(range(docs.count())) and [(-r.n_tokens, r.doc) for r in ids] == sorted((-r.n_tokens, r.doc) for r in ids)
-    named = index.table("postings").withColumn("word_id", F.shiftright("slot", SPAN_BITS)).join(lexicon, "word_id").join(index.table("documents"), "doc_no")
+    length = docs.groupBy("doc").agg(F.sum(F.octet_length("text")).alias("n"))
+    groups = {}
+    for r in index.table("documents").join(length, "doc").orderBy("doc_no").collect():
+        groups.setdefault(r.doc_no >> RANK_BITS, []).append((r.doc_no & 0xFFFF, -r.n, r.doc))
+    assert len(groups) > 1 and all([x[0] for x in g] == list(range(len(g))) and [x[1:] for x in g] == sorted(x[1:] for x in g) for g in groups.values())
+    postings = index.table("postings")
+    named = postings.withColumn("word_id", F.shiftright("slot", SPAN_BITS)).join(lexicon, "word_id").join(index.table("documents"), "doc_no")
     assert rows(named.select("word", "doc", "tf")) == rows(T.term_frequency(docs).select("word", "doc", "tf"))
-    assert named.where(f"block != doc_no div 8 OR (slot & ((1 << {SPAN_BITS}) - 1)) != block div 4").count() == 0
-    bounds = index.table("postings").groupBy("slot", "block").agg(F.max("tf").alias("max_tf"), F.count("*").alias("n"))
-    assert rows(index.table("blocks")) == rows(bounds.select("slot", "block", "max_tf", "n"))
+    assert postings.where(f"(slot & ((1 << {SPAN_BITS}) - 1)) != (doc_no >> {RANK_BITS}) div {span_groups}").count() == 0
+    bounds = postings.withColumn("block", F.shiftright("doc_no", BLOCK_BITS)).groupBy("slot", "block").agg(F.max("tf"), F.count("*"))
+    assert rows(index.table("blocks")) == rows(bounds)
+
+
+def test_index_tables(docs, index):
+    check_tables(docs, index, 16, 4)
+    assert index.meta.spans > 1
+
+
+def test_groups_with_much_text_are_dealt_out(spark, docs, tmp_path):
+    """Every group over the bound, and one document over many rows: the same tables."""
+    lines = T.lines(docs).withColumnRenamed("line", "text")
+    index = SearchIndex.build(lines, str(tmp_path / "i"), group_docs=64, span_groups=4, group_bytes=20_000)
+    check_tables(lines, index, 64, 4)
+
+
+def test_building_shuffles_texts_once_and_no_counts(spark, docs, monkeypatch):
+    from rankloom.operators import index as module
+    numbers = docs.select((F.col("doc") % 7).alias("group"), "doc", F.col("doc").alias("doc_no"))
+    large = spark.createDataFrame([], "group long, parts int")
+    with module._conf(spark, module._BY_GROUP | {"spark.sql.adaptive.enabled": "false"}):
+        shown = plan(module._counts(docs.withColumn("group", F.col("doc") % 7), numbers, F.broadcast(large)))
+    assert shown.count("Exchange hashpartitioning") == 2 and shown.count("hashpartitioning(group") == 2, shown
 
 
 def test_a_search_reads_its_buckets_and_shuffles_no_postings(spark, index):
@@ -101,15 +126,16 @@ def test_a_search_reads_its_buckets_and_shuffles_no_postings(spark, index):
     # The one exchange that carries postings' columns is that of sums per document.
     assert "SortMergeJoin [slot" in shown
     lines = shown.splitlines()
-    scan = next(i for i, x in enumerate(lines) if "_postings" in x)
+    scan = next(i for i, x in enumerate(lines) if "doc_no#" in x and "FileScan" in x and "tf#" in x)
     while "SortMergeJoin [slot" not in lines[scan]:
         assert "Exchange" not in lines[scan]
         scan -= 1
 
 
 def test_another_catalog_opens_the_files(spark, docs, index):
-    for table in ("documents", "lexicon", "postings", "blocks"):
-        spark.sql(f"DROP TABLE {index._name(table)}")
+    for t in spark.catalog.listTables():
+        if t.name.startswith("rankloom_"):
+            spark.sql(f"DROP TABLE {t.name}")
     again = SearchIndex(spark, index.folder)
     assert rows(again.search(["the", "la"])) == rows(T.search(docs, ["the", "la"]))
     assert "SelectedBucketsCount" in plan(again.search(["the"]))
@@ -130,17 +156,17 @@ def test_top_k_equals_the_full_ranking(docs, index, words, k):
 def test_top_k_skips_blocks(spark, tmp_path):
     """Few documents hold the word often: all other blocks stay below the threshold."""
     many = spark.range(4000).selectExpr("id AS doc", "concat(repeat('hot ', IF(id % 1000 = 3, 60, 1)), repeat('filler ', int(id % 5))) AS text")
-    index = SearchIndex.build(many, str(tmp_path / "i"), block_docs=16, span_blocks=8, buckets=8)
-    found = index.top_k(spark.createDataFrame([(1, "hot"), (1, "filler"), (2, "hot"), (3, "none"), (None, "hot")], "query_id int, word string"), 3, seed_blocks=2)
-    assert found.blocks == 500 and found.blocks_read <= 8
+    index = SearchIndex.build(many, str(tmp_path / "i"), group_docs=64, span_groups=8, buckets=8)
+    found = index.top_k(spark.createDataFrame([(1, "hot"), (1, "filler"), (2, "hot"), (3, "none"), (None, "hot")], "query_id int, word string"), 2, seed_blocks=2)
+    assert found.blocks > 110 and found.blocks_read <= 12
     for query, words in ((1, ["hot", "filler"]), (2, ["hot"])):
-        assert [(r.doc, r.score) for r in found.rows.where(f"query_id = {query}").orderBy(F.desc("score"), "doc").collect()] == ranked(many, words, 3)
+        assert [(r.doc, r.score) for r in found.rows.where(f"query_id = {query}").orderBy(F.desc("score"), "doc").collect()] == ranked(many, words, 2)
     assert {r.query_id for r in found.rows.collect()} == {1, 2}
 
 
 def test_top_k_of_many_ties(spark, tmp_path):
     same = spark.range(3000).selectExpr("concat('d', 2999 - id) AS doc", "'a b' AS text")
-    index = SearchIndex.build(same, str(tmp_path / "i"), block_docs=32)
+    index = SearchIndex.build(same, str(tmp_path / "i"), group_docs=300)
     assert [tuple(r) for r in index.rank(["a"], 7).collect()] == ranked(same, ["a"], 7)
 
 
