@@ -94,14 +94,20 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with as many underscores after it as make it differ from all ``columns``."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def numbered(files: Scratch, docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` as a written table with a number for each row, and that column's name (none of ``docs``).
 
     Written, as rows that are read again from their source need not get the same numbers.
     """
-    name = "row_number"
-    while name in {c.lower() for c in docs.columns}:
-        name += "_"
+    name = free_name(docs.columns, "row_number")
     return files(docs.withColumn(name, F.monotonically_increasing_id())), name
 
 

@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, checked_broadcast, whole_text
+from .common import Scratch, checked_broadcast, free_name, whole_text
 
 
 @dataclass(frozen=True)
@@ -127,24 +127,46 @@ def candidates(docs: DataFrame, rules=RULES, key: str = "doc_id", text: str = "t
         return files.keep(files(satisfied.groupBy(key).agg(F.bit_or("rule").alias("rules"))))
 
 
-def _spans(text: Column, rule: SecretRule, order: int) -> Column:
-    """Array of (start, order, end, kind) of the rule's matches that are long enough."""
+# Positions are running sums, taken in blocks of so many items: within a block and over the blocks an array grows by one
+# entry at a time, which copies it, so the work for n items is n * BLOCK / 2 + (n / BLOCK) ** 2 / 2 small steps.
+BLOCK = 128
+CHUNK = 1024  # code points
+SPAN = "struct<start:int,ord:int,stop:int,kind:string>"
+
+
+def _running(items: Column, advance, entries, kind: str) -> Column:
+    """All of ``entries(at, item)`` (arrays of ``kind``), where ``at`` is 0 before the first item and ``advance(at, item)``
+    after an item.  ``items`` is a column that exists, as it is read many times; advancing is adding or taking the greater."""
+    nothing = F.expr(f"cast(array() as array<{kind}>)")
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int")), lambda n: F.slice(items, n * BLOCK + 1, BLOCK))
+    none = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("starts"))
+    add = lambda held, block: F.struct(F.aggregate(block, held["at"], advance).alias("at"), F.concat(held["starts"], F.array(held["at"])).alias("starts"))
+    starts = F.aggregate(blocks, none, add, lambda held: held["starts"])
+    grow = lambda held, item: F.struct(advance(held["at"], item).alias("at"), F.concat(held["out"], entries(held["at"], item)).alias("out"))
+    found = F.transform(F.arrays_zip(blocks.alias("items"), starts.alias("at")), lambda block: F.aggregate(
+        block["items"], F.struct(block["at"].alias("at"), nothing.alias("out")), grow, lambda held: held["out"]))
+    return F.when(F.size(items) > 0, F.flatten(found)).otherwise(nothing)
+
+
+def _sizes(text: Column, rule: SecretRule) -> Column:
+    """(gap, match, value) lengths of the rule's matches, in order; no value after the last gap. Null without a match."""
     pattern = F.lit(rule.pattern)
     matches = F.regexp_extract_all(text, pattern, F.lit(0))
     values = F.regexp_extract_all(text, pattern, F.lit(rule.value)) if rule.value else matches
     rows = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), matches.alias("match"), values.alias("value"))
-    empty = F.expr("cast(array() as array<struct<start:int,ord:int,stop:int,kind:string>>)")
+    sizes = F.transform(rows, lambda r: F.struct(F.length(r["gap"]).alias("gap"), F.coalesce(F.length(r["match"]), F.lit(0)).alias("match"),
+                                                 F.coalesce(F.length(r["value"]), F.lit(-1)).alias("value")))
+    return F.when(F.regexp_like(text, pattern), sizes)
 
-    def step(state, row):
-        start = state["at"] + F.length(row["gap"])
-        stop = start + F.coalesce(F.length(row["match"]), F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(order).alias("ord"), stop.alias("stop"), F.lit(rule.kind).alias("kind"))
-        long_enough = F.length(row["value"]) >= rule.min_length  # null after the last gap
-        return F.struct(stop.alias("at"), F.when(long_enough, F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"))
 
-    zero = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
-    found = F.aggregate(rows, zero, step, lambda state: state["spans"])
-    return F.when(F.regexp_like(text, pattern), found).otherwise(empty)
+def _spans(sizes: Column, rule: SecretRule, order: int) -> Column:
+    """Array of (start, order, end, kind) of the rule's matches that are long enough."""
+    def entries(at, row):
+        start = at + row["gap"]
+        span = F.struct(start.alias("start"), F.lit(order).alias("ord"), (start + row["match"]).alias("stop"), F.lit(rule.kind).alias("kind"))
+        return F.filter(F.array(span), lambda _: row["value"] >= rule.min_length)
+
+    return _running(sizes, lambda at, row: at + row["gap"] + row["match"], entries, SPAN)
 
 
 def _listed(spans: Column) -> Column:
@@ -154,20 +176,24 @@ def _listed(spans: Column) -> Column:
 def scan(docs: DataFrame, rules=RULES, key: str = "doc_id", text: str = "text", into: str = "found") -> DataFrame:
     """``docs`` with the column ``into``: all spans (start, ord, stop, kind) by start, then rule order."""
     hits = candidates(docs, rules, key, text)
-    base = docs.select(*(c for c in docs.columns if c not in (into, "__rules")))
+    base = docs.select(*(c for c in docs.columns if c != into))
+    bits, own = free_name(docs.columns, "rules_of_row"), free_name(docs.columns, "key_of_row")
     if hits is None:
-        judged = base.withColumn("__rules", F.lit(0).cast("long"))
+        judged = base.withColumn(bits, F.lit(0).cast("long"))
     else:
-        side = hits.select(F.col(key).alias("__key"), F.col("rules").alias("__rules"))
-        judged = base.join(checked_broadcast(side), F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
-    parts = []
+        side = hits.select(F.col(key).alias(own), F.col("rules").alias(bits))
+        judged = base.join(checked_broadcast(side), F.col(key).eqNullSafe(F.col(own)), "left").drop(own)
+    sizes = []
     for n, rule in enumerate(rules):
-        spans = _spans(whole_text(text), rule, n)
+        wanted = _sizes(whole_text(text), rule)
         if trigram_query(rule.pattern) is not None:
-            none = F.expr("cast(array() as array<struct<start:int,ord:int,stop:int,kind:string>>)")
-            spans = F.when(F.col("__rules").bitwiseAND(1 << n) != 0, spans).otherwise(none)
-        parts.append(spans)
-    return judged.withColumn(into, F.array_sort(F.concat(*parts))).drop("__rules")
+            wanted = F.when(F.col(bits).bitwiseAND(1 << n) != 0, wanted)
+        sizes.append(wanted.alias(f"rule{n}"))
+    # Behind a generator the lengths are taken once, however often the positions read them.
+    cut = free_name([*judged.columns, into], "match_sizes")
+    made = judged.select("*", F.explode_outer(F.array(F.struct(*sizes))).alias(cut))
+    spans = [F.coalesce(_spans(F.col(cut)[f"rule{n}"], rule, n), F.expr(f"cast(array() as array<{SPAN}>)")) for n, rule in enumerate(rules)]
+    return made.withColumn(into, F.array_sort(F.concat(*spans))).drop(bits, cut)
 
 
 def secret_spans(docs: DataFrame) -> DataFrame:
@@ -181,23 +207,36 @@ def secret_spans(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[secret]", rules=RULES) -> DataFrame:
     """``docs`` with every secret replaced by ``mark`` (overlapping spans: one mark) and
     ``n_chars``, where there is such a column, counted anew for changed texts.  Rows, order of columns
-    and texts without a secret stay as they are."""
-    text, state0 = whole_text(), F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    and texts without a secret stay as they are.
 
-    def step(state, span):
-        gap = F.substring(text, state["at"] + 1, span["start"] - state["at"])
-        fresh = F.struct(span["stop"].alias("at"), F.concat(state["out"], gap, F.lit(mark)).alias("out"))
-        longer = F.struct(F.greatest(state["at"], span["stop"]).alias("at"), state["out"].alias("out"))
-        return F.when(span["start"] >= state["at"], fresh).otherwise(longer)
-
-    clean = F.aggregate("__found", state0, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    out = scan(docs, rules, into="__found").withColumn("__clean", F.when(F.size("__found") > 0, clean).otherwise(F.col("text")))
+    A text with secrets is cut into chunks once, and what stands between two secrets is taken from the chunks
+    that it spans, so the work grows with the text and not with its secrets times its length.
+    """
+    found, clean, cut = (free_name(docs.columns, c) for c in ("found_spans", "clean_text", "text_chunks"))
+    secret = F.size(found) > 0
+    chunks = F.when(secret, F.regexp_extract_all(whole_text(), F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)))
+    # Behind a generator the spans and chunks are made once, however often they are used.
+    both = F.explode_outer(F.array(F.struct(F.col(found).alias("spans"), chunks.alias("chunks")))).alias(cut)
+    made = scan(docs, rules, into=found).select(*docs.columns, found).select(*docs.columns, both)
+    spans, chunks, secret = F.col(cut)["spans"], F.col(cut)["chunks"], F.size(F.col(cut)["spans"]) > 0
+
+    def between(start, stop):
+        first = F.floor(start / CHUNK).cast("int")
+        held = F.array_join(F.slice(chunks, first + 1, F.floor((stop - 1) / CHUNK).cast("int") - first + 1), "")
+        return F.when(stop > start, F.substring(held, start - first * CHUNK + 1, stop - start)).otherwise("")
+
+    advance = lambda at, span: F.greatest(at, span["stop"])
+    entries = lambda at, span: F.filter(F.array(F.concat(between(at, span["start"]), F.lit(mark))), lambda _: span["start"] >= at)
+    ends = F.aggregate(spans, F.lit(0), advance)
+    size = (F.size(chunks) - 1) * CHUNK + F.length(F.element_at(chunks, -1))
+    text = F.concat(F.array_join(_running(spans, advance, entries, "string"), ""), between(ends, size))
+    out = made.withColumn(clean, F.when(secret, text).otherwise(F.col("text")))
     columns = []
     for c in docs.columns:
         if c == "text":
-            columns.append(F.col("__clean").alias("text"))
+            columns.append(F.col(clean).alias("text"))
         elif c == "n_chars":
-            columns.append(F.when(F.size("__found") > 0, F.length("__clean").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c))
+            columns.append(F.when(secret, F.length(clean).cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c))
         else:
             columns.append(F.col(c))
     return out.select(*columns)

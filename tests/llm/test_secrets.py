@@ -1,7 +1,9 @@
 import hashlib
+import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from rankloom.llm import secrets
 
@@ -87,3 +89,42 @@ def test_redaction(awkward):
     assert rows[6].text == "[secret]' and token: short, [secret], [secret]x" and rows[6].n_chars == len(rows[6].text)
     assert rows[3].text is None and rows[3].n_chars is None and rows[1].found == "clash"
     assert not any(brute(ascii_only(r.text)) for r in out.collect())
+
+
+def test_any_other_column_may_be_there(awkward):
+    clash = {c: f"'{c}'" for c in ("__rules", "__key", "__found", "__clean", "found_spans", "clean_text", "text_chunks", "rules_of_row", "Key_Of_Row")}
+    df = awkward.select("*", *(F.expr(v).alias(c) for c, v in clash.items()))
+    out = secrets.redact(df)
+    assert out.columns == df.columns
+    want = {(r.doc_id, r.text, r.n_chars) for r in secrets.redact(awkward).collect()}
+    assert {(r.doc_id, r.text, r.n_chars) for r in out.collect()} == want
+    assert all(r[c] == c for r in out.collect() for c in clash)
+    check(secrets.secret_spans(df), awkward.collect())
+
+
+def masked(text):
+    """Overlapping or touching-by-overlap spans are one mark."""
+    out, at = [], 0
+    for part in (p for p in brute(text).split(",") if p):
+        a, b = map(int, part.split(":")[1:])
+        if a >= at:
+            out += [text[at:a], "[secret]"]
+        at = max(at, b)
+    return "".join(out) + text[at:]
+
+
+def test_a_text_with_very_many_secrets(spark):
+    """Work that grows with the square of the secrets would take hours here."""
+    rng = random.Random(1)
+    parts = ["token=abcdefgh1", "AKIA" + "A" * 16, "0123456789abcdef" * 2, "api_key: " + "a1" * 20, "é\U0001f600 plain ", "\n"]
+    text = " ".join(rng.choice(parts) for _ in range(100_000))
+    short = [" ".join(rng.choice(parts) for _ in range(n)) for n in range(300)] + ["x" * n + "token=abcdefgh" + "é" * n for n in (1009, 1010, 1011, 1024, 2048)]
+    df = spark.createDataFrame(list(enumerate([text, *short])), "doc_id long, text string")
+    check(secrets.secret_spans(df), df.collect())
+    assert {r.doc_id: r.text for r in secrets.redact(df).collect()} == {n: masked(t) for n, t in enumerate([text, *short])}
+
+
+def test_no_python_worker(awkward):
+    for df in (secrets.secret_spans(awkward), secrets.redact(awkward)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
