@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from .common import map_arrow, whole_text
 from .vocabulary import ranks_path, read_ranks
 
-KEEP_WORDS = 600_000
+KEEP_WORDS = 1_200_000
 PORTION_BYTES = 800_000
 DUCKDB_MEMORY = "300MB"
 RUN_CHARS, RUN_WORDS, DECODE_IDS = 2_000_000, 100_000, 300_000
