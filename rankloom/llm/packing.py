@@ -68,7 +68,7 @@ def ranked(files: Scratch, rows: DataFrame) -> tuple[DataFrame, np.ndarray, np.n
     The counts that come back are one row per length and partition that holds it, and since the
     partitions are ranges these are at most partitions + lengths.
     """
-    order = ["length", F.xxhash64("doc_id", "piece", "start")]
+    order = ["length", F.xxhash64("row")]  # a common length is many tasks' work, whatever the ids
     placed = files(rows.repartitionByRange(*order).sortWithinPartitions(*order)
                  .withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)))
     counts = sorted(tuple(r) for r in placed.groupBy("part", "length").count().collect())
@@ -132,7 +132,8 @@ def pack(docs: DataFrame, length: int = LENGTH, end_id: int = END_ID, vocabulary
          key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     with Scratch(docs.sparkSession) as files:
-        placed, keys, adds, counts = ranked(files, files(pieces(docs, length, end_id, vocabulary, key, text)))
+        found = files(pieces(docs, length, end_id, vocabulary, key, text).withColumn("row", F.monotonically_increasing_id()))
+        placed, keys, adds, counts = ranked(files, found)
         files.keep(placed)
     runs = np.array(best_fit(counts, length), np.int64).reshape(-1, 5)
     # Searched by size and rank together: sizes take the high bits.
