@@ -208,6 +208,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE, key: str = "doc_id", text: str =
     # A 32-bit draw per document; its share of them is the sample.
     draw = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 32))
     sampled = _texts(docs, key, text).withColumn("draw", draw).where(F.col("draw") < int(share * (1 << 32))).select("draw", "text")
+    # Rows that draw alike, such as repeats, are one row of the sample, and a quarter over the expected size is its bound.
+    sampled = sampled.groupBy("draw").agg(F.min("text").alias("text")).orderBy("draw").limit(sample + sample // 4)
     drawn = map_arrow(sampled, extract, "draw long, pattern int, at array<int>, share array<float>").toArrow()
     rows = []
     for batch in drawn.to_batches():

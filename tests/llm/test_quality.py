@@ -64,3 +64,14 @@ def test_expectation_maximisation_finds_known_rates():
     assert np.abs(rates[:, 0, quality.BAD] - 0.4).max() < 0.05 and np.abs(rates[:, 1, quality.BAD] - 0.02).max() < 0.01
     right = np.mean([(posterior[c] < 0.5) == b for c, b in zip(codes.tolist(), bad)])
     assert right > 0.95
+
+
+def test_the_sample_is_bounded_under_repeats(spark, monkeypatch):
+    """Rows that are drawn together are one row of the sample."""
+    seen, real = [], quality.train
+    monkeypatch.setattr(quality, "train", lambda rows: (seen.append(len(rows)), real(rows))[1])
+    same = spark.range(30000).selectExpr("cast(null as long) AS doc_id", "IF(id % 2 = 0, 'a good plain sentence of words. ', 'buy now!!! $$$ ') AS text")
+    quality.fit(same, sample=64)
+    other = spark.range(3000).selectExpr("id AS doc_id", "concat('some words of text number ', id) AS text")
+    quality.fit(other, sample=64)
+    assert seen[0] <= 2 and 30 <= seen[1] <= 80
