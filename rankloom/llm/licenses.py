@@ -208,7 +208,8 @@ def _unlike(docs: DataFrame, sample: int, text: str) -> DataFrame:
     lines = docs.select(F.explode(F.split(whole_text(text), "\n", -1)).alias("line")).where("line != ''")
     total = lines.count()
     draw = F.pmod(F.xxhash64("line"), F.lit(1 << 32))
-    drawn = lines.where(draw < int(min(1.0, sample / max(1, total)) * (1 << 32))).select(words(F.col("line")).alias("words"))
+    drawn = lines.where(draw < int(min(1.0, sample / max(1, total)) * (1 << 32))).distinct()  # a line that repeats is drawn once
+    drawn = drawn.orderBy(F.xxhash64("line"), "line").limit(sample + sample // 4).select(words(F.col("line")).alias("words"))
     return drawn.where(~F.arrays_overlap(_triples_of(F.col("words")), _all_triples()))
 
 
