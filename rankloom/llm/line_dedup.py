@@ -5,21 +5,20 @@ sets of character shingles (``SHINGLE`` code points; a shorter line is its own o
 Jaccard similarity of ``SIMILARITY`` or more.  Lines that are alike, directly or over others, form a
 component; of a component the first line (least doc_id, then line number) is kept.
 
-1. Each distinct line gets a MinHash signature of ``BANDS * ROWS`` numbers, from it one key per band, and
-   a sketch of 4 bits of each number (two longs).  A pair at the threshold shares a key with
-   probability 1 - (1 - 0.8 ** 3) ** 10 = 0.9992, at 0.9 with 0.999998.
-2. Keys that at least two different lines share are buckets.  Every other member of a bucket is held against
-   its pivot, the line with the most occurrences: no pairs within a bucket.  (Of edited copies the unedited
-   line is the most frequent, and nearest to all.)  A pair whose sketches differ in more than
-   ``SKETCH_BITS`` of 120 bits is passed over; a pair at the threshold does so with a probability of 0.00003.
-3. What is left is compared exactly, by the shingle sets of the two texts, and goes to union-find.
-4. In buckets whose members are not all in one component yet, the members outside the pivot's component,
-   ``PIVOTS`` at a time, are held against the members of other components in the same way, until
-   none is left untested.
+1. Each distinct line gets a MinHash signature of ``BANDS * ROWS`` numbers, and from it one key per band.  A pair at the
+   threshold shares a key with probability 1 - (1 - 0.8 ** 3) ** 10 = 0.9992, at 0.9 with 0.999998.
+2. Keys that at least two different lines share are buckets.  Their lines get parity sketches (see ``sketches``) of
+   their whole shingle sets.  Every other member of a bucket is held against its pivot, the line with the most
+   occurrences: no pairs within a bucket.  (Of edited copies the unedited line is the most frequent, and nearest to all.)
+3. Each line's nearest pivot of those that sizes and sketches let through is compared exactly, by the shingle sets of the
+   two texts, and what is alike goes to union-find.
+4. In buckets whose members are not all in one component by then, members of different components meet under the
+   same test of sizes and sketches; the few pairs that pass are compared exactly, and union-find ends it.
 
 Lines are known by their MD5 (128 bits), their texts are fetched only for exact comparison.
 
-Edge cases: a null text has no lines; carriage returns belong to their line.  Repeated ids count as further
+Edge cases: a null or empty text has no lines; very long lines are signed whole; equal lines are one line, and ties between
+pivots go to the greatest id; an empty table gives no rows; carriage returns belong to their line.  Repeated ids count as further
 lines with the same place; of two lines in the same place both are kept or dropped together.  A null id
 comes before all others.  Columns other than the id and the text are not read.
 """
@@ -31,16 +30,16 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, checked_broadcast, map_arrow, whole_text
+from .common import Scratch, checked_broadcast, map_arrow, numbered, whole_text
 from .components import components
+from .sketches import differing_bits, may_reach, parity_sketches, side
 
 SHINGLE, SIMILARITY = 8, 0.8
 BANDS, ROWS = 10, 3
-SKETCH_BITS = 36
-PIVOTS = 512
+SKETCH = 1024  # bits
 BROADCAST_LINES = 250_000  # ids of 16 bytes
 PORTION = 1_000_000  # code points signed at a time
 
@@ -55,36 +54,36 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def signed(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """``len(lines) x BANDS`` keys and ``len(lines) x 2`` longs of sketch; the only shingle of a line that is
-    shorter than one is the line."""
+def hashed_shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A 64-bit number for each shingle of each line, where each line's begin, and how many it has; the only
+    shingle of a line that is shorter than one is the line."""
     sizes = np.array([len(x) for x in lines], np.int64)
     chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    ends = np.cumsum(sizes)
     short = sizes < SHINGLE
     n = np.where(short, sizes, sizes - SHINGLE + 1)
     hashed = np.zeros(len(chars), np.uint64)
     for j in range(SHINGLE):  # positions near a line's end reach over it and are not used
         hashed[:len(chars) - j] = hashed[:len(chars) - j] * _BASE + chars[j:] + np.uint64(1)
-    starts = ends - sizes
     firsts = np.cumsum(n) - n
-    used = np.repeat(starts - firsts, n) + np.arange(n.sum())
+    used = np.repeat(np.cumsum(sizes) - sizes - firsts, n) + np.arange(n.sum())
     hashed = _mixed(hashed[used])
-    if short.any():  # one shingle: the whole line
-        for i in np.nonzero(short)[0]:
-            hashed[firsts[i]:firsts[i] + n[i]] = np.uint64(int.from_bytes(hashlib.blake2b(lines[i].encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little"))
+    for i in np.nonzero(short)[0]:
+        hashed[firsts[i]:firsts[i] + n[i]] = np.uint64(int.from_bytes(hashlib.blake2b(lines[i].encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little"))
+    return hashed, firsts, n
+
+
+def signed(lines: list[str]) -> np.ndarray:
+    """``len(lines) x BANDS`` keys."""
+    hashed, firsts, _ = hashed_shingles(lines)
     hashed = (hashed >> np.uint64(32)).astype(np.uint32)
-    keys, sketch = np.zeros((len(lines), BANDS), np.uint64), np.zeros((len(lines), 2), np.uint64)
+    keys = np.zeros((len(lines), BANDS), np.uint64)
     for band in range(BANDS):
         key = np.full(len(lines), band + 1, np.uint64)
         for row in range(ROWS):
             least = np.minimum.reduceat(hashed * _FACTORS[band * ROWS + row], firsts)
-            least = least.astype(np.uint64)
-            key = _mixed(key * _BASE + least)
-            n = band * ROWS + row
-            sketch[:, n // 16] |= (_mixed(least) & np.uint64(15)) << np.uint64(n % 16 * 4)
+            key = _mixed(key * _BASE + least.astype(np.uint64))
         keys[:, band] = key
-    return keys.view(np.int64), sketch.view(np.int64)
+    return keys.view(np.int64)
 
 
 def similarity(a: str, b: str) -> float:
@@ -100,49 +99,62 @@ def occurrences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return lines.where(F.trim("line") != "").withColumn("id", F.unhex(F.md5(F.encode("line", "UTF-8"))))
 
 
+def _portions(lines, size=len):
+    """Runs of consecutive lines, at most about ``PORTION`` code points together."""
+    portion, total = [], 0
+    for line in lines:
+        portion.append(line)
+        total += size(line)
+        if total >= PORTION:
+            yield portion
+            portion, total = [], 0
+    if portion:
+        yield portion
+
+
 def signatures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(id, keys, s1, s2, n)`` of the lines; a line that several batches hold comes more than once, each
+    """``(id, keys, n)`` of the lines; a line that several batches hold comes more than once, each
     time with its occurrences there."""
     def run(batches):
         for batch in batches:
             counts = Counter(line for value in batch.column(0) for line in value.as_py().split("\n") if line.strip(" "))
-            lines = sorted(counts)
-            portion, size = [], 0
-            for n, line in enumerate(lines):
-                portion.append(line)
-                size += len(line)
-                if size >= PORTION or n + 1 == len(lines):
-                    keys, sketch = signed(portion)
-                    ids = [hashlib.md5(x.encode("utf-8", "surrogatepass")).digest() for x in portion]
-                    offsets = pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32())
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel())),
-                                                      pa.array(sketch[:, 0].copy()), pa.array(sketch[:, 1].copy()),
-                                                      pa.array([counts[x] for x in portion], pa.int64())], names=["id", "keys", "s1", "s2", "n"])
-                    portion, size = [], 0
-
-    return map_arrow(docs.select(whole_text(text).alias("text")), run, "id binary, keys array<long>, s1 long, s2 long, n long")
-
-
-def _alike(files: Scratch, pairs: DataFrame, docs: DataFrame, similar: float, key: str, text: str) -> DataFrame:
+            for portion in _portions(sorted(counts)):
+                keys = signed(portion)
+                ids = [hashlib.md5(x.encode("utf-8", "surrogatepass")).digest() for x in portion]
+                offsets = pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel())),
+                                                  pa.array([counts[x] for x in portion], pa.int64())], names=["id", "keys", "n"])
+
+    return map_arrow(docs.select(whole_text(text).alias("text")), run, "id binary, keys array<long>, n long")
+
+
+def sketched(lines: DataFrame) -> DataFrame:
+    """``lines(id, line)`` with the number of their distinct shingles ``n`` and their ``sketch``."""
+    def run(batches):
+        for batch in batches:
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            for portion in _portions(rows, size=lambda row: len(row[1])):
+                hashed, firsts, n = hashed_shingles([line for _, line in portion])
+                sets = [np.unique(hashed[a:a + size]) for a, size in zip(firsts, n)]
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in portion], pa.binary()), pa.array([line for _, line in portion]),
+                                                  pa.array([len(x) for x in sets], pa.int64()), pa.array(list(parity_sketches(sets, SKETCH)), pa.list_(pa.int64()))],
+                                                 names=["id", "line", "n", "sketch"])
+
+    return map_arrow(lines.select("id", "line"), run, "id binary, line string, n long, sketch array<long>")
+
+
+def _alike(files: Scratch, pairs: DataFrame, lines: DataFrame, similar: float) -> DataFrame:
     """The pairs ``(a, b)`` of line ids whose similarity is ``similar`` or more."""
     def run(batches):
         for batch in batches:
             a, b = batch.column("ta").to_pylist(), batch.column("tb").to_pylist()
             yield batch.select(["a", "b"]).filter(pa.array([similarity(x, y) >= similar for x, y in zip(a, b)], pa.bool_()))
 
-    wanted = files(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-    lines = occurrences(docs, key, text).select("id", "line").join(checked_broadcast(wanted, BROADCAST_LINES), "id", "left_semi")
-    texts = files(lines.dropDuplicates(["id"]))
-    side = lambda c: texts.select(F.col("id").alias(c), F.col("line").alias("t" + c))
-    met = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
+    named = lambda c: lines.select(F.col("id").alias(c), F.col("line").alias("t" + c))
+    met = pairs.join(named("a"), "a").join(named("b"), "b").select("a", "b", "ta", "tb")
     return files(map_arrow(met, run, "a binary, b binary"))
 
 
-def _near(a: str, b: str):
-    """Whether the sketches (``a``1, ``a``2) and (``b``1, ``b``2) are near enough."""
-    return sum(F.bit_count(F.col(f"{a}{n}").bitwiseXOR(F.col(f"{b}{n}"))) for n in (1, 2)) <= SKETCH_BITS
-
-
 def line_components(docs: DataFrame, similar: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id, component)`` of the lines that are alike some other line, a written table."""
     with Scratch(docs.sparkSession) as files:
@@ -151,48 +163,35 @@ def line_components(docs: DataFrame, similar: float = SIMILARITY, key: str = "do
 
 
 def _line_components(files: Scratch, docs: DataFrame, similar: float, key: str, text: str) -> DataFrame:
-    lines = files(signatures(docs, text))
+    signs = files(signatures(docs, text))
     # Buckets are found on a 64-bit hash of the id, half its size; should two lines share it, both become members.
-    rows = lines.select(F.xxhash64("id").alias("h"), F.explode("keys").alias("key"))
+    rows = signs.select(F.xxhash64("id").alias("h"), F.explode("keys").alias("key"))
     buckets = files(rows.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low < high").select("key"))
     placed = files(rows.join(buckets, "key").distinct())
-    known = lines.select(F.xxhash64("id").alias("h"), "id", "s1", "s2", "n").join(placed.select("h").distinct(), "h", "left_semi")
-    known = files(known.groupBy("h", "id", "s1", "s2").agg(F.sum("n").alias("n")))
-    files.drop(lines)
-    weighted = files(placed.join(known, "h"))
+    known = signs.select(F.xxhash64("id").alias("h"), "id", "n").join(placed.select("h").distinct(), "h", "left_semi")
+    known = files(known.groupBy("h", "id").agg(F.sum("n").alias("times")))
+    files.drop(signs)
+    texts = occurrences(docs, key, text).select("id", "line").join(checked_broadcast(known.select("id"), BROADCAST_LINES), "id", "left_semi")
+    lines = files(sketched(texts.dropDuplicates(["id"])))
+    members = files(placed.join(known, "h").select("key", "id", "times"))
     files.drop(placed)
-    pivots = files(weighted.groupBy("key").agg(F.max(F.struct("n", "id", "s1", "s2")).alias("top")))
-    pivots = pivots.select("key", F.col("top.id").alias("pivot"), F.col("top.s1").alias("p1"), F.col("top.s2").alias("p2"))
-    members = weighted.join(pivots, "key").where("id != pivot")
-    members = files(members.select("key", "id", "s1", "s2", "pivot", _near("s", "p").alias("near")))
-    files.drop(weighted)
-    pairs = files(members.where("near").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct())
-    groups = components(_alike(files, pairs, docs, similar, key, text))
-    left, tested = members.drop("near"), None
-    while True:
-        named = lambda c, out: groups.select(F.col("node").alias(c), F.col("component").alias(out))
-        own = (left.join(named("id", "c"), "id", "left").join(named("pivot", "cp"), "pivot", "left")
-               .withColumn("c", F.coalesce("c", "id")).withColumn("cp", F.coalesce("cp", "pivot")))
-        # Only buckets with members of two components besides the pivot can hold an untested pair.
-        several = own.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
-        own = files(own.join(several, "key", "left_semi"))
-        outside = own.where("c != cp")
-        if tested is not None:
-            outside = outside.join(tested, ["key", "id"], "left_anti")
-        ranked = outside.withColumn("k", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where(F.col("k") <= PIVOTS)
-        chosen = files(ranked.select("key", F.col("id").alias("a"), F.col("s1").alias("a1"), F.col("s2").alias("a2"), F.col("c").alias("ca")))
-        if chosen.isEmpty():
-            return groups
-        more = (chosen.join(own, "key").where((F.col("ca") != F.col("c")) & _near("a", "s"))
-                .select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct())
-        found = _alike(files, files(more), docs, similar, key, text)
-        if not found.isEmpty():
-            # Components so far are stars already: only what is new joins them.
-            groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found))
-        now = chosen.select("key", F.col("a").alias("id"))
-        tested = files(now if tested is None else tested.unionByName(now))
-        # Buckets that are done do not come back: components only grow.
-        left = own.drop("c", "cp")
+    pivots = members.groupBy("key").agg(F.max(F.struct("times", "id")).alias("top")).select("key", F.col("top.id").alias("pivot"))
+    stars = members.join(files(pivots), "key").where("id != pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+    near = may_reach(similar * 100, SKETCH)
+    tested = files(stars.join(side(lines, "a", SKETCH, "id"), "a").join(side(lines, "b", SKETCH, "id"), "b").where(near)
+                   .select("a", "b", differing_bits(SKETCH).alias("bits")))
+    # One pivot of a line will do here: what that leaves apart meets again below.
+    nearest = tested.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
+    groups = components(_alike(files, nearest, lines, similar))
+    own = (members.select("key", "id").join(groups.select(F.col("node").alias("id"), "component"), "id", "left")
+           .withColumn("component", F.coalesce("component", "id")))
+    several = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
+    own = files(own.join(several, "key").join(lines.select("id", "n", "sketch"), "id"))
+    a, b = (side(own, name, SKETCH, "id", "key", F.col("component").alias(name + "c")) for name in "ab")
+    met = a.join(b, "key").where((F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & near)
+    more = _alike(files, files(met.select("a", "b").distinct()), lines, similar)
+    # Components so far are stars already: only what is new joins them.
+    return components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
 
 def line_dedup(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
@@ -215,8 +214,16 @@ def line_dedup(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
 
 
 def dedup_text(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
-    """``(doc_id, text)``: each document that has lines, without the lines that are dropped; blank lines go too."""
-    judged = line_dedup(docs, similar).where("kept").select("doc_id", "line_no")
-    kept = occurrences(docs).join(judged.distinct(), ["doc_id", "line_no"], "left_semi")
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"])
-    return kept.groupBy("doc_id").agg(F.array_join(listed, "\n").alias("text"))
+    """``(doc_id, text)``: each document that has lines, without the lines that are dropped; blank lines go too.
+
+    Documents are known by row number, so ids may be null or repeated.
+    """
+    with Scratch(docs.sparkSession) as files:
+        table, row = numbered(files, docs)
+        place = F.struct(F.col("doc_id").alias("id"), F.col(row).alias("row")).alias("doc_id")
+        table = files.keep(table).select(place, "text")
+        judged = line_dedup(table, similar).where("kept").select(F.col("doc_id.row").alias("row"), "line_no")
+        lines = occurrences(table).select(F.col("doc_id.row").alias("row"), F.col("doc_id.id").alias("doc_id"), "line_no", "line")
+        kept = lines.join(judged, ["row", "line_no"], "left_semi")
+        listed = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"])
+        return kept.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.array_join(listed, "\n").alias("text")).select("doc_id", "text")

@@ -11,9 +11,7 @@ similarity of ``PERCENT`` hundredths or more are linked, and linked documents fo
 2. Equal sets are one node (128-bit digest).  A set so small that one shingle more or less takes it below the
    threshold can equal others, not resemble them, and gets no keys.
 3. Buckets.  Each node of a bucket is held against the bucket's pivot, the node with most documents: no pairs within
-   a bucket.  A pair is passed over if its parity sketches show that the sets differ in too many shingles: bit n
-   of a sketch is the parity of the shingles that fall to n, so sketches differ in at most as many bits as
-   the sets do in shingles; where bits are crowded, ``SIGMAS`` standard deviations decide.
+   a bucket.  A pair is passed over if sizes or parity sketches (see ``sketches``) show that the sets differ in too many shingles.
 4. Each node's nearest pivot is confirmed on the full sets, and what is confirmed goes to union-find.  In buckets whose
    nodes are not all in one component by then, nodes of different components meet under the same test of sizes and
    sketches, and the few pairs that pass are confirmed on the full sets too.  No bucket is cut short.
@@ -28,23 +26,22 @@ least row.  An empty table gives no rows.  Columns other than the id and the tex
 
 from __future__ import annotations
 
-import functools
 import hashlib
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import Scratch, checked_broadcast, map_arrow, numbered, whole_text, without_ids
 from .components import components
+from .sketches import differing_bits, may_reach, parity_sketches, side
 
 SHINGLE, PERCENT = 5, 85
 PERMUTATIONS, BANDS, ROWS = 96, 32, 6  # 2 * PERMUTATIONS = BANDS * ROWS
-SKETCH = 1024  # bits, as longs of 64
-SIGMAS = 7
+SKETCH = 1024  # bits
 PORTION = 200_000  # shingles signed at a time, but a text is never cut
 KEEP_WORDS = 100_000  # hashes of words that a worker keeps
 
@@ -114,13 +111,6 @@ def band_keys(signed: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def parity_sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """``len(sets) x SKETCH // 64`` longs."""
-    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    bits = np.bincount(owner * SKETCH + (np.concatenate(sets) % _U(SKETCH)).astype(np.int64), minlength=len(sets) * SKETCH) & 1
-    return np.packbits(bits.reshape(len(sets), SKETCH).astype(np.uint8), axis=1, bitorder="little").view("<i8")
-
-
 def _portions(texts, size: int):
     """``(first, sets)`` of consecutive texts."""
     first, sets, total = 0, [], 0
@@ -154,7 +144,7 @@ def signed_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCEN
                 keys, sketch = np.zeros((0, BANDS), np.int64), np.zeros((0, SKETCH // 64), np.int64)
                 if len(able):
                     kept = [sets[n] for n in able]
-                    keys, sketch = band_keys(signatures(kept)), parity_sketches(kept)
+                    keys, sketch = band_keys(signatures(kept)), parity_sketches(kept, SKETCH)
                 has = np.zeros(rows, bool)
                 has[able] = True
 
@@ -168,25 +158,6 @@ def signed_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCEN
     return map_arrow(docs.select(*others, whole_text().alias("text")), run, schema)
 
 
-def _bits() -> Column:
-    """Bits that differ between the sketches of nodes ``a`` and ``b`` (columns a0, a1, ... b0, b1, ...)."""
-    return functools.reduce(lambda x, y: x + y, (F.bit_count(F.col(f"a{n}").bitwiseXOR(F.col(f"b{n}"))) for n in range(SKETCH // 64)))
-
-
-def _near(percent: int) -> Column:
-    """Whether nodes ``a`` and ``b`` may reach the threshold, by sizes (columns an, bn) and sketches."""
-    most = F.floor((F.col("an") + F.col("bn")) * (100 - percent) / (100 + percent))  # shingles that may be in one set only
-    # Of ``most`` differing shingles a sketch shows this many bits on average, with at most this variance.
-    shown = (1 - F.pow(F.lit(1 - 2 / SKETCH), most)) * (SKETCH / 2)
-    limit = F.least(most.cast("double"), shown + SIGMAS * F.sqrt(SKETCH / 4 * (1 - F.pow(F.lit(1 - 4 / SKETCH), most))))
-    return (F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent) & (_bits() <= limit)
-
-
-def _side(nodes: DataFrame, name: str, *more: str) -> DataFrame:
-    """A node table's columns as those of one side of a pair."""
-    return nodes.select(F.col("node").alias(name), F.col("n").alias(name + "n"), *(F.col("sketch")[n].alias(f"{name}{n}") for n in range(SKETCH // 64)), *more)
-
-
 def _confirmed(files: Scratch, pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` of nodes whose full sets reach the threshold."""
     def run(batches):
@@ -214,15 +185,16 @@ def node_components(files: Scratch, nodes: DataFrame, docs: DataFrame, size: int
     pivots = files(pivots.where("low < high").select("key", (-F.col("top.first")).alias("pivot")))
     members = files(rows.select("node", "key").join(pivots, "key"))
     stars = members.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    tested = files(stars.join(_side(nodes, "a"), "a").join(_side(nodes, "b"), "b").where(_near(percent)).select("a", "b", _bits().alias("bits")))
+    near = may_reach(percent, SKETCH)
+    tested = files(stars.join(side(nodes, "a", SKETCH), "a").join(side(nodes, "b", SKETCH), "b").where(near).select("a", "b", differing_bits(SKETCH).alias("bits")))
     # One pivot of a node will do here: what that leaves apart meets again below.
     nearest = files(tested.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("x")).select("a", F.col("x.b").alias("b")))
     groups = components(_confirmed(files, nearest, nodes, docs, size, percent))
     own = members.select("key", "node").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     several = own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
     own = files(own.join(several, "key").join(nodes.select("node", "n", "sketch"), "node"))
-    a, b = _side(own, "a", "key", F.col("component").alias("ac")), _side(own, "b", "key", F.col("component").alias("bc"))
-    met = a.join(b, "key").where((F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & _near(percent))
+    a, b = (side(own, name, SKETCH, "node", "key", F.col("component").alias(name + "c")) for name in "ab")
+    met = a.join(b, "key").where((F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & near)
     more = _confirmed(files, files(met.select("a", "b").distinct()), nodes, docs, size, percent)
     return components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 

@@ -79,7 +79,7 @@ def test_shingles_and_sketches():
         assert len(M.shingles(text)) == len(shingle_set(text))
     assert np.array_equal(M.shingles("a b c"), M.shingles("A  b\tC"))
     sets = [M.shingles(t) for t in texts if t]
-    sketches = M.parity_sketches(sets)
+    sketches = M.parity_sketches(sets, M.SKETCH)
     for a, b in combinations(range(len(sets)), 2):
         bits = sum(int(x ^ y).bit_count() for x, y in zip(sketches[a].view(np.uint64).tolist(), sketches[b].view(np.uint64).tolist()))
         assert bits <= len(np.setxor1d(sets[a], sets[b]))

@@ -116,10 +116,13 @@ def test_many_rows_of_one_length_without_ids(spark):
     """They are dealt out over many tasks, and packed all the same."""
     from rankloom.llm.common import Scratch
     from pyspark.sql import functions as F
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small partitions stay apart
     df = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("the same text again").alias("text")).repartition(4)
     with Scratch(spark) as files:
         placed, _, _, counts = packing.ranked(files, files(packing.pieces(df).withColumn("row", F.monotonically_increasing_id())))
         parts = [r["count"] for r in placed.groupBy("part").count().collect()]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     assert len(counts) == 1 and len(parts) > 2 and max(parts) < 2000
     size = len(ids("the same text again"))
     assert packing.pack(df).select("sequence_id").distinct().count() == -(-4000 // (1024 // size))
