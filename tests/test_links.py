@@ -71,3 +71,12 @@ def test_links_are_extracted_once_per_line(spark):
     plan = edges._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all(") == 1 and "size(" not in plan
     assert edges.count() == 9
+
+
+def test_page_lines_are_made_once(spark):
+    """The optimizer copies the line's expression into no filter and no second projection."""
+    from conftest import SF0001
+    from rankloom.plans import catalog
+    for name in ("wiki_parse_all", "wiki_parse_first", "node_count_union"):
+        plan = catalog.QUERIES[name](spark, SF0001)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("CASE WHEN") == 1, plan
