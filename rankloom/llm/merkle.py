@@ -15,7 +15,7 @@ otherwise paragraphs, then blocks that occur on one side only locate the edits.
 
 Edge cases: a null text is the empty text, a tree with one empty block.  Rows with equal ids are
 ordered by their text's digest, a null id comes after all others.  Every input row gives one output
-row; columns other than the id and the text are not read.
+row, an empty table none; very long texts are cut into blocks whole; columns other than the id and the text are not read.
 """
 
 from __future__ import annotations

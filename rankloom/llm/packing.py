@@ -15,7 +15,9 @@
    from its own rank by a search in the rounds' runs, in parallel.
 
 Edge cases: a null text is the empty text, a document of the end id alone.  Repeated or null ids are
-documents of their own (their pieces cannot be told apart by id).  An empty table gives no rows.
+documents of their own (their pieces cannot be told apart by id).  Very long texts are encoded whole and cut.  Pieces
+of one length are ranked by a hash of their row.  An empty table gives no rows; columns other than the id and the text
+are not read, whatever their names.
 Texts that spell the end-of-text token get its id, as the tokenizer's file says.
 """
 

@@ -12,7 +12,8 @@
 No labelled rows are used; the tests hold the result against the ``labels`` table.
 
 Edge cases: a null text is the empty text; a document without words, or a corpus where nothing is
-voted bad, is kept with the score of the corpus prior.  Repeated and null ids are scored row by row.  An
+voted bad, is kept with the score of the corpus prior.  Repeated and null ids are scored row by row; very long texts
+whole.  No ties arise: every row has its own verdict, a score at the threshold is kept.  An
 empty table gives no rows.  Extra columns pass through ``keep_good`` untouched.
 """
 

@@ -14,8 +14,9 @@ a dropped match still consumes its characters.
 
 Edge cases: a null or empty text has no span.  A null document id is an id like any other
 (null-safe joins).  Repeated ids share one candidate entry, which only widens the candidates;
-every input row gives one output row with the spans of its own text.  Extra columns are
-kept; ``scan`` replaces a column that has the name of its result.
+every input row gives one output row with the spans of its own text; an empty table gives none.  Very long texts
+are scanned whole, in work that grows with the text and its secrets.  Spans that begin at one place are ordered as their
+rules.  Extra columns are kept, whatever their names; ``scan`` replaces a column that has the name of its result.
 """
 
 from __future__ import annotations

@@ -21,7 +21,9 @@ Links (at most ``BITS`` differing bits) are found on distinct fingerprints only:
 
 Edge cases: a null or empty text, or one without words, has fingerprint zero and is linked like any
 other.  Rows with equal ids are one row each; ``component_id`` is the least non-null id of the
-component, null if it has none.  An empty table gives no rows.
+component, null if it has none.  Very long texts are shingled whole.  No ties arise: a bit that is set in just half of
+the shingles is 0.  An empty table gives no rows; columns other than the id and the text are not read, whatever their names
+(``keep_one`` hands them through).
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ host, then block before allow.
 Parsing: host is what stands between the first ``://`` and the next ``/``, ``?``, ``#`` or the end,
 A-Z lowered; path goes from there to ``?``, ``#`` or the end.  A null url, or one without ``://``, has
 empty host and path, so no rule fits and the default verdict holds.  Every input row gives one
-output row, also for repeated or null ids; columns other than the id and the url are not read.
+output row, also for repeated or null ids, an empty table none; very long urls are parsed whole; columns other than the
+id and the url are not read.
 """
 
 from __future__ import annotations
