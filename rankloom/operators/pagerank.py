@@ -58,7 +58,7 @@ from pyspark.sql import functions as F
 from ..functions.weights import TELEPORT, damped
 from ..session import Checkpoints, parallelism
 from ..tables import Tables
-from .dictionary import Dictionary
+from .dictionary import NO_ID, Dictionary
 
 MODES = ("keep_uncited", "all_nodes", "cited_only")
 # Default tolerance: the total of cited_only has to repeat exactly, the others run all rounds.
@@ -241,9 +241,13 @@ def _prepare(files: Checkpoints, tables: Tables, edges, pages, mode, n, partitio
 
     with fixed_partitioning(spark, parts):
         # ---- node set, hash-partitioned by page like every rank vector below
-        nodes = cut(page_rows.select(F.col("title").alias("page"))
-                    .union(lines_m.select(F.col("dst").alias("page"))).distinct()
-                    .repartition(parts, "page"))
+        nodes = page_rows.select(F.col("title").alias("page")).union(lines_m.select(F.col("dst").alias("page"))).distinct()
+        if book is not None and pages is None and initial_ranks is None:
+            # The dictionary holds just the pages of the links, without a null one.
+            low = lines_m.agg(F.least(F.min("src"), F.min("dst"))).first()[0]
+            if low is not None and low != NO_ID:
+                nodes = book.table.select(F.col("id").alias("page"))
+        nodes = cut(nodes.repartition(parts, "page"))
         if n is None:
             n = nodes.count() if mode == "all_nodes" else n_titles
         start = None
