@@ -9,8 +9,9 @@ joined with the ranks bucket by bucket, without an exchange, and a round's only
 edges      src, dst, w            bucketed and sorted by src
 hot        src, salt, dst, w      by src and salt (hubs only)
 hubs       src, salts             by src (hubs only)
-nodes      page                   by page
+nodes      page, w                by page; w: shares that uncited pages give
 pages      id, value              plain
+uncited    page                   plain; names of pages that are not in ``nodes`` (where :mod:`pagerank` keeps them apart)
 ranks/k    page, rank             by page, after round k
 rounds/k   round, total           one row, written when round k is complete
 meta       one row of sizes
@@ -26,11 +27,11 @@ from ..bucketed import open_bucketed, table_name, write_bucketed
 from ..session import Checkpoints, delete_path, path_exists
 from ..tables import Tables
 from .dictionary import Dictionary
-from .pagerank import MODES, _first_round, _prepare, _round, _total, fixed_partitioning
+from .pagerank import MODES, _first_round, _prepare, _round, _total, fixed_partitioning, uncited_rank
 
 _TABLES = {"edges": ("src long, dst long, w double", ["src"]), "hot": ("src long, salt int, dst long, w double", ["src", "salt"]),
-           "hubs": ("src long, salts int", ["src"]), "nodes": ("page long", ["page"])}
-_META = "mode string, n long, buckets int, hubs long"
+           "hubs": ("src long, salts int", ["src"]), "nodes": ("page long, w double", ["page"])}
+_META = "mode string, n long, buckets int, hubs long, uncited long"
 
 
 class RankStore:
@@ -53,14 +54,20 @@ class RankStore:
             if not g.n:
                 raise ValueError("a graph without pages")
             with fixed_partitioning(spark, g.parts):
-                for name, df in (("edges", g.cold), ("hot", g.hot), ("hubs", g.hubs), ("nodes", g.nodes)):
+                nodes = g.nodes.withColumn("w", F.lit(None).cast("double")) if g.entry is None else g.nodes.join(g.entry.select("page", "w"), "page", "left")
+                for name, df in (("edges", g.cold), ("hot", g.hot), ("hubs", g.hubs), ("nodes", nodes)):
                     if df is not None:
                         keys = _TABLES[name][1]
                         write_bucketed(df, f"{folder}/{name}", g.parts, keys, keys)
                 g.book.table.select("id", "value").write.parquet(f"{folder}/pages")
+                apart, n_uncited = g.uncited_ranks(mode), 0
+                if apart is not None:
+                    apart.select("page").write.parquet(f"{folder}/uncited")
+                    n_uncited = g.n_uncited
                 first = _first_round(files.cut, g, mode)
-                _write_round(folder, g.parts, 1, first)
-            spark.createDataFrame([(mode, g.n, g.parts, g.n_hubs)], _META).coalesce(1).write.parquet(f"{folder}/meta")
+                _write_round(folder, g.parts, 1, first, n_uncited * uncited_rank(mode, g.n))
+            n_hubs = 0 if g.hubs is None else g.hubs.count()
+            spark.createDataFrame([(mode, g.n, g.parts, n_hubs, n_uncited)], _META).coalesce(1).write.parquet(f"{folder}/meta")
         return cls(spark, folder)
 
     def _table(self, name: str) -> DataFrame | None:
@@ -80,11 +87,20 @@ class RankStore:
     def ranks(self) -> DataFrame:
         """``(page, rank)`` after the last complete round."""
         book = Dictionary(self.spark.read.schema("id long, value string").parquet(f"{self.folder}/pages"), 0)
-        return book.decode(self._ids(self.rounds()[-1][0]), "page")
+        ranks = book.decode(self._ids(self.rounds()[-1][0]), "page")
+        if not self.meta.uncited:
+            return ranks
+        return ranks.union(self.spark.read.schema("page string").parquet(f"{self.folder}/uncited").select("page", F.lit(self._uncited_rank()).alias("rank")))
+
+    def _uncited_rank(self) -> float:
+        return uncited_rank(self.meta["mode"], self.meta.n)
 
     def step(self, ranks: DataFrame) -> DataFrame:
         """The plan of one round over the stored graph (within ``fixed_partitioning`` of the store's buckets)."""
-        return _round(self._table("edges"), self._table("hot"), self._table("hubs"), ranks, self.meta["mode"])
+        entry = None
+        if self.meta.uncited:
+            entry = self._table("nodes").where("w IS NOT NULL").select("page", (F.col("w") * F.lit(self._uncited_rank())).alias("w"))
+        return _round(self._table("edges"), self._table("hot"), self._table("hubs"), ranks, self.meta["mode"], entry)
 
     def advance(self, to_round: int, tol: float | None = None) -> int:
         """Go on until ``to_round`` rounds are done in all, or the total rank changes by at most ``tol``; gives the rounds done."""
@@ -96,7 +112,7 @@ class RankStore:
                 if last >= to_round or settled:
                     return last
                 self._discard(last + 1)  # what an ended run may have left of it
-                _write_round(self.folder, self.meta.buckets, last + 1, self.step(self._ids(last)))
+                _write_round(self.folder, self.meta.buckets, last + 1, self.step(self._ids(last)), (self.meta.uncited or 0) * self._uncited_rank())
                 for number, _ in done[:-1]:
                     self._discard(number)
 
@@ -106,8 +122,9 @@ class RankStore:
         delete_path(self.spark, f"{self.folder}/ranks/{number}")
 
 
-def _write_round(folder: str, buckets: int, number: int, ranks: DataFrame) -> None:
+def _write_round(folder: str, buckets: int, number: int, ranks: DataFrame, rest: float) -> None:
+    """Write a round's ranks; ``rest``: the total rank of pages that are in no round."""
     # A round's plan ends dealt out by page into as many partitions as there are buckets.
     written = write_bucketed(ranks, f"{folder}/ranks/{number}", buckets, ["page"], ["page"], dealt=True)
-    total = _total(written)
+    total = _total(written) + rest
     ranks.sparkSession.range(1).select(F.lit(number).alias("round"), F.lit(total).alias("total")).coalesce(1).write.parquet(f"{folder}/rounds/{number}")

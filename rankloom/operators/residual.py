@@ -3,12 +3,13 @@
 The ranks that rounds without end would reach solve ``rank = base + 0.85 * sum of shares``.  Each page holds a rank
 and a residual, at first 0 and its base.  A round takes the pages whose residual exceeds a bound: their residual
 goes into their rank, and 0.85 times its shares into the residuals of the pages they link to.  What is missing
-to the exact ranks, over all pages, is at most the sum of residuals / (1 - 0.85), so the run stops when no page is over the
-bound ``error * (1 - 0.85) / pages``, and the ranks are then at most ``error`` short in total.
+to the exact ranks, over all pages, is at most the sum of residuals / (1 - 0.85), so the run stops when that is ``error`` at
+most.  Pages are pushed while they are over the bound ``error * (1 - 0.85) / pages``: when none is, the run has stopped.
 
 The base is 0.15; a page nobody links to has its 1/N in ``keep_uncited`` (as it keeps that) and no place in ``cited_only``.
 The plan is that of :mod:`pagerank`: written edge shares by source, hubs salted, one exchange per round, which
-carries partial sums for the targets of active pages only.
+carries partial sums for the targets of active pages only.  A page nobody links to is pushed in the first round and never
+gets a residual again, so where :mod:`pagerank` keeps such pages apart, the state holds cited pages only.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.weights import DAMPING, TELEPORT
 from ..session import Checkpoints
 from ..tables import Tables
-from .pagerank import MODES, _first_round, _Graph, _named, _prepare, _sums, fixed_partitioning
+from .pagerank import MODES, _first_round, _Graph, _named, _prepare, _sums, fixed_partitioning, uncited_rank
 
 
 @dataclass
@@ -33,7 +34,9 @@ class ResidualRun:
 
 
 def _bases(cut, g: _Graph, mode: str) -> DataFrame:
-    """``(page, base)``, by page."""
+    """``(page, base)``, by page, of the pages that rounds work on."""
+    if g.entry is not None:  # they are all cited
+        return g.nodes.select("page", F.lit(TELEPORT).alias("base"))
     cited = g.cold.select(F.col("dst").alias("page"))
     if g.hot is not None:
         cited = cited.union(g.hot.select(F.col("dst").alias("page")))
@@ -46,14 +49,18 @@ def _bases(cut, g: _Graph, mode: str) -> DataFrame:
     return _first_round(cut, g, mode).join(cited, "page", "left").select("page", F.when(F.col("cited"), TELEPORT).otherwise(F.col("rank")).alias("base"))
 
 
-def _push(g: _Graph, state: DataFrame, bound: float) -> DataFrame:
-    """The state after the pages over ``bound`` are pushed."""
+def _push(g: _Graph, state: DataFrame, bound: float, entry: DataFrame | None = None) -> DataFrame:
+    """The state after the pages over ``bound`` are pushed; ``entry(page, w)``: what pages apart give at the same time."""
     active = F.col("residual") > bound
     sums = _sums(g.cold, g.hot, g.hubs, state.where(active).select(F.col("page").alias("src"), F.col("residual").alias("rank")))
     kept = F.when(active, 0.0).otherwise(F.col("residual"))
-    return state.join(sums, "page", "left").select(
+    got = F.coalesce("s", F.lit(0.0))
+    state = state.join(sums, "page", "left")
+    if entry is not None:
+        state, got = state.join(entry, "page", "left"), got + F.coalesce("w", F.lit(0.0))
+    return state.select(
         "page", (F.col("rank") + F.when(active, F.col("residual")).otherwise(0.0)).alias("rank"),
-        (kept + DAMPING * F.coalesce("s", F.lit(0.0))).alias("residual"))
+        (kept + DAMPING * got).alias("residual"))
 
 
 def residual_pagerank(edges: DataFrame, pages: DataFrame | None = None, *, mode: str = "all_nodes", n: int | None = None, error: float = 1e-6,
@@ -75,15 +82,23 @@ def residual_pagerank(edges: DataFrame, pages: DataFrame | None = None, *, mode:
         with fixed_partitioning(spark, g.parts):
             bases = _bases(files.cut, g, mode)
             state = files.cut(bases.select("page", F.lit(0.0).alias("rank"), F.col("base").alias("residual")).repartition(g.parts, "page"))
-            bound = error * (1 - DAMPING) / max(1, state.count())
+            pages = state.count()
+            if g.entry is not None and mode != "cited_only":
+                pages += g.n_uncited
+            bound = error * (1 - DAMPING) / max(1, pages)
+            if g.entry is not None:  # the first round: every page is pushed, uncited ones for good
+                run.active.append(pages)
+                entry = None if mode == "cited_only" else g.entry.select("page", (F.col("w") * F.lit(uncited_rank(mode, g.n))).alias("w"))
+                before, state = state, files.cut(_push(g, state, 0.0, entry))
+                files.drop(before)
             while True:
                 left = state.agg(F.sum("residual").alias("sum"), F.count_if(F.col("residual") > bound).alias("active")).first()
                 run.missing = (left["sum"] or 0.0) / (1 - DAMPING)
-                if not left["active"]:
+                if not left["active"] or run.missing <= error:
                     break
                 run.active.append(left["active"])
                 before, state = state, files.cut(_push(g, state, bound))
                 files.drop(before)
             ranks = files.cut(state.select("page", "rank"))
-        run.ranks, run.rounds = _named(files, g, ranks), len(run.active)
+        run.ranks, run.rounds = _named(files, g, ranks, mode), len(run.active)
         return run

@@ -1,6 +1,7 @@
 """PageRank modes against the fixture values, special cases, hub path and plan shape."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from rankloom.operators import links as L
 from rankloom.operators import pagerank as PR
@@ -310,3 +311,22 @@ def test_active_pages_become_fewer(spark):
     with pytest.raises(ValueError):
         residual_pagerank(spark.createDataFrame(cycle, "src string, dst string"), error=0)
     assert residual_pagerank(spark.createDataFrame([], "src string, dst string")).ranks.count() == 0
+
+
+@pytest.mark.parametrize("mode", PR.MODES)
+def test_rounds_hold_cited_pages_only(spark, monkeypatch, mode):
+    """Pages nobody links to are in no round's links or ranks, and the ranks are those of rounds over all pages."""
+    e = spark.createDataFrame([(f"o{i}", f"p{i % 7}") for i in range(40)] + [(f"p{i}", f"p{i * 3 % 7}") for i in range(7)] * 2 + [(None, "p1")], "src string, dst string")
+    seen, real = [], PR._round
+
+    def held(*args):
+        seen.append((args[0].count(), args[3].count()))
+        return real(*args)
+
+    with monkeypatch.context() as m:
+        m.setattr(PR, "_round", held)
+        got = as_dict(PR.pagerank_run(e, mode=mode, n=50, iterations=2, partitions=2, hub_threshold=100).ranks)
+    assert seen == [(7, 7)] * 2
+    # Told all titles, a run keeps all pages in its rounds.
+    every = PR.pagerank_run(e, e.select(F.col("src").alias("title")).distinct(), mode=mode, n=50, iterations=2, partitions=2)
+    assert got == pytest.approx(as_dict(every.ranks), abs=1e-12)
