@@ -208,3 +208,40 @@ def test_empty_and_awkward_documents(spark, tmp_path):
     some = spark.createDataFrame([("a", None), ("b", "x x y"), ("b", "x"), (None, "x"), ("c", ""), ("d", "y " * 30000)], "doc string, text string")
     index = SearchIndex.build(some, str(tmp_path / "s"))
     assert index.meta.n_docs == 4 and rows(index.search(["x", "y"])) == rows(T.search(some.where("doc IS NOT NULL"), ["x", "y"]))
+
+
+def test_tasks_follow_the_text(spark, tmp_path, monkeypatch):
+    """Texts are counted in as many tasks as their bytes ask for, and the shares of one group are dealt out over them."""
+    from rankloom.operators import index as X
+    dealt, real = [], X._counts
+
+    def counted(docs, numbers, large, tasks):
+        rows = real(docs, numbers, large, tasks)
+        dealt.append((tasks, len({r.p for r in rows.select(F.spark_partition_id().alias("p")).distinct().collect()})))
+        return rows
+
+    monkeypatch.setattr(X, "_counts", counted)
+    monkeypatch.setattr(X, "TASK_BYTES", 100)
+    docs = spark.range(64).selectExpr("id AS doc", "concat('the w', id % 5, ' and ', 'the x', id) AS text")
+    index = X.SearchIndex.build(docs, str(tmp_path / "i"))
+    assert dealt[0][0] >= 12 and dealt[0][1] > 1, dealt   # all documents are in one group
+    assert {(r.doc, r.score) for r in index.search(["the", "w1"]).collect()} == {(r.doc, r.score) for r in T.search(docs, ["the", "w1"]).collect()}
+
+
+def test_many_queries_keep_ties_of_each_block(spark, tmp_path, monkeypatch):
+    """Dealt out by block, a block sends on its first k documents and what ties with them, and the result is a full ranking's."""
+    from rankloom.operators import index as X
+    monkeypatch.setattr(X, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(X, "BLOCK_BITS", 4)
+    docs = spark.range(90).selectExpr("id AS doc", "concat(repeat('the ', int(id % 3) + 1), 'w', id % 5) AS text")
+    index = X.SearchIndex.build(docs, str(tmp_path / "i"))
+    sent, real = [], X.SearchIndex._scores
+    monkeypatch.setattr(X.SearchIndex, "_scores", lambda *a: (sent.append(real(*a)), sent[-1])[1])
+    counts = []
+    monkeypatch.setattr(X.SearchIndex, "_threshold", (lambda real: lambda self, tables, scores, k: (counts.append(scores.count()), real(self, tables, scores, k))[1])(X.SearchIndex._threshold))
+    queries = spark.createDataFrame([(0, "the"), (0, "w1"), (1, "w2"), (2, "the")], "query_id int, word string")
+    got = {(r.query_id, r.pos, r.doc, r.score) for r in index.top_k(queries, 3, seed_blocks=1).rows.collect()}
+    want = set()
+    for q, words in ((0, ["the", "w1"]), (1, ["w2"]), (2, ["the"])):
+        want |= {(q, i + 1, r.doc, r.score) for i, r in enumerate(T.rank_documents(docs, words, k=3).collect())}
+    assert got == want and counts[-1] < 90 + 18 + 90
