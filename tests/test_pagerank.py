@@ -330,3 +330,9 @@ def test_rounds_hold_cited_pages_only(spark, monkeypatch, mode):
     # Told all titles, a run keeps all pages in its rounds.
     every = PR.pagerank_run(e, e.select(F.col("src").alias("title")).distinct(), mode=mode, n=50, iterations=2, partitions=2)
     assert got == pytest.approx(as_dict(every.ranks), abs=1e-12)
+
+
+def test_shuffles_of_raw_links_follow_their_number(spark):
+    at_least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert PR._many(spark, 10) == {"spark.sql.shuffle.partitions": str(at_least)}
+    assert PR._many(spark, 100 * PR.LINKS_PER_PARTITION + 1) == {"spark.sql.shuffle.partitions": "101"}
