@@ -72,7 +72,7 @@ class CorpusStatistics:
             fresh = self.spark.read.schema(known.schema).parquet(place("documents"))
             if number:
                 docs = docs.join(fresh, "doc", "left_semi")
-            postings = tables(term_frequency(docs).select("word", "doc"))
+            postings = tables(term_frequency(docs, tables=tables).select("word", "doc"))
             doc_frequency(postings).write.parquet(place("words"))
             words = self.spark.read.schema("word string, df long").parquet(place("words"))
             n = fresh.count()

@@ -10,10 +10,9 @@ Plan shape (see ``explain`` in the tests):
 
 * tokens: two narrow ``Generate`` steps (lines, then tokens) inside one
   codegen stage; no UDF.
-* counts: hash aggregate on (word, doc) with a map-side partial aggregate,
-  so each map task ships one row per distinct (word, doc) it saw; when the
-  documents arrive hash-partitioned by ``doc`` the aggregate needs no
-  shuffle at all.
+* counts: a document that is one row is counted where it is, by sorting its tokens; postings of
+  all words are not shuffled.  Documents of several rows, very long texts and searches for some words take
+  a hash aggregate on (word, doc) with a map-side partial aggregate.
 * TF-IDF: the aggregated postings are written once (Parquet, see ``tables``) and everything
   else reads that copy, so the corpus is tokenized once.  Document frequency is an
   aggregate on ``word`` over it (partial aggregation collapses hot words before the
@@ -38,7 +37,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tokenize import query_words, split_lines, split_tokens, token_split_pattern
+from ..functions.tokenize import query_words, split_lines, split_tokens, text_tokens, token_split_pattern
 from ..functions.weights import float_text_to_double, idf as idf_col, log_tf
 from ..tables import Tables, in_order
 
@@ -61,19 +60,55 @@ def tokens(docs: DataFrame, *more: str) -> DataFrame:
             .filter(F.col("word") != ""))
 
 
-def doc_word_count(docs: DataFrame) -> DataFrame:
-    """``(word, doc, n)``: occurrences of each token in each document."""
-    return tokens(docs).groupBy("word", "doc").agg(F.count(F.lit(1)).alias("n"))
+# Longest text, in bytes, whose tokens are sorted within its row.
+ROW_TEXT = 1 << 20
+
+
+def row_counts(docs: DataFrame) -> DataFrame:
+    """``(word, doc, n)``: occurrences of each token in each row of ``docs``; nothing is shuffled.
+
+    A row's tokens are sorted, so a word's occurrences are a run.
+    """
+    words = F.sort_array(text_tokens("text", token_split_pattern(docs.sparkSession)))
+    # Behind a generator an array is made once: the optimizer copies no expression through it.
+    rows = docs.select("doc", F.explode(F.array(words)).alias("words")).where(F.size("words") > 0)
+    later = F.filter(F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.get("words", i) != F.get("words", i - 1))
+    starts = F.when(F.size("words") == 1, F.array(F.lit(0))).otherwise(F.concat(F.array(F.lit(0)), later))
+    rows = rows.select("doc", "words", F.explode(F.array(starts)).alias("starts"))
+    runs = rows.select("doc", "words", "starts", F.posexplode("starts").alias("run", "start"))
+    n = F.coalesce(F.get("starts", F.col("run") + 1), F.size("words")) - F.col("start")
+    return runs.select(F.get("words", F.col("start")).alias("word"), "doc", n.cast("long").alias("n")).where("word != ''")
+
+
+def doc_word_count(docs: DataFrame, tables: Tables | None = None) -> DataFrame:
+    """``(word, doc, n)``: occurrences of each token in each document.
+
+    Keys are read first, to tell which of them several rows share.
+    """
+    keys = docs.groupBy("doc").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select(F.col("doc").alias("doc_"), F.lit(True).alias("shared_"))
+    shared, long = F.lit(False), F.coalesce(F.octet_length("text") > ROW_TEXT, F.lit(False))
+    with Tables(docs.sparkSession) as own:
+        keys = (tables or own)(keys)
+        n_shared = keys.count()
+        if n_shared and not tables:
+            own.keep(keys)
+    if n_shared:
+        docs = docs.join(F.broadcast(keys) if n_shared <= BROADCAST_KEYS else keys, F.col("doc").eqNullSafe(F.col("doc_")), "left")
+        shared = F.coalesce("shared_", shared)
+    together = tokens(docs.where(shared | long).select("doc", "text")).groupBy("word", "doc").agg(F.count(F.lit(1)).alias("n"))
+    return row_counts(docs.where(~(shared | long)).select("doc", "text")).unionByName(together)
 
 
 def term_frequency(docs: DataFrame, words: Iterable[str] | None = None,
-                   keywords: DataFrame | None = None) -> DataFrame:
+                   keywords: DataFrame | None = None, tables: Tables | None = None) -> DataFrame:
     """``(word, doc, n, tf)`` with ``tf = float32(1 + log10(n))``.
 
     ``words`` / ``keywords`` restrict the postings to query words before the
     aggregation (C3, J1); given both, a word has to be in both.  A list of more than
     ``MAX_IN_LIST`` words becomes a keyword table.
     """
+    if words is None and keywords is None:
+        return doc_word_count(docs, tables).withColumn("tf", log_tf("n"))
     toks = tokens(docs)
     if words is not None:
         words = sorted(set(words))
@@ -122,6 +157,8 @@ def inverse_doc_frequency(docs: DataFrame, postings: DataFrame | None = None,
 BROADCAST_VOCABULARY_BYTES = 96 << 20
 # Fixed part of a broadcast row: hash map slot, row header, offset and the double.
 ROW_BYTES = 48
+# Most document keys that are broadcast.
+BROADCAST_KEYS = 100_000
 # Longest word list put into one IN predicate.
 MAX_IN_LIST = 1000
 
@@ -163,7 +200,7 @@ def tfidf(docs: DataFrame, postings: DataFrame | None = None, all_docs: DataFram
     ``postings`` (default: of all words) are materialised here and read twice, so the
     corpus is tokenized once; see the module docstring for the join.
     """
-    postings = _materialise((postings if postings is not None else term_frequency(docs)).select("word", "doc", "tf"), tables)
+    postings = _materialise((postings if postings is not None else term_frequency(docs, tables=tables)).select("word", "doc", "tf"), tables)
     weights, small = _measured(inverse_doc_frequency(docs, postings, all_docs).select("word", "idf"), broadcast_bytes, tables)
     if small:
         weights = F.broadcast(weights)
@@ -205,7 +242,7 @@ def search(docs: DataFrame, words: Iterable[str] | str | None = None,
     if small:
         postings = term_frequency(docs, words=q, keywords=F.broadcast(kw))
     else:
-        postings = _materialise(term_frequency(docs, words=q), tables).join(kw, "word", "left_semi")
+        postings = _materialise(term_frequency(docs, words=q, tables=tables), tables).join(kw, "word", "left_semi")
     return _score(tfidf(docs, postings, all_docs, broadcast_bytes, tables))
 
 

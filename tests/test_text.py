@@ -280,3 +280,29 @@ spark.stop()
     while (left := [f for _, _, names in os.walk(tmp_path) for f in names]) and time.time() < until:
         time.sleep(1)
     assert left == []
+
+
+def test_row_counts_equal_counted_tokens(spark, monkeypatch):
+    """Shared, null and single keys, null and long texts, every kind of white space and mark, on both boundary patterns."""
+    import random
+    from rankloom.functions import tokenize as K
+    r = random.Random(1)
+    chars = list("ab1_é中. ,-\t\n\r\x0b\f́́  \x85ः٣") + [" "] * 3 + ["\U0001d49c"]
+    texts = ["".join(r.choice(chars) for _ in range(r.randint(0, 30))) for _ in range(400)]
+    docs = spark.createDataFrame([(i if i % 3 else i // 9 if i % 2 else None, x) for i, x in enumerate(texts)] + [(None, None), (999, None)], "doc long, text string")
+    docs = docs.repartition(2).localCheckpoint()
+    for pattern in (K.REFERENCE_TOKEN_PATTERN, K.TOKEN_SPLIT_PATTERN):
+        for longest in (T.ROW_TEXT, 20):
+            with monkeypatch.context() as m:
+                m.setattr(T, "token_split_pattern", lambda _: pattern)
+                m.setattr(T, "ROW_TEXT", longest)
+                counted = T.tokens(docs).groupBy("word", "doc").agg(F.count(F.lit(1)).alias("n"))
+                same = lambda df: sorted(map(str, df.collect()))
+                assert same(T.doc_word_count(docs)) == same(counted)
+
+
+def test_postings_of_single_rows_are_not_shuffled(spark, sample_docs):
+    plan = T.row_counts(sample_docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    shown = T.term_frequency(sample_docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in shown and shown.count("Aggregate") == 1  # of long texts alone
