@@ -245,3 +245,15 @@ def test_many_queries_keep_ties_of_each_block(spark, tmp_path, monkeypatch):
     for q, words in ((0, ["the", "w1"]), (1, ["w2"]), (2, ["the"])):
         want |= {(q, i + 1, r.doc, r.score) for i, r in enumerate(T.rank_documents(docs, words, k=3).collect())}
     assert got == want and counts[-1] < 90 + 18 + 90
+
+
+def test_single_rows_are_counted_without_an_aggregate(spark, docs, tmp_path):
+    """No hash map of a task's words; documents of one row and of several stand side by side in an index."""
+    from rankloom.operators import index as module
+    numbers = docs.select((F.col("doc") % 7).alias("group"), "doc", F.col("doc").alias("doc_no"))
+    large = F.broadcast(spark.createDataFrame([], "group long, parts int"))
+    with module._conf(spark, module._BY_GROUP | {"spark.sql.adaptive.enabled": "false"}):
+        shown = plan(module._counts(docs.withColumn("group", F.col("doc") % 7), numbers.withColumn("single", F.lit(True)), large))
+    assert "Aggregate" not in shown and shown.count("Exchange hashpartitioning") == 2, shown
+    mixed = docs.where("doc % 2 = 0").unionByName(T.lines(docs.where("doc % 2 = 1")).withColumnRenamed("line", "text"))
+    check_tables(mixed, SearchIndex.build(mixed, str(tmp_path / "i"), group_docs=64, span_groups=4), 64, 4)
