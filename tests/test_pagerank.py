@@ -336,3 +336,37 @@ def test_shuffles_of_raw_links_follow_their_number(spark):
     at_least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert PR._many(spark, 10) == {"spark.sql.shuffle.partitions": str(at_least)}
     assert PR._many(spark, 100 * PR.LINKS_PER_PARTITION + 1) == {"spark.sql.shuffle.partitions": "101"}
+
+
+@pytest.mark.parametrize("mode", PR.MODES)
+def test_raw_links_are_shuffled_by_source_once(spark, monkeypatch, mode):
+    """No exchange of the preparation is keyed by source and target, and one is by the source's name."""
+    import re
+    plans, real = [], PR.Tables.__call__
+
+    def seen(self, df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(self, df)
+
+    monkeypatch.setattr(PR.Tables, "__call__", seen)
+    e = spark.createDataFrame([(f"p{i}", f"p{i * 7 % 50}") for i in range(300)], "src string, dst string")
+    PR.pagerank_run(e, mode=mode, n=400, iterations=1)
+    keys = [re.sub(r"#\d+L?", "", k) for p in plans for k in re.findall(r"Exchange hashpartitioning\((.*), \d+\)", p)]
+    assert [k for k in keys if "src" in k] == ["src"], keys
+
+
+@pytest.mark.parametrize("mode", PR.MODES)
+def test_links_of_busy_sources_are_counted_apart(spark, monkeypatch, mode):
+    """Sources with more links than a partition may have, uncited, cited and null ones, give what they give otherwise."""
+    e = [(f"o{i}", f"p{i % 7}") for i in range(40)] + [(f"p{i}", f"p{i * 3 % 7}") for i in range(7)] * 2
+    e += [("hub", f"p{i % 30}") for i in range(90)] + [("p1", f"q{i}") for i in range(50)] + [(None, f"q{i}") for i in range(40)] + [("p2", None)]
+    e = spark.createDataFrame(e, "src string, dst string")
+    start = spark.createDataFrame([("hub", 0.5), ("hub", 0.25), ("p1", 2.0), (None, 0.125), ("o3", 1.0)], "page string, rank double")
+    for ranks in (None, start):
+        run = lambda: as_dict(PR.pagerank_run(e, mode=mode, n=50, iterations=3, initial_ranks=ranks, hub_threshold=20).ranks)
+        plain = run()
+        with monkeypatch.context() as m:
+            m.setattr(PR, "LINKS_PER_PARTITION", 30)
+            links, busy = PR._busy_slots(e)
+            assert links == e.count() and {r.src for r in e.where(busy).collect()} == {"hub", "p1", None}
+            assert run() == pytest.approx(plain, abs=1e-12)
