@@ -104,3 +104,21 @@ def test_dedup_text_with_null_and_repeated_ids(spark):
     out = line_dedup.dedup_text(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
     got = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
     assert got == [(5, "fourth and last"), (5, "third line of it"), (None, "first line of it\nshared line here"), (None, "second line")]
+
+
+def test_lines_are_listed_once_with_their_places(spark):
+    rows = [(7, "one line of it\n\nanother line"), (None, "one line of it"), (8, None), (9, "  \nlast line")]
+    found = line_dedup.signatures(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    key = lambda x: hashlib.md5(x.encode()).digest()
+    assert {(r.doc_id, r.line_no, bytes(r.id)) for r in found} == {(7, 0, key("one line of it")), (7, 2, key("another line")), (None, 0, key("one line of it")), (9, 1, key("last line"))}
+    assert len(found) == 4 and sorted(r.n for r in found) == [0, 1, 1, 2]
+    assert all(len(r.keys) == (line_dedup.BANDS if r.n else 0) for r in found)
+
+
+def test_similarity_by_numbers_is_that_of_the_sets():
+    sets = lambda x: {x[i:i + 8] for i in range(max(1, len(x) - 7))}
+    lines = variants(2, prose(5, 30), 12, 5) + ["x" * 50, "é" * 9 + "abcdefgh", "\0" * 12, "Ā" * 9 + "abcdefghij", "short", "12345678"]
+    for a in lines:
+        for b in lines:
+            assert similarity(a, b) == len(sets(a) & sets(b)) / len(sets(a) | sets(b))
+    assert len(line_dedup._numbers("x" * 50)) == 1 and line_dedup._numbers("Ā" * 9) is None
