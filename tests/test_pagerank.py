@@ -313,6 +313,18 @@ def test_active_pages_become_fewer(spark):
     assert residual_pagerank(spark.createDataFrame([], "src string, dst string")).ranks.count() == 0
 
 
+def test_residual_rounds_are_fewer_than_the_damping_allows(spark):
+    """Pushes alone leave 0.85 of the residuals each round; pages and links in two parts, one of them cited in turns."""
+    from rankloom.operators.residual import residual_pagerank
+    edges = [(f"p{i}", f"s{i * k * k % 11}") for i in range(30) for k in (1, 3, 4)] + [(f"s{i}", f"p{i * k % 30}") for i in range(11) for k in (2, 3, 5, 7)]
+    edges += [(f"r{i}", f"r{i * k % 13}") for i in range(13) for k in (2, 5, 6)] + [("p3", "end"), ("new", "p4")]
+    exact, error = fixed_point(edges, "all_nodes", 60), 1e-7
+    run = residual_pagerank(spark.createDataFrame(edges, "src string, dst string"), error=error)
+    short = [exact[p] - r for p, r in as_dict(run.ranks).items()]
+    assert len(short) == len(exact) and min(short) > -1e-12 and sum(short) <= run.missing + 1e-12 and run.missing <= error
+    assert run.rounds == len(run.active) < 60  # 0.85 ** 60 * 55 pages is far from 1e-7
+
+
 @pytest.mark.parametrize("mode", PR.MODES)
 def test_rounds_hold_cited_pages_only(spark, monkeypatch, mode):
     """Pages nobody links to are in no round's links or ranks, and the ranks are those of rounds over all pages."""
