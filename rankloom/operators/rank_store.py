@@ -27,7 +27,7 @@ from ..bucketed import open_bucketed, table_name, write_bucketed
 from ..session import Checkpoints, delete_path, path_exists
 from ..tables import Tables
 from .dictionary import Dictionary
-from .pagerank import MODES, _first_round, _prepare, _round, _total, fixed_partitioning, uncited_rank
+from .pagerank import MODES, _first_round, _prepare, _round, _total, fixed_partitioning, uncited_rank, unpacked
 
 _TABLES = {"edges": ("src long, dst long, w double", ["src"]), "hot": ("src long, salt int, dst long, w double", ["src", "salt"]),
            "hubs": ("src long, salts int", ["src"]), "nodes": ("page long, w double", ["page"])}
@@ -58,7 +58,7 @@ class RankStore:
                 for name, df in (("edges", g.cold), ("hot", g.hot), ("hubs", g.hubs), ("nodes", nodes)):
                     if df is not None:
                         keys = _TABLES[name][1]
-                        write_bucketed(df, f"{folder}/{name}", g.parts, keys, keys)
+                        write_bucketed(unpacked(df) if name in ("edges", "hot") else df, f"{folder}/{name}", g.parts, keys, keys)
                 g.book.table.select("id", "value").write.parquet(f"{folder}/pages")
                 apart, n_uncited = g.uncited_ranks(mode), 0
                 if apart is not None:

@@ -27,9 +27,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.weights import DAMPING, TELEPORT
-from ..session import Checkpoints
+from ..session import Checkpoints, free_shuffles
 from ..tables import Tables
-from .pagerank import MODES, _first_round, _Graph, _named, _prepare, _sums, fixed_partitioning, uncited_rank
+from .pagerank import MODES, _first_round, _Graph, _named, _prepare, _sums, fixed_partitioning, uncited_rank, unpacked
 
 
 # Rounds whose pushes are weighted anew together.
@@ -50,9 +50,9 @@ def _bases(cut, g: _Graph, mode: str) -> DataFrame:
     """``(page, base)``, by page, of the pages that rounds work on."""
     if g.entry is not None:  # they are all cited
         return g.nodes.select("page", F.lit(TELEPORT).alias("base"))
-    cited = g.cold.select(F.col("dst").alias("page"))
+    cited = unpacked(g.cold).select(F.col("dst").alias("page"))
     if g.hot is not None:
-        cited = cited.union(g.hot.select(F.col("dst").alias("page")))
+        cited = cited.union(unpacked(g.hot).select(F.col("dst").alias("page")))
     cited = cited.distinct().withColumn("cited", F.lit(True))
     if mode == "cited_only":
         return cited.select("page", F.lit(TELEPORT).alias("base"))
@@ -182,6 +182,7 @@ def residual_pagerank(edges: DataFrame, pages: DataFrame | None = None, *, mode:
                 written, left = state, _Left.of(state, bound)
                 was += [name] if name else []
                 if len(was) == WINDOW:
+                    free_shuffles(spark)
                     better = _weighted(state, was, bound)
                     then = _Left.of(better, bound)
                     state, was = state.select("page", "rank", "residual"), []

@@ -382,3 +382,70 @@ def test_links_of_busy_sources_are_counted_apart(spark, monkeypatch, mode):
             links, busy = PR._busy_slots(e)
             assert links == e.count() and {r.src for r in e.where(busy).collect()} == {"hub", "p1", None}
             assert run() == pytest.approx(plain, abs=1e-12)
+
+
+@pytest.mark.parametrize("mode", PR.MODES)
+def test_rounds_read_a_row_for_many_links(spark, monkeypatch, mode):
+    """Shares are packed by source, in several rows where a source has very many links, and the ranks are the same."""
+    e = spark.createDataFrame([(f"p{i}", f"p{i * k % 40}") for i in range(40) for k in (1, 3, 3, 7)] + [("hub", f"p{i}") for i in range(40)] + [("p5", "hub")], "src string, dst string")
+    rows, real = [], PR._round
+
+    def held(*args):
+        rows.append(args[0].count() + (args[1].count() if args[1] is not None else 0))
+        return real(*args)
+
+    monkeypatch.setattr(PR, "_round", held)
+    run = lambda: as_dict(PR.pagerank_run(e, mode=mode, n=50, iterations=2, partitions=2, hub_threshold=30).ranks)
+    plain = run()
+    links = e.distinct().count()
+    assert all(41 <= n < links for n in rows), rows
+    monkeypatch.setattr(PR, "PACKED", 1)
+    assert run() == pytest.approx(plain, abs=1e-12)
+    assert max(rows) > 60
+
+
+def test_cited_only_rounds_over_page_lines_hold_cited_pages_only(spark, monkeypatch):
+    """Links of pages nobody links to are summed once, as with plain edges, and the ranks are those of rounds over all pages."""
+    lines = [f"<title>P{i}</title> <text>[[P{i * 3 % 7}]][[P{i * 3 % 7}]][[P{i % 2}]]</text>" for i in range(60)] + ["<title>lonely</title>"]
+    lines = lines_df(spark, lines)
+    seen, real = [], PR._round
+
+    def held(*args):
+        seen.append((PR.unpacked(args[0]).count(), args[3].count()))
+        return real(*args)
+
+    with monkeypatch.context() as m:
+        m.setattr(PR, "_round", held)
+        got = as_dict(PR.pagerank_lines(lines, mode="cited_only", iterations=3, partitions=2))
+    cited = {f"P{i}" for i in range(7)}
+    links = {(f"P{i}", f"P{k}") for i in range(7) for k in (i * 3 % 7, i % 2)}
+    assert got.keys() == cited and seen == [(len(links), 7)] * 3
+    edges = L.page_edges(L.parse_pages(lines, "all_sections")).select("src", "dst")
+    every = as_dict(PR.pagerank_run(edges, mode="cited_only", n=61, iterations=3, page_ids=False).ranks)
+    assert got == pytest.approx(every, abs=1e-12)
+
+
+@pytest.mark.parametrize("mode", ["keep_uncited", "all_nodes"])
+def test_tables_of_page_lines_go_once_they_are_read(spark, monkeypatch, mode):
+    """When rounds begin, neither parsed pages nor links by name are on disk; a line's links are shuffled by source once."""
+    import os
+    import re
+    lines = lines_df(spark, [f"<title>P{i % 40}</title> <text>[[P{i * 7 % 45}]][[Q{i % 3}]]</text>" for i in range(60)])
+    base = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    old, plans, left, call, first = set(os.listdir(base)), [], [], PR.Tables.__call__, PR._first_round
+
+    def seen(self, df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return call(self, df)
+
+    def begun(cut, g, mode):
+        for d in set(os.listdir(base)) - old:
+            left.extend(spark.read.parquet(f"{base}/{d}/{t}").columns for t in os.listdir(f"{base}/{d}") if t.startswith("table-"))
+        return first(cut, g, mode)
+
+    monkeypatch.setattr(PR.Tables, "__call__", seen)
+    monkeypatch.setattr(PR, "_first_round", begun)
+    PR.pagerank_lines(lines, mode=mode, iterations=1)
+    assert left and not [c for c in left if "links" in c or "w" in c]
+    keys = [re.sub(r"#\d+L?", "", k) for p in plans for k in re.findall(r"Exchange hashpartitioning\((.*), \d+\)", p)]
+    assert keys.count("src") >= 1 and not [k for k in keys if "k, src" in k], keys
