@@ -257,3 +257,16 @@ def test_single_rows_are_counted_without_an_aggregate(spark, docs, tmp_path):
     assert "Aggregate" not in shown and shown.count("Exchange hashpartitioning") == 2, shown
     mixed = docs.where("doc % 2 = 0").unionByName(T.lines(docs.where("doc % 2 = 1")).withColumnRenamed("line", "text"))
     check_tables(mixed, SearchIndex.build(mixed, str(tmp_path / "i"), group_docs=64, span_groups=4), 64, 4)
+
+
+def test_postings_meet_documents_in_as_many_tasks_as_postings_need(spark, tmp_path, monkeypatch):
+    """A small table of documents does not gather all postings in few tasks."""
+    import re
+    from rankloom.operators import index as module
+    monkeypatch.setattr(module, "ROWS_PER_BUCKET", 20)
+    few = spark.createDataFrame([(i, f"a b{i % 7} c{i}") for i in range(40)], "doc long, text string")
+    index = SearchIndex.build(few, str(tmp_path / "i"))
+    joined = index.table("postings").join(index.table("documents"), "doc_no")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert index.meta.documents_buckets == 6 and re.findall(r"hashpartitioning\(doc_no#\d+L, (\d+)\)", plan) in ([], ["6"]), plan
+    assert joined.count() == 120 and index.table("documents").count() == 40
